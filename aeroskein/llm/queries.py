@@ -16,12 +16,24 @@ def bpe_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aeroskein.llm.site_style_tree import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aeroskein.llm.mixing import mix_sources
 
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aeroskein.llm.embedding_dedup import embedding_links
+
+    return embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aeroskein.llm.sentencepiece_bpe import encode_texts
 
@@ -42,6 +54,24 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aeroskein.llm.bagminhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aeroskein.llm.knn_quality import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aeroskein.llm.arc_warc import archive_round_trip
+
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aeroskein.llm.divergence import language_references, quality_rules
 
