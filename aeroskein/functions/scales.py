@@ -25,10 +25,10 @@ def nice_ceil(value: Column) -> Column:
 
 
 def log_ticks(low: Column, high: Column) -> Column:
-    """All of 1, 2, 5 times powers of ten from low to high, sorted."""
+    """Both bounds and all of 1, 2, 5 times powers of ten between them, sorted."""
     decades = F.sequence(F.floor(F.log10(low)).cast("int"), F.ceil(F.log10(high)).cast("int"))
     ticks = F.flatten(F.transform(decades, lambda e: F.transform(F.array(F.lit(1.0), F.lit(2.0), F.lit(5.0)), lambda m: m * F.pow(F.lit(10.0), e.cast("double")))))
-    return F.array_sort(F.filter(ticks, lambda t: (t >= low * 0.999999) & (t <= high * 1.000001)))
+    return F.array_sort(F.array_distinct(F.concat(F.array(low, high), F.filter(ticks, lambda t: (t >= low) & (t <= high)))))
 
 
 def scale_position(value: Column, low: Column, high: Column, log: bool) -> Column:

@@ -101,8 +101,8 @@ def blocked_time_split(rows: DataFrame, share: float = 0.8, least_times: int = 1
     Times are ranked among the distinct ones, which are few against rows.
     """
     times = rows.select("hour").distinct()
-    ranked = times.withColumn("_i", F.row_number().over(Window.orderBy("hour")) - 1).withColumn("_n", F.count("*").over(Window.partitionBy()))
-    cut = ranked.where((F.col("_n") >= least_times) & (F.col("_i") == F.floor(F.col("_n") * share))).select(F.col("hour").alias("_cut"))
+    ranked = times.withColumn("_i", F.row_number().over(Window.orderBy("hour"))).withColumn("_n", F.count("*").over(Window.partitionBy()))
+    cut = ranked.where((F.col("_n") >= least_times) & (F.col("_i") == F.greatest(F.lit(1), F.floor(F.col("_n") * share)))).select(F.col("hour").alias("_cut"))
     return rows.join(F.broadcast(cut)).withColumn("is_train", F.col("hour") <= F.col("_cut")).drop("_cut")
 
 

@@ -201,7 +201,7 @@ def u3(spark, d):
 
 MAPPING = "select 'radar-' || lpad(cast(n_nationkey % 5 as varchar), 2, '0') as radar, n_name as other, case when n_nationkey = 3 then 'web' else 'baltrad' end as source, case when n_nationkey % 2 = 0 then 'exact' else 'near' end as class, case when n_nationkey = 1 then 60 end as tolerance_s from nation where n_nationkey < 6"
 TABLES["crosswalk"] = f"""select m.radar, other, source, class, coalesce(tolerance_s, case when class = 'exact' then 0 else 300 end) as tolerance_s,
-  array_to_string([case when r.radar is null then 'unknown_radar' end, case when source <> 'baltrad' then 'source' end, case when count(*) over (partition by m.radar) > 1 then 'duplicate' end], ',') as problems from ({MAPPING}) m left join radars r on r.radar = m.radar"""
+  coalesce(array_to_string([case when r.radar is null then 'unknown_radar' end, case when source <> 'baltrad' then 'source' end, case when count(*) over (partition by m.radar) > 1 then 'duplicate' end], ','), '') as problems from ({MAPPING}) m left join radars r on r.radar = m.radar"""
 
 
 def crosswalk(spark, d):
@@ -274,10 +274,10 @@ def a14(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in out.columns if c not in ("pulse", "row_count")})
 
 
-@query("a15_pooled_and_per_site", "select pulse, radar, count(*) as count, round(avg(predicted - observed), 6) as bias, round(avg(abs(predicted - observed)), 6) as mae, round(sqrt(avg(power(predicted - observed, 2))), 6) as rmse from match group by grouping sets ((pulse, radar), (pulse))")
+@query("a15_pooled_and_per_site", "select pulse, radar, count(*) as count, round(avg(predicted - observed), 6) + 0.0 as bias, round(avg(abs(predicted - observed)), 6) as mae, round(sqrt(avg(power(predicted - observed, 2))), 6) as rmse from match group by grouping sets ((pulse, radar), (pulse))")
 def a15(spark, d):
     out = V.pooled_and_per_site(match(spark, d), "pulse", "radar")
-    return out.withColumns({c: F.round(c, 6) for c in ("bias", "mae", "rmse")})
+    return out.withColumns({c: F.round(c, 6) + 0.0 for c in ("bias", "mae", "rmse")})
 
 
 def weeks(spark, d):
@@ -342,7 +342,7 @@ def a20(spark, d):
     return weeks(spark, d).groupBy("region").agg(F.sum("complete_list_count").alias("effort"), F.countDistinct("week_start").alias("weeks"), F.max("week_start").cast("string").alias("latest"))
 
 
-@query("w6_blocked_time_split", f"select radar, pulse, {HOUR} as hour, hour <= (select hour from (select hour, row_number() over (order by hour) - 1 as i, count(*) over () as n from (select distinct hour from match)) where i = floor(n * 0.8)) as is_train from match")
+@query("w6_blocked_time_split", f"select radar, pulse, {HOUR} as hour, hour <= (select hour from (select hour, row_number() over (order by hour) as i, count(*) over () as n from (select distinct hour from match)) where i = floor(n * 0.8)) as is_train from match")
 def w6(spark, d):
     return V.blocked_time_split(match(spark, d)).select("radar", "pulse", iso(F.col("hour")).alias("hour"), "is_train")
 

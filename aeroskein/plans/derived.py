@@ -180,6 +180,7 @@ TABLES["weather_grid"] = f"""
   from (select c_custkey % 41 as i, c_custkey // 41 as j, (c_custkey % 41) * 3 + (c_custkey // 41) * 5 as cell from customer where c_custkey < 41 * 29),
     (select cast(n_nationkey as bigint) as h from nation where n_nationkey < 24), (select unnest([700, 850, 925]) as level)
 """
+TABLES["cells"] = "select distinct latitude, longitude from weather_grid"
 
 
 def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,13 +230,13 @@ def region_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, r = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
     return j.groupBy(F.col("r_name").alias("region"), F.to_date(F.date_trunc("week", "o_orderdate")).alias("week_start")).agg(
-        F.round(F.avg((F.col("o_orderpriority") < "3").cast("double")), 6).alias("reporting_rate"), F.round(F.avg("o_totalprice"), 4).alias("radar_intensity"),
+        F.round(F.avg((F.col("o_orderpriority") < "3").cast("double")), 6).alias("reporting_rate"), F.round(F.sum("o_totalprice"), 2).alias("radar_intensity"),
         F.count("*").alias("complete_list_count"),
     )
 
 
 TABLES["region_weeks"] = """
   select r_name as region, cast(date_trunc('week', o_orderdate) as date) as week_start, round(avg(case when o_orderpriority < '3' then 1.0 else 0.0 end), 6) as reporting_rate,
-    round(avg(o_totalprice), 4) as radar_intensity, count(*) as complete_list_count
+    round(sum(o_totalprice), 2) as radar_intensity, count(*) as complete_list_count
   from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey group by 1, 2
 """

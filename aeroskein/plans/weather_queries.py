@@ -12,7 +12,6 @@ from aeroskein.plans.registry import TABLES, query
 
 HOUR = "strftime(hour, '%Y-%m-%dT%H:%M:%SZ')"
 KM = "2 * 6371.0 * asin(least(1.0, sqrt(power(sin(radians({b}.latitude - {a}.latitude) / 2), 2) + cos(radians({a}.latitude)) * cos(radians({b}.latitude)) * power(sin(radians({b}.longitude - {a}.longitude) / 2), 2))))"
-TABLES["cells"] = "select distinct latitude, longitude from weather_grid"
 TABLES["covered"] = f"select distinct c.latitude, c.longitude from cells c join radars r on {KM.format(a='c', b='r')} <= r.max_range_m / 1000.0"
 TABLES["grid_wide"] = "select hour, latitude, longitude, max(sp) as sp, max(tcc) as tcc, " + ", ".join(f"max({v}) filter (where level = {p}) as {v}_pressure_level_{p}" for v in "tuv" for p in (700, 850, 925)) + " from weather_grid group by hour, latitude, longitude"
 WIDE = ["sp", "tcc", *[f"{v}_pressure_level_{p}" for v in "tuv" for p in (700, 850, 925)]]
