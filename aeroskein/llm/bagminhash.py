@@ -177,14 +177,35 @@ def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([weighted_jaccard(counts(x), counts(y)) for x, y in zip(a, b)], dtype=float)
 
 
-def _verified(pairs: DataFrame, content: DataFrame, similarity: float) -> DataFrame:
+def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts of the ids, always by a sorted merge: how the plan scales doesn't hang on a small side's size."""
+    return texts.join(ids.distinct().hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose texts' similarity is high enough, as a written table."""
+    content = staged(_texts_of(texts, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), "content")
     left = content.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     right = content.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     return staged(both.where(overlap("ta", "tb") >= similarity).select("a", "b"), "links")
 
 
+def _grams_of(rows: DataFrame) -> DataFrame:
+    """(doc_id, grams, counts): sorted shingle hashes and their weights as bytes."""
+
+    def run(frames):
+        for frame in batches(frames, 256):
+            d, g, w, _ = shingles(list(frame["text"]))
+            cuts = np.searchsorted(d, np.arange(len(frame) + 1))
+            yield pd.DataFrame({
+                "doc_id": frame["doc_id"].to_numpy(), "grams": [g[x:y].tobytes() for x, y in zip(cuts, cuts[1:])],
+                "counts": [w[x:y].astype(np.int32).tobytes() for x, y in zip(cuts, cuts[1:])],
+            })
+
+    return rows.mapInPandas(run, "doc_id long, grams binary, counts binary")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, kept) of each row of `docs` (doc_id, text) with an id.
 
@@ -195,14 +216,15 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     Documents of equal word sequences form a class of which one goes on. In each bucket
     every member is first held against the bucket's smallest id, which joins most of a group
     with few pairs. Only pairs of one bucket that are then in different components can add
-    anything; all of those are compared, by signature in bounded tiles and then exactly. So
-    the components are those of all links, but pairs within a group are never listed.
+    anything; buckets with such pairs are compared in bounded tiles, exactly, and give only
+    the links that join components. So the components are those of all links, but pairs
+    within a group are never listed.
 
     Null or wordless texts link with nothing. Rows without doc_id are left out; repeated rows
     repeat. Empty input gives no rows.
     """
     sigs = staged(signed(docs), "signed")
-    classes = sigs.where("weight > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    classes = staged(sigs.where("weight > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
     members = staged(
         sigs.select("doc_id", "k1", "k2", "weight").join(classes, ["k1", "k2"], "left")
         .select("doc_id", F.when(F.col("weight") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep"), "weight"), "members",
@@ -223,12 +245,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         stars.join(sig_a, "a").join(sig_b, "b").where(ratio).where(agreement("sa", "sb") >= LEAST_AGREEMENT).select("a", "b"), "pairs"
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-
-    def content_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        return staged(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "content")
-
-    links = _verified(likely, content_of(likely), similarity)
+    links = _verified(likely, texts, similarity)
     joined = connected_components(links)
 
     # pairs of one bucket that the stars left apart; of two members the only pair is done
@@ -236,12 +253,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     placed = crowded.where("n > 2").join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     placed = staged(placed.select("band", "hash", "n", "doc_id", "weight", "component"), "placed")
     apart = placed.groupBy("band", "hash").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("band", "hash")
-    open_rows = placed.join(apart, ["band", "hash"]).join(narrow.select("doc_id", "sig"), "doc_id")
-    across = tiled(open_rows, ["band", "hash"], "doc_id", "n").mapInPandas(_across(similarity), "a long, b long")
-    more = staged(across.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
+    open_rows = staged(placed.join(apart, ["band", "hash"]), "open")
+    grams = staged(_grams_of(_texts_of(texts, open_rows.select("doc_id"))), "grams")
+    carried = open_rows.join(narrow.select("doc_id", "sig").join(grams.hint("merge"), "doc_id").hint("merge"), "doc_id")
+    across = tiled(carried, ["band", "hash"], "doc_id", "n").mapInPandas(_across(similarity), "a long, b long")
+    more = staged(across, "links")
     if more.limit(1).count():
-        links = links.union(_verified(more, content_of(more), similarity))
-        joined = connected_components(links)
+        joined = connected_components(links.union(more))
     component = joined.select(F.col("node").alias("rep"), "component")
     return members.join(component, "rep", "left").select(
         "doc_id", F.coalesce("component", "rep").alias("class_id"), (F.col("doc_id") == F.coalesce("component", "rep")).alias("kept")
@@ -250,34 +268,63 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 def _across(similarity: float):
     def run(frames):
-        """Pairs of a tile in different components that may be similar enough; each in its first band only."""
+        """Links of a tile that join components. A pair is looked at in its first common band only."""
         for tile in groups(frames, ["band", "hash", "_i", "_j"]):
-            ids, comp, weight = tile["doc_id"].to_numpy(), tile["component"].to_numpy(), tile["weight"].to_numpy().astype(float)
+            ids, weight = tile["doc_id"].to_numpy(), tile["weight"].to_numpy().astype(float)
+            _, root = np.unique(tile["component"].to_numpy(), return_inverse=True)
             band, chunk = int(tile["band"].iloc[0]), tile["_chunk"].to_numpy()
             mixed_chunks = tile["_i"].iloc[0] != tile["_j"].iloc[0]
             sig = np.stack([np.frombuffer(x, np.uint16) for x in tile["sig"]])
+            content = None
             found = []
             for i in range(len(ids) - 1):
-                j = np.flatnonzero((comp[i + 1 :] != comp[i]) & (np.minimum(weight[i + 1 :], weight[i]) >= similarity * np.maximum(weight[i + 1 :], weight[i]))) + i + 1
+                rest = slice(i + 1, None)
+                ok = (root[rest] != root[i]) & (np.minimum(weight[rest], weight[i]) >= similarity * np.maximum(weight[rest], weight[i]))
                 if mixed_chunks:
-                    j = j[chunk[j] != chunk[i]]
+                    ok &= chunk[rest] != chunk[i]
+                j = np.flatnonzero(ok) + i + 1
                 if not len(j):
                     continue
                 same = sig[j] == sig[i]
                 near = same.mean(axis=1) >= LEAST_AGREEMENT
-                if not near.any():
-                    continue
                 j, same = j[near], same[near]
-                first = same.reshape(len(j), BANDS, ROWS).all(axis=2).argmax(axis=1)
-                j = j[first == band]
-                found.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])], axis=1))
+                j = j[same.reshape(len(j), BANDS, ROWS).all(axis=2).argmax(axis=1) == band]
+                if not len(j):
+                    continue
+                if content is None:
+                    content = _TileContent(tile["grams"], tile["counts"])
+                for k in j[content.similarities(i, j) >= similarity - 1e-12]:
+                    if root[k] != root[i]:
+                        found.append((min(ids[i], ids[k]), max(ids[i], ids[k])))
+                        root[root == root[k]] = root[i]
             if found:
-                pairs = np.concatenate(found)
-                yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+                yield pd.DataFrame(found, columns=["a", "b"])
 
     return run
 
 
+class _TileContent:
+    """Shingles of a tile's documents, numbered, for one against many."""
+
+    def __init__(self, grams: pd.Series, counts: pd.Series):
+        parts = [np.frombuffer(x, np.uint64) for x in grams]
+        self.starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        names, self.ids = np.unique(np.concatenate(parts), return_inverse=True)
+        self.counts = np.concatenate([np.frombuffer(x, np.int32) for x in counts])
+        self.sums = np.add.reduceat(self.counts, self.starts[:-1])
+        self.own = np.zeros(len(names), np.int32)
+
+    def similarities(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Weighted Jaccard similarities of document i and the others."""
+        mine = slice(self.starts[i], self.starts[i + 1])
+        self.own[self.ids[mine]] = self.counts[mine]
+        sizes = self.starts[others + 1] - self.starts[others]
+        at = np.repeat(self.starts[others] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
+        both = np.add.reduceat(np.minimum(self.own[self.ids[at]], self.counts[at]), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+        self.own[self.ids[mine]] = 0
+        return both / (self.sums[i] + self.sums[others] - both)
+
+
 def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of `docs` that are the first of their class; columns as in docs.
 
