@@ -66,7 +66,7 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
             keys[some, k] = np.add.reduceat(mixed(hashed + place * GOLDEN + salt), starts[some])
         keys += sizes[:, None].astype(np.uint64) * STEPS[2]
         grams = np.zeros(len(flat), np.uint64)
-        for j in range(SHINGLE):
+        for j in range(min(SHINGLE, len(flat))):
             grams[: len(flat) - j] += mixed(hashed[j:] + STEPS[j])
         grams = mixed(grams)
     parts = []
@@ -330,6 +330,7 @@ def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFra
 
     Rows without doc_id stay. Of rows that repeat an id, one stays.
     """
-    kept = near_duplicates(docs, similarity).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.join(kept, named["doc_id"] == F.col("_id"), "left_semi").union(docs.where("doc_id is null"))
+    kept = near_duplicates(docs, similarity).where("kept").select("doc_id").distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    named = rows.where("doc_id is not null").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
+    return named.union(rows.where("doc_id is null")).select("row.*")

@@ -147,15 +147,17 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     def kept(text: pd.Series, keep: pd.Series) -> pd.Series:
         def one(t, bits):
             if bits is None:
-                return t
+                return ""  # not used
             lines = t.split("\n")
             flags = np.unpackbits(np.frombuffer(zlib.decompress(bits), np.uint8), count=len(lines))
             return "\n".join(x for x, f in zip(lines, flags) if f)
 
         return pd.Series([one(a, b) for a, b in zip(text, keep)], dtype=object)
 
-    plain = docs.drop("n_lines", "n_dropped").withColumn("_row", row_key())
-    known = bitmaps.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), "n_lines", "n_dropped", "keep")
-    joined = plain.join(known, plain["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key")))
-    columns = [F.when(F.col("keep").isNull(), text_of()).otherwise(kept(text_of(), "keep")).alias("text") if c == "text" else plain[c] for c in plain.columns if c != "_row"]
-    return joined.select(*columns, "n_lines", "n_dropped")
+    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), row_key().alias("key"), F.struct(*[docs[c] for c in names]).alias("row"))
+    known = bitmaps.select(F.col("doc_id").alias("of"), "row_key", "n_lines", "n_dropped", "keep")
+    joined = rows.join(known, F.col("id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("row_key")))
+    whole = F.coalesce(F.col("row.text"), F.lit(""))
+    text = F.when(F.col("keep").isNull(), whole).otherwise(kept(whole, "keep"))
+    return joined.select(*[text.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in names], "n_lines", "n_dropped")

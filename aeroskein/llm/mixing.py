@@ -128,11 +128,10 @@ def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     Documents without words take no part. Rows that agree in doc_id, source and size are
     taken alike.
     """
-    mixed = mix_sources(docs, seed).groupBy("doc_id", "skey", "size").agg(F.min("taken").alias("taken"))
-    keyed = docs.withColumn("_skey", source_key()).withColumn("_size", F.regexp_count(text_of(), F.lit(WORD)).cast("long"))
-    joined = keyed.join(
-        mixed.select(F.col("doc_id").alias("_id"), F.col("skey").alias("_k"), F.col("size").alias("_n"), "taken"),
-        keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_skey") == F.col("_k")) & (F.col("_size") == F.col("_n")),
+    mixed = mix_sources(docs, seed).groupBy("doc_id", "skey", "size").agg(F.min("taken").alias("taken")).where("taken > 0")
+    rows = docs.select(
+        F.col("doc_id").alias("id"), source_key().alias("source_of"), F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("words"), F.struct(*[docs[c] for c in docs.columns]).alias("row"),
     )
-    times = (F.col("taken") / F.col("_size")).cast("int")
-    return joined.where(F.col("taken") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select(*[keyed[c] for c in docs.columns])
+    joined = rows.join(mixed, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("source_of") == F.col("skey")) & (F.col("words") == F.col("size")))
+    times = F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int"))
+    return joined.withColumn("copy", F.explode(times)).select("row.*")

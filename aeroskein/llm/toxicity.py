@@ -93,9 +93,10 @@ def learn_grammar(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED,
     """A grammar whose insult lexicon comes from at most `limit` labelled rows.
 
     Documents with each word or stem are counted by label on the executors, equal texts once.
-    Candidates are in 8 toxic documents at least and in hardly any other. Those in 3 % of the
-    toxic documents are taken. Copies of one toxic text make all its words candidates, so a
-    rarer one is taken only while it explains 8 toxic documents that no taken entry explains.
+    Candidates are in enough toxic documents (0.5 % of them, but 3 at least and 8 at most) and
+    in hardly any other. Those in 3 % of the toxic documents are taken, if that is twice
+    enough. Copies of one toxic text make all its words candidates, so a rarer one is taken
+    only while it explains enough toxic documents that no taken entry explains.
     An entry weighs the logarithm of its ratio. Labels other than 0 and 1, and held-out rows,
     are never read. Without toxic rows the lexicon is empty and only threats match.
     """
@@ -115,10 +116,11 @@ def learn_grammar(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED,
             yield pd.DataFrame({"term": part, "pos": [pos[t] for t in part], "neg": [neg[t] for t in part]})
 
     sums = rows.mapInPandas(counted, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    pure = (F.col("pos") >= 8) & (F.col("pos") >= F.lit(purity) * (F.col("pos") + F.col("neg")))
+    pure = (F.col("pos") >= 3) & (F.col("pos") >= F.lit(purity) * (F.col("pos") + F.col("neg")))
     best = sums.where((F.col("term") == "") | pure).orderBy((F.col("term") != ""), F.desc("pos"), "term").limit(MAX_LEXICON + 1).collect()
     n_pos, n_neg = next(((r["pos"], r["neg"]) for r in best if r["term"] == ""), (0, 0))
-    found = {r["term"]: r for r in best if r["term"]}
+    enough = max(3, min(8, math.ceil(0.005 * n_pos)))
+    found = {r["term"]: r for r in best if r["term"] and r["pos"] >= enough}
     if not found:
         return Grammar()
 
@@ -127,7 +129,7 @@ def learn_grammar(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED,
             hits = [sorted(found.keys() & word_features(t)) for t in frame["text"]]
             yield pd.DataFrame({"terms": [h for h in hits if h]})
 
-    strong = {t for t, r in found.items() if r["pos"] >= 0.03 * n_pos}
+    strong = {t for t, r in found.items() if r["pos"] >= max(2 * enough, 0.03 * n_pos)}
     taken = set(strong)
     # at most `limit` lists of at most MAX_LEXICON terms, of which only those without a strong term count
     open_docs = [
@@ -136,7 +138,7 @@ def learn_grammar(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED,
     ]
     while open_docs:
         term, gain = max(Counter(t for d in open_docs for t in d).items(), key=lambda x: (x[1], x[0]))
-        if gain < 8:
+        if gain < enough:
             break
         taken.add(term)
         open_docs = [d for d in open_docs if term not in d]
