@@ -263,7 +263,7 @@ def j12(spark, d):
     return match(spark, d).select("radar", "pulse", iso(F.col("hour")).alias("hour"), "observed", F.round("predicted", 6).alias("predicted"))
 
 
-SCORE = """count(*) as row_count, round(sqrt(avg(power(predicted - observed, 2))), 6) as rmse, round(avg(abs(predicted - observed)), 6) as mae, round(avg(predicted - observed), 6) as bias,
+SCORE = """count(*) as row_count, round(sqrt(avg(power(predicted - observed, 2))), 6) as rmse, round(avg(abs(predicted - observed)), 6) as mae, round(avg(predicted - observed), 6) + 0.0 as bias,
   round(1 - sum(power(predicted - observed, 2)) / sum(power(observed - mean, 2)), 6) as r_squared, round(count(*) filter (where observed >= cut and predicted >= cut) / count(*) filter (where predicted >= cut), 6) as top_decile_precision,
   round(count(*) filter (where observed >= cut and predicted >= cut) / count(*) filter (where observed >= cut), 6) as top_decile_recall"""
 
@@ -271,7 +271,7 @@ SCORE = """count(*) as row_count, round(sqrt(avg(power(predicted - observed, 2))
 @query("a14_score_regression", f"select pulse, {SCORE} from match join (select pulse, quantile_cont(observed, 0.9) as cut, avg(observed) as mean from match group by pulse) using (pulse) group by pulse")
 def a14(spark, d):
     out = V.score_regression(match(spark, d), ["pulse"])
-    return out.withColumns({c: F.round(c, 6) for c in out.columns if c not in ("pulse", "row_count")})
+    return out.withColumns({c: F.round(c, 6) + 0.0 for c in out.columns if c not in ("pulse", "row_count")})
 
 
 @query("a15_pooled_and_per_site", "select pulse, radar, count(*) as count, round(avg(predicted - observed), 6) + 0.0 as bias, round(avg(abs(predicted - observed)), 6) as mae, round(sqrt(avg(power(predicted - observed, 2))), 6) as rmse from match group by grouping sets ((pulse, radar), (pulse))")

@@ -383,9 +383,9 @@ def observations(spark, d):
 TABLES["observations"] = "select radar, cast(floor((latitude - 49) * 111000.0 / 10000) as int) as row, cast(floor((longitude + 10) * 70000.0 / 10000) as int) as col, greatest(coalesce(mean_vid_birds_per_km2, 0), 0) as density, power(greatest(0.04, greatest(coalesce(mean_vid_birds_per_km2, 0), 0) * 0.5), 2) as variance, coalesce(mean_ground_speed_ms, 0) * sin(radians(coalesce(dominant_direction_deg, 0))) as u, coalesce(mean_ground_speed_ms, 0) * cos(radians(coalesce(dominant_direction_deg, 0))) as v from latest_hours join radars using (radar)"
 
 
-@query("j22_observations_to_cells", "select radar, row, col, density, round(variance, 6) as variance, round(u, 6) as u, round(v, 6) as v from observations")
+@query("j22_observations_to_cells", "select radar, row, col, density, round(variance, 6) as variance, round(u, 6) + 0.0 as u, round(v, 6) + 0.0 as v from observations")
 def j22(spark, d):
-    return observations(spark, d).withColumns({c: F.round(c, 6) for c in ("variance", "u", "v")})
+    return observations(spark, d).withColumns({c: F.round(c, 6) + 0.0 for c in ("variance", "u", "v")})
 
 
 @query("a41_density_weighted_wind", "select round(sum(greatest(density, 0.05) * u) / sum(greatest(density, 0.05)), 6) as u, round(sum(greatest(density, 0.05) * v) / sum(greatest(density, 0.05)), 6) as v from observations")

@@ -15,10 +15,11 @@ HOUR = "strftime(hour, '%Y-%m-%dT%H:%M:%SZ')"
 
 
 def six(df, *names):
-    return df.withColumns({n: F.round(n, 6) for n in names})
+    """Six places; a hair is added so that exact halves, which sums in another order may miss, go one way."""
+    return df.withColumns({n: F.round(F.col(n) + 1e-9, 6) for n in names})
 
 
-@query("a1_integrate_profiles", f"select * replace ({TS} as ts, round(vid_birds_per_km2, 6) as vid_birds_per_km2, round(mtr_birds_km_h, 6) as mtr_birds_km_h, round(mean_ground_speed_ms, 6) as mean_ground_speed_ms, round(density_weighted_mean_height_m, 6) as density_weighted_mean_height_m, round(layer_width_km, 6) as layer_width_km, round(rain_layer_fraction, 6) as rain_layer_fraction) from profiles")
+@query("a1_integrate_profiles", f"select * replace ({TS} as ts, round(vid_birds_per_km2 + 1e-9, 6) as vid_birds_per_km2, round(mtr_birds_km_h + 1e-9, 6) as mtr_birds_km_h, round(mean_ground_speed_ms + 1e-9, 6) as mean_ground_speed_ms, round(density_weighted_mean_height_m + 1e-9, 6) as density_weighted_mean_height_m, round(layer_width_km + 1e-9, 6) as layer_width_km, round(rain_layer_fraction + 1e-9, 6) as rain_layer_fraction) from profiles")
 def a1(spark, d):
     out = six(D.profiles(spark, d), "vid_birds_per_km2", "mtr_birds_km_h", "mean_ground_speed_ms", "density_weighted_mean_height_m", "layer_width_km", "rain_layer_fraction")
     return out.withColumn("ts", coerce.iso(F.col("ts")))
@@ -44,8 +45,8 @@ def a4(spark, d):
 
 
 @query("a5_external_hourly", f"""
-select radar, {HOUR} as hour, count(*) as profile_count, round(avg(mtr_birds_km_h), 6) as mtr_birds_km_h, round(avg(vid_birds_per_km2), 6) as vid_birds_per_km2,
-  round(avg(coalesce(mean_ground_speed_ms, 0) * sin(radians(coalesce(dominant_direction_deg, 0)))), 6) as bird_u_ms, round(avg(coalesce(mean_ground_speed_ms, 0) * cos(radians(coalesce(dominant_direction_deg, 0)))), 6) as bird_v_ms
+select radar, {HOUR} as hour, count(*) as profile_count, round(avg(mtr_birds_km_h) + 1e-9, 6) as mtr_birds_km_h, round(avg(vid_birds_per_km2) + 1e-9, 6) as vid_birds_per_km2,
+  round(avg(coalesce(mean_ground_speed_ms, 0) * sin(radians(coalesce(dominant_direction_deg, 0)))) + 1e-9, 6) as bird_u_ms, round(avg(coalesce(mean_ground_speed_ms, 0) * cos(radians(coalesce(dominant_direction_deg, 0)))) + 1e-9, 6) as bird_v_ms
 from (select *, date_trunc('hour', ts) as hour from profiles) where mtr_birds_km_h is not null and vid_birds_per_km2 is not null group by radar, hour""")
 def a5(spark, d):
     out = six(O.external_hourly(D.profiles(spark, d)), "mtr_birds_km_h", "vid_birds_per_km2", "bird_u_ms", "bird_v_ms")
