@@ -130,6 +130,20 @@ TABLES["radars"] = """
     -5.0::double + 1.5::double * n_nationkey as longitude, 100.0::double * n_nationkey as height_m, 255000.0::double as max_range_m, n_name as label
   from nation where n_nationkey < 4
 """
+
+
+def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A larger network: a station for each supplier."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "concat('station-', cast(s_suppkey as string)) as radar", "45.0D + (s_suppkey * 7 % 150) / 10.0D as latitude", "-9.0D + (s_suppkey * 11 % 300) / 10.0D as longitude",
+        "cast(s_suppkey % 900 as double) as height_m", "150000.0D + 1000.0D * (s_suppkey % 106) as max_range_m", "s_name as label",
+    )
+
+
+TABLES["stations"] = """
+  select 'station-' || cast(s_suppkey as varchar) as radar, 45.0::double + (s_suppkey * 7 % 150) / 10.0::double as latitude, -9.0::double + (s_suppkey * 11 % 300) / 10.0::double as longitude,
+    cast(s_suppkey % 900 as double) as height_m, 150000.0::double + 1000.0::double * (s_suppkey % 106) as max_range_m, s_name as label from supplier
+"""
 #: Predictors: name, base, factor of the hour, factor of the radar, modulus.
 SURFACE = {"sp": (100000, 37, 11, 900), "msl": (101000, 41, 13, 800), "tcc": (0, 3, 5, 10), "blh": (200, 29, 7, 1500), "tp": (0, 5, 3, 4)}
 LEVELS = {f"{v}_pressure_level_{p}": (b, 7 + i, 3 + i, m) for i, (v, p, b, m) in enumerate([("t", 850, 270, 20), ("r", 850, 30, 70), ("u", 850, -10, 21), ("v", 850, -9, 19), ("u", 925, -8, 17), ("v", 925, -7, 15), ("u", 700, -12, 25), ("v", 700, -11, 23)])}
@@ -162,7 +176,7 @@ TABLES["weather"] = "select radar, hour, " + ", ".join(f"max({n}) as {n}" for n
 
 def weather_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gridded weather in long form: 24 hours on a quarter-degree grid, a row for each level."""
-    cells = table(spark, sf_dir, "customer").where("c_custkey < 41 * 29").selectExpr("c_custkey % 41 as i", "c_custkey div 41 as j")
+    cells = table(spark, sf_dir, "customer").selectExpr("c_custkey % 41 as i", "c_custkey div 41 as j")
     hours = table(spark, sf_dir, "nation").where("n_nationkey < 24").selectExpr("cast(n_nationkey as bigint) as h")
     both = cells.join(F.broadcast(hours)).withColumn("cell", F.expr("i * 3 + j * 5"))
     at = both.selectExpr("*", "48.0D + 0.25D * i as latitude", "-7.0D + 0.25D * j as longitude", f"timestampadd(HOUR, cast(h as int), {START}) as hour")
@@ -177,7 +191,7 @@ TABLES["weather_grid"] = f"""
   select timestamp '2025-07-14 00:00:00' + to_hours(cast(h as int)) as hour, 48.0::double + 0.25::double * i as latitude, -7.0::double + 0.25::double * j as longitude, level,
     {_predictor(SURFACE['sp'], 'h', 'cell')} as sp, {_predictor(SURFACE['tcc'], 'h', 'cell')} as tcc,
     cast(270 + (h * 7 + cell * 3 + level) % 20 as double) as t, cast(-10 + (h * 9 + cell * 5 + level) % 21 as double) as u, cast(-9 + (h * 5 + cell * 7 + level) % 19 as double) as v
-  from (select c_custkey % 41 as i, c_custkey // 41 as j, (c_custkey % 41) * 3 + (c_custkey // 41) * 5 as cell from customer where c_custkey < 41 * 29),
+  from (select c_custkey % 41 as i, c_custkey // 41 as j, (c_custkey % 41) * 3 + (c_custkey // 41) * 5 as cell from customer),
     (select cast(n_nationkey as bigint) as h from nation where n_nationkey < 24), (select unnest([700, 850, 925]) as level)
 """
 TABLES["cells"] = "select distinct latitude, longitude from weather_grid"

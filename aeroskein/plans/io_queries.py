@@ -68,16 +68,16 @@ def s4(spark, d):
     return S.read_external_vpts(spark, root, names).groupBy("radar", "archive_radar").agg(F.count("*").alias("n"))
 
 
-@query("s7_read_radars", "select radar, label, latitude, longitude, height_m, max_range_m from radars")
+@query("s7_read_radars", "select radar, label, latitude, longitude, height_m, max_range_m from stations")
 def s7(spark, d):
     root = scratch_path(spark, "radars")
-    D.radars(spark, d).selectExpr("radar as slug", "label", "latitude as lat", "longitude as lon", "height_m as height", "max_range_m as range_m").write.option("header", True).csv(root)
+    D.stations(spark, d).selectExpr("radar as slug", "label", "latitude as lat", "longitude as lon", "height_m as height", "max_range_m as range_m").write.option("header", True).csv(root)
     return S.read_radars(spark, root, "csv")
 
 
-@query("s8_radars_from_catalog", "select radar, 'Radar 0' || substr(radar, 8) as label, latitude, longitude, height_m, 255000.0::double as max_range_m, case when radar = 'radar-02' then 'default' else 'catalog' end as range_source from radars")
+@query("s8_radars_from_catalog", "select radar, 'Station ' || substr(radar, 9) as label, latitude, longitude, height_m, case when height_m % 5 = 2 then 255000.0::double else max_range_m end as max_range_m, case when height_m % 5 = 2 then 'default' else 'catalog' end as range_source from stations")
 def s8(spark, d):
-    r = D.radars(spark, d).selectExpr("struct(radar, struct(latitude, longitude, height_m, if(radar = 'radar-02', null, max_range_m) as max_range_m) as spatial) as r")
+    r = D.stations(spark, d).selectExpr("struct(radar, struct(latitude, longitude, height_m, if(height_m % 5 = 2, null, max_range_m) as max_range_m) as spatial) as r")
     return S.radars_from_catalog(r.select(F.array("r").alias("radars")))
 
 
@@ -169,9 +169,9 @@ def k2(spark, d):
     return hours.join(F.broadcast(K.latest_summary(D.nights(spark, d)))).withColumn("latest_night", F.col("latest_night").cast("string"))
 
 
-@query("k3_to_geojson", "select radar, longitude, latitude, 'Point' as kind from radars where radar <> 'radar-01'")
+@query("k3_to_geojson", "select radar, longitude, latitude, 'Point' as kind from stations where height_m % 3 <> 1")
 def k3(spark, d):
-    rows = D.radars(spark, d).withColumn("latitude", F.expr("if(radar = 'radar-01', null, latitude)"))
+    rows = D.stations(spark, d).withColumn("latitude", F.expr("if(height_m % 3 = 1, null, latitude)"))
     f = K.geojson_features(rows)
     at = lambda p: F.get_json_object("feature", p)
     return f.select(at("$.properties.radar").alias("radar"), at("$.geometry.coordinates[0]").cast("double").alias("longitude"), at("$.geometry.coordinates[1]").cast("double").alias("latitude"), at("$.geometry.type").alias("kind"))

@@ -78,9 +78,9 @@ def p11(spark, d):
     return c.select("c_custkey", F.round(px, 3).alias("plain_x"), F.round(py, 3).alias("plain_y"), ((F.abs(area / true - 1) < 1e-4) & x.between(2_000_000, 6_000_000) & y.between(1_000_000, 6_000_000)).alias("close"))
 
 
-@query("p12_great_circle", f"select a.radar, b.radar as other, round({KM.format(a='a', b='b')}, 6) as km from radars a, radars b")
+@query("p12_great_circle", f"select a.radar, b.radar as other, round({KM.format(a='a', b='b')}, 6) as km from stations a, radars b")
 def p12(spark, d):
-    a, b = D.radars(spark, d), D.radars(spark, d).selectExpr("radar as other", "latitude as lat2", "longitude as lon2")
+    a, b = D.stations(spark, d), D.radars(spark, d).selectExpr("radar as other", "latitude as lat2", "longitude as lon2")
     return a.join(F.broadcast(b)).select("radar", "other", F.round(geo.great_circle_km(F.col("latitude"), F.col("longitude"), F.col("lat2"), F.col("lon2")), 6).alias("km"))
 
 
@@ -154,21 +154,21 @@ def a37(spark, d):
     return W.hours_per_day(D.weather_site(spark, d), date_spine(bounds)).withColumn("day", F.col("day").cast("string"))
 
 
-@query("a38_coverage_bbox", "select ceil(max(latitude + 255.0 / 110) / 0.25) * 0.25 + 0.25 as north, floor(min(longitude - 255.0 / (110 * cos(radians(latitude)))) / 0.25) * 0.25 - 0.25 as west, floor(min(latitude - 255.0 / 110) / 0.25) * 0.25 - 0.25 as south, ceil(max(longitude + 255.0 / (110 * cos(radians(latitude)))) / 0.25) * 0.25 + 0.25 as east from radars")
+@query("a38_coverage_bbox", "select ceil(max(latitude + max_range_m / 1000.0 / 110) / 0.25) * 0.25 + 0.25 as north, floor(min(longitude - max_range_m / 1000.0 / (110 * cos(radians(latitude)))) / 0.25) * 0.25 - 0.25 as west, floor(min(latitude - max_range_m / 1000.0 / 110) / 0.25) * 0.25 - 0.25 as south, ceil(max(longitude + max_range_m / 1000.0 / (110 * cos(radians(latitude)))) / 0.25) * 0.25 + 0.25 as east from stations")
 def a38(spark, d):
-    return W.coverage_box(D.radars(spark, d))
+    return W.coverage_box(D.stations(spark, d))
 
 
-@query("a39_radar_metadata_check", "select count(*) as radars, array_to_string(list_sort(list(radar) filter (where radar = 'radar-01' or radar = 'radar-03')), ',') as incomplete from radars")
+@query("a39_radar_metadata_check", "select count(*) as radars, array_to_string(list_sort(list(radar) filter (where height_m % 7 = 1 or height_m % 11 = 3)), ',') as incomplete from stations")
 def a39(spark, d):
-    r = D.radars(spark, d).selectExpr("radar", "if(radar = 'radar-01', null, latitude) as latitude", "longitude", "if(radar = 'radar-03', 0.0D, max_range_m) as max_range_m")
+    r = D.stations(spark, d).selectExpr("radar", "if(height_m % 7 = 1, null, latitude) as latitude", "longitude", "if(height_m % 11 = 3, 0.0D, max_range_m) as max_range_m")
     return W.radar_metadata_problems(r).withColumn("incomplete", F.array_join("incomplete", ","))
 
 
 @query("j21_kernel_grid", """
-with c as (select c_custkey % 30 as row, c_custkey // 30 as col, (c_custkey % 13) / 10.0 as clim from customer where c_custkey < 900), p as (select s_suppkey * 7 % 30 as row, s_suppkey * 11 % 30 as col, greatest(s_acctbal, 0) as v from supplier where s_suppkey < 12)
+with c as (select c_custkey % 120 as row, c_custkey // 120 as col, (c_custkey % 13) / 10.0 as clim from customer), p as (select s_suppkey * 7 % 30 as row, s_suppkey * 11 % 30 as col, greatest(s_acctbal, 0) as v from supplier where s_suppkey < 12)
 select c.row, c.col, round((0.04 * greatest(clim, 0.01) + sum(exp(-(power(c.row - p.row, 2) + power(c.col - p.col, 2)) / 288.0) * v)) / (0.04 + sum(exp(-(power(c.row - p.row, 2) + power(c.col - p.col, 2)) / 288.0))), 6) as value from c, p group by c.row, c.col, clim""")
 def j21(spark, d):
-    cells = D.table(spark, d, "customer").where("c_custkey < 900").selectExpr("c_custkey % 30 as row", "c_custkey div 30 as col", "(c_custkey % 13) / 10.0D as climatology")
+    cells = D.table(spark, d, "customer").selectExpr("c_custkey % 120 as row", "c_custkey div 120 as col", "(c_custkey % 13) / 10.0D as climatology")
     points = D.table(spark, d, "supplier").where("s_suppkey < 12").selectExpr("s_suppkey * 7 % 30 as row", "s_suppkey * 11 % 30 as col", "greatest(s_acctbal, 0.0D) as value")
     return W.kernel_grid(cells, points).withColumn("value", F.round("value", 6))
