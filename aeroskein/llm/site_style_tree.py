@@ -48,9 +48,23 @@ NAMES_APART = re.compile(
     re.I,
 )
 NAMES_ROOT = re.compile(r"(?:^|[\s_-])(?:article|article-?body|post-?body|post-?content|entry-?content|main-?content|story-?body|articlebody)(?:$|[\s_-])", re.I)
+#: Names that tell what an element has or is near, not what it is; and headers that belong to a text.
+NAMES_OF_STATE = re.compile(r"^(?:has|with|without|no|is|show|hide)[-_]", re.I)
+NAMES_OF_TEXT_HEAD = re.compile(r"^(?:article|post|entry|story|content)[-_]*(?:header|head)$", re.I)
 BLANK = re.compile(r"\s+")
 
 
+def named_apart(names: list[str], inside: bool) -> bool:
+    """Whether class names or an id say that an element isn't text; inside an article a header is."""
+    for name in names:
+        if NAMES_OF_STATE.match(name) or NAMES_OF_TEXT_HEAD.match(name) or NAMES_ROOT.search(name):
+            continue
+        found = NAMES_APART.search(name)
+        if found and not (inside and "header" in found[0].lower()):
+            return True
+    return False
+
+
 class Block:
     """A text block of a page with its place in the tree."""
 
@@ -144,7 +158,7 @@ def read_page(page: str) -> tuple[list[Block], Counter]:
             found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m[3])}
             named = ".".join(sorted(found.get("class", "").split())[:3])
             words = f"{found.get('class', '')} {found.get('id', '')}"
-            apart |= bool(NAMES_APART.search(words)) and tag not in ("html", "body", *ROOTS)
+            apart |= tag not in ("html", "body", *ROOTS) and named_apart(words.split(), top[2])
             apart |= tag in ROOTS and bool(re.search(r"comment|teaser|related", words, re.I))
             apart |= found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden") == "true"
             apart |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I))

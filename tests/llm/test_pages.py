@@ -48,6 +48,12 @@ def test_odd_pages(spark):
     assert extract_main_text(df.limit(0)).count() == 0
 
 
+def test_names_of_elements():
+    page = """<div class="page has-sidebar"><div id=sidebar>no</div><article><div class="post-header"><header class=header><h1>Title</h1></header></div><p>Text</p>
+    <div class="share-buttons">no</div><section id="comments"><p>no</p></section><aside>no</aside></article><div role=navigation>no</div><p hidden>no</p></div>"""
+    assert [b.text for b in read_page(page)[0] if not b.apart] == ["Title", "Text"]
+
+
 def test_unclosed_markup():
     blocks, _ = read_page("<div><p>one<p>two<ul><li>x<li>y</ul>three</div><table><tr><td>a<td>b</table>")
     assert [b.text for b in blocks] == ["one", "two", "x", "y", "three", "a", "b"]
