@@ -6,8 +6,9 @@ weight: an insult or threat counts in full, more when a target stands in its cla
 inside a negator's scope or under reported speech. A document's score joins its clauses'
 weights as independent evidence, so no single word is scored by itself.
 
-Insult words and stems, with their weights, are learned from labelled rows; the small lists
-below give the other transducers.
+Insult words and stems, with their weights, are learned from labelled rows, on top of a few
+plain insults that labelled rows can also take away; the small lists below give the other
+transducers.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ MAX_LABELLED = 40_000
 MAX_LEXICON = 4_000
 STEMS = (4, 5, 6)
 
+#: Insults that need no evidence, unless labelled rows speak against them, and their weight.
+INSULTS = frozenset("idiot idiots stupid moron morons imbecile loser losers scum pathetic worthless disgusting clown trash dumbass jackass asshole bastard bitch retard".split())
+INSULT_WEIGHT = 4.2
 THREATS = {"kill": 2.0, "hurt": 1.2, "destroy": 1.0, "shoot": 1.6, "stab": 2.0, "strangle": 2.2, "murder": 1.8}
 TARGETS = frozenset("you your you're yours u ur he she they them him her those these du dich dir ihr euch tu te toi vous tú usted vosotros".split())
 NEGATORS = frozenset("not never no isn't aren't wasn't don't doesn't nicht kein keine pas jamais nunca".split())
@@ -43,7 +47,7 @@ TRIM = re.compile(r"^\W+|\W+$")
 class Grammar:
     """Weights, in the log domain, that the transducers give."""
 
-    insults: dict[str, float] = field(default_factory=dict)
+    insults: dict[str, float] = field(default_factory=lambda: dict.fromkeys(INSULTS, INSULT_WEIGHT))
     bias: float = -3.0
     target_bonus: float = 0.7
     negated: float = 0.35
@@ -98,7 +102,7 @@ def learn_grammar(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED,
     enough. Copies of one toxic text make all its words candidates, so a rarer one is taken
     only while it explains enough toxic documents that no taken entry explains.
     An entry weighs the logarithm of its ratio. Labels other than 0 and 1, and held-out rows,
-    are never read. Without toxic rows the lexicon is empty and only threats match.
+    are never read. Without toxic rows only the plain insults and threats match.
     """
     rows = staged(training_rows(docs, labels, "toxic", limit).dropDuplicates(["text"]).select("text", "label"), "labelled")
 
@@ -117,12 +121,15 @@ def learn_grammar(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED,
 
     sums = rows.mapInPandas(counted, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     pure = (F.col("pos") >= 3) & (F.col("pos") >= F.lit(purity) * (F.col("pos") + F.col("neg")))
-    best = sums.where((F.col("term") == "") | pure).orderBy((F.col("term") != ""), F.desc("pos"), "term").limit(MAX_LEXICON + 1).collect()
-    n_pos, n_neg = next(((r["pos"], r["neg"]) for r in best if r["term"] == ""), (0, 0))
+    always = F.col("term").isin("", *sorted(INSULTS))
+    best = sums.where(always | pure).orderBy(~always, F.desc("pos"), "term").limit(MAX_LEXICON).collect()
+    counts = {r["term"]: r for r in best}
+    n_pos, n_neg = (counts[""]["pos"], counts[""]["neg"]) if "" in counts else (0, 0)
+    plain = {t: INSULT_WEIGHT for t in INSULTS if t not in counts or counts[t]["neg"] < 3 or counts[t]["pos"] > counts[t]["neg"]}
     enough = max(3, min(8, math.ceil(0.005 * n_pos)))
-    found = {r["term"]: r for r in best if r["term"] and r["pos"] >= enough}
+    found = {t: r for t, r in counts.items() if t and r["pos"] >= enough and r["pos"] >= purity * (r["pos"] + r["neg"])}
     if not found:
-        return Grammar()
+        return Grammar(plain)
 
     def present(frames):
         for frame in frames:
@@ -143,7 +150,7 @@ def learn_grammar(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED,
         taken.add(term)
         open_docs = [d for d in open_docs if term not in d]
     weight = lambda r: math.log((r["pos"] + 0.5) / (n_pos + 1)) - math.log((r["neg"] + 0.5) / (n_neg + 1))
-    return Grammar({t: min(7.0, max(0.0, weight(found[t]))) for t in taken})
+    return Grammar(plain | {t: min(7.0, max(plain.get(t, 0.0), weight(found[t]))) for t in taken})
 
 
 def score_toxicity(docs: DataFrame, grammar: Grammar, threshold: float = 0.7) -> DataFrame:
