@@ -112,6 +112,38 @@ cut as (
 taken as (select doc_id, ord, ends, rank, sum(size) filter (where fits) as taken from cut group by all)
 select q.doc_id, q.size, q.source_size, q.target, cast(case when q.size = 0 then 0 else coalesce(t.taken, 0) end as bigint) as taken
 from queued q left join taken t on q.doc_id is not distinct from t.doc_id and q.ord = t.ord and q.ends = t.ends and q.rank = t.rank
+""",
+    "op3_embedding_dedup": r"""
+with recursive v as (
+  select vec_id, cast(embedding as double[]) as e from embeddings
+  where len(embedding) > 0 and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))) and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+link as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) where list_cosine_similarity(a.e, b.e) >= 0.95),
+reach as (select vec_id as a, vec_id as b from embeddings union select r.a, l.b from reach r join link l on r.b = l.a),
+component as (select a, min(b) as c from reach group by a), degree as (select a, count(*) as n from link group by a)
+select vec_id, coalesce(n, 0) as n_links, c as component_id, vec_id = c as kept from embeddings e join component on component.a = e.vec_id left join degree on degree.a = e.vec_id
+""",
+    "op7_bagminhash": rf"""
+with recursive words as (select doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) as w from documents where doc_id is not null),
+grams as (
+  select doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g from words),
+bag as (select doc_id, g, count(*) as n from grams group by all), size as (select doc_id, sum(n) as t from bag group by doc_id),
+shared as (select a.doc_id as a, b.doc_id as b, sum(least(a.n, b.n)) as m from bag a join bag b using (g) where a.doc_id < b.doc_id group by all),
+pairs as (select a, b from shared join size x on x.doc_id = a join size y on y.doc_id = b where m >= 0.8 * (x.t + y.t - m)),
+link as (select a, b from pairs union all select b, a from pairs),
+reach as (select doc_id as a, doc_id as b from words union select r.a, l.b from reach r join link l on r.b = l.a),
+component as (select a, min(b) as c from reach group by a)
+select doc_id, c as class_id, doc_id = c as kept from words join component on component.a = words.doc_id
+""",
+    "op9_arc_to_warc": r"""
+with hashed as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as h from pages),
+digits as (
+  select *, list_transform(range(40), lambda i: strpos('0123456789abcdef', substr(h, i + 1, 1)) - 1) as d from hashed),
+coded as (
+  select page_id, payload_bytes, max(page_id) over (partition by h) as top,
+    array_to_string(list_transform(range(32), lambda i:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(((d[i * 5 // 4 + 1] * 16 + d[i * 5 // 4 + 2]) >> (3 - i * 5 % 4)) & 31 as bigint) + 1, 1)), '') as payload_digest
+  from digits)
+select page_id, payload_bytes, payload_digest, case when page_id = top then 'response' else 'revisit' end as record_type, case when page_id <> top then top end as refers_to from coded
 """,
     "op6_line_dedup": r"""
 with docs as (select doc_id, md5(coalesce(text, '')) as k, string_split(coalesce(text, ''), chr(10)) as lines from documents),
