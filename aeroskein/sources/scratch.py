@@ -8,10 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: Temporary folders by application, for sessions that name no shared folder.
+_OWN: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A new path under spark.checkpoint.dir; only where that is unset, in a temporary folder of this machine."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        name = spark.sparkContext.applicationId
+        root = _OWN[name] = _OWN.get(name) or "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
