@@ -14,16 +14,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = " \t\n\x0b\x0c\r"
 
 
+#: Temporary folders by application, for sessions that name no shared folder.
+_OWN: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir).
 
-    Only where the session has none, as in tests, a temporary folder of this machine is set.
+    Only where the session has none, as in tests, it is a temporary folder of this machine.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        name = spark.sparkContext.applicationId
+        path = _OWN[name] = _OWN.get(name) or "file://" + tempfile.mkdtemp(prefix="spark-")
     return path.rstrip("/")
 
 
