@@ -17,12 +17,13 @@ def select_nearest_profile(layers: DataFrame, requested: Column) -> DataFrame:
     return layers.join(best, ["radar", "ts"])
 
 
-def asof_nearest(left: DataFrame, right: DataFrame, by: tuple[str, ...] = ("radar",), tolerance_s: int = TOLERANCE_S) -> DataFrame:
+def asof_nearest(left: DataFrame, right: DataFrame, by: tuple[str, ...] = ("radar",), tolerance_s: int = TOLERANCE_S, nearest: int = 1) -> DataFrame:
     """For each row of `left` (by, ts) the row of `right` nearest in time on the same day, if within tolerance.
 
     Times fall in buckets as long as the tolerance, so a partner is in the same or a
     neighbouring bucket: a hash join, never a comparison of all times. Columns of the right
-    side get the suffix _r; of equally near rows the earlier is taken.
+    side get the suffix _r; of equally near rows the earlier is taken. With nearest > 1 that
+    many are taken, numbered in column rank.
     """
     keys = list(by)
     bucket = F.floor(F.unix_seconds("ts") / tolerance_s)
@@ -31,8 +32,9 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: tuple[str, ...] = ("rada
     gap = F.abs(F.unix_micros("ts") - F.unix_micros("ts_r"))
     near = a.join(b, [*keys, "_b"]).where((F.to_date("ts") == F.col("_day")) & (gap <= tolerance_s * 1_000_000))
     w = Window.partitionBy("_id").orderBy(gap, "ts_r")
-    best = near.withColumn("_n", F.row_number().over(w)).where("_n = 1")
-    return best.withColumn("offset_s", (F.unix_micros("ts") - F.unix_micros("ts_r")) / 1e6).withColumn("match", match_class(F.abs("offset_s"))).drop("_b", "_id", "_day", "_n")
+    best = near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= nearest)
+    best = best if nearest > 1 else best.drop("rank")
+    return best.withColumn("offset_s", (F.unix_micros("ts") - F.unix_micros("ts_r")) / 1e6).withColumn("match", match_class(F.abs("offset_s"))).drop("_b", "_id", "_day")
 
 
 def match_altitudes(left: DataFrame, right: DataFrame, keys: list[str], variables: list[str]) -> DataFrame:

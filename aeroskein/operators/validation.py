@@ -75,6 +75,12 @@ def peak_rows(rows: DataFrame, by: list[str], value: str, order: str) -> DataFra
     return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
+def top_rows(rows: DataFrame, by: list[str], value: str, order: str, k: int) -> DataFrame:
+    """The k rows of a group with the highest values, numbered in column place; of equals the first by `order`."""
+    w = Window.partitionBy(*by).orderBy(F.desc(value), order)
+    return rows.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+
+
 def peak_timing_error(rows: DataFrame) -> DataFrame:
     """Weeks between the peaks of the two series by region."""
     a = peak_rows(rows, ["region"], "reporting_rate", "week_start").select("region", F.col("week_start").alias("rate_peak"))

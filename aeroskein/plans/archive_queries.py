@@ -157,6 +157,17 @@ def j7(spark, d):
     return nearest_pairs(spark, d).select("radar", iso(F.col("ts")).alias("ts"), iso(F.col("ts_r")).alias("ts_r"), "offset_s", "match")
 
 
+@query("w7_nearest_rank", """
+select e.radar, strftime(e.ts, '%Y-%m-%dT%H:%M:%SZ') as ts, strftime(o.ts, '%Y-%m-%dT%H:%M:%SZ') as ts_r, row_number() over (partition by e.radar, e.ts order by abs(epoch_us(e.ts) - epoch_us(o.ts)), o.ts) as rank
+from external_profiles e join own_profiles o on o.radar = e.radar and cast(o.ts as date) = cast(e.ts as date) and abs(epoch_us(e.ts) - epoch_us(o.ts)) <= 600000000
+qualify row_number() over (partition by e.radar, e.ts order by abs(epoch_us(e.ts) - epoch_us(o.ts)), o.ts) <= 2""")
+def w7(spark, d):
+    ext = D.external_layers(spark, d).select("radar", "ts").distinct()
+    own = D.layers(spark, d).select("radar", "ts").distinct()
+    out = C.asof_nearest(ext, own, tolerance_s=600, nearest=2)
+    return out.select("radar", iso(F.col("ts")).alias("ts"), iso(F.col("ts_r")).alias("ts_r"), F.col("rank").cast("long").alias("rank"))
+
+
 @query("f13_time_tolerance", "select radar, count(*) filter (where abs(offset_s) <= 60) as within_minute, count(*) as within_five from nearest_pairs group by radar")
 def f13(spark, d):
     return nearest_pairs(spark, d).groupBy("radar").agg(F.count_if(F.abs("offset_s") <= 60).alias("within_minute"), F.count("*").alias("within_five"))
@@ -323,6 +334,12 @@ def w10(spark, d):
     return text(V.peak_rows(weeks(spark, d), ["region"], "radar_intensity", "week_start").select("region", "week_start"), "week_start")
 
 
+@query("o6_top_k", "select region, cast(week_start as varchar) as week_start, radar_intensity, row_number() over (partition by region order by radar_intensity desc, week_start) as place from region_weeks qualify row_number() over (partition by region order by radar_intensity desc, week_start) <= 3")
+def o6(spark, d):
+    out = V.top_rows(weeks(spark, d), ["region"], "radar_intensity", "week_start", 3)
+    return text(out.select("region", "week_start", "radar_intensity", F.col("place").cast("long").alias("place")), "week_start")
+
+
 TABLES["tops"] = "select region, week_start, row_number() over (partition by region order by reporting_rate desc, week_start) <= greatest(1, ceil(count(*) over (partition by region) * 0.2)) as a, row_number() over (partition by region order by radar_intensity desc, week_start) <= greatest(1, ceil(count(*) over (partition by region) * 0.2)) as b from region_weeks"
 
 
