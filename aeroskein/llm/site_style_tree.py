@@ -5,8 +5,10 @@ runs of equal siblings joined). A node is important when its pages differ: prese
 importance is the entropy of the child sequences seen at it, content importance is one less
 the mean entropy of its texts over the pages. Menus, adverts and footers repeat and score
 low; articles score high. The same tree over all sites serves sites with few pages. A page
-loses its branches of low importance, and those that its markup declares to be apart from
-the article (navigation, forms, asides, comments and the like).
+loses its branches of low importance. What varies from page to page is important to the trees
+even in an advert, so among the blocks that are left markup is a prior: branches that it
+declares to be apart (navigation, forms, asides, comments and the like) or that are outside a
+declared article give way, unless the site's tree shows that they hold most of its text.
 """
 
 from __future__ import annotations
@@ -25,11 +27,13 @@ from aeroskein.llm.common import batches, staged
 
 #: Weight of presentation against content in a leaf's importance.
 PRESENTATION = 0.1
-#: Least importance of a node, and of one inside a declared article, where only what nearly all pages share goes.
+#: Least importance of a node, and of one inside a declared article, where only what nearly all pages of its own site share goes.
 LEAST, LEAST_INSIDE = 0.55, 0.2
 #: A tree of fewer pages is no evidence.
 LEAST_PAGES = 8
 ALL_SITES = "*"
+#: Branches of a page by their markup: plain, outside a declared article, inside one. One that is apart has its own path.
+PLAIN, OUTSIDE, INSIDE = 0, 1, 2
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s\"'>]+))?")
@@ -66,11 +70,11 @@ def named_apart(names: list[str], inside: bool) -> bool:
 
 
 class Block:
-    """A text block of a page with its place in the tree."""
+    """A text block of a page with its place in the tree. apart: path of the outermost element that markup calls apart, or 0."""
 
     __slots__ = ("apart", "inside", "parent", "path", "text")
 
-    def __init__(self, path: int, parent: int, inside: bool, apart: bool, text: str):
+    def __init__(self, path: int, parent: int, inside: bool, apart: int, text: str):
         self.path, self.parent, self.inside, self.apart, self.text = path, parent, inside, apart, text
 
 
@@ -83,7 +87,7 @@ def read_page(page: str) -> tuple[list[Block], Counter]:
     blocks: list[Block] = []
     styles: Counter = Counter()
     # open elements: tag, path, inside a root, apart, children seen, previous child
-    stack = [["#", "", False, False, [], None]]
+    stack = [["#", "", False, 0, [], None]]
     pending: list[str] = []
     place = 0
     size = len(page)
@@ -153,7 +157,7 @@ def read_page(page: str) -> tuple[list[Block], Counter]:
         if tag in VOID:
             continue
         top = stack[-1]
-        named, apart, root = "", top[3], tag in ROOTS
+        named, apart, root = "", bool(top[3]), tag in ROOTS
         if m[3]:
             found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m[3])}
             named = ".".join(sorted(found.get("class", "").split())[:3])
@@ -168,7 +172,8 @@ def read_page(page: str) -> tuple[list[Block], Counter]:
         if top[5] != name:
             top[4].append(name)
             top[5] = name
-        stack.append([tag, f"{top[1]}/{name}", top[2] or root, apart, [], None])
+        path = f"{top[1]}/{name}"
+        stack.append([tag, path, top[2] or root, top[3] or (_hash(path) if apart else 0), [], None])
     close(1)
     end_block()
     if stack[0][4]:
@@ -176,16 +181,21 @@ def read_page(page: str) -> tuple[list[Block], Counter]:
     return blocks, styles
 
 
+def branches(blocks: list[Block]) -> list[int]:
+    """The branch of each block by markup alone."""
+    rooted = any(b.inside and not b.apart for b in blocks)
+    return [b.apart or (INSIDE if b.inside else OUTSIDE if rooted else PLAIN) for b in blocks]
+
+
 def host_of(url: str) -> "F.Column":
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1)), F.lit(""))
 
 
-def node_importance(pages: DataFrame) -> DataFrame:
-    """(site, path, importance, pages) of every leaf node of the trees of `pages` (host, html).
+def page_features(pages: DataFrame) -> DataFrame:
+    """(site, kind, path, parent, what, c, s) of the trees of `pages` (host, html); s is the sum of c log c.
 
-    ALL_SITES names the tree of all pages. A feature's entropy over a node's pages comes from
-    the sums of its counts and of their c log c, so counts combine before each shuffle and a
-    host with a third of all pages meets in no task.
+    ALL_SITES names the tree of all pages. Of kind mass, c is the characters of a leaf node by
+    the branch (parent) that markup puts it in, for sites alone.
     """
 
     def features(frames):
@@ -193,6 +203,10 @@ def node_importance(pages: DataFrame) -> DataFrame:
             out = []
             for host, page in zip(frame["host"], frame["html"]):
                 blocks, styles = read_page(page)
+                mass: Counter = Counter()
+                for b, branch in zip(blocks, branches(blocks)):
+                    mass[b.path, branch] += len(b.text)
+                out += [(host, "mass", path, branch, 0, c) for (path, branch), c in mass.items()]
                 texts = Counter((b.path, b.parent, _hash(b.text)) for b in blocks)
                 for site in {host, ALL_SITES}:
                     out += [(site, "text", path, parent, what, c) for (path, parent, what), c in texts.items()]
@@ -203,7 +217,16 @@ def node_importance(pages: DataFrame) -> DataFrame:
             ).groupby(["site", "kind", "path", "parent", "what"], as_index=False)[["c", "clogc"]].sum()
 
     raw = pages.select("host", "html").mapInPandas(features, "site string, kind string, path long, parent long, what long, c long, clogc double")
-    sums = staged(raw.groupBy("site", "kind", "path", "parent", "what").agg(F.sum("c").alias("c"), F.sum("clogc").alias("s")), "features")
+    return staged(raw.groupBy("site", "kind", "path", "parent", "what").agg(F.sum("c").alias("c"), F.sum("clogc").alias("s")), "features")
+
+
+def node_importance(sums: DataFrame) -> DataFrame:
+    """(site, path, importance, pages) of every leaf node of the trees of page_features().
+
+    A feature's entropy over a node's pages comes from the sums of its counts and of their
+    c log c, so counts combine before each shuffle and a host with a third of all pages meets
+    in no task.
+    """
     seen = sums.where("kind = 'page'").select("site", "path", F.col("c").alias("pages"))
     over = F.greatest(F.log(F.col("pages").cast("double")), F.lit(1e-9))
     text = (
@@ -222,18 +245,34 @@ def node_importance(pages: DataFrame) -> DataFrame:
     )
 
 
-def main_text(blocks: list[Block], importance: dict[int, tuple[float, float]]) -> str:
-    """Text of a page's important blocks, one a line. A node without evidence is important."""
-    rooted = any(b.inside and not b.apart for b in blocks)
-    out = []
+def heavy_branches(sums: DataFrame, own: DataFrame) -> DataFrame:
+    """(site, branch) that markup puts aside though the site's own tree finds most of its text there.
+
+    Only nodes with evidence of their importance count for such a branch; against it stands
+    all other text that counts, of plain branches all that the tree doesn't remove. own: site,
+    path, own, proved.
+    """
+    mass = sums.where("kind = 'mass'").select("site", "path", F.col("parent").alias("branch"), F.col("c").alias("chars")).join(own, ["site", "path"])
+    aside = ~F.col("branch").isin(PLAIN, INSIDE)
+    counts = F.when(aside, F.col("proved") & (F.col("own") >= LEAST)).otherwise(F.col("own") >= F.when(F.col("branch") == INSIDE, LEAST_INSIDE).otherwise(LEAST))
+    by = mass.where(counts).groupBy("site", F.when(aside, F.col("branch")).alias("branch")).agg(F.sum("chars").alias("chars"))
+    total = by.groupBy("site").agg(F.sum("chars").alias("total"))
+    return by.where("branch is not null").join(total, "site").where(2 * F.col("chars") > F.col("total")).select("site", "branch")
+
+
+def main_text(blocks: list[Block], importance: dict[int, tuple[float, float]], heavy: frozenset | set = frozenset()) -> str:
+    """Text of a page's important blocks, one a line. A node without evidence is important.
+
+    The trees judge every block. Of those that they leave, markup decides as a prior: what is
+    apart or outside the article goes, unless its branch is in `heavy`. Markup counts as
+    declaring an article only if the trees leave something of it.
+    """
+    left = []
     for b in blocks:
-        if b.apart or rooted and not b.inside:
-            continue
         own, everywhere = importance.get(b.path, (1.0, 1.0))
-        if max(own, everywhere) < LEAST_INSIDE if b.inside else min(own, everywhere) < LEAST:
-            continue
-        out.append(b.text)
-    return "\n".join(out)
+        if not (own < LEAST_INSIDE if b.inside else min(own, everywhere) < LEAST):
+            left.append(b)
+    return "\n".join(b.text for b, branch in zip(left, branches(left)) if branch in (PLAIN, INSIDE) or branch in heavy)
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -244,18 +283,23 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     Broken markup is read as far as it goes: open elements end with their parents.
     """
     known = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of("url").alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    nodes = staged(node_importance(known), "nodes")
+    sums = page_features(known)
+    nodes = staged(node_importance(sums), "nodes")
     trusted = F.when(F.col("pages") >= LEAST_PAGES, F.col("importance")).otherwise(1.0)
-    own = nodes.where(F.col("site") != ALL_SITES).select("site", "path", trusted.alias("own"))
+    own = nodes.where(F.col("site") != ALL_SITES).select("site", "path", trusted.alias("own"), (F.col("pages") >= LEAST_PAGES).alias("proved"))
     all_sites = nodes.where(F.col("site") == ALL_SITES).select("path", trusted.alias("everywhere"))
     low = own.join(all_sites, "path").where(F.least("own", "everywhere") < LEAST)
     # one row a site: its low nodes, at most one for each LEAST_PAGES pages that have it or that are like it
-    lists = staged(low.groupBy("site").agg(F.collect_list(F.struct("path", "own", "everywhere")).alias("low")), "low")
+    lists = low.groupBy("site").agg(F.collect_list(F.struct("path", "own", "everywhere")).alias("low"))
+    heavy = heavy_branches(sums, own).groupBy("site").agg(F.collect_list("branch").alias("heavy"))
+    lists = staged(lists.join(heavy, "site", "full"), "low")
     joined = known.join(lists, F.col("host") == F.col("site"), "left")
 
     @F.pandas_udf("string")
-    def text(html: pd.Series, low: pd.Series) -> pd.Series:
-        return pd.Series([main_text(read_page(h)[0], {} if x is None else {r["path"]: (r["own"], r["everywhere"]) for r in x}) for h, x in zip(html, low)], dtype=object)
+    def text(html: pd.Series, low: pd.Series, heavy: pd.Series) -> pd.Series:
+        return pd.Series([
+            main_text(read_page(h)[0], {} if x is None else {r["path"]: (r["own"], r["everywhere"]) for r in x}, set() if y is None else set(y)) for h, x, y in zip(html, low, heavy)
+        ], dtype=object)
 
-    out = joined.select("page_id", "url", text("html", "low").alias("text"))
+    out = joined.select("page_id", "url", text("html", "low", "heavy").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

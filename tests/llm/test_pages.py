@@ -39,6 +39,23 @@ def test_tree_finds_what_repeats(spark):
     assert got == {i: f"Story {i}\nText <{i}> of the story\nMore {i}" for i in range(30)}
 
 
+def extracted(spark, rows):
+    return {r["page_id"]: r["text"] for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_tree_overrules_names(spark):
+    """A site whose stories stand in a box of a listed name, or outside an article that only repeats."""
+    story = lambda i: f"Story {i} " + f"tells what happened on day {i} " * 20
+    menu = "<nav><a href=/>Home</a></nav><div class=ad>Buy it</div>"
+    rows = [(i, f"http://a.example/{i}", f"<body>{menu}<h1>Title {i}</h1><div class=notice><p>{story(i)}</p><ul><li>Point {i}</ul></div></body>") for i in range(20)]
+    rows += [(100 + i, f"http://b.example/{i}", f"<body>{menu}<article><p>About us</p></article><div class=box><p>{story(i)}</p></div></body>") for i in range(20)]
+    rows += [(200 + i, f"http://c.example/{i}", f"<body>{menu}<article><p>Teaser {i}</p></article><div class=box><p>{story(i)}</p></div><div class=ad>Ad {i}</div></body>") for i in range(20)]
+    got = extracted(spark, rows)
+    for i in range(20):
+        assert got[i] == f"Title {i}\n{story(i).strip()}\nPoint {i}"
+        assert got[100 + i] == story(i).strip() and got[200 + i] == f"Teaser {i}\n{story(i).strip()}"
+
+
 def test_odd_pages(spark):
     same = "<article><p>Same text</p></article>"
     rows = [(1, None, None), (2, "x", ""), (3, "http://b/", "<p>a<br>b&nbsp;c<p>d"), (4, "http://b/", "<"), (5, "http://c/", same), (6, "http://c/", same), (7, None, "<!-- <p>x</p> --><div>y"), (None, "http://d/", "<p title='>'>z</p>")]
