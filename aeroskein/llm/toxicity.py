@@ -1,10 +1,11 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
 Five transducers read a clause word by word and emit weighted labels: insults, threats,
-targets, negators and markers of reported speech. Their composition gives each clause a
-weight: an insult or threat counts in full, more when a target stands in its clause, less
-inside a negator's scope or under reported speech. A document's score joins its clauses'
-weights as independent evidence, so no single word is scored by itself.
+targets, negators and markers of reported speech. Their composition weighs each insult and
+threat: in full, and more, only when it reaches a target in its clause; in part without one;
+less inside a negator's scope or under reported speech. A document's score is that of its
+strongest passage, where the few strongest different words count, so a lone word never
+decides, nor does the length of a text.
 
 Insult words and stems, with their weights, are learned from labelled rows, on top of a few
 plain insults that labelled rows can also take away; the small lists below give the other
@@ -34,11 +35,23 @@ STEMS = (4, 5, 6)
 INSULTS = frozenset("idiot idiots stupid moron morons imbecile loser losers scum pathetic worthless disgusting clown trash dumbass jackass asshole bastard bitch retard".split())
 INSULT_WEIGHT = 4.2
 THREATS = {"kill": 2.0, "hurt": 1.2, "destroy": 1.0, "shoot": 1.6, "stab": 2.0, "strangle": 2.2, "murder": 1.8}
-TARGETS = frozenset("you your you're yours u ur he she they them him her those these du dich dir ihr euch tu te toi vous tú usted vosotros".split())
+#: Who an insult reaches: the person spoken to or pointed at, or another one whom a copula joins to it.
+ADDRESSED = frozenset("you your you're yours u ur those these du dich dir ihr euch tu te toi vous tú usted vosotros".split())
+OTHERS = frozenset("he she they them him her".split())
+COPULAS = frozenset("is are was were am be ist sind war est sont es son".split())
+JOINED = frozenset("he's she's they're".split())
+#: Whom a threat reaches, after it; another person only from a speaker.
+OBJECTS = frozenset("you u dich dir euch te toi vous".split())
+OTHER_OBJECTS = frozenset("him her them".split())
+SPEAKERS = frozenset("i i'll i'm i'd we we'll we're ich wir je nous yo".split())
 NEGATORS = frozenset("not never no isn't aren't wasn't don't doesn't nicht kein keine pas jamais nunca".split())
 REPORTED = frozenset("said says reported claimed quoted wrote alleged according called sagte dit dijo".split())
 #: Words after a negator that it reaches.
 NEGATION_SCOPE = 2
+#: Words between which an insult or threat reaches its target.
+REACH = 5
+#: A passage's words, and how many different ones of it count.
+PASSAGE, STRONGEST = 100, 3
 CLAUSE_ENDS = re.compile(r"[.!?;:\n]")
 TRIM = re.compile(r"^\W+|\W+$")
 
@@ -50,6 +63,11 @@ class Grammar:
     insults: dict[str, float] = field(default_factory=lambda: dict.fromkeys(INSULTS, INSULT_WEIGHT))
     bias: float = -3.0
     target_bonus: float = 0.7
+    #: A threat that reaches its target is as much evidence as an insult that does.
+    threat_bonus: float = 3.0
+    #: Shares of an insult and of a threat without a target.
+    lone: float = 0.45
+    lone_threat: float = 0.5
     negated: float = 0.35
     reported: float = 0.6
 
@@ -60,31 +78,48 @@ class Grammar:
                 got = max(got, self.insults.get(word[:k] + "*", 0.0))
         return got
 
-    def clause(self, words: list[str]) -> float:
-        """Weight of the best path of one clause: 0 if nothing matches."""
-        scope, weight, target, reported = 0, 0.0, False, False
-        for word in words:
-            if word in NEGATORS:
-                scope = NEGATION_SCOPE
-                continue
-            target |= word in TARGETS
-            reported |= word in REPORTED
-            found = self.insult(word) + THREATS.get(word, 0.0)
-            if found:
-                weight += found * (self.negated if scope else 1.0)
-            scope = max(0, scope - 1)
-        if weight:
-            weight = (weight + self.target_bonus * target) * (self.reported if reported else 1.0)
-        return weight
+    def clause(self, words: list[str], bare: bool = False) -> list[tuple[int, str, float]]:
+        """(place, label, weight) of the insults and threats of one clause.
+
+        An untargeted threat has an empty label: a passage counts one of them at most.
+        bare: all words of the text are insults, which then are addressed.
+        """
+        found = [(i, w, self.insult(w), THREATS.get(w, 0.0)) for i, w in enumerate(words)]
+        found = [x for x in found if x[2] or x[3]]
+        if not found:
+            return []
+        reported = self.reported if any(w in REPORTED for w in words) else 1.0
+        out = []
+        for i, word, insult, threat in found:
+            before, after = words[max(0, i - REACH) : i], words[i + 1 : i + 1 + REACH]
+            share = reported * (self.negated if any(w in NEGATORS for w in words[max(0, i - NEGATION_SCOPE) : i]) else 1.0)
+            if threat:
+                target = any(w in OBJECTS for w in after) or any(w in OTHER_OBJECTS for w in after) and any(w in SPEAKERS for w in words[:i])
+                out.append((i, word if target else "", share * (threat + self.threat_bonus if target else self.lone_threat * threat)))
+            if insult:
+                near = [*before, *after]
+                target = bare or any(w in ADDRESSED or w in JOINED for w in near) or any(w in OTHERS for w in before) and any(w in COPULAS for w in before)
+                out.append((i, word, share * (insult + self.target_bonus * (not bare) if target else self.lone * insult)))
+        return out
 
     def score(self, text: str) -> float:
-        """Score of a whole text, between 0 and 1."""
-        total = self.bias
+        """Score of a whole text, between 0 and 1: that of its strongest passage."""
+        best, hits, place = 0.0, [], 0
         lower = text.lower()
         if self.insults or any(t in lower for t in THREATS):
-            for clause in CLAUSE_ENDS.split(lower):
-                total += self.clause([w for w in (TRIM.sub("", x) for x in clause.split()) if w])
-        return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, total))))
+            clauses = [[w for w in (TRIM.sub("", x) for x in clause.split()) if w] for clause in CLAUSE_ENDS.split(lower)]
+            bare = all(self.insult(w) for words in clauses[: PASSAGE + 1] for w in words)
+            for words in clauses:
+                hits += [(place + i, label, weight) for i, label, weight in self.clause(words, bare)]
+                place += len(words)
+        for k, (start, _, _) in enumerate(hits):
+            passage: dict[str, float] = {}
+            for at, label, weight in hits[k : k + PASSAGE]:
+                if at >= start + PASSAGE:
+                    break
+                passage[label] = max(passage.get(label, 0.0), weight)
+            best = max(best, sum(sorted(passage.values())[-STRONGEST:]))
+        return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.bias + best))))
 
 
 def word_features(text: str) -> set[str]:

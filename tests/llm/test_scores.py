@@ -37,6 +37,19 @@ def test_clauses_not_words():
     assert g.score("idiot. idiot.") > plain and g.score("not good, an idiot") > g.score("not idiot")
 
 
+def test_a_target_decides():
+    g = Grammar(Grammar().insults | {"vequmo": 7.0})
+    clean = "the river runs past the old mill and on to the sea. " * 2_000
+    toxic = ["I will kill you", "we'll shoot him", "I am going to hurt you", "you idiot", "they are scum", "you are such a moron", "he's a vequmo"]
+    fine = ["take out the trash", "the clown came on stage", "one vequmo was seen", "they kill time", "he said: you may kill the process", "she wrote I will kill you", "I will not kill you", "they took out the trash"]
+    assert [t for t in toxic if g.score(t) < 0.7] == [] and [t for t in fine if g.score(t) >= 0.7] == []
+    for t in toxic:
+        assert g.score(clean + t + ". " + clean) >= 0.7
+    for t in [*fine, "trash. " + clean + "clown. " + clean + "stupid", "they kill. " + clean + "they kill", "they kill, and they murder. They shoot and stab them"]:
+        assert g.score(clean + t + ". " + clean) < 0.7
+    assert g.score("what an idiot, a moron, such a loser") >= 0.7
+
+
 def test_labels_of_held_out_rows_are_never_read(spark, docs_of):
     rows = [(i, "bad word here" if i % 2 else "fine word here") for i in range(200)]
     labels = spark.createDataFrame([(i, i % 2 if not held(i) else 1 - i % 2) for i, _ in rows], "doc_id long, toxic int")
