@@ -107,7 +107,6 @@ def _metrics_query(name: str, spec: M.ModelSpec, validation: str):
 BASE = M.default_specs()
 _metrics_query("m9_leave_one_radar_out", M.ModelSpec("mtr_birds_km_h", family="additive"), "loro")
 _metrics_query("m10_blocked_time", M.ModelSpec("mtr_birds_km_h", family="additive"), "blocked")
-_metrics_query("m3_fit_boosted", M.ModelSpec("mtr_birds_km_h", max_iter=5), "blocked")
 _metrics_query("m4_fit_additive", M.ModelSpec("vid_birds_per_km2", family="additive"), "blocked")
 _metrics_query("m5_cyclic_smooths", M.ModelSpec("mtr_birds_km_h", family="additive", cyclic=2), "blocked")
 _metrics_query("m6_interactions", M.ModelSpec("bird_u_ms", family="additive", response="identity", weights="mtr", interactions=(("temperature_850", "humidity_850"), ("u_850", "v_850"))), "blocked")
@@ -116,6 +115,17 @@ _metrics_query("m8_radar_effect", M.ModelSpec("mtr_birds_km_h", family="additive
 _metrics_query("m17_wind_offset_fit", M.ModelSpec("bird_u_ms", family="additive", response="identity", weights="mtr", offset="u_850"), "blocked")
 
 
+#: Rounds of boosting that the survey recommends on Spark; the reference runs 500.
+ROUNDS = 50
+BOOSTED = {t: M.replace(s, max_iter=ROUNDS) for t, s in BASE.items()}
+
+
+@query("m3_fit_boosted")
+def m3(spark, d):
+    """Boosted models of each target and pulse on the last fifth of times."""
+    return M.validation_metrics(learnable(spark, d), BOOSTED, ("blocked_time",))
+
+
 def model_grid(spark, d):
     """Grid rows with the features that models read."""
     wide = W.pivot_levels(D.weather_grid(spark, d)).where("hour < timestamp '2025-07-14 03:00:00'")

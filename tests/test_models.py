@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aeroskein.operators import models as M
+from aeroskein.plans import model_queries as Q
 
 
 @pytest.fixture(scope="module")
@@ -52,3 +53,10 @@ def test_radar_effect_is_left_out_when_predicting(rows):
 def test_unknown_family(rows):
     with pytest.raises(ValueError, match="family"):
         M.fit(rows, spec(family="none"))
+
+
+def test_boosted_fits_are_of_all_targets_and_pulses(spark, monkeypatch):
+    assert set(Q.BOOSTED) == {*M.INTENSITY, *M.VECTORS} and all(s.family == "boosted" and s.max_iter >= 50 for s in Q.BOOSTED.values())
+    monkeypatch.setattr(Q, "BOOSTED", {t: M.replace(s, max_iter=1) for t, s in Q.BOOSTED.items()})
+    rows = Q.m3(spark, "/root/testdata/sf0.001").collect()
+    assert {(r["pulse"], r["target"]) for r in rows} == {(p, t) for p in ("lp", "sp") for t in Q.BOOSTED} and len(rows) == 8
