@@ -29,7 +29,7 @@ from aeroskein.llm.common import batches, staged
 PRESENTATION = 0.1
 #: Least importance of a node, and of one inside a declared article, where only what nearly all pages of its own site share goes.
 LEAST, LEAST_INSIDE = 0.55, 0.2
-#: A tree of fewer pages is no evidence.
+#: A tree of fewer distinct pages is no evidence.
 LEAST_PAGES = 8
 ALL_SITES = "*"
 #: Branches of a page by their markup: plain, outside a declared article, inside one. One that is apart has its own path.
@@ -283,7 +283,8 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     Broken markup is read as far as it goes: open elements end with their parents.
     """
     known = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of("url").alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    sums = page_features(known)
+    # copies of a page are no evidence against its own text
+    sums = page_features(known.withColumn("body", F.xxhash64("html")).dropDuplicates(["host", "body"]))
     nodes = staged(node_importance(sums), "nodes")
     trusted = F.when(F.col("pages") >= LEAST_PAGES, F.col("importance")).otherwise(1.0)
     own = nodes.where(F.col("site") != ALL_SITES).select("site", "path", trusted.alias("own"), (F.col("pages") >= LEAST_PAGES).alias("proved"))

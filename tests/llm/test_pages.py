@@ -56,6 +56,12 @@ def test_tree_overrules_names(spark):
         assert got[100 + i] == story(i).strip() and got[200 + i] == f"Teaser {i}\n{story(i).strip()}"
 
 
+def test_copies_are_no_evidence(spark):
+    page = "<body><div class=box><h2>Story</h2><p>It happened once</p></div></body>"
+    rows = [(i, f"http://a.example/{i % 10}", page) for i in range(30)]
+    assert extracted(spark, rows) == dict.fromkeys(range(30), "Story\nIt happened once")
+
+
 def test_odd_pages(spark):
     same = "<article><p>Same text</p></article>"
     rows = [(1, None, None), (2, "x", ""), (3, "http://b/", "<p>a<br>b&nbsp;c<p>d"), (4, "http://b/", "<"), (5, "http://c/", same), (6, "http://c/", same), (7, None, "<!-- <p>x</p> --><div>y"), (None, "http://d/", "<p title='>'>z</p>")]
