@@ -10,6 +10,7 @@ bitfield and not tried again.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from functools import lru_cache
 
@@ -23,8 +24,8 @@ SPACE_MARK = "▁"
 #: Field numbers and kinds of the model file's messages (public format of the model file).
 PIECES, PIECE_TEXT, PIECE_SCORE, PIECE_KIND = 1, 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
-#: Segments whose encodings a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+#: Segments whose encodings a worker remembers, in each of two generations, and pairs of pieces.
+REMEMBERED, REMEMBERED_PAIRS = 500_000, 1_000_000
 
 
 def model_fields(data: bytes):
@@ -84,14 +85,23 @@ class MergePieces:
                 raise ValueError("pieces must begin with one space mark at most")
         automaton.make_automaton()
         self.automaton = automaton
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.alone: dict[int, bool] = {}
-        self.known: dict[str, tuple[str, int, str | None]] = {}
-
-    def merged(self, text: str) -> list[str]:
-        """The pieces of a short text by merging: best score first, then leftmost."""
+        line_end = "\n" if not any("\n" in p for p in self.ids) else ""
+        self._segments = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}{line_end}]+|{SPACE_MARK}+" + f"|{line_end}" * bool(line_end))
+        self.length = [len(p) for p in self.pieces]
+        #: the longest proper prefix of each piece that is a piece, or -1
+        self.shorter = [next((self.ids[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.ids), -1) if self.kinds[i] == NORMAL else -1 for i, p in enumerate(self.pieces)]
+        self.spines: dict[int, tuple | None] = {}
+        #: whether two pieces are compatible, by left * number of pieces + right
+        self.pairs: dict[int, bool] = {}
+        self.characters = {p for p in self.ids if len(p) == 1}
+        #: what normal pieces say; the others cover characters that aren't pieces
+        self.plain = [p if k == NORMAL else "" for p, k in zip(self.pieces, self.kinds)]
+        self.known = Remembered(self)
+
+    def merged(self, text: str) -> tuple[list[str], list[tuple[int, int, float]]]:
+        """The pieces of a short text by merging, best score first, then leftmost; and each merge's place, parts and score."""
         parts = list(text)
-        score = self.score
+        score, steps = self.score, []
         while True:
             best, at = None, -1
             for i in range(len(parts) - 1):
@@ -99,66 +109,118 @@ class MergePieces:
                 if got is not None and (best is None or got > best):
                     best, at = got, i
             if at < 0:
-                return parts
+                return parts, steps
+            steps.append((at, len(parts), best))
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def compatible(self, left: int, right: int) -> bool:
-        got = self.pairs.get((left, right))
-        if got is None:
-            a, b = self.pieces[left], self.pieces[right]
-            got = self.pairs[left, right] = self.merged(a + b) == [a, b]
-            if len(self.pairs) > 2_000_000:
-                self.pairs = {(left, right): got}
+    def spine(self, piece: int) -> tuple | None:
+        """How a piece grows from its characters: its growing right end and left end, or None if merging doesn't give it.
+
+        An end is a list of (text, score of the merge that consumes it), the last one never
+        consumed; `even` says that scores only fall as the piece grows.
+        """
+        if piece in self.spines:
+            return self.spines[piece]
+        text = self.pieces[piece]
+        parts, steps = self.merged(text)
+        got = None
+        if parts == [text]:
+            right, left = [], []
+            last, first = text[-1], text[0]
+            parts = list(text)
+            for at, n, score in steps:
+                joined = parts[at] + parts[at + 1]
+                if at + 2 == n:
+                    right.append((last, score))
+                    last = joined
+                if at == 0:
+                    left.append((first, score))
+                    first = joined
+                parts[at : at + 2] = [joined]
+            never = float("-inf")
+            even = all(x[2] >= y[2] for x, y in zip(steps, steps[1:]))
+            got = ([*right, (text, never)], [*left, (text, never)], even)
+        self.spines[piece] = got
         return got
 
-    def stands_alone(self, piece: int) -> bool:
-        got = self.alone.get(piece)
-        if got is None:
-            got = self.alone[piece] = self.merged(self.pieces[piece]) == [self.pieces[piece]]
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether merging the characters of two pieces anew gives just those two.
+
+        The merges inside each of them are known, so only the two ends that meet matter: they
+        are walked as they grow, and the pieces part as soon as the ends themselves would be
+        merged before either is consumed. Of equal scores the leftmost goes first.
+        """
+        a, b = self.spine(left), self.spine(right)
+        if a is None or b is None:
+            got = False
+        elif a[2] and b[2]:
+            ends, heads, score = a[0], b[1], self.score
+            i = j = 0
+            got = True
+            while True:
+                (x, t), (y, u) = ends[i], heads[j]
+                s = score.get(x + y)
+                if s is not None and s > t and s >= u:
+                    got = False
+                    break
+                if t >= u and i + 1 < len(ends):
+                    i += 1
+                elif j + 1 < len(heads):
+                    j += 1
+                elif i + 1 < len(ends):
+                    i += 1
+                else:
+                    break
+        else:
+            got = self.merged(self.pieces[left] + self.pieces[right])[0] == [self.pieces[left], self.pieces[right]]
+        if len(self.pairs) >= REMEMBERED_PAIRS:
+            self.pairs.clear()
+        self.pairs[left * len(self.pieces) + right] = got
         return got
 
     def backtrack(self, text: str) -> list[int]:
         """Pieces of a text whose every character is a piece."""
-        whole = self.ids.get(text)
-        if whole is not None and self.stands_alone(whole):
-            return [whole]
         size = len(text)
-        starts: list[list[tuple[int, int]]] = [[] for _ in range(size)]
+        longest = [0] * size
         for last, (length, piece) in self.automaton.iter(text):
-            starts[last - length + 1].append((length, piece))
+            longest[last - length + 1] = piece  # matches come by their end, so the longest of a start comes last
         failed = bytearray(size + 1)  # positions from which the end can't be reached
+        lengths, shorter, pairs, n = self.length, self.shorter, self.pairs, len(self.pieces)
         path: list[int] = []
-        ends: list[int] = [0]
-        tried: list[int] = [len(starts[0])]
-        while ends[-1] < size:
-            at = ends[-1]
-            options, k = starts[at], tried[-1]
-            while k:
-                k -= 1
-                length, piece = options[k]
-                if failed[at + length]:
-                    continue
-                if self.compatible(path[-1], piece) if path else (at + length < size or self.stands_alone(piece)):
-                    tried[-1] = k
+        at, piece, before = 0, longest[0], -1
+        while True:
+            end = at + lengths[piece]
+            if not failed[end]:
+                if before < 0:
+                    ok = self.spine(piece) is not None
+                else:
+                    ok = pairs.get(before * n + piece)
+                    if ok is None:
+                        ok = self.compatible(before, piece)
+                if ok:
                     path.append(piece)
-                    ends.append(at + length)
-                    tried.append(len(starts[at + length]) if at + length < size else 0)
-                    break
-            else:
+                    if end == size:
+                        return path
+                    at, before, piece = end, piece, longest[end]
+                    continue
+            piece = shorter[piece]
+            while piece < 0:
                 if not path:
                     raise AssertionError("a text of known characters has an encoding")
                 failed[at] = 1
-                path.pop()
-                ends.pop()
-                tried.pop()
-        return path
+                last = path.pop()
+                before = path[-1] if path else -1
+                at -= lengths[last]
+                piece = shorter[last]
 
     def word(self, text: str) -> list[int]:
         """Pieces of a text without inner spaces; characters outside the model become bytes."""
+        if self.characters.issuperset(text):
+            return self.backtrack(text)
         out: list[int] = []
         run = 0
         for i, c in enumerate(text):
-            if c not in self.ids:
+            if c not in self.characters:
                 if run < i:
                     out += self.backtrack(text[run:i])
                 out += [self.bytes.get(b, self.unknown) for b in c.encode()] if self.bytes else [self.unknown]
@@ -169,10 +231,6 @@ class MergePieces:
 
     def spaces(self, count: int) -> list[int]:
         """Pieces of `count` space marks: pairs merge by score, then from the left."""
-        if count <= 64:
-            return [self.ids[p] for p in self.merged(SPACE_MARK * count)]
-        import heapq
-
         size, after, before, alive = [1] * count, list(range(1, count + 1)), list(range(-1, count - 1)), [True] * count
         heap = []
 
@@ -213,22 +271,25 @@ class MergePieces:
             out = self.spaces(gap - 1 + own) + out[own:]
         return out
 
-    _segments = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+")
+    def segments(self, text: str) -> list[str]:
+        """A text with its spaces marked, cut where pieces never reach over: before spaces and around line ends.
 
-    def encode(self, text: str) -> list[int]:
+        A line end is a segment of its own only if the model has no piece with one.
+        """
         if not text:
             return []
-        marked = SPACE_MARK + text.replace(" ", SPACE_MARK)
-        return [i for s in self._segments.findall(marked) for i in self.segment(s)]
+        return self._segments.findall(SPACE_MARK + text.replace(" ", SPACE_MARK))
 
-    def surface(self, ids: list[int]) -> tuple[str, bool]:
-        """The text of ids as pieces say it, and whether byte pieces are among them."""
+    def encode(self, text: str) -> list[int]:
+        return [i for s in self.segments(text) for i in self.segment(s)]
+
+    def surface(self, ids: list[int]) -> str:
+        """The text of ids as pieces say it."""
         out, pending = [], bytearray()
-        kinds, pieces, seen = self.kinds, self.pieces, False
+        kinds, pieces = self.kinds, self.pieces
         for i in ids:
             if kinds[i] == BYTE:
                 pending.append(int(pieces[i][3:5], 16))
-                seen = True
                 continue
             if pending:
                 out.append(pending.decode("utf-8", "replace"))
@@ -239,36 +300,55 @@ class MergePieces:
                 out.append(pieces[i])
         if pending:
             out.append(pending.decode("utf-8", "replace"))
-        return "".join(out), seen
+        return "".join(out)
 
     def decode(self, ids: list[int]) -> str:
-        text, _ = self.surface(ids)
-        return text.removeprefix(SPACE_MARK).replace(SPACE_MARK, " ")
+        return self.surface(ids).removeprefix(SPACE_MARK).replace(SPACE_MARK, " ")
 
-    def digests(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, digest of the ids, digest of the text that they decode to.
+    def digests(self, text: str) -> tuple[int, str, str, str]:
+        """Number of ids, digest of the ids, digest of the text that they decode to, and the ids joined by commas.
 
-        Segments recur, so their ids and decoded text are remembered; the pieces of a segment
-        never depend on its neighbours. Byte pieces of one character never part at a segment's end.
+        The pieces of a segment never depend on its neighbours, and byte pieces of one
+        character never part at a segment's end, so both ways go segment by segment.
         """
         known = self.known
-        count, parts, surfaces = 0, [], []
-        if text:
-            for s in self._segments.findall(SPACE_MARK + text.replace(" ", SPACE_MARK)):
-                got = known.get(s)
-                if got is None:
-                    ids = self.segment(s)
-                    said, _ = self.surface(ids)
-                    got = (",".join(map(str, ids)), len(ids), None if said == s else said)
-                    if len(s) < 64:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[s] = got
-                parts.append(got[0])
-                count += got[1]
-                surfaces.append(s if got[2] is None else got[2])
-        decoded = "".join(surfaces).removeprefix(SPACE_MARK).replace(SPACE_MARK, " ")
-        return count, hashlib.sha256(",".join(parts).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        known.changed.clear()
+        segments = self.segments(text)
+        ids = ",".join(map(known.__getitem__, segments))
+        changed = known.changed
+        said = "".join([changed.get(s, s) for s in segments] if changed else segments)
+        decoded = said.removeprefix(SPACE_MARK).replace(SPACE_MARK, " ")
+        return ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), ids
+
+
+class Remembered(dict):
+    """The ids of recent segments, joined by commas; a segment that isn't known is encoded and decoded.
+
+    Two generations: when the younger is full it takes the place of the older, and what is
+    asked for again comes back from there. Segments that decode to something else than
+    themselves are never kept, but noted in `changed` each time.
+    """
+
+    def __init__(self, pieces: MergePieces):
+        super().__init__()
+        self.pieces, self.older, self.changed = pieces, {}, {}
+
+    def __missing__(self, segment: str) -> str:
+        got = self.older.get(segment)
+        if got is None:
+            ids = self.pieces.segment(segment)
+            got = ",".join(map(str, ids))
+            if "".join([self.pieces.plain[i] for i in ids]) != segment:
+                said = self.pieces.surface(ids)
+                if said != segment:
+                    self.changed[segment] = said
+                    return got
+        if len(segment) < 64:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[segment] = got
+        return got
 
 
 @lru_cache(maxsize=2)
@@ -290,12 +370,11 @@ def encode_texts(docs: DataFrame, model_path: str, ids: bool = True) -> DataFram
     def run(frames):
         pieces = load_pieces(model_path)
         for frame in batches(frames, 500):
-            got = [pieces.digests(t) for t in frame["text"]]
-            out = pd.DataFrame(got, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            out.insert(0, "doc_id", frame["doc_id"].to_numpy())
+            got = pd.DataFrame([pieces.digests(t) for t in frame["text"]], columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+            got.insert(0, "doc_id", frame["doc_id"].to_numpy())
             if ids:
-                out["ids"] = [pieces.encode(t) for t in frame["text"]]
-            yield out
+                got["ids"] = [[int(i) for i in x.split(",")] if x else [] for x in got["ids"]]
+            yield got if ids else got.drop(columns="ids")
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInPandas(run, schema)
 

@@ -48,3 +48,29 @@ def test_documents(spark, library, small):
     for r in op4_sentencepiece(spark, small).collect():
         ids = library.encode(texts[r["doc_id"]])
         assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+
+def test_pairs_part_as_merging_parts_them():
+    """The walk along two ends says the same as merging all characters anew."""
+    pieces = load_pieces(PATH)
+    rnd = random.Random(7)
+    normal = [i for i in pieces.ids.values() if "▁" not in pieces.pieces[i]]
+    short = [i for i in normal if len(pieces.pieces[i]) <= 3]
+    for _ in range(20_000):
+        a, b = rnd.choice(normal), rnd.choice(rnd.choice((normal, short)))
+        x, y = pieces.pieces[a], pieces.pieces[b]
+        assert pieces.compatible(a, b) == (pieces.merged(x + y)[0] == [x, y]), (x, y)
+
+
+def test_small_memory_changes_nothing(library, monkeypatch):
+    from aeroskein.llm import sentencepiece_bpe as S
+
+    monkeypatch.setattr(S, "REMEMBERED", 3)
+    monkeypatch.setattr(S, "REMEMBERED_PAIRS", 5)
+    with open(PATH, "rb") as f:
+        pieces = S.MergePieces(f.read())
+    for t in ["the house of the old house", "a\nb\n\n c \x00 é the", "ü" * 70, *ODD] * 2:
+        ids = library.encode(t)
+        n, first, second, joined = pieces.digests(t)
+        assert (n, joined) == (len(ids), ",".join(map(str, ids)))
+        assert second == hashlib.sha256(library.decode(ids).encode()).hexdigest()
