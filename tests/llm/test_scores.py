@@ -1,8 +1,11 @@
+import itertools
+import random
 import zlib
 
 import numpy as np
 import pytest
 
+from aeroskein.llm import toxicity as T
 from aeroskein.llm.divergence import base_rules, jensen_shannon, language_references, quality_rules
 from aeroskein.llm.knn_quality import fit_voters, quality_scores, term_vector
 from aeroskein.llm.toxicity import Grammar, learn_grammar, score_toxicity, toxicity_scores
@@ -33,7 +36,7 @@ def test_clauses_not_words():
     g = Grammar({"idiot": 5.0, "vequ*": 5.0})
     plain, target = g.score("the idiot"), g.score("you idiot")
     assert plain < target and g.score("not an idiot") < plain and g.score("he said idiot") < target
-    assert g.score("vequmo") > 0.7 and g.score("good") < 0.1 and g.score("") < 0.1
+    assert g.score("vequmo") < 0.7 < g.score("vequmo vequra") and g.score("good") < 0.1 and g.score("") < 0.1
     assert g.score("idiot. idiot.") > plain and g.score("not good, an idiot") > g.score("not idiot")
 
 
@@ -50,6 +53,86 @@ def test_a_target_decides():
     assert g.score("what an idiot, a moron, such a loser") >= 0.7
 
 
+def slow_best(grammar, words):
+    """Greatest weight of a clause by trying every reading of every match, each rule said in full."""
+    clean = [w.strip(",") for w in words]
+    is_target = lambda w: w in T.ADDRESSED or w in T.JOINED
+    negated, left = [], 0
+    for raw, w in zip(words, clean):
+        negated.append(left > 0)
+        left = T.NEGATION_SCOPE if w in T.NEGATORS else max(0, left - 1)
+        left = 0 if raw.endswith(",") else left
+    reported = any(w in T.REPORTED for w in clean)
+
+    def meets(i):
+        """A pronoun in the words before makes a copula at i a target."""
+        return clean[i] in T.COPULAS and any(w in T.OTHERS for w in clean[max(0, i - T.COPULA_REACH) : i])
+
+    def object_at(j):
+        return clean[j] in T.OBJECTS or clean[j] in T.OTHER_OBJECTS and any(w in T.SPEAKERS for w in clean[:j])
+
+    choices = []
+    for i, w in enumerate(clean):
+        loss = (grammar.negated if negated[i] else 0) + (grammar.reported if reported else 0)
+        mine = [0.0]
+        if grammar.insult(w):
+            near = range(max(0, i - T.REACH), min(len(clean), i + T.REACH + 1))
+            aimed = any(is_target(clean[j]) for j in near if j != i) or any(meets(j) for j in range(max(0, i - T.REACH), i))
+            mine.append(grammar.insult(w) + (grammar.target_bonus if aimed else grammar.lone) + loss)
+        if grammar.threats.get(w):
+            aimed = any(object_at(j) for j in range(i + 1, min(len(clean), i + T.REACH + 1)))
+            mine.append(grammar.threats[w] + (grammar.threat_bonus if aimed else grammar.lone_threat) + loss)
+        choices.append(mine)
+    return max(map(sum, itertools.product(*choices)))
+
+
+def test_best_path_is_that_of_all_readings():
+    g = Grammar(Grammar().insults | {"vequ*": 4.5})
+    vocabulary = "idiot scum vequmo kill hurt you your he him they is are i we'll he's not don't said the a mill sea, idiot, you, not,".split()
+    rnd = random.Random(11)
+    for _ in range(4000):
+        words = [rnd.choice(vocabulary) for _ in range(rnd.randint(0, 9))]
+        assert sum(w for _, _, w in g.clause(words)) == pytest.approx(slow_best(g, words)), words
+
+
+def test_compositions_say_what_their_parts_say():
+    """Arcs of a composition are chains of its parts' arcs, and its ends are common ends."""
+    negation, report = T.negation_transducer(-3.0), T.report_transducer(-2.0)
+    both = negation.compose(report)
+    not_, said, lone = frozenset(["negator"]), frozenset(["report"]), T.LONE
+    assert both.starts == [(0, "plain"), (0, "guessed")]
+    assert both.arcs((0, "plain"), not_) == [((T.NEGATION_SCOPE, "plain"), not_, 0.0)]
+    assert both.arcs((2, "guessed"), lone) == [((1, "guessed"), lone, -5.0)]
+    assert both.arcs((0, "plain"), said) == [] and both.arcs((0, "guessed"), said) == [((0, "reported"), said, 0.0)]
+    assert both.final((0, "plain")) and both.final((3, "reported")) and not both.final((0, "guessed"))
+
+
+def test_each_transducer_decides():
+    """Leaving one out changes verdicts."""
+    said = lambda text, **less: Grammar(**less).score(text) >= 0.7
+    assert said("you idiot") and not said("you idiot", targets=False) and not said("you idiot", insults={})
+    assert said("I will kill you") and not said("I will kill you", threats={}) and not said("I will kill you", targets=False)
+    assert not said("you are not an idiot") and said("you are not an idiot", negated=None)
+    assert not said("she wrote you idiot") and said("she wrote you idiot", reported=None)
+    assert not said("Don't call him an idiot") and not said("Stupid question: how do I sort a list?") and not said("idiot")
+
+
+def test_families_need_two_words():
+    g = Grammar({}, frozenset(["achl"]))
+    assert g.score("achlich") < 0.7 and g.score("you achlich") < 0.7 and g.score("achlich achlich") < 0.7
+    assert g.score("achlich und achlge") >= 0.7 and g.score("nicht achlich und achlge") < 0.7
+    assert g.score("achlich " + "und " * 200 + "achlge") < 0.7
+
+
+def test_families_are_learned(spark, docs_of):
+    """Clean texts have one word of the stem, toxic ones several in a passage."""
+    rows = [(i, f"one fine xabc{i} here" if i % 2 == 0 else f"one xabcq{i} and xabcr{i} there") for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    g = learn_grammar(docs_of(rows), labels)
+    assert g.families & {"xabc"} and not any(k.startswith("xabc*") for k in g.insults)
+    assert g.score("xabczz and xabcyy") >= 0.7 > g.score("xabczz")
+
+
 def test_labels_of_held_out_rows_are_never_read(spark, docs_of):
     rows = [(i, "bad word here" if i % 2 else "fine word here") for i in range(200)]
     labels = spark.createDataFrame([(i, i % 2 if not held(i) else 1 - i % 2) for i, _ in rows], "doc_id long, toxic int")
