@@ -21,10 +21,13 @@ _OWN: dict[str, str] = {}
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir).
 
-    Only where the session has none, as in tests, it is a temporary folder of this machine.
+    Only where a local session has none, as in tests, it is a temporary folder of this
+    machine; a cluster has to name one.
     """
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         name = spark.sparkContext.applicationId
         path = _OWN[name] = _OWN.get(name) or "file://" + tempfile.mkdtemp(prefix="spark-")
     return path.rstrip("/")
@@ -59,7 +62,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int) ->
     """(doc_id, text, label) of at most `limit` labelled rows that aren't held out.
 
     Rows are taken in the order of a hash of their id, so the choice neither depends on the
-    layout nor on the size of the table. `limit` bounds the side that is broadcast.
+    layout nor on the size of the table. `limit` bounds the side that is broadcast. Of several
+    texts of one id that with the smallest hash counts, of several labels the greatest.
     """
     chosen = (
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
@@ -67,7 +71,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int) ->
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     )
     texts = docs.select("doc_id", text_of().alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label"))
 
 
 def batches(frames, rows: int):
@@ -75,3 +80,29 @@ def batches(frames, rows: int):
     for frame in frames:
         for start in range(0, len(frame), rows):
             yield frame.iloc[start : start + rows]
+
+
+#: A key of more than one in so many rows is hot; there are at most so many of them.
+HOT = 1_000
+
+
+def hot_keys(counts: DataFrame, key: str) -> DataFrame:
+    """(key, parts) of the hot keys of `counts` (key, n): into how many parts their rows are to be dealt.
+
+    At most HOT rows, whatever the table, so that it may go to every task.
+    """
+    total = counts.agg(F.sum("n").alias("_total"))
+    hot = counts.join(total).where(F.col("n") * HOT > F.col("_total"))
+    return staged(hot.select(key, F.ceil(F.col("n") * HOT / F.col("_total")).cast("int").alias("parts")), "hot")
+
+
+def dealt(rows: DataFrame, hot: DataFrame, key: str, *by: str) -> DataFrame:
+    """`rows` with the part of their key that a hash of the columns `by` deals them to, 0 if the key isn't hot."""
+    parts = F.coalesce(F.col("parts"), F.lit(1))
+    return rows.join(F.broadcast(hot), key, "left").withColumn("part", F.pmod(F.xxhash64(*by), parts).cast("int")).drop("parts")
+
+
+def in_parts(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """`rows`, which are one a key, once for each part of their key."""
+    last = F.coalesce(F.col("parts"), F.lit(1)) - 1
+    return rows.join(F.broadcast(hot), key, "left").withColumn("part", F.explode(F.sequence(F.lit(0), last))).drop("parts")

@@ -1,12 +1,14 @@
 """Main-text extraction with site style trees.
 
 The DOMs of a site are merged into one tree whose nodes are element paths (tag and classes,
-runs of equal siblings joined). A node is important when its pages differ: presentation
-importance is the entropy of the child sequences seen at it, content importance is one less
-the mean entropy of its texts over the pages. Menus, adverts and footers repeat and score
-low; articles score high. The same tree over all sites serves sites with few pages. A page
-loses its branches of low importance. What varies from page to page is important to the trees
-even in an advert, so among the blocks that are left markup is a prior: branches that it
+long numbers in them aside, runs of equal siblings joined). A leaf is important when its pages
+differ: presentation importance is the entropy of the child sequences seen at its parent,
+content importance is one less the mean entropy of its texts over the pages. The composite
+importance of an inner node adds its own presentation to that of the text below it, which
+counts less the deeper it lies. Menus, adverts and footers repeat and score low; articles
+score high. The same tree over all sites serves sites with few pages. A page loses its leaves
+and its whole branches of low importance. What varies from page to page is important to the
+trees even in an advert, so among the blocks that are left markup is a prior: branches that it
 declares to be apart (navigation, forms, asides, comments and the like) or that are outside a
 declared article give way, unless the site's tree shows that they hold most of its text.
 """
@@ -16,20 +18,24 @@ from __future__ import annotations
 import html as html_lib
 import re
 from collections import Counter
+from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeroskein.llm.common import batches, staged
+from aeroskein.llm.common import batches, dealt, hot_keys, in_parts, staged
 
 #: Weight of presentation against content in a leaf's importance.
 PRESENTATION = 0.1
 #: Least importance of a node, and of one inside a declared article, where only what nearly all pages of its own site share goes.
 LEAST, LEAST_INSIDE = 0.55, 0.2
-#: A tree of fewer distinct pages is no evidence.
+#: A branch of less composite importance goes whole, with what varies in it, if it holds less than this share of its site's important text.
+LEAST_BRANCH, SHARE = 0.3, 0.3
+#: What text counts for an inner node, for each level that it lies deeper.
+DEPTH = 0.9
+#: A node on fewer distinct pages has no evidence against it.
 LEAST_PAGES = 8
 ALL_SITES = "*"
 #: Branches of a page by their markup: plain, outside a declared article, inside one. One that is apart has its own path.
@@ -56,6 +62,7 @@ NAMES_ROOT = re.compile(r"(?:^|[\s_-])(?:article|article-?body|post-?body|post-?
 NAMES_OF_STATE = re.compile(r"^(?:has|with|without|no|is|show|hide)[-_]", re.I)
 NAMES_OF_TEXT_HEAD = re.compile(r"^(?:article|post|entry|story|content)[-_]*(?:header|head)$", re.I)
 BLANK = re.compile(r"\s+")
+NUMBER = re.compile(r"\d{3,}")
 
 
 def named_apart(names: list[str], inside: bool) -> bool:
@@ -70,24 +77,45 @@ def named_apart(names: list[str], inside: bool) -> bool:
 
 
 class Block:
-    """A text block of a page with its place in the tree. apart: path of the outermost element that markup calls apart, or 0."""
+    """A text block of a page with its place in the tree.
 
-    __slots__ = ("apart", "inside", "parent", "path", "text")
+    line: paths of the elements around it, from the outermost to its own. apart: path of the
+    outermost element that markup calls apart, or 0.
+    """
+
+    __slots__ = ("apart", "inside", "line", "text")
+
+    def __init__(self, line: tuple[int, ...], inside: bool, apart: int, text: str):
+        self.line, self.inside, self.apart, self.text = line, inside, apart, text
+
+    @property
+    def path(self) -> int:
+        return self.line[-1]
+
+    @property
+    def parent(self) -> int:
+        return self.line[-2] if len(self.line) > 1 else ROOT
 
-    def __init__(self, path: int, parent: int, inside: bool, apart: int, text: str):
-        self.path, self.parent, self.inside, self.apart, self.text = path, parent, inside, apart, text
+
+@lru_cache(maxsize=1 << 16)
+def _path_hash(text: str) -> int:
+    return _hash(text)
 
 
 def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
+#: The path of what holds a page's outermost elements.
+ROOT = _hash("")
+
+
 def read_page(page: str) -> tuple[list[Block], Counter]:
     """The text blocks of a page in order, and its (path, child sequence) pairs, which are style nodes."""
     blocks: list[Block] = []
     styles: Counter = Counter()
-    # open elements: tag, path, inside a root, apart, children seen, previous child
-    stack = [["#", "", False, 0, [], None]]
+    # open elements: tag, path, inside a root, apart, children seen, previous child, path's hash
+    stack = [["#", "", False, 0, [], None, ROOT]]
     pending: list[str] = []
     place = 0
     size = len(page)
@@ -98,16 +126,15 @@ def read_page(page: str) -> tuple[list[Block], Counter]:
             pending.clear()
             if text:
                 top = stack[-1]
-                parent = stack[-2][1] if len(stack) > 1 else ""
-                blocks.append(Block(_hash(top[1]), _hash(parent), top[2], top[3], text))
+                blocks.append(Block(tuple(x[6] for x in stack[1:]) or (ROOT,), top[2], top[3], text))
 
     def close(depth: int) -> None:
         """Close all open elements from `depth` on."""
         end_block()
         while len(stack) > depth:
-            _, path, _, _, children, _ = stack.pop()
+            _, _, _, _, children, _, path = stack.pop()
             if children:
-                styles[_hash(path), _hash(">".join(children))] += 1
+                styles[path, _path_hash(">".join(children))] += 1
 
     while place < size:
         m = TOKEN.search(page, place)
@@ -160,7 +187,7 @@ def read_page(page: str) -> tuple[list[Block], Counter]:
         named, apart, root = "", bool(top[3]), tag in ROOTS
         if m[3]:
             found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m[3])}
-            named = ".".join(sorted(found.get("class", "").split())[:3])
+            named = ".".join(sorted(set(NUMBER.sub("0", found.get("class", "")).split())))
             words = f"{found.get('class', '')} {found.get('id', '')}"
             apart |= tag not in ("html", "body", *ROOTS) and named_apart(words.split(), top[2])
             apart |= tag in ROOTS and bool(re.search(r"comment|teaser|related", words, re.I))
@@ -173,11 +200,12 @@ def read_page(page: str) -> tuple[list[Block], Counter]:
             top[4].append(name)
             top[5] = name
         path = f"{top[1]}/{name}"
-        stack.append([tag, path, top[2] or root, top[3] or (_hash(path) if apart else 0), [], None])
+        place_in_tree = _path_hash(path)
+        stack.append([tag, path, top[2] or root, top[3] or (place_in_tree if apart else 0), [], None, place_in_tree])
     close(1)
     end_block()
     if stack[0][4]:
-        styles[_hash(""), _hash(">".join(stack[0][4]))] += 1
+        styles[ROOT, _path_hash(">".join(stack[0][4]))] += 1
     return blocks, styles
 
 
@@ -194,55 +222,89 @@ def host_of(url: str) -> "F.Column":
 def page_features(pages: DataFrame) -> DataFrame:
     """(site, kind, path, parent, what, c, s) of the trees of `pages` (host, html); s is the sum of c log c.
 
-    ALL_SITES names the tree of all pages. Of kind mass, c is the characters of a leaf node by
-    the branch (parent) that markup puts it in, for sites alone.
+    ALL_SITES names the tree of all pages. Copies of a page count once in a tree: features
+    carry a hash of their page until it is known which are distinct. Of kind mass, c is the
+    characters of a leaf by the branch (parent) that markup puts it in; of kind below, what is
+    a leaf below path and parent its distance; both for sites alone.
     """
 
     def features(frames):
+        columns = ["site", "kind", "path", "parent", "what", "body", "c"]
         for frame in batches(frames, 400):
-            out = []
-            for host, page in zip(frame["host"], frame["html"]):
+            out, seen, below = [], set(), set()
+            for host, body, page in zip(frame["host"], frame["body"], frame["html"]):
+                if (host, body) in seen:
+                    continue
+                seen.add((host, body))
                 blocks, styles = read_page(page)
                 mass: Counter = Counter()
                 for b, branch in zip(blocks, branches(blocks)):
                     mass[b.path, branch] += len(b.text)
-                out += [(host, "mass", path, branch, 0, c) for (path, branch), c in mass.items()]
+                out += [(host, "mass", path, branch, 0, body, c) for (path, branch), c in mass.items()]
+                below |= {(host, line) for line in {b.line for b in blocks}}
                 texts = Counter((b.path, b.parent, _hash(b.text)) for b in blocks)
+                paths = {b.path for b in blocks} | {p for p, _ in styles}
                 for site in {host, ALL_SITES}:
-                    out += [(site, "text", path, parent, what, c) for (path, parent, what), c in texts.items()]
-                    out += [(site, "style", path, 0, what, c) for (path, what), c in styles.items()]
-                    out += [(site, "page", path, 0, 0, 1) for path in {b.path for b in blocks} | {p for p, _ in styles}]
-            yield pd.DataFrame(out, columns=["site", "kind", "path", "parent", "what", "c"]).assign(
-                clogc=lambda x: x["c"] * np.log(x["c"].astype(float))
-            ).groupby(["site", "kind", "path", "parent", "what"], as_index=False)[["c", "clogc"]].sum()
+                    out += [(site, "text", path, parent, what, body, c) for (path, parent, what), c in texts.items()]
+                    out += [(site, "style", path, 0, what, body, c) for (path, what), c in styles.items()]
+                    out += [(site, "page", path, 0, 0, body, 1) for path in paths]
+            out += [(host, "below", path, len(line) - i, line[-1], 0, 1) for host, line in below for i, path in enumerate((ROOT, *line))]
+            yield pd.DataFrame(out, columns=columns)
 
-    raw = pages.select("host", "html").mapInPandas(features, "site string, kind string, path long, parent long, what long, c long, clogc double")
-    return staged(raw.groupBy("site", "kind", "path", "parent", "what").agg(F.sum("c").alias("c"), F.sum("clogc").alias("s")), "features")
+    keys = ["site", "kind", "path", "parent", "what"]
+    raw = pages.select("host", F.xxhash64("html").alias("body"), "html").mapInPandas(features, "site string, kind string, path long, parent long, what long, body long, c long")
+    c = F.col("c")
+    once = raw.groupBy(*keys, "body").agg(F.max("c").alias("c"))
+    return staged(once.groupBy(*keys).agg(F.sum(c).alias("c"), F.sum(c * F.log(c.cast("double"))).alias("s")), "features")
 
 
 def node_importance(sums: DataFrame) -> DataFrame:
-    """(site, path, importance, pages) of every leaf node of the trees of page_features().
+    """(site, path, parent, importance, presentation, pages) of the nodes of the trees of page_features(): leaves have an importance.
 
     A feature's entropy over a node's pages comes from the sums of its counts and of their
-    c log c, so counts combine before each shuffle and a host with a third of all pages meets
-    in no task.
+    c log c, and a node's mean from sums of those, so counts combine before each shuffle and a
+    host with a third of all pages meets in no task.
     """
-    seen = sums.where("kind = 'page'").select("site", "path", F.col("c").alias("pages"))
+    of = ["site", "path"]
+    seen = sums.where("kind = 'page'").select(*of, F.col("c").alias("pages"))
     over = F.greatest(F.log(F.col("pages").cast("double")), F.lit(1e-9))
-    text = (
-        sums.where("kind = 'text'").join(seen, ["site", "path"])
-        .withColumn("h", F.least(F.lit(1.0), (F.log(F.col("c").cast("double")) - F.col("s") / F.col("c")) / over))
-        .groupBy("site", "path", "parent").agg(F.avg(1 - F.col("h")).alias("content"), F.max("pages").alias("pages"))
-    )
+    c = F.col("c").cast("double")
+    share = lambda h: F.least(F.lit(1.0), F.greatest(F.lit(0.0), h))
+    text = sums.where("kind = 'text'").groupBy(*of).agg(F.sum(F.log(c) - F.col("s") / c).alias("h"), F.count("*").alias("n"), F.min("parent").alias("parent"))
     # entropy of the styles of a node: log n - sum(c log c) / n, over log pages
-    style = (
-        sums.where("kind = 'style'").groupBy("site", "path")
-        .agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log(F.col("c").cast("double"))).alias("s")).join(seen, ["site", "path"])
-        .select("site", F.col("path").alias("parent"), F.least(F.lit(1.0), (F.log(F.col("n").cast("double")) - F.col("s") / F.col("n")) / over).alias("presentation"))
+    style = sums.where("kind = 'style'").groupBy(*of).agg(F.sum("c").cast("double").alias("m"), F.sum(c * F.log(c)).alias("t"))
+    nodes = seen.join(text, of, "left").join(style, of, "left").select(
+        *of, "parent", "pages", F.when(F.col("h").isNotNull(), 1 - share(F.col("h") / F.col("n") / over)).alias("content"), F.coalesce(share((F.log("m") - F.col("t") / F.col("m")) / over), F.lit(0.0)).alias("presentation"),
     )
-    return text.join(style, ["site", "parent"], "left").groupBy("site", "path").agg(
-        F.max(PRESENTATION * F.coalesce("presentation", F.lit(0.0)) + (1 - PRESENTATION) * F.col("content")).alias("importance"), F.max("pages").alias("pages")
+    above = nodes.select("site", F.col("path").alias("parent"), F.col("presentation").alias("around"))
+    leaf = PRESENTATION * F.coalesce("around", F.lit(0.0)) + (1 - PRESENTATION) * F.col("content")
+    return nodes.join(above, ["site", "parent"], "left").select("site", "path", "parent", leaf.alias("importance"), "presentation", "pages")
+
+
+def low_branches(sums: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(site, branch) of the branches that go whole: inner nodes of a site's tree of low composite importance.
+
+    That is the node's presentation importance with the mean importance of the text below,
+    which weighs its characters, and less for each level. A node on few pages stays, and so
+    does one that holds SHARE of the site's important text, as all do that are around it.
+    """
+    mass = sums.where("kind = 'mass'").groupBy("site", "path").agg(F.sum("c").alias("chars"))
+    leaves = nodes.where(F.col("importance").isNotNull()).join(mass, ["site", "path"]).select("site", F.col("path").alias("what"), "importance", "chars", trusted("importance").alias("kept"))
+    heavy = F.when(F.col("kept") >= LEAST, F.col("chars")).otherwise(0)
+    total = leaves.groupBy("site").agg(F.sum(heavy).alias("total"))
+    weight = F.col("chars") * F.pow(F.lit(DEPTH), F.col("distance"))
+    held = (
+        sums.where("kind = 'below'").select("site", "path", F.col("parent").alias("distance"), "what").join(leaves, ["site", "what"])
+        .groupBy("site", "path").agg((F.sum(weight * F.col("importance")) / F.sum(weight)).alias("mean"), F.sum(heavy).alias("important"))
     )
+    inner = held.join(nodes.select("site", "path", "presentation", "pages"), ["site", "path"]).join(total, "site")
+    composite = PRESENTATION * F.col("presentation") + (1 - PRESENTATION) * F.col("mean")
+    return inner.where((F.col("pages") >= LEAST_PAGES) & (composite < LEAST_BRANCH) & (F.col("important") < SHARE * F.col("total"))).select("site", F.col("path").alias("branch"))
+
+
+def trusted(importance: str) -> "F.Column":
+    """An importance, or 1 without evidence."""
+    return F.when(F.col("pages") >= LEAST_PAGES, F.col(importance)).otherwise(1.0)
 
 
 def heavy_branches(sums: DataFrame, own: DataFrame) -> DataFrame:
@@ -260,17 +322,17 @@ def heavy_branches(sums: DataFrame, own: DataFrame) -> DataFrame:
     return by.where("branch is not null").join(total, "site").where(2 * F.col("chars") > F.col("total")).select("site", "branch")
 
 
-def main_text(blocks: list[Block], importance: dict[int, tuple[float, float]], heavy: frozenset | set = frozenset()) -> str:
+def main_text(blocks: list[Block], importance: dict[int, tuple[float, float]], heavy: frozenset | set = frozenset(), low: frozenset | set = frozenset()) -> str:
     """Text of a page's important blocks, one a line. A node without evidence is important.
 
-    The trees judge every block. Of those that they leave, markup decides as a prior: what is
-    apart or outside the article goes, unless its branch is in `heavy`. Markup counts as
-    declaring an article only if the trees leave something of it.
+    The trees judge every block: `low` branches go whole. Of the blocks that they leave,
+    markup decides as a prior: what is apart or outside the article goes, unless its branch is
+    in `heavy`. Markup counts as declaring an article only if the trees leave something of it.
     """
     left = []
     for b in blocks:
         own, everywhere = importance.get(b.path, (1.0, 1.0))
-        if not (own < LEAST_INSIDE if b.inside else min(own, everywhere) < LEAST):
+        if not (own < LEAST_INSIDE if b.inside else min(own, everywhere) < LEAST) and low.isdisjoint(b.line):
             left.append(b)
     return "\n".join(b.text for b, branch in zip(left, branches(left)) if branch in (PLAIN, INSIDE) or branch in heavy)
 
@@ -281,26 +343,33 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     Null html is empty and gives an empty text, as does a page without important blocks.
     Pages without a host share a tree. Repeated rows repeat; an empty table gives none.
     Broken markup is read as far as it goes: open elements end with their parents.
+
+    Only features and the sites' lists of low nodes are shuffled before the lists meet the
+    pages. If they are too many for Spark to send to every task, pages move once, those of a
+    host with very many of them dealt to several tasks.
     """
     known = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of("url").alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    # copies of a page are no evidence against its own text
-    sums = page_features(known.withColumn("body", F.xxhash64("html")).dropDuplicates(["host", "body"]))
+    sums = page_features(known)
     nodes = staged(node_importance(sums), "nodes")
-    trusted = F.when(F.col("pages") >= LEAST_PAGES, F.col("importance")).otherwise(1.0)
-    own = nodes.where(F.col("site") != ALL_SITES).select("site", "path", trusted.alias("own"), (F.col("pages") >= LEAST_PAGES).alias("proved"))
-    all_sites = nodes.where(F.col("site") == ALL_SITES).select("path", trusted.alias("everywhere"))
+    leaves = nodes.where(F.col("importance").isNotNull())
+    own = leaves.where(F.col("site") != ALL_SITES).select("site", "path", trusted("importance").alias("own"), (F.col("pages") >= LEAST_PAGES).alias("proved"))
+    all_sites = leaves.where(F.col("site") == ALL_SITES).select("path", trusted("importance").alias("everywhere"))
     low = own.join(all_sites, "path").where(F.least("own", "everywhere") < LEAST)
     # one row a site: its low nodes, at most one for each LEAST_PAGES pages that have it or that are like it
     lists = low.groupBy("site").agg(F.collect_list(F.struct("path", "own", "everywhere")).alias("low"))
     heavy = heavy_branches(sums, own).groupBy("site").agg(F.collect_list("branch").alias("heavy"))
-    lists = staged(lists.join(heavy, "site", "full"), "low")
-    joined = known.join(lists, F.col("host") == F.col("site"), "left")
+    cut = low_branches(sums, nodes).groupBy("site").agg(F.collect_list("branch").alias("cut"))
+
+    hot = hot_keys(known.groupBy(F.col("host").alias("site")).agg(F.count("*").alias("n")), "site")
+    lists = staged(in_parts(lists.join(heavy, "site", "full").join(cut, "site", "full"), hot, "site"), "low")
+    joined = dealt(known.withColumnRenamed("host", "site"), hot, "site", "page_id", "url").join(lists, ["site", "part"], "left")
 
     @F.pandas_udf("string")
-    def text(html: pd.Series, low: pd.Series, heavy: pd.Series) -> pd.Series:
+    def text(html: pd.Series, low: pd.Series, heavy: pd.Series, cut: pd.Series) -> pd.Series:
+        of = lambda x: set() if x is None else set(x)
         return pd.Series([
-            main_text(read_page(h)[0], {} if x is None else {r["path"]: (r["own"], r["everywhere"]) for r in x}, set() if y is None else set(y)) for h, x, y in zip(html, low, heavy)
+            main_text(read_page(h)[0], {} if x is None else {r["path"]: (r["own"], r["everywhere"]) for r in x}, of(y), of(z)) for h, x, y, z in zip(html, low, heavy, cut)
         ], dtype=object)
 
-    out = joined.select("page_id", "url", text("html", "low", "heavy").alias("text"))
+    out = joined.select("page_id", "url", text("html", "low", "heavy", "cut").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

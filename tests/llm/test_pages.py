@@ -135,3 +135,58 @@ def test_dates_and_broken_files():
 
 def test_no_pages(spark):
     assert archive_round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_trees_decide_at_several_depths(spark):
+    """No name and no tag tells anything: nested boxes of what repeats go whole, with what varies in them."""
+    rows = []
+    for i in range(40):
+        story = f"Story {i} " + f"tells what happened on day {i} in town {i * 7} " * 12
+        bar = "".join(f"<div class=q{k}><div class=z>Entry number {k} of the bar that is the same everywhere</div></div>" for k in range(6))
+        rows.append((i, f"http://a.example/{i}", f"""<body><div class=x1><div class=x2>{bar}<div class=w><div>You are at {i}</div></div></div></div>
+<div class=x3><div class=x4><h2>Title {i}</h2><div class=x5><p>{story}</p><p>Another part {i * 3}</p></div></div><div class=x6><span>All of this is ours and stays ours, whoever reads it</span></div></div></body>"""))
+    got = extracted(spark, rows)
+    assert all(got[i].split("\n")[0] == f"Title {i}" and got[i].endswith(f"Another part {i * 3}") and len(got[i].split("\n")) == 3 for i in range(40))
+
+
+def test_without_the_trees_all_of_it_stays():
+    """The same page, read without evidence, keeps what only trees can tell."""
+    from aeroskein.llm import site_style_tree as S
+
+    blocks, _ = S.read_page("<body><div class=a><div class=b>Same</div><div>Varies 1</div></div><div class=c><p>Text 1</p></div></body>")
+    assert S.main_text(blocks, {}) == "Same\nVaries 1\nText 1"
+    branch = blocks[0].line[1]
+    assert branch == blocks[1].line[1] and S.main_text(blocks, {}, low={branch}) == "Text 1"
+    assert S.main_text(blocks, {blocks[0].path: (0.0, 0.0)}) == "Varies 1\nText 1"
+
+
+def test_all_class_names_tell_nodes_apart():
+    at = lambda names: read_page(f'<div class="{names}">x</div>')[0][0].path
+    assert at("a b c d") != at("a b c e") and at("d c b a") == at("a b c d") and at("post-1234 a") == at("a post-777") and at("x1") != at("x2")
+
+
+def test_a_host_of_many_pages_is_dealt(spark):
+    """One host among many: its pages meet its own list wherever they are dealt."""
+    box = lambda i: f"<body><div class=m>Menu of the site</div><div class=t><p>Text {i} of the page</p></div></body>"
+    rows = [(i, f"http://big.example/{i}", box(i)) for i in range(300)] + [(1000 + i, f"http://s{i}.example/", f"<p>alone {i}") for i in range(50)]
+    got = extracted(spark, rows)
+    assert all(got[i] == f"Text {i} of the page" for i in range(300)) and got[1007] == "alone 7"
+
+
+def test_files_are_bounded(spark, tmp_path, monkeypatch):
+    """Large payloads make more files, and the longest has one of its own."""
+    from aeroskein.llm import arc_warc as W
+
+    records = [b"x" * n for n in (10, 20, 5, 100, 1, 1, 1, 1, 1)]
+    monkeypatch.setattr(W, "FILE_BYTES", 40)
+    monkeypatch.setattr(W, "FILE_RECORDS", 4)
+    files = [f["value"][0].split(b"\n") for f in W._files(iter(records), [b"head"])]
+    assert [len(f) - 1 for f in files] == [3, 1, 4, 1] and all(f[0] == b"head" for f in files)
+    assert [r for f in files for r in f[1:]] == records
+
+
+def test_large_payloads_come_back(spark):
+    rows = [(i, f"http://a/{i}", chr(97 + i % 3) * 3_000_000 + str(i // 2)) for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in archive_round_trip(df).collect()}
+    assert {i: (r["payload_bytes"], r["payload_digest"]) for i, r in got.items()} == {i: (len(t), digest(t)) for i, _, t in rows}
