@@ -5,7 +5,7 @@ lines that follow, so records are read by the fields of their own file's version
 their declared length, never by looking for a separator. Conversion synthesises what WARC
 wants: record ids, W3C dates, types and SHA-1 digests. Files are written by Spark's own
 text writer, so any store will do, and read with its binary reader, a file a row; how many
-records a file holds is limited.
+records and bytes a file holds is limited.
 """
 
 from __future__ import annotations
@@ -21,14 +21,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroskein.llm.common import scratch_path, staged
+from aeroskein.llm.common import dealt, hot_keys, in_parts, scratch_path, staged
 
 #: The URL-line fields of the two ARC versions.
 FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length", 2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CAPTURED = "20200101000000"
-#: Records and bytes that an archive file holds, about.
-FILE_RECORDS, FILE_BYTES = 2_000, 16 << 20
+#: Most records and bytes of an archive file before it is packed; one longer record has a file of its own.
+FILE_RECORDS, FILE_BYTES = 2_000, 8 << 20
 PAGE_HEADER = "X-Page-Id"
 RECORD = "arc_file string, offset long, url string, ip string, date string, content_type string, status int, http_headers binary, payload binary"
 
@@ -48,9 +48,7 @@ def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
     """Write `pages` (page_id, url, html) as ARC files, a record a row in the HTTP response it came in.
 
     Null html is an empty payload, a null or blank url is "-"; white space and controls in
-    urls are percent-encoded. The text writer ends each value with the line end that parts
-    ARC records. Every record's file starts anew with a version block only where the file
-    does, so a task's first row carries it.
+    urls are percent-encoded. Every file begins with a version block.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     url = F.coalesce(F.nullif(F.regexp_replace(F.col("url"), r"[\x00-\x20\x7f]+", "%20"), F.lit("")), F.lit("-"))
@@ -61,15 +59,31 @@ def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
     length = (F.octet_length(head) + F.octet_length(payload)).cast("string")
     middle = F.lit(f" 0.0.0.0 {CAPTURED} text/html ") if version == 1 else F.lit(f" 0.0.0.0 {CAPTURED} text/html 200 - - 0 pages ")
     record = F.concat(url, middle, length, F.lit("\n"), head, payload)
-    # a version block in front of every FILE_RECORDS-th record of a partition, which is where files begin
-    place = F.monotonically_increasing_id() % F.lit(1 << 33)
-    block = arc_version_block(version, "pages.arc", CAPTURED) + "\n"
-    value = F.when(place % F.lit(FILE_RECORDS) == 0, F.concat(F.lit(block), record)).otherwise(record)
-    _write(pages.select(value.alias("value")), path)
+    block = arc_version_block(version, "pages.arc", CAPTURED).encode()
 
+    def filed(frames):
+        yield from _files((bytes(x) for frame in frames for x in frame["value"]), [block])
 
-def _write(values: DataFrame, path: str) -> None:
-    values.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", FILE_RECORDS).option("lineSep", "\n").text(path)
+    _write(pages.select(record.cast("binary").alias("value")).mapInPandas(filed, "value binary"), path)
+
+
+def _files(records, first: list[bytes]):
+    """Frames of one value each: what a file holds, records parted by line ends, after `first`."""
+    held, size = [], 0
+    for record in records:
+        if held and (len(held) >= FILE_RECORDS or size + len(record) > FILE_BYTES):
+            yield pd.DataFrame({"value": [b"\n".join(first + held)]})
+            held, size = [], 0
+        held.append(record)
+        size += len(record)
+    if held:
+        yield pd.DataFrame({"value": [b"\n".join(first + held)]})
+
+
+def _write(files: DataFrame, path: str) -> None:
+    """Each row as a file; the text writer ends it with the line end that ends its last record."""
+    values = files.select(F.col("value").cast("string").alias("value"))
+    values.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
 
 
 def unpacked(content: bytes) -> bytes:
@@ -174,7 +188,9 @@ def arc_to_warc(spark: SparkSession, arc_path: str, warc_path: str, least_payloa
 
     Of records with equal payloads of `least_payload` bytes or more, that with the largest
     page id (then the largest record id) is written whole and the others are revisits of it.
-    Only ids and digests are shuffled to find it; payloads move once, by record id.
+    Archives are parsed once, into a table. Only ids and digests are shuffled to find
+    revisits, those of a very common payload to several tasks; payloads move once at most, by
+    record id.
     """
 
     @F.pandas_udf("string")
@@ -187,20 +203,22 @@ def arc_to_warc(spark: SparkSession, arc_path: str, warc_path: str, least_payloa
 
     records = read_arc(spark, arc_path)
     page = F.try_to_number(F.regexp_extract(F.col("http_headers").cast("string"), rf"(?i){PAGE_HEADER}: *(-?\d+)", 1), F.lit("S9999999999999999999")).cast("long")
-    full = records.withColumn("page_id", page).withColumn("record_id", ids("arc_file", "offset")).withColumn("digest", digests("payload"))
-    small = staged(full.select("record_id", "page_id", "url", "digest", F.octet_length("payload").alias("size")), "digests")
-    first = small.where(F.col("size") >= least_payload).groupBy("digest").agg(F.max(F.struct(F.coalesce("page_id", F.lit(-(1 << 62))).alias("p"), "record_id", "url")).alias("top"), F.count("*").alias("n")).where("n > 1")
+    full = staged(records.withColumn("page_id", page).withColumn("record_id", ids("arc_file", "offset")).withColumn("digest", digests("payload")), "arc")
+    small = full.where(F.octet_length("payload") >= least_payload).select("record_id", "page_id", "url", "digest")
+    best = F.max(F.struct(F.coalesce("page_id", F.lit(-(1 << 62))).alias("p"), "record_id", "url")).alias("top")
+    first = staged(small.groupBy("digest").agg(best, F.count("*").alias("n")), "firsts")
+    hot = hot_keys(first.select("digest", "n"), "digest")
+    twice = in_parts(first.where("n > 1"), hot, "digest")
     revisits = (
-        small.where(F.col("size") >= least_payload).join(first, "digest").where(F.col("record_id") != F.col("top.record_id"))
+        dealt(small, hot, "digest", "record_id").join(twice, ["digest", "part"]).where(F.col("record_id") != F.col("top.record_id"))
         .select("record_id", F.col("top.record_id").alias("refers_to"), F.col("top.url").alias("refers_url"))
     )
 
     def converted(frames):
-        for frame in frames:
-            yield pd.DataFrame({"value": [warc_record(r, r.refers_to, r.refers_url) for r in frame.itertuples()]})
+        yield from _files((warc_record(r, r.refers_to, r.refers_url) for frame in frames for r in frame.itertuples()), [])
 
     rows = full.join(staged(revisits, "revisits"), "record_id", "left")
-    _write(rows.mapInPandas(converted, "value binary").select(F.col("value").cast("string").alias("value")), warc_path)
+    _write(rows.mapInPandas(converted, "value binary"), warc_path)
 
 
 def warc_records(content: bytes):
