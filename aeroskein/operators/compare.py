@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroskein.functions.domain import match_class
+from aeroskein.operators.quantiles import quantiles
 
 TOLERANCE_S = 300
 
@@ -27,14 +28,16 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: tuple[str, ...] = ("rada
     """
     keys = list(by)
     bucket = F.floor(F.unix_seconds("ts") / tolerance_s)
-    a = left.withColumn("_b", bucket).withColumn("_id", F.struct(*keys, "ts"))
+    # rows of one time share their partner, so each time is looked up once
+    a = left.select(*keys, "ts").distinct().withColumn("_b", bucket)
     b = right.withColumn("_day", F.to_date("ts")).select(*keys, *[F.col(c).alias(f"{c}_r") for c in right.columns if c not in keys], "_day", F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("_b"))
     gap = F.abs(F.unix_micros("ts") - F.unix_micros("ts_r"))
     near = a.join(b, [*keys, "_b"]).where((F.to_date("ts") == F.col("_day")) & (gap <= tolerance_s * 1_000_000))
-    w = Window.partitionBy("_id").orderBy(gap, "ts_r")
+    w = Window.partitionBy(*keys, "ts").orderBy(gap, "ts_r", *[c for c in b.columns if c.endswith("_r") and c != "ts_r"])
     best = near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= nearest)
     best = best if nearest > 1 else best.drop("rank")
-    return best.withColumn("offset_s", (F.unix_micros("ts") - F.unix_micros("ts_r")) / 1e6).withColumn("match", match_class(F.abs("offset_s"))).drop("_b", "_id", "_day")
+    best = best.withColumn("offset_s", (F.unix_micros("ts") - F.unix_micros("ts_r")) / 1e6).withColumn("match", match_class(F.abs("offset_s"))).drop("_b", "_day")
+    return left.join(best, [*keys, "ts"])
 
 
 def match_altitudes(left: DataFrame, right: DataFrame, keys: list[str], variables: list[str]) -> DataFrame:
@@ -69,14 +72,17 @@ def safe_corr(a: str, b: str) -> Column:
 
 
 def pair_statistics(pairs: DataFrame, by: list[str]) -> DataFrame:
-    """Error metrics with correlation and median ratio; the median of log10 ratios for densities."""
+    """Error metrics with correlation and median ratio of (by, variable, a, b); the median of log10 ratios for densities."""
     d = F.col("b") - F.col("a")
-    both = (F.col("a") > 0) & (F.col("b") > 0)
-    ratio = F.when(both, F.col("a") / F.nullif("b", F.lit(0.0)))
-    return pairs.groupBy(*by).agg(
+    sums = pairs.groupBy(*by).agg(
         F.count("*").alias("count"), F.avg(d).alias("bias"), F.avg(F.abs(d)).alias("mae"), F.sqrt(F.avg(d * d)).alias("rmse"), safe_corr("a", "b").alias("correlation"),
-        F.median(ratio).alias("median_ratio"), F.median(F.when(F.col("variable") == "dens", F.log10(ratio))).alias("median_log10_ratio"),
     )
+    ratio = F.col("a") / F.nullif("b", F.lit(0.0))
+    kinds = F.array(F.struct(F.lit("median_ratio").alias("kind"), ratio.alias("x")), F.struct(F.lit("median_log10_ratio").alias("kind"), F.when(F.col("variable") == "dens", F.log10(ratio)).alias("x")))
+    ratios = pairs.where("a > 0 and b > 0").select(*by, F.explode(kinds).alias("r")).select(*by, "r.*")
+    medians = quantiles(ratios, [*by, "kind"], "x", {"median": 0.5})
+    of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("median"))).alias(kind)
+    return sums.join(medians.groupBy(*by).agg(of("median_ratio"), of("median_log10_ratio")), by, "left")
 
 
 def build_crosswalk(mapping: DataFrame, radars: DataFrame, sources: list[str], classes: list[str]) -> DataFrame:
@@ -91,9 +97,13 @@ def build_crosswalk(mapping: DataFrame, radars: DataFrame, sources: list[str], c
 
 
 def comparison_index(crosswalk: DataFrame, reports: DataFrame) -> DataFrame:
-    """Each crosswalk entry with its newest report (radar, other, generated_at, levels), or none; of equals the first."""
-    newest = reports.groupBy("radar", "other").agg(F.max(F.struct("generated_at", F.negative("order").alias("o"), "levels")).alias("m"))
-    joined = crosswalk.join(newest, ["radar", "other"], "left")
+    """Each crosswalk entry with its newest report (radar, source, other, generated_at, levels), or none; of equals the first.
+
+    Names of radars agree whatever their case; an archive's source has to be the same.
+    """
+    names = [F.lower("radar").alias("_radar"), F.col("source").alias("_source"), F.lower("other").alias("_other")]
+    newest = reports.groupBy(*names).agg(F.max(F.struct("generated_at", F.negative("order").alias("o"), "levels")).alias("m"))
+    joined = crosswalk.join(newest, (F.lower("radar") == F.col("_radar")) & (F.col("source") == F.col("_source")) & (F.lower("other") == F.col("_other")), "left")
     return joined.select(*crosswalk.columns, F.col("m").isNotNull().alias("report_available"), F.col("m.generated_at").alias("generated_at"), F.col("m.levels").alias("levels"))
 
 

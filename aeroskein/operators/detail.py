@@ -52,4 +52,4 @@ def time_height(slots: DataFrame) -> DataFrame:
     """Density of each (slot, height) and its logarithmic share of the radar's largest, from 0 to 1."""
     top = slots.groupBy("radar", "pulse").agg(F.greatest(F.max("dens"), F.lit(1.0)).alias("_top"))
     share = F.log1p(F.greatest("dens", F.lit(0.0))) / F.log1p("_top")
-    return slots.join(F.broadcast(top), ["radar", "pulse"]).select("radar", "pulse", "slot", "height", "dens", F.least(F.lit(1.0), share).alias("share"))
+    return slots.join(top, ["radar", "pulse"]).select("radar", "pulse", "slot", "height", "dens", F.least(F.lit(1.0), share).alias("share"))

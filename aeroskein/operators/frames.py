@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroskein.functions.scales import log_ticks, nice_ceil, nice_floor
+from aeroskein.operators.quantiles import quantiles, values_at
 
 TARGETS = ("mtr", "vid", "u", "v")
+#: Side of a frame's tiles.
+TILE_DEGREES = 5.0
 
 
 def to_long(wide: DataFrame, targets: tuple[str, ...] = TARGETS) -> DataFrame:
@@ -28,17 +31,17 @@ def to_wide(long: DataFrame, targets: tuple[str, ...] = TARGETS) -> DataFrame:
 
 
 def nest_frames(wide: DataFrame, fields: tuple[str, ...] = (*TARGETS, "support")) -> DataFrame:
-    """One row a (pulse, hour) with its cells from north to south, then west to east. A frame is a map's grid, so its size is bounded."""
+    """One row a (pulse, hour, tile) with the tile's cells from north to south, then west to east.
+
+    A tile is a square of TILE_DEGREES, named by its south-western corner, so a row holds what
+    the grid's step lets into it, however large the map is.
+    """
     cell = F.struct(F.negative("latitude").alias("_south"), F.col("longitude"), F.col("latitude"), *fields)
-    nested = wide.groupBy("pulse", "hour").agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+    corner = lambda axis: (F.floor(F.col(axis) / F.lit(TILE_DEGREES)) * F.lit(TILE_DEGREES)).cast("double")
+    nested = wide.groupBy("pulse", "hour", corner("latitude").alias("tile_latitude"), corner("longitude").alias("tile_longitude")).agg(F.sort_array(F.collect_list(cell)).alias("cells"))
     return nested.withColumn("cells", F.transform("cells", lambda c: c.dropFields("_south"))).withColumn("cell_count", F.size("cells"))
 
 
-def day_frames(frames: DataFrame) -> DataFrame:
-    """One document a (pulse, day) with its frames by hour."""
-    return frames.groupBy("pulse", F.to_date("hour").alias("day")).agg(F.sort_array(F.collect_list(F.struct("hour", "cell_count", "cells"))).alias("frames"))
-
-
 def day_checks(wide: DataFrame) -> DataFrame:
     """Of each (pulse, day): hours, fewest and most cells an hour, and whether the day is whole."""
     hours = wide.groupBy("pulse", "hour").agg(F.count("*").alias("cells"))
@@ -66,7 +69,7 @@ def merge_checks(wide: DataFrame, spine: DataFrame) -> DataFrame:
     """Of each expected day: its hours and cells; ok if there are 24 hours and as many cells as on other days."""
     days = wide.groupBy(F.to_date("hour").alias("day")).agg(F.countDistinct("hour").alias("hours"), F.countDistinct("latitude", "longitude").alias("cells"))
     usual = days.agg(F.max("cells").alias("usual"))
-    joined = spine.join(days, "day", "left").join(F.broadcast(usual))
+    joined = spine.join(days, "day", "left").join(usual)
     return joined.select("day", F.coalesce("hours", F.lit(0)).alias("hours"), F.coalesce("cells", F.lit(0)).alias("cells"), F.coalesce((F.col("hours") == 24) & (F.col("cells") == F.col("usual")), F.lit(False)).alias("ok"))
 
 
@@ -80,7 +83,7 @@ def axis_steps(cells: DataFrame, axis: str, default: float = 0.25) -> DataFrame:
 def grid_descriptor(cells: DataFrame) -> DataFrame:
     """One row: steps, counts, bounds by half steps and number of cells. An axis has few distinct values."""
     distinct = cells.select("latitude", "longitude").distinct()
-    both = axis_steps(distinct, "latitude").join(F.broadcast(axis_steps(distinct, "longitude"))).join(F.broadcast(distinct.agg(F.count("*").alias("cell_count"))))
+    both = axis_steps(distinct, "latitude").join(axis_steps(distinct, "longitude")).join(distinct.agg(F.count("*").alias("cell_count")))
     edge = lambda axis, end, sign: F.col(f"{axis}_{end}") + sign * F.col(f"{axis}_step") / 2
     return both.select(
         "latitude_step", "longitude_step", "latitude_count", "longitude_count", "cell_count", edge("longitude", "min", -1).alias("west"), edge("longitude", "max", 1).alias("east"),
@@ -90,29 +93,25 @@ def grid_descriptor(cells: DataFrame) -> DataFrame:
 
 def log_scale(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     """Bounds and ticks of a logarithmic scale: the 1 and 99 % quantiles of positive values, rounded outwards."""
-    q = rows.where(F.col(value) > 0).groupBy(*by).agg(F.percentile(value, F.array(F.lit(0.01), F.lit(0.99))).alias("q"))
-    low = nice_floor(F.get("q", F.lit(0)))
-    high = nice_ceil(F.get("q", F.lit(1)))
+    q = quantiles(rows.where(F.col(value) > 0), by, value, {"q_low": 0.01, "q_high": 0.99})
+    low, high = nice_floor(F.col("q_low")), nice_ceil(F.col("q_high"))
     out = q.select(*by, low.alias("minimum"), F.when(high > low, high).otherwise(nice_ceil(low * 10.0)).alias("maximum"))
     return out.withColumn("ticks", log_ticks(F.col("minimum"), F.col("maximum")))
 
 
 def linear_scale(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     """Bounds and five ticks of a linear scale: the 5 and 95 % quantiles."""
-    q = rows.groupBy(*by).agg(F.percentile(value, F.array(F.lit(0.05), F.lit(0.95))).alias("q"))
-    low, high = F.coalesce(F.get("q", F.lit(0)), F.lit(0.0)), F.coalesce(F.get("q", F.lit(1)), F.lit(1.0))
+    q = rows.select(*by).distinct().join(quantiles(rows, by, value, {"q_low": 0.05, "q_high": 0.95}), by, "left")
+    low, high = F.coalesce("q_low", F.lit(0.0)), F.coalesce("q_high", F.lit(1.0))
     out = q.select(*by, low.alias("minimum"), F.when(high > low, high).otherwise(low + 1.0).alias("maximum"))
     step = (F.col("maximum") - F.col("minimum")) / 4
     return out.withColumn("ticks", F.array(*[F.col("minimum") + step * i for i in range(5)]))
 
 
 def fallback_scale(rows: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Bounds at places floor(.05 n) and min(n - 1, floor(.95 n)) of sorted values; equal values are counted first."""
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("x")).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(*by)
-    placed = counts.withColumns({"upto": F.sum("n").over(w.orderBy("x")), "total": F.sum("n").over(w)})
+    """Bounds at places floor(.05 n) and min(n - 1, floor(.95 n)) of sorted values."""
     low, high = F.floor(F.col("total") * 0.05), F.least(F.col("total") - 1, F.floor(F.col("total") * 0.95))
-    return placed.groupBy(*by).agg(F.min(F.when(F.col("upto") > low, F.col("x"))).alias("minimum"), F.min(F.when(F.col("upto") > high, F.col("x"))).alias("maximum"))
+    return values_at(rows, by, value, {"minimum": low, "maximum": high})
 
 
 def bounded_sample(rows: DataFrame, key: str, n: int) -> DataFrame:

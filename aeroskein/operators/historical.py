@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aeroskein.operators.quantiles import values_at
+
 PERIODS = ("day", "civil_twilight", "night")
 
 
@@ -88,13 +90,11 @@ def radar_day_aggregate(daily: DataFrame) -> DataFrame:
 
 
 def seasonal_climatology(hourly: DataFrame) -> DataFrame:
-    """Upper median of VID in each month, 0.02 at least; equal values are counted first."""
-    from pyspark.sql import Window
-
-    counts = hourly.where("mean_vid_birds_per_km2 is not null").groupBy(F.month("hour").alias("month"), F.col("mean_vid_birds_per_km2").alias("x")).agg(F.count("*").alias("n"))
-    w = Window.partitionBy("month")
-    placed = counts.withColumns({"upto": F.sum("n").over(w.orderBy("x")), "total": F.sum("n").over(w)})
-    return placed.groupBy("month").agg(F.greatest(F.min(F.when(F.col("upto") > F.floor(F.col("total") / 2), F.col("x"))), F.lit(0.02)).alias("vid"))
+    """Upper median of VID in each of the twelve months, 0.02 at least; 0.25 in a month without values."""
+    found = values_at(hourly.select(F.month("hour").alias("month"), "mean_vid_birds_per_km2"), ["month"], "mean_vid_birds_per_km2", {"vid": F.floor(F.col("total") / 2)})
+    found = found.withColumn("vid", F.greatest("vid", F.lit(0.02)))
+    months = hourly.sparkSession.range(1, 13).select(F.col("id").cast("int").alias("month"))
+    return months.join(found, "month", "left").withColumn("vid", F.coalesce("vid", F.lit(0.25)))
 
 
 def density_weighted_wind(observations: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PULSES = ("lp", "sp")
@@ -44,7 +44,7 @@ def month_periods(days: DataFrame) -> DataFrame:
 
 def expected_objects(radars: DataFrame, days: DataFrame) -> DataFrame:
     """Every radar, day and pulse: both sides are small, and the product is what is asked for."""
-    return radars.select("radar").join(F.broadcast(days.select("day"))).withColumn("pulse", F.explode(F.array(*[F.lit(p) for p in PULSES])))
+    return radars.select("radar").join(days.select("day")).withColumn("pulse", F.explode(F.array(*[F.lit(p) for p in PULSES])))
 
 
 def expected_vs_available(radars: DataFrame, days: DataFrame, objects: DataFrame) -> DataFrame:
@@ -69,24 +69,50 @@ def prefer_lp(objects: DataFrame) -> DataFrame:
     return objects.groupBy("radar", "day").agg(F.min(F.struct(rank.alias("rank"), *rest)).alias("m"), F.array_sort(F.collect_set("pulse")).alias("available_pulses")).select("radar", "day", *[f"m.{c}" for c in rest], "available_pulses")
 
 
-def incremental_targets(catalog: DataFrame, cursor: DataFrame, bootstrap_days: int = 8, catch_up: int = 7, recheck: int = 2) -> DataFrame:
+def incremental_targets(catalog: DataFrame, cursor: DataFrame, lookback: int = 8, most: int = 7) -> DataFrame:
     """Days that each radar of the catalog (radar, last_date) has to be read for, given the cursor (radar, source_date).
 
-    A new radar looks back; one that moved on is caught up from its cursor, at most catch_up
-    days; one that did not is checked again; a date before the cursor is a regression.
+    A new radar is read from `lookback` days before its newest day on. One that moved on is
+    read from its cursor on, at most `most` days further, so that no day is skipped; one that
+    did not is read for its last two days again. A newest day before the cursor is a regression.
     """
-    both = catalog.join(cursor, "radar", "left")
+    both = catalog.select("radar", "last_date").join(cursor.select("radar", "source_date"), "radar", "left")
     last, was = F.col("last_date"), F.col("source_date")
     state = F.when(was.isNull(), "bootstrap").when(last < was, "regression").when(last == was, "unchanged").otherwise("catch_up")
-    first = (
-        F.when(was.isNull(), F.date_sub(last, bootstrap_days - 1)).when(last == was, F.date_sub(last, recheck - 1))
-        .when(last > was, F.greatest(was, F.date_sub(last, catch_up - 1)))
-    )
-    return both.withColumns({"state": state, "first_date": first})
+    first = F.when(was.isNull(), F.date_sub(last, max(1, lookback))).when(last > was, was).otherwise(F.date_sub(last, 1))
+    target = F.when(last > was, F.least(last, F.date_add(was, max(1, most)))).otherwise(last)
+    return both.withColumns({"state": state, "first_date": first, "target_date": target})
 
 
 def target_days(targets: DataFrame) -> DataFrame:
-    return date_spine(targets.where("state != 'regression'").select("radar", F.col("first_date").alias("start"), F.col("last_date").alias("end")))
+    """The days to read; a regression is an error and has none."""
+    return date_spine(targets.where("state != 'regression'").select("radar", F.col("first_date").alias("start"), F.col("target_date").alias("end")))
+
+
+def catch_up_status(targets: DataFrame, objects: DataFrame, cursor_objects: DataFrame) -> DataFrame:
+    """What a run over the targets reads of each radar, and the cursor that it would leave.
+
+    Of each day one object is selected (the long pulse if there is one). A radar has changed
+    if its target isn't its cursor's day or a selected object's etag isn't the cursor's.
+    """
+    days = targets.select("radar", F.explode(F.sequence("first_date", "target_date")).alias("day"), "target_date")
+    selected = prefer_lp(objects).join(days, ["radar", "day"]).join(cursor_objects.select("key", F.col("etag").alias("_was")), "key", "left")
+    found = selected.groupBy("radar").agg(
+        F.count("*").alias("n"), F.count_if(F.col("day") == F.col("target_date")).alias("at_target"), F.count_if(~F.col("etag").eqNullSafe(F.col("_was"))).alias("new"),
+    )
+    n = lambda c: F.coalesce(c, F.lit(0))
+    return targets.join(found, "radar", "left").select(
+        "radar", "state", F.col("target_date").alias("proposed_source_date"), F.date_sub("target_date", 1).alias("latest_complete_night"), n("n").alias("selected_file_count"),
+        (n("at_target") == 0).alias("missing_target"), (~F.col("source_date").eqNullSafe(F.col("target_date")) | (n("new") > 0)).alias("changed"),
+    )
+
+
+def run_status(status: DataFrame) -> DataFrame:
+    """One row: whether a run may go on, whether it has nothing to do, and how many files it reads. Any error leaves no files."""
+    ok = F.bool_and((F.col("state") != "regression") & ~F.col("missing_target"))
+    return status.agg(ok.alias("ok"), F.count_if("changed").alias("changed_radars"), F.sum(F.when(F.col("changed"), F.col("selected_file_count")).otherwise(0)).alias("files")).select(
+        "ok", (F.col("ok") & (F.col("changed_radars") == 0)).alias("no_change"), "changed_radars", F.when(F.col("ok"), F.col("files")).otherwise(0).alias("files"),
+    )
 
 
 def missing_targets(catalog: DataFrame, objects: DataFrame) -> DataFrame:
@@ -128,9 +154,3 @@ def manifest_summary(objects: DataFrame) -> DataFrame:
 def first_n_objects(objects: DataFrame, n: int) -> DataFrame:
     """The first objects in order of radar, day and pulse, when a run is to read only so many."""
     return objects.orderBy("radar", "day", "pulse").limit(n)
-
-
-def newest_version(objects: DataFrame) -> DataFrame:
-    """Of several versions of a key, the newest etag."""
-    w = Window.partitionBy("key").orderBy(F.desc("etag"))
-    return objects.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")

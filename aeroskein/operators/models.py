@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -13,9 +15,12 @@ from pyspark.sql import functions as F
 from aeroskein.functions.domain import inverse, sample_weight, transform
 from aeroskein.operators.training import FEATURES
 from aeroskein.operators.validation import blocked_time_split, score_regression
+from aeroskein.sources.scratch import scratch_path
 
 INTENSITY = ("mtr_birds_km_h", "vid_birds_per_km2")
 VECTORS = ("bird_u_ms", "bird_v_ms")
+#: Models that are fitted at a time; each fit is a row of small jobs.
+AT_ONCE = 8
 
 
 @dataclass(frozen=True)
@@ -75,6 +80,8 @@ def covariates(rows: DataFrame, spec: ModelSpec) -> tuple[DataFrame, list[str]]:
 
 def _hinges(rows: DataFrame, names: list[str], knots: int) -> dict[str, list[float]]:
     """Quantiles of each covariate as knots of its smooth: one pass, a few numbers back."""
+    if knots < 1:
+        return {n: [] for n in names}
     share = [i / (knots + 1) for i in range(1, knots + 1)]
     found = rows.agg(*[F.percentile_approx(n, share, 1000).alias(n) for n in names]).first()
     return {n: sorted(set(found[n] or [])) for n in names}
@@ -169,16 +176,23 @@ def blocked_time(rows: DataFrame, spec: ModelSpec) -> DataFrame:
 def validation_metrics(rows: DataFrame, specs: dict[str, ModelSpec], validations: tuple[str, ...] = ("leave_one_radar_out", "blocked_time")) -> DataFrame:
     """A metrics row for each (pulse, target, validation)."""
     run = {"leave_one_radar_out": leave_one_radar_out, "blocked_time": blocked_time}
-    parts = []
-    for pulse in ("lp", "sp"):
-        for target, spec in specs.items():
-            for v in validations:
-                pairs = run[v](rows.where(F.col("pulse") == pulse), spec).withColumns({"pulse": F.lit(pulse), "target": F.lit(target), "validation": F.lit(v)})
-                parts.append(score_regression(pairs, ["pulse", "target", "validation"]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+
+    def pairs(job: tuple[str, str, str]) -> DataFrame:
+        pulse, target, v = job
+        found = run[v](rows.where(F.col("pulse") == pulse), specs[target])
+        return found.select(F.lit(pulse).alias("pulse"), F.lit(target).alias("target"), F.lit(v).alias("validation"), "observed", "predicted")
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        parts = list(pool.map(pairs, [(p, t, v) for p in ("lp", "sp") for t in specs for v in validations]))
+    path = scratch_path(rows.sparkSession, "pairs")
+    reduce(DataFrame.union, parts).write.parquet(path)
+    return score_regression(rows.sparkSession.read.parquet(path), ["pulse", "target", "validation"])
+
+
+def fit_all(rows: DataFrame, specs: dict[str, ModelSpec]) -> dict[str, FittedModel]:
+    """A model for each target."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return dict(zip(specs, pool.map(lambda s: fit(rows, s), specs.values())))
 
 
 def score_grid(grid: DataFrame, models: dict[str, FittedModel]) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeroskein.functions.coerce import num
 from aeroskein.functions.domain import uv
 from aeroskein.functions.geo import project_laea
+from aeroskein.operators.quantiles import values_at
 
 
 def _level_names(variable: str, level: int, plain: str) -> tuple[str, ...]:
@@ -74,22 +75,17 @@ def rolling_window(rows: DataFrame, window_days: int) -> DataFrame:
     """Rows of the window that ends with the last complete day; none if there is no complete day."""
     last = complete_days(rows).agg(F.max("day").alias("_last"))
     day = F.to_date("hour")
-    return rows.join(F.broadcast(last), day.between(F.date_sub("_last", window_days - 1), F.col("_last"))).drop("_last")
+    return rows.join(last, day.between(F.date_sub("_last", window_days - 1), F.col("_last"))).drop("_last")
 
 
 def percentile_ranges(rows: DataFrame, features: list[str]) -> DataFrame:
     """Lower and upper bound of each feature: values at places max(0, floor(.01 n) - 1) and min(n - 1, floor(.99 n)).
 
-    Exact at any size: equal values are counted first, so what is ordered by feature are
-    distinct values, and the bounds are where the running count passes the places.
+    Exact at any size; see quantiles.running_counts().
     """
     long = rows.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features])).alias("x")).select("x.*").where("value is not null")
-    counts = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("feature").orderBy("value")
-    total = F.sum("n").over(Window.partitionBy("feature"))
-    placed = counts.withColumns({"upto": F.sum("n").over(w), "total": total})
     low, high = F.greatest(F.lit(0), F.floor(F.col("total") * 0.01) - 1), F.least(F.col("total") - 1, F.floor(F.col("total") * 0.99))
-    return placed.groupBy("feature").agg(F.min(F.when(F.col("upto") > low, F.col("value"))).alias("lower"), F.min(F.when(F.col("upto") > high, F.col("value"))).alias("upper"))
+    return values_at(long, ["feature"], "value", {"lower": low, "upper": high})
 
 
 def table_summary(rows: DataFrame) -> DataFrame:

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroskein.operators.compare import safe_corr
+from aeroskein.operators.quantiles import quantiles
 
 INTENSITY, VECTORS = ("mtr", "vid"), ("u", "v")
+VALIDATIONS = ("leave_one_radar_out", "blocked_time")
 
 
 def score_regression(pairs: DataFrame, by: list[str]) -> DataFrame:
@@ -15,7 +17,7 @@ def score_regression(pairs: DataFrame, by: list[str]) -> DataFrame:
 
     The decile is the 0.9 quantile of what was observed, by group. Undefined shares are 0.
     """
-    cut = pairs.groupBy(*by).agg(F.percentile("observed", F.lit(0.9)).alias("_cut"), F.avg("observed").alias("_mean"))
+    cut = quantiles(pairs, by, "observed", {"_cut": 0.9}).join(pairs.groupBy(*by).agg(F.avg("observed").alias("_mean")), by)
     rows = pairs.join(cut, by)
     e = F.col("predicted") - F.col("observed")
     hit, said = F.col("observed") >= F.col("_cut"), F.col("predicted") >= F.col("_cut")
@@ -109,7 +111,7 @@ def blocked_time_split(rows: DataFrame, share: float = 0.8, least_times: int = 1
     times = rows.select("hour").distinct()
     ranked = times.withColumn("_i", F.row_number().over(Window.orderBy("hour"))).withColumn("_n", F.count("*").over(Window.partitionBy()))
     cut = ranked.where((F.col("_n") >= least_times) & (F.col("_i") == F.greatest(F.lit(1), F.floor(F.col("_n") * share)))).select(F.col("hour").alias("_cut"))
-    return rows.join(F.broadcast(cut)).withColumn("is_train", F.col("hour") <= F.col("_cut")).drop("_cut")
+    return rows.join(cut).withColumn("is_train", F.col("hour") <= F.col("_cut")).drop("_cut")
 
 
 def evidence_gate(rows: DataFrame, by: list[str], least_rows: int = 30, least_radars: int = 2) -> DataFrame:
@@ -117,28 +119,61 @@ def evidence_gate(rows: DataFrame, by: list[str], least_rows: int = 30, least_ra
     return rows.groupBy(*by).agg(F.count("*").alias("rows"), F.countDistinct("radar").alias("radars")).withColumn("enough", (F.col("rows") >= least_rows) & (F.col("radars") >= least_radars))
 
 
-def select_model_family(baseline: DataFrame, challenger: DataFrame, gain: float = 0.10, slack: float = 1.02) -> DataFrame:
-    """One row a validation: whether the challenger is promoted.
+def family_checks(baseline: DataFrame, challenger: DataFrame, gain: float = 0.10) -> DataFrame:
+    """A row for each validation, pulse and intensity target: the challenger's gain in RMSE, its events, and whether it passes.
 
-    Every intensity target of both pulses needs an RMSE better by `gain` and precision and
-    recall no worse; every vector target an RMSE within `slack`. A missing row fails.
+    It passes with an RMSE better by `gain` and precision and recall no worse. A row that
+    either side lacks fails with a reason, as does a baseline RMSE that isn't positive.
     """
     m = ["rmse", "top_decile_precision", "top_decile_recall"]
-    side = lambda df, k: df.select("validation", "pulse", "target", *[F.col(c).alias(f"{c}_{k}") for c in m])
-    both = side(baseline, "b").join(side(challenger, "c"), ["validation", "pulse", "target"], "full_outer")
-    better = F.coalesce(F.try_divide(F.col("rmse_b") - F.col("rmse_c"), F.col("rmse_b")), F.lit(-float("inf"))) >= gain
+    side = lambda df, k: df.select("validation", "pulse", "target", *[F.col(c).alias(f"{c}_{k}") for c in m], F.lit(True).alias(f"has_{k}"))
+    names = lambda xs: F.explode(F.array(*[F.lit(x) for x in xs]))
+    grid = baseline.sparkSession.range(1).select(names(VALIDATIONS).alias("validation")).withColumn("pulse", names(("lp", "sp"))).withColumn("target", names(INTENSITY))
+    both = grid.join(side(baseline, "b"), ["validation", "pulse", "target"], "left").join(side(challenger, "c"), ["validation", "pulse", "target"], "left")
+    there = F.col("has_b").isNotNull() & F.col("has_c").isNotNull()
+    better = F.when(F.col("rmse_b") > 0, (F.col("rmse_b") - F.col("rmse_c")) / F.nullif("rmse_b", F.lit(0.0)))
     shares = (F.col("top_decile_precision_c") >= F.col("top_decile_precision_b")) & (F.col("top_decile_recall_c") >= F.col("top_decile_recall_b"))
-    good = F.when(F.col("target").isin(*INTENSITY), better & shares).otherwise(F.col("rmse_c") <= F.col("rmse_b") * slack)
-    return both.groupBy("validation").agg(
-        F.bool_and(F.coalesce(good, F.lit(False))).alias("all_good"), F.count_if(F.col("target").isin(*INTENSITY)).alias("intensity_rows"),
-    ).withColumn("promote", F.col("all_good") & (F.col("intensity_rows") >= 4))
+    improvement = F.when(there, F.coalesce(better, F.lit(-float("inf"))))
+    return both.select(
+        "validation", "pulse", "target", improvement.alias("improvement"), F.when(there, shares).alias("events_better"),
+        F.coalesce(there & (improvement >= gain) & shares, F.lit(False)).alias("passed"), F.when(~there, F.lit("missing_metrics")).alias("reason"),
+    )
+
+
+def select_model_family(baseline: DataFrame, challenger: DataFrame, gain: float = 0.10, slack: float = 1.02) -> DataFrame:
+    """One row: the family to publish, and why.
+
+    The challenger is selected if on held-out radars every intensity target of both pulses
+    passes family_checks() and every vector's RMSE is within `slack`, and if the intensity
+    targets pass on blocked times too, where either side has blocked times at all.
+    """
+    checks = family_checks(baseline, challenger, gain).groupBy().pivot("validation", list(VALIDATIONS)).agg(F.bool_and("passed")).select(*VALIDATIONS)
+    keys = ["pulse", "target"]
+    vectors = lambda df, k: df.where((F.col("validation") == VALIDATIONS[0]) & F.col("target").isin(*VECTORS) & F.col("pulse").isin("lp", "sp")).select(*keys, F.col("rmse").alias(k))
+    pairs = vectors(baseline, "b").join(vectors(challenger, "c"), keys).agg(F.count_if(F.col("c") <= F.col("b") * slack).alias("good"))
+    blocked = baseline.select("validation").union(challenger.select("validation")).agg(F.coalesce(F.bool_or(F.col("validation") == VALIDATIONS[1]), F.lit(False)).alias("temporal_required"))
+    row = checks.join(pairs).join(blocked)  # one row each
+    chosen = F.col(VALIDATIONS[0]) & (F.col("good") == 2 * len(VECTORS)) & (~F.col("temporal_required") | F.col(VALIDATIONS[1]))
+    return row.select(
+        F.col(VALIDATIONS[0]).alias("intensity_ok"), (F.col("good") == 2 * len(VECTORS)).alias("vectors_not_worse"), "temporal_required", F.col(VALIDATIONS[1]).alias("temporal_ok"),
+        F.when(chosen, "challenger").otherwise("baseline").alias("selected"),
+    )
+
+
+#: The intensity targets that a candidate may not harm: the short pulse's VID isn't stable enough to be one.
+PRIMARY = (("lp", "mtr"), ("lp", "vid"), ("sp", "mtr"))
 
 
 def candidate_gate(delta: DataFrame, loss: float = 0.01, gain: float = 0.02) -> DataFrame:
-    """One row: worst loss of R2 over intensity, mean gain over long-pulse vectors, and the decision."""
-    intensity, vectors = F.col("target").isin(*INTENSITY), F.col("target").isin(*VECTORS) & (F.col("pulse") == "lp")
-    sums = delta.agg(F.min(F.when(intensity, F.col("d_r_squared"))).alias("worst_intensity"), F.avg(F.when(vectors, F.col("d_r_squared"))).alias("mean_vector_gain"))
-    return sums.withColumn("accept", (F.col("worst_intensity") >= -loss) & (F.col("mean_vector_gain") >= gain))
+    """One row: worst change of R2 over the primary intensity targets, mean gain over long-pulse vectors, and the decision.
+
+    Keys that either side lacks don't count; without any the candidate isn't accepted.
+    """
+    primary = F.struct("pulse", "target").isin(*[F.struct(F.lit(p), F.lit(t)) for p, t in PRIMARY])
+    vectors = F.col("target").isin(*VECTORS) & (F.col("pulse") == "lp")
+    sums = delta.agg(F.min(F.when(primary, F.col("d_r_squared"))).alias("worst_intensity"), F.avg(F.when(vectors, F.col("d_r_squared"))).alias("mean_vector_gain"))
+    good = lambda c, least: F.coalesce(F.col(c) >= least, F.lit(False))
+    return sums.withColumn("accept", good("worst_intensity", -loss) & good("mean_vector_gain", gain))
 
 
 def component_selection(baseline: DataFrame, candidate: DataFrame) -> DataFrame:

@@ -49,27 +49,31 @@ def nearest_grid_cells(sites: DataFrame, grid: DataFrame) -> DataFrame:
     def nearest(axis: str, site: str):
         values = grid.select(F.col(axis).alias("v")).distinct()
         gap = F.abs(F.col("v") - F.col(site))
-        return sites.join(F.broadcast(values)).groupBy("radar").agg(F.min(F.struct(gap.alias("gap"), F.col("v"))).alias("m")).select("radar", F.col("m.v").alias(f"cell_{axis}"))
+        return sites.join(values).groupBy("radar").agg(F.min(F.struct(gap.alias("gap"), F.col("v"))).alias("m")).select("radar", F.col("m.v").alias(f"cell_{axis}"))
 
     return nearest("latitude", "latitude").join(nearest("longitude", "longitude"), "radar")
 
 
 def cells_in_coverage(cells: DataFrame, radars: DataFrame) -> DataFrame:
-    """Distinct cells within the range of some radar.
+    """Distinct cells within the range of some radar, found by bands of latitude."""
+    close = great_circle_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon")) <= F.col("_km")
+    banded = cells.select("latitude", "longitude").distinct().withColumn("_band", F.floor("latitude"))
+    r = in_bands(radars)
+    return banded.join(r, (banded["_band"] == r["_of"]) & close, "left_semi").select("latitude", "longitude")
 
-    The radar table is small; a band of latitudes is compared before the distance.
-    """
+
+def in_bands(radars: DataFrame) -> DataFrame:
+    """Place and range of each radar (_lat, _lon, _km), once for each degree of latitude (_of) that its range reaches."""
     r = radars.select(F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), (F.col("max_range_m") / 1000.0).alias("_km"))
-    close = (F.abs(F.col("latitude") - F.col("_lat")) * KM_PER_DEGREE <= F.col("_km")) & (great_circle_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon")) <= F.col("_km"))
-    return cells.select("latitude", "longitude").distinct().join(F.broadcast(r), close, "left_semi")
+    reach = F.col("_km") / KM_PER_DEGREE + 1e-6
+    return r.where("_lat is not null and _km >= 0").withColumn("_of", F.explode(F.sequence(F.floor(F.col("_lat") - reach), F.floor(F.col("_lat") + reach))))
 
 
 def support_scores(cells: DataFrame, radars: DataFrame) -> DataFrame:
     """Largest exp(-(distance / range)^2) over the radars whose range holds a cell; 0 outside all."""
-    r = radars.select(F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), (F.col("max_range_m") / 1000.0).alias("_km"))
     km = great_circle_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon"))
     score = F.when(km <= F.col("_km"), F.exp(-F.pow(km / F.col("_km"), F.lit(2.0))))
-    both = cells.select("latitude", "longitude").distinct().join(F.broadcast(r), F.abs(F.col("latitude") - F.col("_lat")) * KM_PER_DEGREE <= F.col("_km"), "left")
+    both = cells.select("latitude", "longitude").distinct().withColumn("_band", F.floor("latitude")).join(in_bands(radars), F.col("_band") == F.col("_of"), "left")
     return both.groupBy("latitude", "longitude").agg(F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.max(score), F.lit(0.0)))), 6).alias("support"))
 
 
@@ -91,7 +95,7 @@ def merge_grid_weather(grid: DataFrame, radars: DataFrame) -> DataFrame:
 def site_features(grid: DataFrame, sites: DataFrame) -> DataFrame:
     """Weather of each site's nearest cell."""
     cells = nearest_grid_cells(sites, grid)
-    return pivot_levels(grid).join(F.broadcast(cells), (F.col("latitude") == F.col("cell_latitude")) & (F.col("longitude") == F.col("cell_longitude")))
+    return pivot_levels(grid).join(cells, (F.col("latitude") == F.col("cell_latitude")) & (F.col("longitude") == F.col("cell_longitude")))
 
 
 def day_completeness(rows: DataFrame, features: list[str], expected_radars: int) -> DataFrame:
@@ -129,11 +133,13 @@ def radar_metadata_problems(radars: DataFrame) -> DataFrame:
 
 
 def kernel_grid(cells: DataFrame, points: DataFrame, sigma: float = 12.0, background: float = 0.04) -> DataFrame:
-    """Gaussian-weighted mean of points (row, col, value) on cells (row, col, climatology), with a background weight."""
-    p = points.select(F.col("row").alias("_r"), F.col("col").alias("_c"), F.col("value").alias("_v"))
+    """Gaussian-weighted mean of points (row, col, value) on cells (row, col, climatology), with a background weight.
+
+    Points of one place weigh alike, so they are summed first: there are no more places than cells.
+    """
+    p = points.groupBy(F.col("row").alias("_r"), F.col("col").alias("_c")).agg(F.sum("value").alias("_v"), F.count("*").alias("_n"))
     d2 = F.pow(F.col("row") - F.col("_r"), F.lit(2.0)) + F.pow(F.col("col") - F.col("_c"), F.lit(2.0))
     w = F.exp(-d2 / (2 * sigma * sigma))
     clim = F.greatest(F.col("climatology"), F.lit(0.01))
-    # points are one a radar: a small table
-    sums = cells.join(F.broadcast(p)).groupBy("row", "col", "climatology").agg(F.sum(w * F.col("_v")).alias("wx"), F.sum(w).alias("w"))
+    sums = cells.join(p).groupBy("row", "col", "climatology").agg(F.sum(w * F.col("_v")).alias("wx"), F.sum(w * F.col("_n")).alias("w"))
     return sums.select("row", "col", ((background * clim + F.col("wx")) / (background + F.col("w"))).alias("value"))

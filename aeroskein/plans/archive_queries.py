@@ -71,20 +71,44 @@ def d1(spark, d):
 
 TABLES["cursor_dates"] = "select radar, last_date - case radar when 'radar-00' then 0 when 'radar-01' then 20 else -2 end as source_date from catalog where radar <> 'radar-03'"
 TABLES["targets"] = """select c.radar, last_date, source_date, case when source_date is null then 'bootstrap' when last_date < source_date then 'regression' when last_date = source_date then 'unchanged' else 'catch_up' end as state,
-  case when source_date is null then last_date - 7 when last_date = source_date then last_date - 1 when last_date > source_date then greatest(source_date, last_date - 6) end as first_date from catalog c left join cursor_dates using (radar)"""
+  case when source_date is null then last_date - 8 when last_date > source_date then source_date else last_date - 1 end as first_date,
+  case when last_date > source_date then least(last_date, source_date + 7) else last_date end as target_date from catalog c left join cursor_dates using (radar)"""
 
 
 def cursor_dates(spark, d):
     return catalog(spark, d).where("radar != 'radar-03'").selectExpr("radar", "date_sub(last_date, case radar when 'radar-00' then 0 when 'radar-01' then 20 else -2 end) as source_date")
 
 
-@query("d3_incremental_target_window", "select t.radar, cast(day as varchar) as day, state from targets t, (select unnest(range(0, 10)) as k), lateral (select first_date + cast(k as int) as day) where state <> 'regression' and day <= last_date union all select radar, null, state from targets where state = 'regression'")
+@query("d3_incremental_target_window", "select t.radar, cast(day as varchar) as day, state from targets t, (select unnest(range(0, 10)) as k), lateral (select first_date + cast(k as int) as day) where state <> 'regression' and day <= target_date union all select radar, null, state from targets where state = 'regression'")
 def d3(spark, d):
     t = I.incremental_targets(catalog(spark, d), cursor_dates(spark, d))
     days = I.target_days(t).join(t.select("radar", "state"), "radar")
     return text(days.select("radar", "day", "state").union(t.where("state = 'regression'").selectExpr("radar", "cast(null as date)", "state")), "day")
 
 
+TABLES["cursor_objects"] = "select key, case when day = date '2025-07-16' then 'old' else etag end as etag from objects where radar <> 'radar-03'"
+TABLES["catch_up"] = """
+  select t.radar, t.state, t.target_date as proposed_source_date, t.target_date - 1 as latest_complete_night, count(p.key) as selected_file_count, count(p.key) filter (where p.day = t.target_date) = 0 as missing_target,
+    t.source_date is distinct from t.target_date or count(*) filter (where p.key is not null and p.etag is distinct from c.etag) > 0 as changed
+  from targets t left join (select * from objects qualify row_number() over (partition by radar, day order by pulse) = 1) p on p.radar = t.radar and p.day between t.first_date and t.target_date left join cursor_objects c on c.key = p.key
+  group by t.radar, t.state, t.target_date, t.source_date"""
+
+
+def catch_up(spark, d):
+    known = D.objects(spark, d).where("radar != 'radar-03'").selectExpr("key", "if(day = date '2025-07-16', 'old', etag) as etag")
+    return I.catch_up_status(I.incremental_targets(catalog(spark, d), cursor_dates(spark, d)), D.objects(spark, d), known)
+
+
+@query("d3_catch_up_status", "select radar, state, cast(proposed_source_date as varchar) as proposed_source_date, cast(latest_complete_night as varchar) as latest_complete_night, selected_file_count, missing_target, changed from catch_up")
+def d3_status(spark, d):
+    return text(catch_up(spark, d), "proposed_source_date", "latest_complete_night")
+
+
+@query("d3_run_status", "select ok, ok and changed_radars = 0 as no_change, changed_radars, case when ok then files else 0 end as files from (select bool_and(state <> 'regression' and not missing_target) as ok, count(*) filter (where changed) as changed_radars, cast(sum(case when changed then selected_file_count else 0 end) as bigint) as files from catch_up where state <> 'regression' and not missing_target)")
+def d3_run(spark, d):
+    return I.run_status(catch_up(spark, d).where("state != 'regression' and not missing_target"))
+
+
 @query("d4_missing_target", "select radar, cast(last_date as varchar) as last_date from catalog c where not exists (select 1 from objects o where o.radar = c.radar and o.day = c.last_date)")
 def d4(spark, d):
     return text(I.missing_targets(catalog(spark, d), D.objects(spark, d)).select("radar", "last_date"), "last_date")
@@ -152,6 +176,13 @@ def nearest_pairs(spark, d):
     return C.asof_nearest(ext, own)
 
 
+@query("j7_asof_repeated_rows", "select p.radar, p.pulse, p.bin, strftime(p.ts, '%Y-%m-%dT%H:%M:%SZ') as ts, strftime(n.ts_r, '%Y-%m-%dT%H:%M:%SZ') as ts_r from external_layers p join nearest_pairs n on n.radar = p.radar and n.ts = p.ts")
+def j7_rows(spark, d):
+    """Layers, of which many share a radar and a time: each gets its partner."""
+    out = C.asof_nearest(D.external_layers(spark, d).select("radar", "ts", "pulse", "bin"), D.layers(spark, d).select("radar", "ts").distinct())
+    return out.select("radar", "pulse", "bin", iso(F.col("ts")).alias("ts"), iso(F.col("ts_r")).alias("ts_r"))
+
+
 @query("j7_asof_nearest_join", "select radar, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as ts, strftime(ts_r, '%Y-%m-%dT%H:%M:%SZ') as ts_r, offset_s, case when offset_s = 0 then 'exact' else 'cadence-adjusted' end as match from nearest_pairs")
 def j7(spark, d):
     return nearest_pairs(spark, d).select("radar", iso(F.col("ts")).alias("ts"), iso(F.col("ts_r")).alias("ts_r"), "offset_s", "match")
@@ -173,18 +204,22 @@ def f13(spark, d):
     return nearest_pairs(spark, d).groupBy("radar").agg(F.count_if(F.abs("offset_s") <= 60).alias("within_minute"), F.count("*").alias("within_five"))
 
 
-TABLES["altitude_pairs"] = """
-  select p.radar, p.ts, e.height, o.dens as dens_a, e.dens as dens_b, o.ff as ff_a, e.ff as ff_b from nearest_pairs p
-  join (select radar, ts, height, max_by(dens, bin) as dens, max_by(ff, bin) as ff from external_layers group by all) e on e.radar = p.radar and e.ts = p.ts
-  join (select radar, ts, height, max_by(dens, bin) as dens, max_by(ff, bin) as ff from layers group by all) o on o.radar = p.radar and o.ts = p.ts_r and o.height = e.height"""
-TABLES["long_pairs"] = "select radar, 'dens' as variable, dens_a as a, dens_b as b from altitude_pairs union all select radar, 'ff', ff_a, ff_b from altitude_pairs"
+#: The variables that archives are compared in, and how they come from layers.
+VARIABLES = {"dens": "dens", "eta": "dens * 11.0", "dbz": "dbzh", "dbz_all": "dbzh + 1.0", "u": "ff * sin(radians(dd))", "v": "ff * cos(radians(dd))", "ff": "ff", "dd": "dd"}
+_SIDE = "select radar, ts, height, " + ", ".join(f"max_by({e}, bin) as {v}" for v, e in VARIABLES.items())
+TABLES["altitude_pairs"] = f"""
+  select p.radar, p.ts, e.height, {", ".join(f"o.{v} as {v}_a, e.{v} as {v}_b" for v in VARIABLES)} from nearest_pairs p
+  join ({_SIDE} from external_layers group by all) e on e.radar = p.radar and e.ts = p.ts
+  join ({_SIDE} from layers group by all) o on o.radar = p.radar and o.ts = p.ts_r and o.height = e.height"""
+TABLES["long_pairs"] = " union all ".join(f"select radar, '{v}' as variable, {v}_a as a, {v}_b as b from altitude_pairs where {v}_a is not null and {v}_b is not null" for v in VARIABLES)
 
 
 def altitude_pairs(spark, d):
     pairs = nearest_pairs(spark, d).select("radar", "ts", "ts_r")
     ext = D.external_layers(spark, d).join(pairs.select("radar", "ts"), ["radar", "ts"])
     own = D.layers(spark, d).withColumnRenamed("ts", "ts_r").join(pairs, ["radar", "ts_r"]).drop("ts_r")
-    return C.match_altitudes(own, ext, ["radar", "ts"], ["dens", "ff"])
+    side = lambda df: df.selectExpr("radar", "ts", "height", "bin", *[f"{e} as {v}" for v, e in VARIABLES.items()])
+    return C.match_altitudes(side(own), side(ext), ["radar", "ts"], list(VARIABLES))
 
 
 @query("j8_match_altitudes", "select radar, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as ts, height, round(dens_a, 6) as dens_a, round(dens_b, 6) as dens_b, round(ff_a, 6) as ff_a, round(ff_b, 6) as ff_b from altitude_pairs")
@@ -195,13 +230,13 @@ def j8(spark, d):
 
 @query("a12_error_metrics", "select radar, variable, count(*) as count, round(avg(a), 6) as mean_a, round(avg(b), 6) as mean_b, round(avg(b - a), 6) as bias, round(avg(abs(b - a)), 6) as mae, round(sqrt(avg((b - a) * (b - a))), 6) as rmse from long_pairs group by all")
 def a12(spark, d):
-    return C.error_metrics(C.long_pairs(altitude_pairs(spark, d), ["radar"], ["dens", "ff"]), ["radar", "variable"], 6)
+    return C.error_metrics(C.long_pairs(altitude_pairs(spark, d), ["radar"], list(VARIABLES)), ["radar", "variable"], 6)
 
 
-@query("a13_pair_statistics", "select variable, count(*) as count, round(avg(b - a), 6) as bias, round(avg(abs(b - a)), 6) as mae, round(sqrt(avg((b - a) * (b - a))), 6) as rmse, round(corr(a, b), 6) as correlation, round(median(a / b) filter (where a > 0 and b > 0), 6) as median_ratio, round(median(log10(a / b)) filter (where a > 0 and b > 0 and variable = 'dens'), 6) as median_log10_ratio from long_pairs group by variable")
+@query("a13_pair_statistics", "select variable, count(*) as count, round(avg(b - a), 6) as bias, round(avg(abs(b - a)), 6) as mae, round(sqrt(avg((b - a) * (b - a))), 6) as rmse, round(corr(a, b), 5) as correlation, round(median(a / b) filter (where a > 0 and b > 0), 6) as median_ratio, round(median(log10(a / b)) filter (where a > 0 and b > 0 and variable = 'dens'), 6) as median_log10_ratio from long_pairs group by variable")
 def a13(spark, d):
-    out = C.pair_statistics(C.long_pairs(altitude_pairs(spark, d), ["radar"], ["dens", "ff"]), ["variable"])
-    return out.withColumns({c: F.round(c, 6) for c in ("bias", "mae", "rmse", "correlation", "median_ratio", "median_log10_ratio")})
+    out = C.pair_statistics(C.long_pairs(altitude_pairs(spark, d), ["radar"], list(VARIABLES)), ["variable"])
+    return out.withColumns({c: F.round(c, 6) for c in ("bias", "mae", "rmse", "median_ratio", "median_log10_ratio")} | {"correlation": F.round("correlation", 5)})
 
 
 @query("u3_common_heights", "select radar, count(*) as heights from (select radar, height from layers where bin <= 6 intersect select radar, height from external_layers where bin >= 3) group by radar")
@@ -225,14 +260,14 @@ def j15(spark, d):
     return crosswalk(spark, d).select("radar", "other", "source", "class", "tolerance_s", F.array_join("problems", ",").alias("problems"))
 
 
-REPORTS = "select c.radar, other, cast(o_orderdate as varchar) as generated_at, o_orderkey as ord, cast(o_orderkey % 50 as int) as levels from crosswalk c join orders on o_orderkey % 7 = cast(substr(c.radar, 7) as int) where c.radar <> 'radar-01'"
-TABLES["comparison_index"] = f"select c.*, r.generated_at is not null as report_available, r.generated_at, r.levels from crosswalk c left join (select * from ({REPORTS}) qualify row_number() over (partition by radar, other order by generated_at desc, ord) = 1) r on r.radar = c.radar and r.other = c.other"
+REPORTS = "select upper(c.radar) as radar, case when o_orderkey % 3 = 0 then 'uva' else source end as source, lower(other) as other, cast(o_orderdate as varchar) as generated_at, o_orderkey as ord, cast(o_orderkey % 50 as int) as levels from crosswalk c join orders on o_orderkey % 7 = cast(substr(c.radar, 7) as int) where c.radar <> 'radar-01'"
+TABLES["comparison_index"] = f"select c.*, r.generated_at is not null as report_available, r.generated_at, r.levels from crosswalk c left join (select * from ({REPORTS}) qualify row_number() over (partition by radar, source, other order by generated_at desc, ord) = 1) r on lower(r.radar) = lower(c.radar) and r.source = c.source and lower(r.other) = lower(c.other)"
 
 
 def index(spark, d):
     c = crosswalk(spark, d)
     o = D.table(spark, d, "orders").selectExpr("o_orderkey", "cast(o_orderdate as string) as generated_at")
-    reports = c.where("radar != 'radar-01'").join(o, F.expr("o_orderkey % 7 = cast(substr(radar, 7) as int)")).selectExpr("radar", "other", "generated_at", "o_orderkey as order", "cast(o_orderkey % 50 as int) as levels")
+    reports = c.where("radar != 'radar-01'").join(o, F.expr("o_orderkey % 7 = cast(substr(radar, 7) as int)")).selectExpr("upper(radar) as radar", "if(o_orderkey % 3 = 0, 'uva', source) as source", "lower(other) as other", "generated_at", "o_orderkey as order", "cast(o_orderkey % 50 as int) as levels")
     return C.comparison_index(c, reports)
 
 
@@ -246,15 +281,15 @@ def p28(spark, d):
     return C.comparison_status(D.radars(spark, d), index(spark, d).where("other != 'ETHIOPIA'"))
 
 
-@query("w9_latest_report", f"select radar, other, substr(generated_at, 1, 10) as day, ord from (select * from ({REPORTS}) qualify row_number() over (partition by radar, other order by generated_at desc, ord) = 1)")
+@query("w9_latest_report", f"select radar, source, other, substr(generated_at, 1, 10) as day, ord from (select * from ({REPORTS}) qualify row_number() over (partition by radar, source, other order by generated_at desc, ord) = 1)")
 def w9(spark, d):
     from pyspark.sql import Window
 
     c = crosswalk(spark, d).where("radar != 'radar-01'")
     o = D.table(spark, d, "orders").selectExpr("o_orderkey as ord", "cast(o_orderdate as string) as generated_at")
-    w = Window.partitionBy("radar", "other").orderBy(F.desc("generated_at"), "ord")
-    j = c.join(o, F.expr("ord % 7 = cast(substr(radar, 7) as int)")).withColumn("n", F.row_number().over(w)).where("n = 1")
-    return j.select("radar", "other", F.substring("generated_at", 1, 10).alias("day"), "ord")
+    w = Window.partitionBy("radar", "source", "other").orderBy(F.desc("generated_at"), "ord")
+    j = c.join(o, F.expr("ord % 7 = cast(substr(radar, 7) as int)")).selectExpr("upper(radar) as radar", "if(ord % 3 = 0, 'uva', source) as source", "lower(other) as other", "generated_at", "ord").withColumn("n", F.row_number().over(w)).where("n = 1")
+    return j.select("radar", "source", "other", F.substring("generated_at", 1, 10).alias("day"), "ord")
 
 
 # validation of predictions
@@ -381,12 +416,12 @@ def metrics(spark, d, run):
 
 for _run, _shift in (("baseline", 0), ("candidate", 7)):
     TABLES[f"metrics_{_run}"] = f"select case when p_size % 2 = 0 then 'leave_one_radar_out' else 'blocked_time' end as validation, case when p_partkey % 2 = 0 then 'lp' else 'sp' end as pulse, ['mtr', 'vid', 'u', 'v'][cast(p_partkey // 2 % 4 as int) + 1] as target, round(avg(p_retailprice * (1.0 - {_shift} / 50.0)), 6) as rmse, round(avg((p_size + {_shift}) / 100.0), 6) as r_squared, round(avg((p_partkey % 10 + {_shift}) / 20.0), 6) as top_decile_precision, round(avg((p_partkey % 7 + {_shift}) / 20.0), 6) as top_decile_recall from part group by all"
-TABLES["delta"] = "select pulse, target, b.r_squared as r_squared_baseline, b.rmse as rmse_baseline, c.r_squared as r_squared_candidate, c.rmse as rmse_candidate, c.r_squared - b.r_squared as d_r_squared, c.rmse - b.rmse as d_rmse from (select * from metrics_baseline where validation = 'blocked_time') b full join (select * from metrics_candidate where validation = 'blocked_time' and target <> 'v') c using (pulse, target)"
+TABLES["delta"] = "select pulse, target, b.r_squared as r_squared_baseline, b.rmse as rmse_baseline, c.r_squared as r_squared_candidate, c.rmse as rmse_candidate, c.r_squared - b.r_squared as d_r_squared, c.rmse - b.rmse as d_rmse from (select * from metrics_baseline where validation = 'leave_one_radar_out') b full join (select * from metrics_candidate where validation = 'leave_one_radar_out' and target <> 'v') c using (pulse, target)"
 
 
 def delta(spark, d, skip="v"):
-    blocked = lambda run: metrics(spark, d, run).where("validation = 'blocked_time'")
-    return V.metric_delta(blocked("baseline"), blocked("candidate").where(F.col("target") != skip))
+    held = lambda run: metrics(spark, d, run).where("validation = 'leave_one_radar_out'")
+    return V.metric_delta(held("baseline"), held("candidate").where(F.col("target") != skip))
 
 
 @query("j17_metric_delta", "select pulse, target, r_squared_baseline, rmse_baseline, r_squared_candidate, rmse_candidate, round(d_r_squared, 6) as d_r_squared, round(d_rmse, 6) as d_rmse from delta")
@@ -394,14 +429,36 @@ def j17(spark, d):
     return delta(spark, d).withColumns({"d_r_squared": F.round("d_r_squared", 6), "d_rmse": F.round("d_rmse", 6)})
 
 
+TABLES["family_checks"] = """
+  select validation, pulse, target, case when b.rmse > 0 then (b.rmse - c.rmse) / b.rmse else '-infinity'::double end as improvement, c.top_decile_precision >= b.top_decile_precision and c.top_decile_recall >= b.top_decile_recall as events_better,
+    b.rmse is not null and c.rmse is not null as complete, c.rmse <= b.rmse * 1.02 as vector_ok
+  from (select * from (values ('leave_one_radar_out'), ('blocked_time')) v(validation), (values ('lp'), ('sp')) p(pulse), (values ('mtr'), ('vid'), ('u'), ('v')) t(target))
+  left join metrics_baseline b using (validation, pulse, target) left join (select * from metrics_candidate where not (validation = 'blocked_time' and pulse = 'sp' and target = 'vid')) c using (validation, pulse, target)"""
+
+
+def challenger(spark, d):
+    return metrics(spark, d, "candidate").where("not (validation = 'blocked_time' and pulse = 'sp' and target = 'vid')")
+
+
+@query("m13_family_checks", "select validation, pulse, target, case when complete then round(improvement, 6) end as improvement, case when complete then events_better end as events_better, complete and improvement >= 0.10 and events_better as passed, case when not complete then 'missing_metrics' end as reason from family_checks where target in ('mtr', 'vid')")
+def m13_checks(spark, d):
+    return V.family_checks(metrics(spark, d, "baseline"), challenger(spark, d)).withColumn("improvement", F.round("improvement", 6))
+
+
 @query("m13_select_model_family", """
-with j as (select validation, target, (b.rmse - c.rmse) / b.rmse >= 0.10 and c.top_decile_precision >= b.top_decile_precision and c.top_decile_recall >= b.top_decile_recall as good, c.rmse <= b.rmse * 1.02 as vec from metrics_baseline b join metrics_candidate c using (validation, pulse, target))
-select validation, bool_and(case when target in ('mtr', 'vid') then good else vec end) as all_good, count(*) filter (where target in ('mtr', 'vid')) as intensity_rows, bool_and(case when target in ('mtr', 'vid') then good else vec end) and count(*) filter (where target in ('mtr', 'vid')) >= 4 as promote from j group by validation""")
+select bool_and(complete and improvement >= 0.10 and events_better) filter (where target in ('mtr', 'vid') and validation = 'leave_one_radar_out') as intensity_ok,
+  bool_and(complete and vector_ok) filter (where target in ('u', 'v') and validation = 'leave_one_radar_out') as vectors_not_worse, true as temporal_required,
+  bool_and(complete and improvement >= 0.10 and events_better) filter (where target in ('mtr', 'vid') and validation = 'blocked_time') as temporal_ok,
+  case when bool_and(case when target in ('mtr', 'vid') then complete and improvement >= 0.10 and events_better when validation = 'leave_one_radar_out' then complete and vector_ok else true end) then 'challenger' else 'baseline' end as selected from family_checks""")
 def m13(spark, d):
-    return V.select_model_family(metrics(spark, d, "baseline"), metrics(spark, d, "candidate"))
+    """One decision over both validations; a metric of the challenger is missing."""
+    return V.select_model_family(metrics(spark, d, "baseline"), challenger(spark, d))
+
+
+_PRIMARY = "((pulse = 'lp' and target in ('mtr', 'vid')) or (pulse = 'sp' and target = 'mtr'))"
 
 
-@query("m14_candidate_gate", "select round(min(d_r_squared) filter (where target in ('mtr', 'vid')), 6) as worst_intensity, round(avg(d_r_squared) filter (where target in ('u', 'v') and pulse = 'lp'), 6) as mean_vector_gain, min(d_r_squared) filter (where target in ('mtr', 'vid')) >= -0.01 and avg(d_r_squared) filter (where target in ('u', 'v') and pulse = 'lp') >= 0.02 as accept from delta")
+@query("m14_candidate_gate", f"select round(min(d_r_squared) filter (where {_PRIMARY}), 6) as worst_intensity, round(avg(d_r_squared) filter (where target in ('u', 'v') and pulse = 'lp'), 6) as mean_vector_gain, coalesce(min(d_r_squared) filter (where {_PRIMARY}) >= -0.01, false) and coalesce(avg(d_r_squared) filter (where target in ('u', 'v') and pulse = 'lp') >= 0.02, false) as accept from delta")
 def m14(spark, d):
     return V.candidate_gate(delta(spark, d)).withColumns({"worst_intensity": F.round("worst_intensity", 6), "mean_vector_gain": F.round("mean_vector_gain", 6)})
 

@@ -17,16 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Altitude layers: an order is a profile, a line number an altitude bin."""
+    """Altitude layers: an order is a profile, a line number an altitude bin. After sixteen times there is a gap of forty minutes."""
     orders, items = table(spark, sf_dir, "orders").select("o_orderkey"), table(spark, sf_dir, "lineitem")
-    joined = orders.where("(o_orderkey div 4) % 24 >= 8").join(items, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = orders.join(items, F.col("l_orderkey") == F.col("o_orderkey"))
     sums = joined.groupBy("o_orderkey", "l_linenumber").agg(
         F.min("l_quantity").alias("q"), F.min("l_discount").alias("d"), F.min("l_partkey").alias("p"), F.min("l_tax").alias("t"),
         F.every(F.col("l_returnflag") == "R").alias("gap"),
     )
     return sums.selectExpr(
         "concat('radar-', lpad(cast(o_orderkey % 4 as string), 2, '0')) as radar", "if(o_orderkey % 5 = 0, 'sp', 'lp') as pulse",
-        f"timestampadd(MINUTE, cast((o_orderkey div 4) * 5 as int), {START}) as ts", "200.0D * l_linenumber as height",
+        f"timestampadd(MINUTE, cast((o_orderkey div 4) * 5 + (o_orderkey div 64) * 40 as int), {START}) as ts", "200.0D * l_linenumber as height",
         "q / 10.0D as dens", "2.0D + d * 100.0D as ff", "cast((p * 37) % 360 as double) as dd",
         "t * 200.0D - 4.0D + if(o_orderkey % 7 = 0, 12.0D, 0.0D) as dbzh", "gap", "cast(l_linenumber as int) as bin",
     )
@@ -34,11 +34,11 @@ def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TABLES["layers"] = """
   select 'radar-' || lpad(cast(o_orderkey % 4 as varchar), 2, '0') as radar, case when o_orderkey % 5 = 0 then 'sp' else 'lp' end as pulse,
-    timestamp '2025-07-14 00:00:00' + to_minutes(cast((o_orderkey // 4) * 5 as int)) as ts, 200.0::double * l_linenumber as height,
+    timestamp '2025-07-14 00:00:00' + to_minutes(cast((o_orderkey // 4) * 5 + (o_orderkey // 64) * 40 as int)) as ts, 200.0::double * l_linenumber as height,
     min(l_quantity) / 10.0::double as dens, 2.0::double + min(l_discount) * 100.0::double as ff, cast((min(l_partkey) * 37) % 360 as double) as dd,
     min(l_tax) * 200.0::double - 4.0::double + case when o_orderkey % 7 = 0 then 12.0::double else 0.0::double end as dbzh,
     bool_and(l_returnflag = 'R') as gap, cast(l_linenumber as int) as bin
-  from orders join lineitem on l_orderkey = o_orderkey where (o_orderkey // 4) % 24 >= 8 group by o_orderkey, l_linenumber
+  from orders join lineitem on l_orderkey = o_orderkey group by o_orderkey, l_linenumber
 """
 TABLES["widths"] = """
   select radar, pulse, ts, coalesce(median(h - was), 200.0) / 1000.0 as width
@@ -214,11 +214,11 @@ TABLES["objects"] = """
 
 
 def external_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Layers of another archive: every third profile, two minutes later, with fewer birds."""
-    return layers(spark, sf_dir).where("(unix_seconds(ts) div 300) % 3 = 0").withColumns({"ts": F.expr("timestampadd(MINUTE, 2, ts)"), "dens": F.col("dens") * 0.8})
+    """Layers of another archive: all profiles, two minutes later, with fewer birds."""
+    return layers(spark, sf_dir).withColumns({"ts": F.expr("timestampadd(MINUTE, 2, ts)"), "dens": F.col("dens") * 0.8})
 
 
-TABLES["external_layers"] = "select * replace (ts + interval 2 minute as ts, dens * 0.8::double as dens) from layers where cast(epoch(ts) as bigint) // 300 % 3 = 0"
+TABLES["external_layers"] = "select * replace (ts + interval 2 minute as ts, dens * 0.8::double as dens) from layers"
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +242,7 @@ def region_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(region, week_start, reporting_rate, radar_intensity, complete_list_count) from orders by the customer's region."""
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n, r = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    j = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
+    j = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
     return j.groupBy(F.col("r_name").alias("region"), F.to_date(F.date_trunc("week", "o_orderdate")).alias("week_start")).agg(
         F.round(F.avg((F.col("o_orderpriority") < "3").cast("double")), 6).alias("reporting_rate"), F.round(F.sum("o_totalprice"), 2).alias("radar_intensity"),
         F.count("*").alias("complete_list_count"),

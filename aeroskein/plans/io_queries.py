@@ -51,10 +51,8 @@ def archive(spark, d, root):
 def s2(spark, d):
     root = scratch_path(spark, "archive")
     archive(spark, d, root)
-    raw = spark.read.option("header", True).csv(root)
-    listed = D.objects(spark, d).selectExpr("radar as folder", "concat(date_format(day, 'yyyyMMdd'), '_', pulse) as object", "radar as archive_radar", "pulse as archive_pulse", "key", "etag")
-    own = raw.drop("radar").join(listed, ["folder", "object"]).withColumnsRenamed({"archive_radar": "radar", "archive_pulse": "pulse", "key": "source_key", "etag": "source_etag"})
-    rows = S.canonical_layers(own)
+    folders = lambda path: F.regexp_replace(F.regexp_extract(path, r"(folder=[^/]+/year=\d{4}/object=[^/]+)/", 1), r"folder=([^/]+)/year=(\d{4})/object=([^/]+)", "$1/$2/$3_vpts.csv")
+    rows = S.read_vpts_archive(spark, root, D.objects(spark, d), name_of=folders)
     return rows.groupBy("radar", "pulse").agg(F.count("*").alias("layers"), F.round(F.sum("dens"), 4).alias("dens"), F.count_if("gap").alias("gaps"))
 
 
@@ -106,7 +104,7 @@ def s10(spark, d):
 @query("s11_read_region_week", "select region, count(*) as n, round(sum(reporting_rate), 4) as rate, cast(sum(case when extract(day from week_start) % 2 = 0 then complete_list_count else 0 end) as bigint) as effort from region_weeks where extract(day from week_start) <> 5 group by region")
 def s11(spark, d):
     root = scratch_path(spark, "weeks")
-    D.region_weeks(spark, d).selectExpr("region", "if(day(week_start) = 5, 'soon', cast(week_start as string)) as week_start", "cast(reporting_rate as string) as reporting_rate", "if(day(week_start) % 2 = 0, cast(complete_list_count as string), '') as complete_list_count").write.option("header", True).csv(root)
+    D.region_weeks(spark, d).selectExpr("region", "if(day(week_start) = 5, '', cast(week_start as string)) as week_start", "cast(reporting_rate as string) as reporting_rate", "if(day(week_start) % 2 = 0, cast(complete_list_count as string), '') as complete_list_count").write.option("header", True).csv(root)
     return S.read_region_week(spark, root, "reporting_rate").groupBy("region").agg(F.count("*").alias("n"), F.round(F.sum("reporting_rate"), 4).alias("rate"), F.sum("complete_list_count").alias("effort"))
 
 
@@ -128,8 +126,8 @@ def s13(spark, d):
 def s14(spark, d):
     root = scratch_path(spark, "metrics")
     m = metrics(spark, d, "baseline").withColumn("validation", F.when(F.col("validation") != "leave_one_radar_out", F.col("validation")))
-    m.groupBy("pulse").agg(F.collect_list(F.struct("pulse", "target", "validation", "rmse")).alias("metrics")).select("metrics").write.json(root)
-    return S.metrics_of(spark.read.json(root), "leave_one_radar_out").select("pulse", "target", "rmse")
+    m.groupBy("pulse").agg(F.collect_list(F.struct("pulse", "target", "validation", "rmse")).alias("metrics")).select("metrics").write.option("maxRecordsPerFile", 1).json(root)
+    return S.read_metrics(spark, root, "leave_one_radar_out").select("pulse", "target", "rmse")
 
 
 @query("s15_read_boundary", "select latitude, longitude, code from cells, (select unnest(['GB', 'IE']) as code, unnest([-5.1, -10.1]) as w, unnest([1.1, -5.6]) as e) where longitude > w and longitude < e and latitude > 50.1 and latitude < 55.1")
@@ -141,7 +139,7 @@ def s15(spark, d):
     D.table(spark, d, "region").where("r_regionkey = 0").select(F.lit(doc).alias("value")).coalesce(1).write.text(root)
     boundary = S.read_boundary(spark, root, "ISO", ["GB", "IE"])
     cells = D.weather_grid(spark, d).select("latitude", "longitude").distinct()
-    return cells.join(F.broadcast(boundary), geo.point_in_polygons(F.col("longitude"), F.col("latitude"), F.col("polygons"))).select("latitude", "longitude", "code")
+    return cells.join(boundary, geo.point_in_polygons(F.col("longitude"), F.col("latitude"), F.col("polygons"))).select("latitude", "longitude", "code")
 
 
 @query("s16_read_weather_long", f"select {HOUR} as hour, level, count(*) as n, round(sum(u), 2) as u, round(sum(sp), 2) as sp from weather_grid where level in (850, 925) group by all")
@@ -190,7 +188,8 @@ def k5(spark, d):
     root = scratch_path(spark, "frames")
     K.write_daily_frames(R.nest_frames(M.wide_frames(spark, d)), root)
     back = spark.read.json(root)
-    return back.select("pulse", F.col("date").cast("string").alias("date"), F.size("frames").alias("frames"), F.size(F.element_at("frames", 1)["cells"]).cast("long").alias("cells"))
+    hours = back.groupBy("pulse", F.col("date").cast("string").alias("date"), "hour").agg(F.sum(F.size("cells")).alias("cells"))
+    return hours.groupBy("pulse", "date").agg(F.count("*").alias("frames"), F.max("cells").alias("cells"))
 
 
 @query("k6_write_daily_by_year", "select cast(date_part('year', o_orderdate) as int) as year, count(*) as n from orders group by 1")
@@ -236,19 +235,22 @@ def k9(spark, d):
     return pointer.join(F.broadcast(rows)).select("version", F.lit(refused).alias("refused"), "rows")
 
 
-@query("k10_artifact_inventory", "select count(*) > 0 as any, count(*) = count(distinct r_regionkey) as keys_differ, true as digests_fit from region")
+@query("k10_artifact_inventory", "select 'part=' || cast(c_custkey // 100 as varchar) as folder, cast(length(string_agg(line, '')) as bigint) as size, sha256(string_agg(line, '' order by c_custkey)) as sha256 from (select c_custkey, cast(c_custkey as varchar) || ' ' || c_name || chr(10) as line from customer) group by c_custkey // 100")
 def k10(spark, d):
+    """Files of a hundred customers each: their sizes and digests."""
     root = scratch_path(spark, "artifacts")
-    D.table(spark, d, "region").repartition(3).write.json(root)
+    rows = D.table(spark, d, "customer").selectExpr("c_custkey div 100 as part", "c_custkey", "concat(c_custkey, ' ', c_name) as value")
+    rows.repartition("part").sortWithinPartitions("part", "c_custkey").select("part", "value").write.partitionBy("part").text(root)
     a = K.artifact_inventory(spark, root).where("size > 0")
-    return a.agg((F.count("*") > 0).alias("any"), (F.count("*") == F.countDistinct("key")).alias("keys_differ"), F.bool_and(F.col("sha256").rlike("^[0-9a-f]{64}$")).alias("digests_fit"))
+    return a.select(F.element_at(F.split("key", "/"), -2).alias("folder"), "size", "sha256")
 
 
-@query("k11_validate_release", "select key as asset, 'missing' as problem from objects where day = date '2025-07-16' union all select null, 'no_data'")
+@query("k11_validate_release", "select key as asset, 'missing' as problem from objects where day = date '2025-07-16' union all select null, 'no_data' union all select null, 'no_data' from (select count(*) from objects where size < 0)")
 def k11(spark, d):
     o = D.objects(spark, d)
     web = o.limit(1).select(F.lit("https://example.org/a.json").alias("asset"))
-    return K.release_problems(o.select(F.col("key").alias("asset")).union(web), o.where("day != date '2025-07-16'"), F.lit(False))
+    found = K.release_problems(o.select(F.col("key").alias("asset")).union(web), o.where("day != date '2025-07-16'"), F.lit(False))
+    return found.union(K.release_problems(o.where("size < 0").select(F.col("key").alias("asset")), o, F.lit(False)))
 
 
 # streams
@@ -306,12 +308,12 @@ def t5(spark, d):
     return last.select("radar", F.col("night_date").cast("string").alias("night_date"))
 
 
-@query("t6_late_data_replace", "select key, case when day = date '2025-07-15' then 'zz' else etag end as etag, cast(case when day = date '2025-07-15' then size + 1 else size end as bigint) as size from objects")
+@query("t6_late_data_replace", "select key, case when day = date '2025-07-15' then '0a' else etag end as etag, cast(case when day = date '2025-07-15' then size + 1 else size end as bigint) as size from objects")
 def t6(spark, d):
     root = scratch_path(spark, "stream")
-    o = D.objects(spark, d).select("key", "etag", "size", "day")
+    o = D.objects(spark, d).select("key", "etag", "size", "day").withColumn("modified", F.lit("2025-08-01 00:00:00").cast("timestamp"))
     o.withColumn("wave", F.lit(0)).write.partitionBy("wave").parquet(f"{root}/in")
-    o.where("day = date '2025-07-15'").withColumns({"etag": F.lit("zz"), "size": F.col("size") + 1, "wave": F.lit(1)}).write.mode("append").partitionBy("wave").parquet(f"{root}/in")
+    o.where("day = date '2025-07-15'").withColumns({"etag": F.lit("0a"), "size": F.col("size") + 1, "modified": F.lit("2025-08-02 00:00:00").cast("timestamp"), "wave": F.lit(1)}).write.mode("append").partitionBy("wave").parquet(f"{root}/in")
     Z.replace_revised(Z.read_stream(spark, f"{root}/in", o.schema, 2), f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return Z.current_rows(spark.read.parquet(f"{root}/out")).select("key", "etag", "size")
 
@@ -340,6 +342,18 @@ def t8(spark, d):
     return spark.read.parquet(f"{root}/out").groupBy("pulse").agg(F.count("*").alias("cells"), F.countDistinct("hour").alias("hours"))
 
 
+@query("t8_day_watermark", "select pulse, cast(cast(hour as date) as varchar) as day, count(*) as cells, count(distinct hour) as hours from wide_frames group by all")
+def t8_watermark(spark, d):
+    """Days as the watermark closes them: a first cell of the next day ends a day."""
+    root = scratch_path(spark, "stream")
+    w = M.wide_frames(spark, d).select("hour", "pulse", "latitude", "longitude")
+    w.withColumn("wave", F.lit(0)).write.partitionBy("wave").parquet(f"{root}/in")
+    w.groupBy("pulse", "latitude", "longitude").agg((F.max("hour") + F.expr("interval 1 day")).alias("hour")).select(*w.columns).limit(1).withColumn("wave", F.lit(1)).write.mode("append").partitionBy("wave").parquet(f"{root}/in")
+    out = Z.day_stream(Z.read_stream(spark, f"{root}/in", w.schema, 64))
+    out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("pulse", F.col("day").cast("string").alias("day"), "cells", "hours")
+
+
 @query("t9_freshness", "select radar, case when a <= 6 then 'assimilated' when a <= 24 then 'propagated' else 'weather_only' end as mode from (select radar, greatest(0, (epoch((select max(ts) from layers)) - epoch(max(ts))) / 3600 + cast(substr(radar, 7) as int) * 9) as a from layers group by radar)")
 def t9(spark, d):
     p = D.layers(spark, d)

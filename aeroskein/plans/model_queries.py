@@ -14,6 +14,7 @@ from aeroskein.operators import training as T
 from aeroskein.operators import weather as W
 from aeroskein.plans import derived as D
 from aeroskein.plans.registry import TABLES, query
+from aeroskein.sources.scratch import scratch_path
 
 HOUR = "strftime(hour, '%Y-%m-%dT%H:%M:%SZ')"
 WINDOW = 5
@@ -21,7 +22,7 @@ WINDOW = 5
 
 def joined(spark, d):
     weather = W.merge_weather_datasets(D.weather_site(spark, d))
-    return W.join_observed_weather(D.hourly(spark, d), weather).join(F.broadcast(D.radars(spark, d).select("radar", "latitude", "longitude")), "radar")
+    return W.join_observed_weather(D.hourly(spark, d), weather).join(D.radars(spark, d).select("radar", "latitude", "longitude"), "radar")
 
 
 TABLES["joined_rows"] = "select h.*, w.* exclude (radar, hour), r.latitude, r.longitude from hourly h join weather w using (radar, hour) join radars r using (radar)"
@@ -88,31 +89,38 @@ def m2(spark, d):
 
 
 def learnable(spark, d):
-    """Training rows without the rolling window."""
-    return T.complete_cases(T.model_rows(joined(spark, d)), list(T.FEATURES)).cache()
+    """Training rows without the rolling window, as a written table that all fits read."""
+    path = scratch_path(spark, "training")
+    T.complete_cases(T.model_rows(joined(spark, d)), list(T.FEATURES)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def _metrics_query(name: str, spec: M.ModelSpec, validation: str):
-    """A query that validates one model of the long pulse: no SQL says the same."""
+BASE = M.default_specs()
+
+
+def _metrics_query(name: str, specs: dict[str, M.ModelSpec], *validations: str):
+    """A query that validates models of both pulses: no SQL says the same."""
 
     @query(name)
     def run(spark, d):
-        rows = learnable(spark, d).where("pulse = 'lp'")
-        pairs = {"loro": M.leave_one_radar_out, "blocked": M.blocked_time}[validation](rows, spec)
-        return M.score_regression(pairs.withColumn("target", F.lit(spec.target)), ["target"])
+        return M.validation_metrics(learnable(spark, d), specs, validations)
 
     return run
 
 
-BASE = M.default_specs()
-_metrics_query("m9_leave_one_radar_out", M.ModelSpec("mtr_birds_km_h", family="additive"), "loro")
-_metrics_query("m10_blocked_time", M.ModelSpec("mtr_birds_km_h", family="additive"), "blocked")
-_metrics_query("m4_fit_additive", M.ModelSpec("vid_birds_per_km2", family="additive"), "blocked")
-_metrics_query("m5_cyclic_smooths", M.ModelSpec("mtr_birds_km_h", family="additive", cyclic=2), "blocked")
-_metrics_query("m6_interactions", M.ModelSpec("bird_u_ms", family="additive", response="identity", weights="mtr", interactions=(("temperature_850", "humidity_850"), ("u_850", "v_850"))), "blocked")
-_metrics_query("m7_tweedie_intensity", M.ModelSpec("mtr_birds_km_h", family="tweedie", predictors=("temperature_850", "u_850", "v_850", "cloud_cover")), "blocked")
-_metrics_query("m8_radar_effect", M.ModelSpec("mtr_birds_km_h", family="additive", radar_effect=True), "blocked")
-_metrics_query("m17_wind_offset_fit", M.ModelSpec("bird_u_ms", family="additive", response="identity", weights="mtr", offset="u_850"), "blocked")
+def _additive(target: str, **more) -> dict[str, M.ModelSpec]:
+    return {target: M.replace(BASE[target], family="additive", **more)}
+
+
+ADDITIVE = {t: M.replace(s, family="additive") for t, s in BASE.items()}
+_metrics_query("m9_leave_one_radar_out", ADDITIVE, "leave_one_radar_out")
+_metrics_query("m10_blocked_time", ADDITIVE, "blocked_time")
+_metrics_query("m4_fit_additive", _additive("vid_birds_per_km2"), "blocked_time")
+_metrics_query("m5_cyclic_smooths", _additive("mtr_birds_km_h", cyclic=2), "blocked_time")
+_metrics_query("m6_interactions", _additive("bird_u_ms", interactions=(("temperature_850", "humidity_850"), ("u_850", "v_850"))), "blocked_time")
+_metrics_query("m7_tweedie_intensity", {"mtr_birds_km_h": M.ModelSpec("mtr_birds_km_h", family="tweedie", predictors=("temperature_850", "u_850", "v_850", "cloud_cover"))}, "blocked_time")
+_metrics_query("m8_radar_effect", _additive("mtr_birds_km_h", radar_effect=True), "blocked_time")
+_metrics_query("m17_wind_offset_fit", _additive("bird_u_ms", offset="u_850"), "blocked_time")
 
 
 #: Rounds of boosting that the survey recommends on Spark; the reference runs 500.
@@ -128,7 +136,7 @@ def m3(spark, d):
 
 def model_grid(spark, d):
     """Grid rows with the features that models read."""
-    wide = W.pivot_levels(D.weather_grid(spark, d)).where("hour < timestamp '2025-07-14 03:00:00'")
+    wide = W.pivot_levels(D.weather_grid(spark, d))
     f = T.weather_features(wide).withColumns({"humidity_850": F.lit(50.0), "mean_sea_level_pressure": F.col("sp") + 800.0, "boundary_layer": F.lit(500.0), "precipitation": F.lit(0.0)})
     from aeroskein.functions.geo import project_laea
 
@@ -136,29 +144,73 @@ def model_grid(spark, d):
     return f.select("hour", "latitude", "longitude", x.alias("easting_m"), y.alias("northing_m"), *T.FEATURES, F.lit(1.0).alias("support"))
 
 
+def by_pulse(spark, d, models_of, predict):
+    """The grid predicted by the models of each pulse."""
+    rows, grid = learnable(spark, d), model_grid(spark, d)
+    out = None
+    for pulse in ("lp", "sp"):
+        part = predict(grid, models_of(rows.where(F.col("pulse") == pulse))).withColumn("pulse", F.lit(pulse))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("m11_grid_scoring")
 def m11(spark, d):
-    rows = learnable(spark, d).where("pulse = 'lp'")
-    models = {t: M.fit(rows, M.replace(BASE[t], family="additive")) for t in ("mtr_birds_km_h", "bird_u_ms")}
-    return M.score_grid(model_grid(spark, d), models).select("hour", "latitude", "longitude", "support", *models, *[f"uncertainty_{t}" for t in models])
+    """All hours and cells, all targets, both pulses."""
+    out = by_pulse(spark, d, lambda rows: M.fit_all(rows, ADDITIVE), M.score_grid)
+    return out.select("pulse", "hour", "latitude", "longitude", "support", *ADDITIVE, *[f"uncertainty_{t}" for t in ADDITIVE])
 
 
 @query("m12_target_overrides")
 def m12(spark, d):
     specs = M.default_specs(mtr_birds_km_h={"family": "additive", "response": "log1p", "weights": "sqrt_mtr", "excluded": ("precipitation",)}, vid_birds_per_km2={"family": "additive", "response": "sqrt"})
-    rows = learnable(spark, d).where("pulse = 'lp'")
-    parts = [M.score_regression(M.blocked_time(rows, specs[t]).withColumn("target", F.lit(t)), ["target"]) for t in ("mtr_birds_km_h", "vid_birds_per_km2")]
-    return parts[0].union(parts[1])
+    return M.validation_metrics(learnable(spark, d), {t: specs[t] for t in M.INTENSITY}, ("blocked_time",))
 
 
 @query("m16_predict_components")
 def m16(spark, d):
-    rows = learnable(spark, d).where("pulse = 'lp'")
-    runs = {
-        "baseline": {"mtr_birds_km_h": M.fit(rows, M.ModelSpec("mtr_birds_km_h", family="additive", response="sqrt")), "bird_u_ms": M.fit(rows, M.replace(BASE["bird_u_ms"], family="additive"))},
-        "candidate": {"bird_u_ms": M.fit(rows, M.replace(BASE["bird_u_ms"], family="additive", offset="u_850"))},
-    }
-    return M.predict_components(model_grid(spark, d), runs, {"mtr_birds_km_h": "baseline", "bird_u_ms": "candidate"}).select("hour", "latitude", "longitude", "mtr_birds_km_h", "bird_u_ms")
+    def runs(rows):
+        return {
+            "baseline": M.fit_all(rows, {"mtr_birds_km_h": M.ModelSpec("mtr_birds_km_h", family="additive", response="sqrt"), "vid_birds_per_km2": ADDITIVE["vid_birds_per_km2"], "bird_v_ms": ADDITIVE["bird_v_ms"]}),
+            "candidate": M.fit_all(rows, _additive("bird_u_ms", offset="u_850")),
+        }
+
+    chosen = {"mtr_birds_km_h": "baseline", "vid_birds_per_km2": "baseline", "bird_u_ms": "candidate", "bird_v_ms": "baseline"}
+    out = by_pulse(spark, d, runs, lambda grid, models: M.predict_components(grid, models, chosen))
+    return out.select("pulse", "hour", "latitude", "longitude", *chosen)
+
+
+# models of two covariates, whose weighted least squares SQL can solve
+
+def _plane(name: str, target: str, x: str, y: str, sql: tuple[str, str, str], wind: tuple[str, str] = ("", "0.0"), cube: bool = False, **more):
+    """A query of the predictions of a linear model of covariates x and y, fitted on all rows of each pulse.
+
+    sql: the target, x and y in SQL. wind: an offset and what it is in SQL. The weights are
+    numbers of profiles.
+    """
+    offset = wind[1]
+    spec = M.ModelSpec(target, **({"family": "additive", "response": "cube_root" if cube else "identity", "weights": "profile_count", "knots": 0, "reg": 0.0, "predictors": (x, y), "offset": wind[0] or None} | more))
+    response = f"cbrt({sql[0]})" if cube else f"({sql[0]} - {offset})"
+    value = "power(greatest(a + b * x + c * y, 0), 3)" if cube else f"a + b * x + c * y + {offset}"
+
+    @query(name, f"""
+with r as (select *, {sql[1]} as x, {sql[2]} as y, {response} as t, greatest(usable_mtr_profile_count, 1)::double as w from qc_rows where {sql[0]} is not null),
+m as (select pulse, sum(w) as sw, sum(w * x) / sum(w) as mx, sum(w * y) / sum(w) as my, sum(w * t) / sum(w) as mt from r group by pulse),
+q as (select pulse, sum(w * (x - mx) * (x - mx)) as xx, sum(w * (y - my) * (y - my)) as yy, sum(w * (x - mx) * (y - my)) as xy, sum(w * (x - mx) * (t - mt)) as xt, sum(w * (y - my) * (t - mt)) as yt from r join m using (pulse) group by pulse),
+k as (select pulse, (xt * yy - yt * xy) / (xx * yy - xy * xy) as b, (yt * xx - xt * xy) / (xx * yy - xy * xy) as c from q), f as (select pulse, b, c, mt - b * mx - c * my as a from k join m using (pulse))
+select radar, pulse, {HOUR} as hour, round({value}, 5) + 0.0 as predicted from r join f using (pulse)""")
+    def run(spark, d):
+        rows = learnable(spark, d)
+        parts = [M.fit(rows.where(F.col("pulse") == p), spec).predict(rows.where(F.col("pulse") == p).where(F.col(target).isNotNull())) for p in ("lp", "sp")]
+        return parts[0].union(parts[1]).select("radar", "pulse", iso(F.col("hour")).alias("hour"), (F.round("predicted", 5) + 0.0).alias("predicted"))
+
+    return run
+
+
+_U = "(mean_ground_speed_ms * sin(radians(dominant_direction_deg)))"
+_plane("m4_additive_plane", "vid_birds_per_km2", "temperature_850", "u_850", ("mean_vid_birds_per_km2", "t_pressure_level_850", "u_pressure_level_850"), cube=True)
+_plane("m6_interaction_plane", "bird_u_ms", "u_850", "u_850_x_v_850", (_U, "u_pressure_level_850", "u_pressure_level_850 * v_pressure_level_850"), predictors=("u_850",), interactions=(("u_850", "v_850"),))
+_plane("m17_offset_plane", "bird_u_ms", "temperature_850", "v_850", (_U, "t_pressure_level_850", "v_pressure_level_850"), wind=("u_850", "u_pressure_level_850"))
 
 
 # frames
@@ -190,11 +242,11 @@ def a32(spark, d):
     return w.select(iso(F.col("hour")).alias("hour"), "pulse", "latitude", "longitude", F.round("support", 6).alias("support"), "uncertainty", *R.TARGETS)
 
 
-@query("a33_nest_frames", f"select pulse, {HOUR} as hour, count(*) as cell_count, first(latitude order by latitude desc, longitude) as first_latitude, first(longitude order by latitude desc, longitude) as first_longitude, first(mtr order by latitude desc, longitude) as first_mtr, last(mtr order by latitude desc, longitude) as last_mtr from wide_frames group by pulse, hour")
+@query("a33_nest_frames", f"select pulse, {HOUR} as hour, count(*) as cell_count, first(latitude order by latitude desc, longitude) as first_latitude, first(longitude order by latitude desc, longitude) as first_longitude, first(mtr order by latitude desc, longitude) as first_mtr, last(mtr order by latitude desc, longitude) as last_mtr, floor(latitude / 5.0) * 5.0 as tile_latitude, floor(longitude / 5.0) * 5.0 as tile_longitude from wide_frames group by pulse, hour, floor(latitude / 5.0), floor(longitude / 5.0)")
 def a33(spark, d):
     n = R.nest_frames(wide_frames(spark, d))
     first, last = F.element_at("cells", 1), F.element_at("cells", -1)
-    return n.select("pulse", iso(F.col("hour")).alias("hour"), F.col("cell_count").cast("long").alias("cell_count"), first["latitude"].alias("first_latitude"), first["longitude"].alias("first_longitude"), first["mtr"].alias("first_mtr"), last["mtr"].alias("last_mtr"))
+    return n.select("pulse", iso(F.col("hour")).alias("hour"), F.col("cell_count").cast("long").alias("cell_count"), first["latitude"].alias("first_latitude"), first["longitude"].alias("first_longitude"), first["mtr"].alias("first_mtr"), last["mtr"].alias("last_mtr"), "tile_latitude", "tile_longitude")
 
 
 @query("a34_day_frame_check", "select pulse, cast(cast(hour as date) as varchar) as day, count(*) as hours, min(n) as fewest, max(n) as most, count(*) = 24 and min(n) = max(n) as ok from (select pulse, hour, count(*) as n from wide_frames where mtr > 0.5 or pulse = 'lp' group by all) group by 1, 2")
@@ -370,7 +422,7 @@ def a27(spark, d):
     return out.withColumns({"vid": F.round("vid", 4), "height_m": F.round("height_m", 6), "speed_ms": F.round("speed_ms", 6)})
 
 
-@query("a40_seasonal_climatology", "with r as (select date_part('month', hour) as month, mean_vid_birds_per_km2 as x, row_number() over (partition by date_part('month', hour) order by mean_vid_birds_per_km2) - 1 as i, count(*) over (partition by date_part('month', hour)) as n from hourly where mean_vid_birds_per_km2 is not null) select cast(month as int) as month, greatest(max(x) filter (where i = n // 2), 0.02) as vid from r group by month")
+@query("a40_seasonal_climatology", "with r as (select date_part('month', hour) as month, mean_vid_birds_per_km2 as x, row_number() over (partition by date_part('month', hour) order by mean_vid_birds_per_km2) - 1 as i, count(*) over (partition by date_part('month', hour)) as n from hourly where mean_vid_birds_per_km2 is not null) select cast(m.month as int) as month, case when count(x) = 0 then 0.25 else greatest(max(x) filter (where i = n // 2), 0.02) end as vid from (select unnest(range(1, 13)) as month) m left join r on r.month = m.month group by m.month")
 def a40(spark, d):
     return H.seasonal_climatology(D.hourly(spark, d))
 
@@ -383,7 +435,7 @@ def observations(spark, d):
     from aeroskein.functions.geo import grid_cell
     from aeroskein.operators.observed import latest_per_radar
 
-    rows = latest_per_radar(D.hourly(spark, d), "hour").join(F.broadcast(D.radars(spark, d).select("radar", "latitude", "longitude")), "radar")
+    rows = latest_per_radar(D.hourly(spark, d), "hour").join(D.radars(spark, d).select("radar", "latitude", "longitude"), "radar")
     row, col = grid_cell((F.col("longitude") + 10) * 70_000.0, (F.col("latitude") - 49) * 111_000.0, 0.0, 0.0, 10_000.0, 175, 230)
     u, v = domain.uv(F.col("mean_ground_speed_ms"), F.col("dominant_direction_deg"), missing_as_zero=True)
     density = F.greatest(F.coalesce("mean_vid_birds_per_km2", F.lit(0.0)), F.lit(0.0))

@@ -81,7 +81,7 @@ def p11(spark, d):
 @query("p12_great_circle", f"select a.radar, b.radar as other, round({KM.format(a='a', b='b')}, 6) as km from stations a, radars b")
 def p12(spark, d):
     a, b = D.stations(spark, d), D.radars(spark, d).selectExpr("radar as other", "latitude as lat2", "longitude as lon2")
-    return a.join(F.broadcast(b)).select("radar", "other", F.round(geo.great_circle_km(F.col("latitude"), F.col("longitude"), F.col("lat2"), F.col("lon2")), 6).alias("km"))
+    return a.join(b).select("radar", "other", F.round(geo.great_circle_km(F.col("latitude"), F.col("longitude"), F.col("lat2"), F.col("lon2")), 6).alias("km"))
 
 
 @query("p13_point_in_polygon", "select latitude, longitude from cells where longitude > -5.1 and longitude < -1.1 and latitude > 49.1 and latitude < 55.1 and not (longitude > -4.1 and longitude < -2.1 and latitude > 51.1 and latitude < 53.1)")
@@ -126,7 +126,7 @@ def j20(spark, d):
     return W.merge_grid_weather(D.weather_grid(spark, d), D.radars(spark, d)).select(iso(F.col("hour")).alias("hour"), "latitude", "longitude", *WIDE)
 
 
-@query("j13_match_site_hour_cell", f"select radar, {HOUR} as hour, t_pressure_level_850 as t850, u_pressure_level_925 as u925 from grid_wide g join radars r on g.latitude = r.latitude and g.longitude = r.longitude where r.longitude <= 0")
+@query("j13_match_site_hour_cell", f"select radar, {HOUR} as hour, t_pressure_level_850 as t850, u_pressure_level_925 as u925 from grid_wide g join (select radar, (select min_by(v, abs(v - latitude) * 1000000 + v) from (select distinct latitude as v from cells)) as cell_latitude, (select min_by(v, abs(v - longitude) * 1000000 + v) from (select distinct longitude as v from cells)) as cell_longitude from radars where longitude <= 0) n on g.latitude = cell_latitude and g.longitude = cell_longitude")
 def j13(spark, d):
     sites = D.radars(spark, d).where("longitude <= 0")
     return W.site_features(D.weather_grid(spark, d), sites).select("radar", iso(F.col("hour")).alias("hour"), F.col("t_pressure_level_850").alias("t850"), F.col("u_pressure_level_925").alias("u925"))
@@ -166,9 +166,9 @@ def a39(spark, d):
 
 
 @query("j21_kernel_grid", """
-with c as (select c_custkey % 120 as row, c_custkey // 120 as col, (c_custkey % 13) / 10.0 as clim from customer), p as (select s_suppkey * 7 % 30 as row, s_suppkey * 11 % 30 as col, greatest(s_acctbal, 0) as v from supplier where s_suppkey < 12)
+with c as (select c_custkey % 120 as row, c_custkey // 120 as col, (c_custkey % 13) / 10.0 as clim from customer), p as (select s_suppkey * 7 % 30 as row, s_suppkey * 11 % 30 as col, greatest(s_acctbal, 0) as v from supplier)
 select c.row, c.col, round((0.04 * greatest(clim, 0.01) + sum(exp(-(power(c.row - p.row, 2) + power(c.col - p.col, 2)) / 288.0) * v)) / (0.04 + sum(exp(-(power(c.row - p.row, 2) + power(c.col - p.col, 2)) / 288.0))), 6) as value from c, p group by c.row, c.col, clim""")
 def j21(spark, d):
     cells = D.table(spark, d, "customer").selectExpr("c_custkey % 120 as row", "c_custkey div 120 as col", "(c_custkey % 13) / 10.0D as climatology")
-    points = D.table(spark, d, "supplier").where("s_suppkey < 12").selectExpr("s_suppkey * 7 % 30 as row", "s_suppkey * 11 % 30 as col", "greatest(s_acctbal, 0.0D) as value")
+    points = D.table(spark, d, "supplier").selectExpr("s_suppkey * 7 % 30 as row", "s_suppkey * 11 % 30 as col", "greatest(s_acctbal, 0.0D) as value")
     return W.kernel_grid(cells, points).withColumn("value", F.round("value", 6))

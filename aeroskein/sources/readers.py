@@ -37,9 +37,17 @@ def read_records(spark: SparkSession, path: str, kind: str) -> DataFrame:
     raise ValueError(f"unknown kind of table: {kind}")
 
 
-def read_vpts_archive(spark: SparkSession, root: str, inventory: DataFrame, max_files: int | None = None) -> DataFrame:
+def key_tail(path: Column) -> Column:
+    """Radar, year and name of an archive file, which its key and its path end with."""
+    return F.regexp_extract(path, r"([^/]+/\d{4}/[^/]+)$", 1)
+
+
+def read_vpts_archive(spark: SparkSession, root: str, inventory: DataFrame, max_files: int | None = None, name_of=key_tail) -> DataFrame:
     """Layers of the inventory's objects (radar, day, pulse, key, etag).
 
+    name_of says of a file's path what key_tail() says of its object's key, for archives that
+    name their folders otherwise.
+
     The object's key says whose rows they are: radar and pulse in the rows are overridden.
     One scan reads the whole archive folder and a join with the inventory keeps its objects;
     Spark doesn't list files one by one.
@@ -48,8 +56,8 @@ def read_vpts_archive(spark: SparkSession, root: str, inventory: DataFrame, max_
         inventory = inventory.orderBy("radar", "day", "pulse").limit(max_files)
     raw = spark.read.option("header", True).option("recursiveFileLookup", True).csv(root)
     path = F.col("_metadata.file_path")
-    rows = raw.select(*[F.col(c) for c in raw.columns if c not in ("radar", "pulse")], F.regexp_extract(path, r"([^/]+/\d{4}/[^/]+)$", 1).alias("_tail"), path.alias("source_uri"))
-    listed = inventory.select(F.regexp_extract("key", r"([^/]+/\d{4}/[^/]+)$", 1).alias("_tail"), "radar", "pulse", F.col("key").alias("source_key"), F.col("etag").alias("source_etag"))
+    rows = raw.select(*[F.col(c) for c in raw.columns if c not in ("radar", "pulse")], name_of(path).alias("_tail"), path.alias("source_uri"))
+    listed = inventory.select(key_tail(F.col("key")).alias("_tail"), "radar", "pulse", F.col("key").alias("source_key"), F.col("etag").alias("source_etag"))
     return canonical_layers(rows.join(listed, "_tail").drop("_tail"))
 
 
@@ -113,10 +121,12 @@ def read_historical_package(spark: SparkSession, root: str) -> dict[str, DataFra
 
 
 def region_weeks(raw: DataFrame, value: str) -> DataFrame:
-    """Rows with a region, an ISO week start and a value; effort is 0 if missing."""
+    """Rows with a region, a week start and a value; effort is 0 if missing. A week start that is no ISO date is an error."""
     effort = num(F.col("complete_list_count")) if "complete_list_count" in raw.columns else F.lit(None).cast("double")
-    out = raw.select("region", F.col("week_start").try_cast("date").alias("week_start"), num(F.col(value)).alias(value), F.coalesce(effort, F.lit(0.0)).cast("long").alias("complete_list_count"))
-    return out.where((F.coalesce("region", F.lit("")) != "") & F.col("week_start").isNotNull() & F.col(value).isNotNull())
+    given = raw.where((F.coalesce("region", F.lit("")) != "") & (F.coalesce("week_start", F.lit("")) != "") & num(F.col(value)).isNotNull())
+    day = F.col("week_start").try_cast("date")
+    week = F.when(day.isNotNull() & F.col("week_start").rlike(r"^\d{4}-\d{2}-\d{2}$"), day).otherwise(F.raise_error(F.concat(F.lit("week_start is no ISO date: "), F.col("week_start"))).cast("date"))
+    return given.select("region", week.alias("week_start"), num(F.col(value)).alias(value), F.coalesce(effort, F.lit(0.0)).cast("long").alias("complete_list_count"))
 
 
 def read_region_week(spark: SparkSession, path: str, value: str) -> DataFrame:

@@ -13,9 +13,11 @@ _OWN: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:
-    """A new path under spark.checkpoint.dir; only where that is unset, in a temporary folder of this machine."""
+    """A new path under spark.checkpoint.dir; only where a local session has none, in a temporary folder of this machine."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         name = spark.sparkContext.applicationId
         root = _OWN[name] = _OWN.get(name) or "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"

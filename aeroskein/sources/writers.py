@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroskein.operators.frames import day_frames
 from aeroskein.operators.training import preferred_order
 
 
@@ -41,8 +40,8 @@ def write_training_table(rows: DataFrame, path: str) -> None:
 
 
 def write_daily_frames(frames: DataFrame, root: str) -> None:
-    """One document a (pulse, day), in folders by both."""
-    docs = day_frames(frames).withColumn("date", F.date_format("day", "yyyyMMdd")).drop("day")
+    """Frames, a line an hour and tile, in folders by pulse and day."""
+    docs = frames.withColumn("date", F.date_format("hour", "yyyyMMdd"))
     docs.write.partitionBy("pulse", "date").mode("overwrite").json(root)
 
 
@@ -84,5 +83,5 @@ def release_problems(assets: DataFrame, files: DataFrame, data_available: Column
     """Assets (asset) of a manifest that no file (key) is, and whether the release has data; web addresses aren't looked for."""
     local = assets.where(~F.col("asset").rlike("^https?://"))
     missing = local.join(files.select(F.col("key").alias("asset")), "asset", "left_anti").select("asset", F.lit("missing").alias("problem"))
-    empty = assets.limit(1).where(~F.coalesce(data_available, F.lit(False))).select(F.lit(None).cast("string").alias("asset"), F.lit("no_data").alias("problem"))
+    empty = assets.sparkSession.range(1).where(~F.coalesce(data_available, F.lit(False))).select(F.lit(None).cast("string").alias("asset"), F.lit("no_data").alias("problem"))
     return missing.union(empty)

@@ -67,7 +67,7 @@ def stream_closed_nights(profiles: DataFrame, state: str, target: str, checkpoin
             before = spark.read.schema(batch.schema).parquet(f"{state}/batch={number - 1}")
             waiting = waiting.unionByName(before.select(*batch.columns))
         newest = waiting.groupBy("radar").agg(F.max(F.to_date("ts")).alias("_newest"))
-        both = waiting.join(F.broadcast(newest), "radar")
+        both = waiting.join(newest, "radar")
         closed = both.where(F.col("night_date") < F.date_sub("_newest", 1)).drop("_newest")
         night_metrics(closed).write.mode("overwrite").parquet(f"{target}/batch={number}")
         both.where(F.col("night_date") >= F.date_sub("_newest", 1)).drop("_newest").write.mode("overwrite").parquet(f"{state}/batch={number}")
@@ -91,7 +91,7 @@ def upsert_latest_nights(nights: DataFrame, state: str, checkpoint: str) -> Stre
 
 
 def replace_revised(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Replace by object key: rows of a key (key, etag) come from its newest etag, however late.
+    """Replace by object key: rows of a key (key, etag, modified) come from its newest version, however late.
 
     Batches land in folders of their own; `current_rows` reads the newest of each key.
     """
@@ -104,9 +104,13 @@ def replace_revised(rows: DataFrame, target: str, checkpoint: str) -> StreamingQ
 
 
 def current_rows(landed: DataFrame) -> DataFrame:
-    """Rows of the newest (etag, batch) of each key."""
-    newest = landed.groupBy("key").agg(F.max(F.struct("etag", "batch")).alias("_v"))
-    return landed.join(newest, "key").where((F.col("etag") == F.col("_v.etag")) & (F.col("batch") == F.col("_v.batch"))).drop("_v", "batch", "part")
+    """Rows of the version of each key that was modified last, of equals the one that came last.
+
+    An etag says only whether versions differ, never which is newer.
+    """
+    version = F.struct("modified", "batch", "etag")
+    newest = landed.groupBy("key").agg(F.max(version).alias("_v"))
+    return landed.join(newest, "key").where(version.eqNullSafe(F.col("_v"))).drop("_v", "batch", "part")
 
 
 def stream_status(spark: SparkSession, before: dict | None, batch_rows: int) -> dict:

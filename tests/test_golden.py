@@ -71,14 +71,111 @@ def metrics(spark, rmse, share):
     return spark.createDataFrame(rows, "validation string, pulse string, target string, rmse double, top_decile_precision double, top_decile_recall double")
 
 
-@pytest.mark.parametrize(("rmse", "share", "promote"), [(8.5, 0.85, True), (9.5, 0.85, False), (8.5, 0.7, False)])
-def test_challenger(spark, rmse, share, promote):
-    assert validation.select_model_family(metrics(spark, 10.0, 0.8), metrics(spark, rmse, share)).first()["promote"] is promote
+@pytest.mark.parametrize(("rmse", "share", "selected"), [(8.5, 0.85, "challenger"), (9.5, 0.85, "baseline"), (8.5, 0.7, "baseline")])
+def test_challenger(spark, rmse, share, selected):
+    row = validation.select_model_family(metrics(spark, 10.0, 0.8), metrics(spark, rmse, share)).first()
+    assert row["selected"] == selected and row["temporal_required"] is False
 
 
 def test_missing_row_is_no_promotion(spark):
     challenger = metrics(spark, 8.5, 0.85).where("not (pulse = 'sp' and target = 'vid')")
-    assert validation.select_model_family(metrics(spark, 10.0, 0.8), challenger).first()["promote"] is False
+    base = metrics(spark, 10.0, 0.8)
+    assert validation.select_model_family(base, challenger).first()["selected"] == "baseline"
+    reasons = {(r["pulse"], r["target"]): r["reason"] for r in validation.family_checks(base, challenger).where("validation = 'leave_one_radar_out'").collect()}
+    assert reasons == {("lp", "mtr"): None, ("lp", "vid"): None, ("sp", "mtr"): None, ("sp", "vid"): "missing_metrics"}
+
+
+def test_blocked_times_count_where_there_are_any(spark):
+    blocked = lambda rmse: metrics(spark, rmse, 0.85).withColumn("validation", F.lit("blocked_time"))
+    base, challenger = metrics(spark, 10.0, 0.8), metrics(spark, 8.5, 0.85)
+    said = lambda b, c: validation.select_model_family(b, c).first()["selected"]
+    assert said(base.union(blocked(10.0)), challenger.union(blocked(8.0))) == "challenger"
+    assert said(base.union(blocked(10.0)), challenger.union(blocked(9.8))) == "baseline" and said(base, challenger.union(blocked(8.0))) == "baseline"
+    # vectors are judged on held-out radars only
+    worse = blocked(8.0).withColumn("rmse", F.when(F.col("target").isin("u", "v"), 99.0).otherwise(F.col("rmse")))
+    assert said(base.union(blocked(10.0)), challenger.union(worse)) == "challenger"
+    bad = challenger.withColumn("rmse", F.when(F.col("target") == "u", 10.21).otherwise(F.col("rmse")))
+    assert said(base, bad) == "baseline"
+
+
+def test_the_gate_leaves_the_short_pulse_s_density_out(spark):
+    rows = [("lp", "mtr", 0.0), ("lp", "vid", -0.01), ("sp", "mtr", 0.1), ("sp", "vid", -5.0), ("lp", "u", 0.03), ("lp", "v", 0.01), ("sp", "u", -1.0)]
+    r = validation.candidate_gate(spark.createDataFrame(rows, "pulse string, target string, d_r_squared double")).first()
+    assert (r["worst_intensity"], round(r["mean_vector_gain"], 9), r["accept"]) == (-0.01, 0.02, True)
+    assert validation.candidate_gate(spark.createDataFrame([], "pulse string, target string, d_r_squared double")).first()["accept"] is False
+
+
+def targets(spark, last, was, **more):
+    date = lambda df, c: df.withColumn(c, F.col(c).cast("date"))
+    catalog = date(spark.createDataFrame([("a", last)], "radar string, last_date string"), "last_date")
+    cursor = date(spark.createDataFrame([("a", was)] if was else [], "radar string, source_date string"), "source_date")
+    return inventory.incremental_targets(catalog, cursor, **more)
+
+
+@pytest.mark.parametrize(("last", "was", "days"), [
+    ("2026-07-14", None, ["2026-07-12", "2026-07-13", "2026-07-14"]), ("2026-07-14", "2026-07-14", ["2026-07-13", "2026-07-14"]), ("2026-07-14", "2026-07-13", ["2026-07-13", "2026-07-14"]),
+    ("2026-07-14", "2026-07-01", [f"2026-07-{k:02d}" for k in range(1, 9)]), ("2026-07-14", "2026-07-15", []),
+])
+def test_days_to_read(spark, last, was, days):
+    """A lookback of two days reads three; a cursor far behind moves on by seven days and skips none."""
+    t = targets(spark, last, was, lookback=2)
+    assert sorted(str(r["day"]) for r in inventory.target_days(t).collect()) == days
+
+
+def test_cursor_after_a_run(spark):
+    t = targets(spark, "2026-07-14", "2026-07-01")
+    objects = spark.createDataFrame([("a", f"2026-07-{k:02d}", p, f"{p}{k}", "e") for k in (7, 8) for p in ("lp", "sp")], "radar string, day string, pulse string, key string, etag string").withColumn("day", F.col("day").cast("date"))
+    r = inventory.catch_up_status(t, objects, objects.limit(0).select("key", "etag")).first()
+    assert (str(r["proposed_source_date"]), str(r["latest_complete_night"]), r["selected_file_count"], r["missing_target"], r["changed"]) == ("2026-07-08", "2026-07-07", 2, False, True)
+    same = inventory.catch_up_status(targets(spark, "2026-07-08", "2026-07-08"), objects, objects.select("key", "etag"))
+    assert same.first()["changed"] is False and inventory.run_status(same).first()["no_change"] is True
+    lost = inventory.catch_up_status(targets(spark, "2026-07-14", "2026-07-14"), objects, objects.select("key", "etag"))
+    assert inventory.run_status(lost).first().asDict() == {"ok": False, "no_change": False, "changed_radars": 0, "files": 0}
+
+
+def test_rows_of_one_time_all_find_their_partner(spark):
+    left = spark.createDataFrame([("a", "2025-07-14 00:02:00", p) for p in ("lp", "sp")] + [("a", "2025-07-14 00:02:00", "lp")], "radar string, ts string, pulse string").withColumn("ts", F.col("ts").cast("timestamp"))
+    right = left.limit(1).select("radar", (F.col("ts") + F.expr("interval 1 minute")).alias("ts"))
+    assert [r["offset_s"] for r in compare.asof_nearest(left, right).collect()] == [-60.0] * 3
+
+
+def test_reports_agree_in_source_and_in_name_whatever_its_case(spark):
+    crosswalk = spark.createDataFrame([("ukone", "bejab", "baltrad"), ("uktwo", "frabb", "baltrad")], "radar string, other string, source string")
+    reports = spark.createDataFrame([("UKONE", "BEJAB", "baltrad", "2025-01-01", 1, 20), ("ukone", "bejab", "uva", "2025-02-01", 2, 30), ("uktwo", "frabb", "uva", "2025-02-01", 3, 9)], "radar string, other string, source string, generated_at string, order int, levels int")
+    got = {r["radar"]: (r["report_available"], r["levels"]) for r in compare.comparison_index(crosswalk, reports).collect()}
+    assert got == {"ukone": (True, 20), "uktwo": (False, None)}
+
+
+def test_revisions_are_told_by_time_not_by_etag(spark):
+    from aeroskein.streaming.archive import current_rows
+
+    rows = [("k", "zz9", "2025-07-01", 0, 1), ("k", "aa1", "2025-07-02", 1, 2), ("late", "b", "2025-07-02", 0, 3), ("late", "c", "2025-07-01", 1, 4), ("twice", "x", "2025-07-01", 0, 5), ("twice", "w", "2025-07-01", 1, 6)]
+    got = current_rows(spark.createDataFrame(rows, "key string, etag string, modified string, batch int, size int")).collect()
+    assert {r["key"]: r["size"] for r in got} == {"k": 2, "late": 3, "twice": 6}
+
+
+def test_an_empty_release_has_a_problem(spark):
+    from aeroskein.sources.writers import release_problems
+
+    none = spark.createDataFrame([], "asset string")
+    assert [r["problem"] for r in release_problems(none, none.withColumnRenamed("asset", "key"), F.lit(False)).collect()] == ["no_data"]
+
+
+def test_a_week_that_is_no_date_is_an_error(spark):
+    from aeroskein.sources.readers import region_weeks
+
+    raw = spark.createDataFrame([("a", "2025-01-06", "1"), ("", "soon", "1"), ("b", "soon", None), ("c", None, "2")], "region string, week_start string, rate string")
+    assert region_weeks(raw, "rate").count() == 1
+    with pytest.raises(Exception, match="ISO"):
+        region_weeks(raw.union(spark.createDataFrame([("a", "soon", "1")], raw.schema)), "rate").collect()
+
+
+def test_a_month_without_rows(spark):
+    from aeroskein.operators.historical import seasonal_climatology
+
+    rows = spark.createDataFrame([("2025-03-01", 1.0), ("2025-03-02", 3.0), ("2025-04-01", 0.001), ("2025-05-01", None)], "hour string, mean_vid_birds_per_km2 double").withColumn("hour", F.col("hour").cast("timestamp"))
+    got = {r["month"]: r["vid"] for r in seasonal_climatology(rows).collect()}
+    assert got == {m: 0.25 for m in range(1, 13)} | {3: 3.0, 4: 0.02}
 
 
 def test_nearest_profile_within_the_day_and_tolerance(spark):
