@@ -15,11 +15,10 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from aeroskein.llm.common import WORD, batches, staged, text_of
+from aeroskein.llm.common import WORD, batches, dealt, hot_keys, in_parts, staged, text_of
 from aeroskein.llm.components import connected_components
 from aeroskein.llm.tiles import groups, tiled
 
@@ -29,6 +28,8 @@ SHINGLE = 5
 BANDS, ROWS = 30, 6
 COMPONENTS = BANDS * ROWS
 SIMILARITY = 0.8
+#: Members of a bucket that meet its lead in one streamed chunk.
+CHUNK = 256
 #: Pairs whose signatures agree in a smaller share aren't verified: 0.8 less 4.6 standard deviations.
 LEAST_AGREEMENT = SIMILARITY - 4.6 * (SIMILARITY * (1 - SIMILARITY) / COMPONENTS) ** 0.5
 
@@ -131,8 +132,13 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(both) / float(a[1].sum() + b[1].sum() - both)
 
 
+def row_key() -> Column:
+    """Tells rows with one doc_id and different texts apart."""
+    return F.xxhash64(text_of())
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, k1, k2, weight, bands, sig) of each row: key of the word sequence, shingles, signature."""
+    """(doc_id, row, k1, k2, weight, bands, sig) of each row: keys of its text and word sequence, shingles, signature."""
 
     def run(frames):
         for frame in batches(frames, 256):
@@ -146,131 +152,151 @@ def signed(docs: DataFrame) -> DataFrame:
                 bands = mixed(mixed(rows).sum(axis=2)).astype(np.int64)
             keys = keys.astype(np.int64)
             yield pd.DataFrame({
-                "doc_id": frame["doc_id"].to_numpy(), "k1": keys[:, 0], "k2": keys[:, 1], "weight": weight,
+                "doc_id": frame["doc_id"].to_numpy(), "row": frame["row"].to_numpy(), "k1": keys[:, 0], "k2": keys[:, 1], "weight": weight,
                 "bands": list(bands), "sig": [x.tobytes() for x in small],
             })
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).where("doc_id is not null").mapInPandas(
-        run, "doc_id long, k1 long, k2 long, weight long, bands array<long>, sig binary"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), text_of().alias("text")).where("doc_id is not null").mapInPandas(
+        run, "doc_id long, row long, k1 long, k2 long, weight long, bands array<long>, sig binary"
     )
 
 
-@F.pandas_udf(T.DoubleType())
-def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([float((np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)).mean()) for x, y in zip(a, b)], dtype=float)
-
+def _content(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, grams, counts) of the wanted nodes: sorted shingle hashes and their weights as bytes.
 
-@F.pandas_udf(T.DoubleType())
-def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Exact weighted Jaccard similarity of two columns of texts."""
-    kept: dict[str, tuple] = {}
+    Always by a sorted merge: how the plan scales doesn't hang on a small side's size.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), text_of().alias("text"))
+    rows = nodes.join(wanted.distinct().hint("merge"), "node", "left_semi").select("node", "doc_id", "row")
+    found = texts.join(rows.hint("merge"), ["doc_id", "row"]).dropDuplicates(["node"]).select("node", "text")
 
-    def counts(text: str):
-        got = kept.get(text)
-        if got is None:
-            if len(kept) > 32:
-                kept.clear()
-            _, g, w, _ = shingles([text])
-            got = kept[text] = (g, w)
-        return got
+    def run(frames):
+        for frame in batches(frames, 256):
+            d, g, w, _ = shingles(list(frame["text"]))
+            cuts = np.searchsorted(d, np.arange(len(frame) + 1))
+            yield pd.DataFrame({
+                "node": frame["node"].to_numpy(), "grams": [g[x:y].tobytes() for x, y in zip(cuts, cuts[1:])],
+                "counts": [w[x:y].astype(np.int32).tobytes() for x, y in zip(cuts, cuts[1:])],
+            })
 
-    return pd.Series([weighted_jaccard(counts(x), counts(y)) for x, y in zip(a, b)], dtype=float)
+    return staged(found.mapInPandas(run, "node long, grams binary, counts binary"), "grams")
 
 
-def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """Texts of the ids, always by a sorted merge: how the plan scales doesn't hang on a small side's size."""
-    return texts.join(ids.distinct().hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+def _led(pairs: DataFrame, content: DataFrame, holds) -> DataFrame:
+    """The pairs (a, b, n) for whose contents `holds` is true, as a written table of a, b and n.
 
+    Members meet their lead a in chunks of bounded size, and the lead's content travels once a
+    chunk, not once a pair. A chunk is streamed: the lead comes first and is all that is held.
+    n, the size of the pair's bucket, sets the number of chunks.
+    """
+    dealt = pairs.withColumn("chunk", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / F.lit(float(CHUNK)))).cast("int"))
+    members = dealt.select("a", "chunk", F.col("b").alias("node"), "n")
+    leads = dealt.select("a", "chunk").distinct().select("a", "chunk", F.col("a").alias("node"), F.lit(0).cast("long").alias("n"))
+    keys = ["a", "chunk"]
+    parts = max(1, int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = members.union(leads).join(content.hint("merge"), "node").repartition(parts, *keys).sortWithinPartitions("a", "chunk", F.col("node") != F.col("a"))
+    columns = [c for c in content.columns if c != "node"]
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose texts' similarity is high enough, as a written table."""
-    content = staged(_texts_of(texts, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), "content")
-    left = content.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = content.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
-    return staged(both.where(overlap("ta", "tb") >= similarity).select("a", "b"), "links")
+    def run(frames):
+        lead = of = None
+        for frame in frames:
+            out = []
+            for a, chunk, node, n, *values in frame[["a", "chunk", "node", "n", *columns]].itertuples(index=False, name=None):
+                if node == a:
+                    lead, of = values, (a, chunk)
+                elif of == (a, chunk) and holds(lead, values):
+                    out.append((a, node, n))
+            yield pd.DataFrame(out, columns=["a", "b", "n"])
 
+    return staged(rows.mapInPandas(run, "a long, b long, n long"), "pairs")
 
-def _grams_of(rows: DataFrame) -> DataFrame:
-    """(doc_id, grams, counts): sorted shingle hashes and their weights as bytes."""
 
-    def run(frames):
-        for frame in batches(frames, 256):
-            d, g, w, _ = shingles(list(frame["text"]))
-            cuts = np.searchsorted(d, np.arange(len(frame) + 1))
-            yield pd.DataFrame({
-                "doc_id": frame["doc_id"].to_numpy(), "grams": [g[x:y].tobytes() for x, y in zip(cuts, cuts[1:])],
-                "counts": [w[x:y].astype(np.int32).tobytes() for x, y in zip(cuts, cuts[1:])],
-            })
+def _likely(similarity: float):
+    def holds(x, y) -> bool:
+        (wx, sx), (wy, sy) = x, y
+        if min(wx, wy) < similarity * max(wx, wy):
+            return False
+        return float((np.frombuffer(sx, np.uint16) == np.frombuffer(sy, np.uint16)).mean()) >= LEAST_AGREEMENT
 
-    return rows.mapInPandas(run, "doc_id long, grams binary, counts binary")
+    return holds
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, kept) of each row of `docs` (doc_id, text) with an id.
+def _similar(similarity: float):
+    def bag(x):
+        return np.frombuffer(x[0], np.uint64), np.frombuffer(x[1], np.int32).astype(np.int64)
 
-    class_id is the smallest doc_id reachable over links, which are pairs that share a band
-    and whose exact weighted Jaccard similarity of five-word shingles is `similarity` at
-    least; kept says that it is the row's own.
+    return lambda x, y: weighted_jaccard(bag(x), bag(y)) >= similarity
 
-    Documents of equal word sequences form a class of which one goes on. In each bucket
-    every member is first held against the bucket's smallest id, which joins most of a group
-    with few pairs. Only pairs of one bucket that are then in different components can add
-    anything; buckets with such pairs are compared in bounded tiles, exactly, and give only
-    the links that join components. So the components are those of all links, but pairs
-    within a group are never listed.
 
-    Null or wordless texts link with nothing. Rows without doc_id are left out; repeated rows
-    repeat. Empty input gives no rows.
-    """
+def _classed(docs: DataFrame, similarity: float) -> DataFrame:
+    """(doc_id, row, copy_of, group, class_id) of each row with an id; see near_duplicates(). group tells components apart."""
     sigs = staged(signed(docs), "signed")
-    classes = staged(sigs.where("weight > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
-    members = staged(
-        sigs.select("doc_id", "k1", "k2", "weight").join(classes, ["k1", "k2"], "left")
-        .select("doc_id", F.when(F.col("weight") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep"), "weight"), "members",
+    # a node is a word sequence; ids of nodes are written once, so all that follows reads the same ones
+    nodes = staged(
+        sigs.where("weight > 0").groupBy("k1", "k2")
+        .agg(F.min(F.struct("doc_id", "row")).alias("first"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+        .select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "first.doc_id", "first.row", "weight", "bands", "sig"), "nodes",
     )
-    own = members.where("doc_id = rep and weight > 0").select("doc_id").distinct()
-    reps = sigs.join(own, "doc_id").dropDuplicates(["doc_id"])
-    slots = staged(reps.select("doc_id", "weight", F.posexplode("bands").alias("band", "hash")), "slots")
+    slots = staged(nodes.select("node", "weight", F.posexplode("bands").alias("band", "hash")), "slots")
     buckets = staged(
-        slots.groupBy("band", "hash").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n")).where("n > 1"), "buckets"
-    )
-    crowded = slots.join(buckets, ["band", "hash"])
-    ratio = F.least("wa", "wb") >= F.greatest("wa", "wb") * F.lit(similarity)
-    narrow = sigs.select("doc_id", "weight", "sig").dropDuplicates(["doc_id"])
-    sig_a = narrow.select(F.col("doc_id").alias("a"), F.col("sig").alias("sa"), F.col("weight").alias("wa"))
-    sig_b = narrow.select(F.col("doc_id").alias("b"), F.col("sig").alias("sb"), F.col("weight").alias("wb"))
-    stars = crowded.where("doc_id != lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
-    likely = staged(
-        stars.join(sig_a, "a").join(sig_b, "b").where(ratio).where(agreement("sa", "sb") >= LEAST_AGREEMENT).select("a", "b"), "pairs"
+        slots.groupBy("band", "hash").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1"), "buckets"
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    links = _verified(likely, texts, similarity)
+    sizes = buckets.withColumn("bucket", F.struct("band", "hash"))
+    hot = hot_keys(sizes.select("bucket", "n"), "bucket")
+    met = in_parts(sizes.select("bucket", "lead", "n"), hot, "bucket")
+    crowded = dealt(slots.withColumn("bucket", F.struct("band", "hash")), hot, "bucket", "node").join(met, ["bucket", "part"])
+    stars = crowded.where("node != lead").groupBy(F.col("lead").alias("a"), F.col("node").alias("b")).agg(F.max("n").alias("n"))
+    likely = _led(stars, nodes.select("node", "weight", "sig"), _likely(similarity))
+    links = _led(likely, _content(docs, nodes, likely.select(F.explode(F.array("a", "b")).alias("node"))), _similar(similarity)).select("a", "b")
     joined = connected_components(links)
 
     # pairs of one bucket that the stars left apart; of two members the only pair is done
-    known = joined.select(F.col("node").alias("doc_id"), "component")
-    placed = crowded.where("n > 2").join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    placed = staged(placed.select("band", "hash", "n", "doc_id", "weight", "component"), "placed")
-    apart = placed.groupBy("band", "hash").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("band", "hash")
-    open_rows = staged(placed.join(apart, ["band", "hash"]), "open")
-    grams = staged(_grams_of(_texts_of(texts, open_rows.select("doc_id"))), "grams")
-    carried = open_rows.join(narrow.select("doc_id", "sig").join(grams.hint("merge"), "doc_id").hint("merge"), "doc_id")
-    across = tiled(carried, ["band", "hash"], "doc_id", "n").mapInPandas(_across(similarity), "a long, b long")
+    placed = crowded.where("n > 2").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = staged(placed.select("bucket", "part", "n", "node", "weight", "component"), "placed")
+    apart = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("bucket")
+    open_rows = placed.join(in_parts(apart, hot, "bucket"), ["bucket", "part"]).select("bucket.band", "bucket.hash", "n", "node", "weight", "component")
+    open_rows = staged(open_rows, "open")
+    grams = _content(docs, nodes, open_rows.select("node"))
+    carried = open_rows.join(nodes.select("node", "sig").join(grams.hint("merge"), "node").hint("merge"), "node")
+    across = tiled(carried, ["band", "hash"], "node", "n").mapInPandas(_across(similarity), "a long, b long")
     more = staged(across, "links")
     if more.limit(1).count():
         joined = connected_components(links.union(more))
-    component = joined.select(F.col("node").alias("rep"), "component")
-    return members.join(component, "rep", "left").select(
-        "doc_id", F.coalesce("component", "rep").alias("class_id"), (F.col("doc_id") == F.coalesce("component", "rep")).alias("kept")
-    )
+
+    known = nodes.select("k1", "k2", "node", F.col("doc_id").alias("copy_of")).join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    classes = known.groupBy("component").agg(F.min("copy_of").alias("class_id"))
+    known = known.join(classes, "component").select("k1", "k2", "copy_of", F.col("component").alias("group"), "class_id")
+    wordless = F.col("weight") == 0
+    own = sigs.where(wordless).select("doc_id", "row", F.col("doc_id").alias("copy_of"), F.lit(None).cast("long").alias("group"), F.col("doc_id").alias("class_id"))
+    return sigs.where(~wordless).select("doc_id", "row", "k1", "k2").join(known, ["k1", "k2"]).select("doc_id", "row", "copy_of", "group", "class_id").union(own)
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, class_id, kept, copy_of) of each row of `docs` (doc_id, text) with an id.
+
+    class_id is the smallest doc_id reachable over links, which are pairs that share a band
+    and whose exact weighted Jaccard similarity of five-word shingles is `similarity` at
+    least; kept says that it is the row's own. copy_of is the smallest doc_id with the very
+    same words.
+
+    Rows of equal word sequences are one node. In each bucket every node is first held
+    against the bucket's first, which joins most of a group with few pairs. Only pairs of one
+    bucket that are then in different components can add anything; buckets with such pairs
+    are compared in bounded tiles, exactly, and give only the links that join components. So
+    the components are those of all links, but pairs within a group are never listed.
+
+    Null or wordless texts link with nothing. Rows without doc_id are left out; repeated rows
+    repeat; rows of one doc_id with different texts are nodes of their own, each with the
+    class of its text. Empty input gives no rows.
+    """
+    return _classed(docs, similarity).select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"), "copy_of")
 
 
 def _across(similarity: float):
     def run(frames):
         """Links of a tile that join components. A pair is looked at in its first common band only."""
         for tile in groups(frames, ["band", "hash", "_i", "_j"]):
-            ids, weight = tile["doc_id"].to_numpy(), tile["weight"].to_numpy().astype(float)
+            ids, weight = tile["node"].to_numpy(), tile["weight"].to_numpy().astype(float)
             _, root = np.unique(tile["component"].to_numpy(), return_inverse=True)
             band, chunk = int(tile["band"].iloc[0]), tile["_chunk"].to_numpy()
             mixed_chunks = tile["_i"].iloc[0] != tile["_j"].iloc[0]
@@ -326,11 +352,15 @@ class _TileContent:
 
 
 def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of `docs` that are the first of their class; columns as in docs.
+    """One row of `docs` for each class of near copies, that of its smallest doc_id; columns as in docs.
 
-    Rows without doc_id stay. Of rows that repeat an id, one stays.
+    Rows without doc_id stay, as do different texts of one id that are no near copies. Of
+    rows with equal id and text one stays.
     """
-    kept = near_duplicates(docs, similarity).where("kept").select("doc_id").distinct()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    named = rows.where("doc_id is not null").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
-    return named.union(rows.where("doc_id is null")).select("row.*")
+    classed = _classed(docs, similarity)
+    here = F.struct("doc_id", "row")
+    first = classed.where("group is not null").groupBy("group").agg(F.min(here).alias("first")).select("first.doc_id", "first.row")
+    kept = first.union(classed.where("group is null").select("doc_id", "row")).distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), F.struct(*[docs[c] for c in docs.columns]).alias("whole"))
+    named = rows.where("doc_id is not null").dropDuplicates(["doc_id", "row"]).join(kept, ["doc_id", "row"], "left_semi")
+    return named.union(rows.where("doc_id is null")).select("whole.*")

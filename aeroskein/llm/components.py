@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from aeroskein.llm.common import staged
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node in `edges` (columns a, b); component is the smallest node reachable.
 
     Each round takes the smallest label among the neighbours, then follows the label of the
-    label, so that chains shorten by halves. Sums and minima are combined before they are
+    label, so that chains shorten by halves, until no label falls. Sums and minima are combined before they are
     shuffled; no neighbour list is ever gathered. Every round is a written table.
     Null ends and self loops are dropped; no edges give no rows.
     """
@@ -24,7 +24,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     labels = staged(both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("m"))
                     .select("node", F.least("node", "m").alias("component")), "labels")
-    for _ in range(max_rounds):
+    while True:
         near = (
             both.join(labels.select(F.col("node").alias("dst"), "component"), "dst")
             .groupBy(F.col("src").alias("node")).agg(F.min("component").alias("m"))
@@ -39,4 +39,3 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         labels = jumped.select("node", "component")
         if not changed:
             return labels
-    raise RuntimeError(f"no fixed point after {max_rounds} rounds")

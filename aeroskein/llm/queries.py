@@ -132,7 +132,7 @@ pairs as (select a, b from shared join size x on x.doc_id = a join size y on y.d
 link as (select a, b from pairs union all select b, a from pairs),
 reach as (select doc_id as a, doc_id as b from words union select r.a, l.b from reach r join link l on r.b = l.a),
 component as (select a, min(b) as c from reach group by a)
-select doc_id, c as class_id, doc_id = c as kept from words join component on component.a = words.doc_id
+select doc_id, c as class_id, doc_id = c as kept, case when len(w) > 0 then min(doc_id) over (partition by w) else doc_id end as copy_of from words join component on component.a = words.doc_id
 """,
     "op9_arc_to_warc": r"""
 with hashed as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as h from pages),

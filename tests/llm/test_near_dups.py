@@ -140,3 +140,15 @@ def test_vectors(spark):
 
 def test_no_vectors(spark):
     assert embedding_links(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_one_id_with_different_texts(spark, docs_of):
+    """No text is lost because another one has its id."""
+    rnd = random.Random(8)
+    a, b = (" ".join(f"{x}{rnd.randrange(500)}" for _ in range(60)) for x in "ab")
+    docs = docs_of([(1, a), (1, b), (2, b), (3, a), (1, a), (4, None), (4, ""), (None, a), (None, a)])
+    got = sorted((r["doc_id"], r["class_id"], r["copy_of"]) for r in near_duplicates(docs).collect())
+    assert got == [(1, 1, 1)] * 3 + [(2, 1, 1), (3, 1, 1), (4, 4, 4), (4, 4, 4)]
+    kept = keep_one_of_each(docs)
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == sorted([(1, a), (1, b), (4, ""), (0, a), (0, a)])
+    assert kept.columns == docs.columns
