@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeroskein.llm.common import staged
+from aeroskein.llm.common import dealt, hot_keys, in_parts, staged
 from aeroskein.llm.components import connected_components
 from aeroskein.llm.tiles import groups, tiled
 
@@ -26,6 +27,7 @@ def table_plan(rows: int, cosine: float = COSINE, recall: float = RECALL) -> tup
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - same))
 
 
+@lru_cache(maxsize=4)
 def hyperplanes(dim: int, bits: int, tables: int, seed: int = 17) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((dim, bits * tables))
 
@@ -94,17 +96,18 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE, recall: float =
     def hashed(frames):
         for frame in frames:
             for dim, part in frame.groupby("dim"):
-                got = codes(_units(list(part["raw"])), hyperplanes(int(dim), bits, tables), bits)
-                yield pd.DataFrame({"vec_id": part["vec_id"].to_numpy(), "dim": int(dim), "codes": list(got)})
+                yield part.assign(codes=list(codes(_units(list(part["raw"])), hyperplanes(int(dim), bits, tables), bits)))
 
-    slots = reps.select("vec_id", "dim", "raw").mapInPandas(hashed, "vec_id long, dim int, codes array<long>")
-    slots = staged(slots.select("vec_id", "dim", F.posexplode("codes").alias("t", "code")), "slots")
-    crowded = slots.join(slots.groupBy("dim", "t", "code").agg(F.count("*").alias("n")).where("n > 1"), ["dim", "t", "code"])
-    members = crowded.join(reps, ["vec_id", "dim"])
+    coded = staged(reps.mapInPandas(hashed, "vec_id long, copies long, dim int, raw binary, codes array<long>"), "coded")
+    slots = coded.select("vec_id", F.posexplode("codes").alias("t", "code"), "dim").select("vec_id", "dim", "t", F.struct("dim", "t", "code").alias("bucket"))
+    buckets = staged(slots.groupBy("bucket").agg(F.count("*").alias("n")), "buckets")
+    hot = hot_keys(buckets, "bucket")
+    crowded = dealt(slots, hot, "bucket", "vec_id").join(in_parts(buckets.where("n > 1"), hot, "bucket"), ["bucket", "part"]).drop("part")
+    members = crowded.join(coded, ["vec_id", "dim"])
 
     def compared(frames):
-        for tile in groups(frames, ["dim", "t", "code", "_i", "_j"]):
-            dim, t = int(tile["dim"].iloc[0]), int(tile["t"].iloc[0])
+        for tile in groups(frames, ["b1", "b2", "_i", "_j"]):
+            t = int(tile["t"].iloc[0])
             ids, copies, chunk = tile["vec_id"].to_numpy(), tile["copies"].to_numpy(), tile["_chunk"].to_numpy()
             across = tile["_i"].iloc[0] != tile["_j"].iloc[0]
             unit = _units(list(tile["raw"]))
@@ -122,7 +125,7 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE, recall: float =
                     continue
                 if t:
                     if own is None:
-                        own = codes(unit, hyperplanes(dim, bits, tables)[:, : bits * t], bits)
+                        own = np.stack(list(tile["codes"]))[:, :t]
                     new = np.ones(len(a), bool)
                     for lo in range(0, len(a), 65_536):
                         new[lo : lo + 65_536] = ~(own[a[lo : lo + 65_536]] == own[b[lo : lo + 65_536]]).any(axis=1)
@@ -137,7 +140,9 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE, recall: float =
                 top = np.array([_find(root, x) for x in linked])
                 yield pd.DataFrame({"vec_id": ids[linked], "n": near[linked], "other": ids[top]})
 
-    found = staged(tiled(members, ["dim", "t", "code"], "vec_id", "n", TILE).mapInPandas(compared, "vec_id long, n long, other long"), "tiles")
+    # a bucket as two numbers, to tell tiles apart
+    members = members.withColumns({"b1": F.col("bucket.t") + F.col("bucket.dim") * F.lit(1 << 32), "b2": F.col("bucket.code")}).drop("bucket")
+    found = staged(tiled(members, ["b1", "b2"], "vec_id", "n", TILE).mapInPandas(compared, "vec_id long, n long, other long"), "tiles")
     counts = found.groupBy(F.col("vec_id").alias("rep")).agg(F.sum("n").alias("n"))
     parts = connected_components(found.select(F.col("vec_id").alias("a"), F.col("other").alias("b")).distinct())
     known = classes.join(counts, "rep", "left").join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
