@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,17 +35,42 @@ def scratch_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: The folder of the step that is running, if it has one of its own.
+_STEP: ContextVar[str | None] = ContextVar("step", default=None)
+
+
 def scratch_path(spark: SparkSession, kind: str) -> str:
-    return f"{scratch_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    return f"{_STEP.get() or scratch_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def step_folder(spark: SparkSession, kind: str):
+    """Scratch tables made inside go to a folder of their own, which is deleted at the end.
+
+    What is needed later has to be written elsewhere by then: nothing may refer to them still.
+    """
+    path = scratch_path(spark, kind)
+    token = _STEP.set(path)
+    try:
+        yield
+    finally:
+        _STEP.reset(token)
+        remove(spark, path)
+
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
-def staged(df: DataFrame, kind: str = "stage") -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: lineage ends there.
+
+def staged(df: DataFrame, kind: str = "stage", path: str | None = None) -> DataFrame:
+    """Write df as Parquet to the shared folder (to `path`, if given) and read it back: lineage ends there.
 
     A lost executor then costs a reread of files, never a rerun of what came before.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, kind)
+    path = path or scratch_path(spark, kind)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

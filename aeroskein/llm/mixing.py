@@ -50,7 +50,7 @@ def target_shares(sizes: DataFrame, share: float = 1.0) -> DataFrame:
 def mix_sources(docs: DataFrame, seed: str = "mix", share: float = 1.0) -> DataFrame:
     """How much of every row of `docs` (doc_id, source, text) the mix takes.
 
-    Returns doc_id, skey, size, source_size, target and taken. Each source's documents are
+    Returns doc_id, skey, row (a hash of the text), size, source_size, target and taken. Each source's documents are
     shuffled by a hash of doc_id and seed. The k-th copy of a document ends at virtual time
     (k * source_size + words up to and with it) / target; copies of all sources are ordered
     by that time and taken while their words fit in the budget, which is the sum of targets.
@@ -64,7 +64,7 @@ def mix_sources(docs: DataFrame, seed: str = "mix", share: float = 1.0) -> DataF
     """
     digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     sized = staged(
-        docs.select("doc_id", source_key().alias("skey"), F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"), digest.alias("order")),
+        docs.select("doc_id", source_key().alias("skey"), F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"), digest.alias("order"), F.xxhash64(text_of()).alias("row")),
         "sizes",
     )
     rows = sized.count()
@@ -77,10 +77,10 @@ def mix_sources(docs: DataFrame, seed: str = "mix", share: float = 1.0) -> DataF
     offsets = (
         parts.withColumn("offset", F.coalesce(F.sum("words").over(earlier), F.lit(0))).drop("words").join(shares, "skey")
     )
-    inside = Window.partitionBy("skey", "slice").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("skey", "slice").orderBy("order", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     queued = staged(
         sized.withColumn("run", F.sum("size").over(inside)).join(offsets, ["skey", "slice"])
-        .select("doc_id", "skey", "order", "size", "rank", "source_size", "target", (F.col("run") + F.col("offset")).alias("ends")),
+        .select("doc_id", "skey", "row", "order", "size", "rank", "source_size", "target", (F.col("run") + F.col("offset")).alias("ends")),
         "queued",
     )
 
@@ -112,7 +112,7 @@ def mix_sources(docs: DataFrame, seed: str = "mix", share: float = 1.0) -> DataF
     number = sum((F.when(takes(k), 1).otherwise(0) for k in range(EPOCHS)), F.lit(0))
     some = (F.col("size") > 0) & (F.col("target") > 0)
     return queued.select(
-        "doc_id", "skey", "size", "source_size", "target",
+        "doc_id", "skey", "row", "size", "source_size", "target",
         F.when(some, F.col("size") * number).otherwise(0).cast("long").alias("taken"),
     )
 
@@ -125,13 +125,13 @@ def finish(k: int) -> Column:
 def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The rows of `docs`, each as many times as the mix takes it; columns as in docs.
 
-    Documents without words take no part. Rows that agree in doc_id, source and size are
+    Documents without words take no part. Rows that agree in doc_id, source and text are
     taken alike.
     """
-    mixed = mix_sources(docs, seed).groupBy("doc_id", "skey", "size").agg(F.min("taken").alias("taken")).where("taken > 0")
+    mixed = mix_sources(docs, seed).groupBy("doc_id", "skey", "row").agg(F.first("size").alias("size"), F.min("taken").alias("taken")).where("taken > 0")
     rows = docs.select(
-        F.col("doc_id").alias("id"), source_key().alias("source_of"), F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("words"), F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("id"), source_key().alias("source_of"), F.xxhash64(text_of()).alias("text_of"), F.struct(*[docs[c] for c in docs.columns]).alias("whole"),
     )
-    joined = rows.join(mixed, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("source_of") == F.col("skey")) & (F.col("words") == F.col("size")))
+    joined = rows.join(mixed, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("source_of") == F.col("skey")) & (F.col("text_of") == F.col("row")))
     times = F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int"))
-    return joined.withColumn("copy", F.explode(times)).select("row.*")
+    return joined.withColumn("copy", F.explode(times)).select("whole.*")
