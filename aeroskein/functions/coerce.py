@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Words that mean true and false.
 TRUE, FALSE = ("true", "t", "1", "yes", "y"), ("false", "f", "0", "no", "n")
 
 

@@ -11,19 +11,25 @@ from aeroskein.functions.geo import project_laea
 from aeroskein.operators.quantiles import values_at
 
 
-def _level_names(variable: str, level: int, plain: str) -> tuple[str, ...]:
-    """Names that exports give a variable on a pressure level."""
-    return (f"{variable}_pressure_level_{level}", f"{variable}_pressure_level_{level}.0", f"{variable}_isobaricInhPa_{level}", f"{plain}_{level}")
-
-
-#: Model features and the columns that may hold them, best first.
+#: The features of training tables, and the names of columns that may hold them, best first.
 FEATURES = {
-    "temperature_850": _level_names("t", 850, "temperature"), "humidity_850": _level_names("r", 850, "relative_humidity"),
-    "u_850": _level_names("u", 850, "u"), "v_850": _level_names("v", 850, "v"), "surface_pressure": ("sp", "surface_pressure"),
-    "mean_sea_level_pressure": ("msl", "mean_sea_level_pressure"), "cloud_cover": ("tcc", "total_cloud_cover"), "boundary_layer": ("blh", "boundary_layer_height"),
-    "precipitation": ("tp_hourly", "total_precipitation_hourly", "tp", "total_precipitation"),
+    "temperature_850_k": ("t_pressure_level_850", "t_pressure_level_850.0", "t_isobaricInhPa_850", "temperature_850"),
+    "relative_humidity_850_percent": ("r_pressure_level_850", "r_pressure_level_850.0", "r_isobaricInhPa_850", "relative_humidity_850"),
+    "u_850_ms": ("u_pressure_level_850", "u_pressure_level_850.0", "u_isobaricInhPa_850", "u_850"),
+    "v_850_ms": ("v_pressure_level_850", "v_pressure_level_850.0", "v_isobaricInhPa_850", "v_850"),
+    "surface_pressure_pa": ("sp", "surface_pressure"),
+    "mean_sea_level_pressure_pa": ("msl", "mean_sea_level_pressure"),
+    "total_cloud_cover_fraction": ("tcc", "total_cloud_cover"),
+    "boundary_layer_height_m": ("blh", "boundary_layer_height"),
+    "hourly_precipitation_m": ("tp_hourly", "total_precipitation_hourly", "tp", "total_precipitation"),
+}
+#: Features that a table may have besides.
+OPTIONAL = {
+    "u_925_ms": ("u_pressure_level_925", "u_pressure_level_925.0", "u_isobaricInhPa_925", "u_925"),
+    "v_925_ms": ("v_pressure_level_925", "v_pressure_level_925.0", "v_isobaricInhPa_925", "v_925"),
+    "u_700_ms": ("u_pressure_level_700", "u_pressure_level_700.0", "u_isobaricInhPa_700", "u_700"),
+    "v_700_ms": ("v_pressure_level_700", "v_pressure_level_700.0", "v_isobaricInhPa_700", "v_700"),
 }
-OPTIONAL = {f"{c}_{p}": _level_names(c, p, c) for p in (925, 700) for c in ("u", "v")}
 TARGETS = ("mtr_birds_km_h", "vid_birds_per_km2", "bird_u_ms", "bird_v_ms")
 MIN_PROFILES, MAX_RAIN = 3, 0.5
 

@@ -39,7 +39,7 @@ def f6(spark, d):
 
 @query("f7_complete_case", f"select radar, pulse, {HOUR} as hour from qc_rows where date_part('hour', hour) % 5 <> 0")
 def f7(spark, d):
-    rows = T.model_rows(joined(spark, d)).withColumn("u_850", F.when(F.hour("hour") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("u_850")))
+    rows = T.model_rows(joined(spark, d)).withColumn("u_850_ms", F.when(F.hour("hour") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("u_850_ms")))
     return T.complete_cases(rows, list(T.FEATURES)).select("radar", "pulse", iso(F.col("hour")).alias("hour"))
 
 
@@ -54,10 +54,10 @@ def f8(spark, d):
     return T.rolling_window(rows, 3).withColumn("hour", iso(F.col("hour")))
 
 
-@query("m1_build_training_table", f"select radar, pulse, {HOUR} as hour, mean_mtr_birds_km_h as mtr, mean_vid_birds_per_km2 as vid, round(u, 6) + 0.0 as u, round(v, 6) + 0.0 as v, cast(usable_mtr_profile_count as double) as profiles, t_pressure_level_850 as temperature_850, tp as precipitation from training")
+@query("m1_build_training_table", f"select radar, pulse, {HOUR} as hour, mean_mtr_birds_km_h as mtr, mean_vid_birds_per_km2 as vid, round(u, 6) + 0.0 as u, round(v, 6) + 0.0 as v, cast(usable_mtr_profile_count as double) as profiles, t_pressure_level_850 as temperature_850_k, tp as hourly_precipitation_m from training")
 def m1(spark, d):
     t = T.build_training_table(joined(spark, d), WINDOW)
-    return t.select("radar", "pulse", iso(F.col("hour")).alias("hour"), F.col("mtr_birds_km_h").alias("mtr"), F.col("vid_birds_per_km2").alias("vid"), (F.round("bird_u_ms", 6) + 0.0).alias("u"), (F.round("bird_v_ms", 6) + 0.0).alias("v"), F.col("profile_count").alias("profiles"), "temperature_850", "precipitation")
+    return t.select("radar", "pulse", iso(F.col("hour")).alias("hour"), F.col("mtr_birds_km_h").alias("mtr"), F.col("vid_birds_per_km2").alias("vid"), (F.round("bird_u_ms", 6) + 0.0).alias("u"), (F.round("bird_v_ms", 6) + 0.0).alias("v"), F.col("profile_count").alias("profiles"), "temperature_850_k", "hourly_precipitation_m")
 
 
 @query("a9_table_summary", f"select count(*) as rows, count(distinct radar) as radars, count(*) filter (where pulse = 'lp') as lp_rows, count(*) filter (where pulse = 'sp') as sp_rows, strftime(min(hour), '%Y-%m-%dT%H:%M:%SZ') as first_hour, strftime(max(hour), '%Y-%m-%dT%H:%M:%SZ') as last_hour from qc_rows")
@@ -69,17 +69,17 @@ def a9(spark, d):
 with long as (unpivot (select sp, t_pressure_level_850 as t, mean_mtr_birds_km_h as mtr from qc_rows) on sp, t, mtr into name feature value value), ranked as (select feature, value, row_number() over (partition by feature order by value) - 1 as i, count(*) over (partition by feature) as n from long)
 select feature, max(value) filter (where i = greatest(0, floor(n * 0.01) - 1)) as lower, max(value) filter (where i = least(n - 1, floor(n * 0.99))) as upper from ranked group by feature""")
 def a11(spark, d):
-    rows = T.model_rows(joined(spark, d)).selectExpr("surface_pressure as sp", "temperature_850 as t", "mtr_birds_km_h as mtr")
+    rows = T.model_rows(joined(spark, d)).selectExpr("surface_pressure_pa as sp", "temperature_850_k as t", "mtr_birds_km_h as mtr")
     return T.percentile_ranges(rows, ["sp", "t", "mtr"])
 
 
-@query("a44_population_guard", "select count(*) as rows, count(*) filter (where pulse = 'lp') as lp_rows, count(*) filter (where pulse = 'sp') as sp_rows, false as same_population, 'u_925' as missing_features from qc_rows")
+@query("a44_population_guard", "select count(*) as rows, count(*) filter (where pulse = 'lp') as lp_rows, count(*) filter (where pulse = 'sp') as sp_rows, false as same_population, 'u_925_ms' as missing_features from qc_rows")
 def a44(spark, d):
     rows = T.model_rows(joined(spark, d))
-    return T.population_guard(rows, rows.where("radar != 'radar-00'"), ["u_850", "u_925"])
+    return T.population_guard(rows, rows.where("radar != 'radar-00'"), ["u_850_ms", "u_925_ms"])
 
 
-@query("m2_model_spec", "select target, 'boosted' as family, 'easting_m,northing_m,temperature_850,humidity_850,u_850,v_850,surface_pressure,mean_sea_level_pressure,cloud_cover,boundary_layer,precipitation' as predictors, case when target like 'bird%' then 'identity' else 'cube_root' end as response, case when target like 'bird%' then 'mtr' else 'profile_count' end as weights, '' as \"offset\", rows from (select unnest(['mtr_birds_km_h', 'vid_birds_per_km2', 'bird_u_ms', 'bird_v_ms']) as target) t, lateral (select case when target like 'bird%' then count(*) filter (where mean_ground_speed_ms is not null and dominant_direction_deg is not null) else count(*) end as rows from qc_rows)")
+@query("m2_model_spec", "select target, 'boosted' as family, 'easting_m,northing_m,temperature_850_k,relative_humidity_850_percent,u_850_ms,v_850_ms,surface_pressure_pa,mean_sea_level_pressure_pa,total_cloud_cover_fraction,boundary_layer_height_m,hourly_precipitation_m' as predictors, case when target like 'bird%' then 'identity' else 'cube_root' end as response, case when target like 'bird%' then 'mtr' else 'profile_count' end as weights, '' as \"offset\", rows from (select unnest(['mtr_birds_km_h', 'vid_birds_per_km2', 'bird_u_ms', 'bird_v_ms']) as target) t, lateral (select case when target like 'bird%' then count(*) filter (where mean_ground_speed_ms is not null and dominant_direction_deg is not null) else count(*) end as rows from qc_rows)")
 def m2(spark, d):
     """The default specs with the rows that each can be fitted on."""
     rows = T.model_rows(joined(spark, d))
@@ -117,10 +117,10 @@ _metrics_query("m9_leave_one_radar_out", ADDITIVE, "leave_one_radar_out")
 _metrics_query("m10_blocked_time", ADDITIVE, "blocked_time")
 _metrics_query("m4_fit_additive", _additive("vid_birds_per_km2"), "blocked_time")
 _metrics_query("m5_cyclic_smooths", _additive("mtr_birds_km_h", cyclic=2), "blocked_time")
-_metrics_query("m6_interactions", _additive("bird_u_ms", interactions=(("temperature_850", "humidity_850"), ("u_850", "v_850"))), "blocked_time")
-_metrics_query("m7_tweedie_intensity", {"mtr_birds_km_h": M.ModelSpec("mtr_birds_km_h", family="tweedie", predictors=("temperature_850", "u_850", "v_850", "cloud_cover"))}, "blocked_time")
+_metrics_query("m6_interactions", _additive("bird_u_ms", interactions=(("temperature_850_k", "relative_humidity_850_percent"), ("u_850_ms", "v_850_ms"))), "blocked_time")
+_metrics_query("m7_tweedie_intensity", {"mtr_birds_km_h": M.ModelSpec("mtr_birds_km_h", family="tweedie", predictors=("temperature_850_k", "u_850_ms", "v_850_ms", "total_cloud_cover_fraction"))}, "blocked_time")
 _metrics_query("m8_radar_effect", _additive("mtr_birds_km_h", radar_effect=True), "blocked_time")
-_metrics_query("m17_wind_offset_fit", _additive("bird_u_ms", offset="u_850"), "blocked_time")
+_metrics_query("m17_wind_offset_fit", _additive("bird_u_ms", offset="u_850_ms"), "blocked_time")
 
 
 #: Rounds of boosting that the survey recommends on Spark; the reference runs 500.
@@ -137,7 +137,7 @@ def m3(spark, d):
 def model_grid(spark, d):
     """Grid rows with the features that models read."""
     wide = W.pivot_levels(D.weather_grid(spark, d))
-    f = T.weather_features(wide).withColumns({"humidity_850": F.lit(50.0), "mean_sea_level_pressure": F.col("sp") + 800.0, "boundary_layer": F.lit(500.0), "precipitation": F.lit(0.0)})
+    f = T.weather_features(wide).withColumns({"relative_humidity_850_percent": F.lit(50.0), "mean_sea_level_pressure_pa": F.col("sp") + 800.0, "boundary_layer_height_m": F.lit(500.0), "hourly_precipitation_m": F.lit(0.0)})
     from aeroskein.functions.geo import project_laea
 
     x, y = project_laea(F.col("longitude"), F.col("latitude"))
@@ -163,7 +163,7 @@ def m11(spark, d):
 
 @query("m12_target_overrides")
 def m12(spark, d):
-    specs = M.default_specs(mtr_birds_km_h={"family": "additive", "response": "log1p", "weights": "sqrt_mtr", "excluded": ("precipitation",)}, vid_birds_per_km2={"family": "additive", "response": "sqrt"})
+    specs = M.default_specs(mtr_birds_km_h={"family": "additive", "response": "log1p", "weights": "sqrt_mtr", "excluded": ("hourly_precipitation_m",)}, vid_birds_per_km2={"family": "additive", "response": "sqrt"})
     return M.validation_metrics(learnable(spark, d), {t: specs[t] for t in M.INTENSITY}, ("blocked_time",))
 
 
@@ -172,7 +172,7 @@ def m16(spark, d):
     def runs(rows):
         return {
             "baseline": M.fit_all(rows, {"mtr_birds_km_h": M.ModelSpec("mtr_birds_km_h", family="additive", response="sqrt"), "vid_birds_per_km2": ADDITIVE["vid_birds_per_km2"], "bird_v_ms": ADDITIVE["bird_v_ms"]}),
-            "candidate": M.fit_all(rows, _additive("bird_u_ms", offset="u_850")),
+            "candidate": M.fit_all(rows, _additive("bird_u_ms", offset="u_850_ms")),
         }
 
     chosen = {"mtr_birds_km_h": "baseline", "vid_birds_per_km2": "baseline", "bird_u_ms": "candidate", "bird_v_ms": "baseline"}
@@ -208,9 +208,9 @@ select radar, pulse, {HOUR} as hour, round({value}, 5) + 0.0 as predicted from r
 
 
 _U = "(mean_ground_speed_ms * sin(radians(dominant_direction_deg)))"
-_plane("m4_additive_plane", "vid_birds_per_km2", "temperature_850", "u_850", ("mean_vid_birds_per_km2", "t_pressure_level_850", "u_pressure_level_850"), cube=True)
-_plane("m6_interaction_plane", "bird_u_ms", "u_850", "u_850_x_v_850", (_U, "u_pressure_level_850", "u_pressure_level_850 * v_pressure_level_850"), predictors=("u_850",), interactions=(("u_850", "v_850"),))
-_plane("m17_offset_plane", "bird_u_ms", "temperature_850", "v_850", (_U, "t_pressure_level_850", "v_pressure_level_850"), wind=("u_850", "u_pressure_level_850"))
+_plane("m4_additive_plane", "vid_birds_per_km2", "temperature_850_k", "u_850_ms", ("mean_vid_birds_per_km2", "t_pressure_level_850", "u_pressure_level_850"), cube=True)
+_plane("m6_interaction_plane", "bird_u_ms", "u_850_ms", "u_850_ms_x_v_850_ms", (_U, "u_pressure_level_850", "u_pressure_level_850 * v_pressure_level_850"), predictors=("u_850_ms",), interactions=(("u_850_ms", "v_850_ms"),))
+_plane("m17_offset_plane", "bird_u_ms", "temperature_850_k", "v_850_ms", (_U, "t_pressure_level_850", "v_pressure_level_850"), wind=("u_850_ms", "u_pressure_level_850"))
 
 
 # frames

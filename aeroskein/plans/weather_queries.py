@@ -59,7 +59,7 @@ def p2(spark, d):
 
     rows = merged(spark, d).withColumnRenamed("t_pressure_level_850", "t_pressure_level_850.0")
     f = weather_features(rows)
-    return f.select("radar", iso(F.col("hour")).alias("hour"), F.col("mean_sea_level_pressure").alias("pressure"), F.coalesce("temperature_850", F.lit(-1.0)).alias("temperature"))
+    return f.select("radar", iso(F.col("hour")).alias("hour"), F.col("mean_sea_level_pressure_pa").alias("pressure"), F.coalesce("temperature_850_k", F.lit(-1.0)).alias("temperature"))
 
 
 @query("p11_project_laea", "select c_custkey, round(lon * 111320.0 * cos(radians(lat)), 3) as plain_x, round(lat * 110540.0, 3) as plain_y, abs(x - px) < 1 and abs(y - py) < 1 as close from (select c_custkey, 50 + (c_custkey % 80) / 10.0 as lat, -7 + (c_custkey % 90) / 10.0 as lon, 0 as x, 0 as px, 0 as y, 0 as py from customer)")
