@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from aeroskein.functions.coerce import bool_token, num, parse_ts
 from aeroskein.functions.domain import circular, is_day, night_date
 
+#: The altitude band in m, when layers are rain, and a layer's height without neighbours.
 BAND = (200.0, 4000.0)
 RAIN_BINS, RAIN_SHARE, RAIN_DBZ, RAIN_TOP = 5, 0.8, 7.0, 2000.0
 DEFAULT_WIDTH = 200.0
-#: Canonical columns and the names that raw tables have for them.
+#: Canonical columns and the names that raw tables have for them.
 ALIASES = {
     "height": ("height", "height_m", "altitude_m"), "dens": ("dens", "density"), "ff": ("ff", "ground_speed_ms", "speed"),
     "dd": ("dd", "direction_deg", "direction"), "dbzh": ("DBZH", "dbz"), "latitude": ("radar_latitude", "latitude"), "longitude": ("radar_longitude", "longitude"),
