@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroskein.llm.bagminhash import keep_one_of_each
-from aeroskein.llm.common import staged
+from aeroskein.llm.common import remove, scratch_path, staged, step_folder
 from aeroskein.llm.line_dedup import apply_bitmaps, keep_bitmaps
 from aeroskein.llm.mixing import mixed_documents
 from aeroskein.llm.queries import bpe_model, table
@@ -52,8 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents. A stage's scratch tables, and its input, go when its result is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with step_folder(spark, f"{name}-scratch"):
+            docs = staged(stage(spark, docs, sf_dir), path=path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
