@@ -16,6 +16,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = " \t\n\x0b\x0c\r"
 
 
+#: Most bytes of a batch that goes to a Python worker while a table is staged: a worker holds a few times that.
+BATCH_BYTES, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
 #: Temporary folders by application, for sessions that name no shared folder.
 _OWN: dict[str, str] = {}
 
@@ -71,7 +73,12 @@ def staged(df: DataFrame, kind: str = "stage", path: str | None = None) -> DataF
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, kind)
-    df.write.parquet(path)
+    was = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, BATCH)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_BYTES, was)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -59,7 +59,7 @@ REACH, COPULA_REACH = 5, 3
 #: A passage's words, how many different ones of it count, and what a word adds that comes again.
 PASSAGE, STRONGEST, AGAIN = 100, 3, 1.4
 #: Raw words whose symbols a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 CLAUSE_ENDS = re.compile(r"[.!?;:\n]")
 TRIM = re.compile(r"^\W+|\W+$")
 
