@@ -1,4 +1,4 @@
-"""Quality rules and distribution divergence from language references."""
+"""Quality rules and Jensen-Shannon distance from the histograms of language references."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeroskein.llm.common import WORD, batches, text_of
+from aeroskein.llm.common import WORD, batches, dealt, hot_keys, in_parts, staged, text_of
 
 WORDS = re.compile(WORD)
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -30,9 +30,10 @@ N_WORD_BINS = len(WORD_BINS) + len(LENGTH_BINS) + 1
 N_CHAR_BINS = 10
 #: Documents shorter than this many words are left to the base rules.
 MIN_WORDS = 50
-#: Divergence in bits from which a document of unbounded length is rejected, for characters and words.
-CHAR_LIMIT, WORD_LIMIT = 0.022, 0.16
-#: Short documents differ from a reference by chance; this over the word count is added to a limit.
+#: Distance (the root of the divergence in bits) from which a document of unbounded length is rejected, for characters and words.
+#: Set by hand between the distances of labelled good and junk documents of the given tables.
+CHAR_LIMIT, WORD_LIMIT = 0.1483, 0.4
+#: Short documents differ from a reference by chance; this over the word count is added to the square of a limit, twice for words.
 CHANCE = 4.0
 OTHER = ""
 
@@ -96,7 +97,7 @@ def base_rules(text: str, words: list[str]) -> tuple[int, int, int, int]:
 
 
 def jensen_shannon(p: np.ndarray, q: np.ndarray) -> float:
-    """Divergence in bits of two histograms; 0 if either is empty."""
+    """Jensen-Shannon distance of two histograms, 0 to 1; 0 if either is empty."""
     a, b = p.sum(), q.sum()
     if not a or not b:
         return 0.0
@@ -105,11 +106,11 @@ def jensen_shannon(p: np.ndarray, q: np.ndarray) -> float:
     with np.errstate(divide="ignore", invalid="ignore"):
         left = np.where(p > 0, p * np.log2(p / m), 0.0).sum()
         right = np.where(q > 0, q * np.log2(q / m), 0.0).sum()
-    return float(max(0.0, (left + right) / 2))
+    return float(max(0.0, (left + right) / 2)) ** 0.5
 
 
-def language_references(docs: DataFrame) -> dict[str, np.ndarray]:
-    """Histogram of each language over all its documents of at least MIN_WORDS words.
+def language_references(docs: DataFrame) -> DataFrame:
+    """(lang, histogram) of each language over all its documents of at least MIN_WORDS words, as bytes of doubles.
 
     Each document counts by its shares, so one long text weighs no more than another. Every
     task sends one vector a language. Languages without such documents have none; key OTHER
@@ -118,6 +119,7 @@ def language_references(docs: DataFrame) -> dict[str, np.ndarray]:
 
     def summed(frames):
         sums: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(N_CHAR_BINS + N_WORD_BINS))
+        rows = lambda: pd.DataFrame([(k, i, float(x)) for k, v in sums.items() for i, x in enumerate(v) if x], columns=["lang", "bin", "x"])
         for frame in frames:
             for text, lang in zip(frame["text"], frame["lang"]):
                 words = WORDS.findall(text)
@@ -129,56 +131,66 @@ def language_references(docs: DataFrame) -> dict[str, np.ndarray]:
                     if lang:
                         sums[lang] += h
             if len(sums) > 2_000:
-                yield pd.DataFrame([(k, i, float(x)) for k, v in sums.items() for i, x in enumerate(v) if x], columns=["lang", "bin", "x"])
+                yield rows()
                 sums.clear()
         if sums:
-            yield pd.DataFrame([(k, i, float(x)) for k, v in sums.items() for i, x in enumerate(v) if x], columns=["lang", "bin", "x"])
+            yield rows()
+
+    @F.pandas_udf("binary")
+    def packed(bins: pd.Series) -> pd.Series:
+        def one(pairs):
+            out = np.zeros(N_CHAR_BINS + N_WORD_BINS)
+            for p in pairs:
+                out[p["bin"]] = p["x"]
+            return out.tobytes()
+
+        return bins.map(one)
 
     rows = docs.select(text_of().alias("text"), F.col("lang").cast("string").alias("lang")).mapInPandas(summed, "lang string, bin int, x double")
-    out: dict[str, np.ndarray] = {}
-    # at most 1,000 languages, the most used first
-    totals = rows.groupBy("lang", "bin").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.collect_list(F.struct("bin", "x")).alias("h"), F.sum("x").alias("n"))
-    for r in totals.orderBy(F.desc("n"), "lang").limit(1_000).collect():
-        out[r["lang"]] = np.zeros(N_CHAR_BINS + N_WORD_BINS)
-        for b, x in r["h"]:
-            out[r["lang"]][b] = x
-    return out
+    totals = rows.groupBy("lang", "bin").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.collect_list(F.struct("bin", "x")).alias("h"))
+    return staged(totals.select("lang", packed("h").alias("histogram")), "references")
 
 
-def quality_rules(docs: DataFrame, references: dict[str, np.ndarray]) -> DataFrame:
-    """Base counts, divergences and verdict of every row of `docs` (doc_id, text, lang).
+def quality_rules(docs: DataFrame, references: DataFrame) -> DataFrame:
+    """Base counts, distances and verdict of every row of `docs` (doc_id, text, lang).
 
     Null text has no words and fails the base rules, as do texts under 50 words or with more
     than half of their words in repeated three-word windows. Of the others, those stay whose
-    divergence from their language's reference is within both limits, which are wider for
+    distances from their language's reference are within both limits, which are wider for
     short texts. Repeated rows repeat; an empty table gives none.
+
+    References are joined by language. If they are too many for Spark to send to every task,
+    documents move once, those of very common languages dealt to several tasks.
     """
     schema = (
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "base_failed boolean, char_divergence double, word_divergence double, kept boolean"
+        "base_failed boolean, char_distance double, word_distance double, kept boolean"
     )
     columns = [c.split()[0] for c in schema.split(", ")]
+    every = references.where(F.col("lang") == OTHER).select("histogram").first()
+    every = bytes(every[0]) if every else None
 
     def judged(frames):
         for frame in batches(frames, 500):
             out = []
-            for doc_id, text, lang in zip(frame["doc_id"], frame["text"], frame["lang"]):
+            for doc_id, text, own in zip(frame["doc_id"], frame["text"], frame["histogram"]):
                 words = WORDS.findall(text)
                 n = len(words)
                 chars, symbols, dup, repeat = base_rules(text, words)
                 failed = n < MIN_WORDS or 100 * repeat > 50 * n
                 by_char = by_word = 0.0
                 kept = not failed
-                ref = references.get(lang or OTHER)
-                if ref is None:
-                    ref = references.get(OTHER)
+                ref = every if own is None else own
                 if n >= MIN_WORDS and ref is not None:
-                    h = histograms(text, words)
+                    h, ref = histograms(text, words), np.frombuffer(ref)
                     by_char = jensen_shannon(h[:N_CHAR_BINS], ref[:N_CHAR_BINS])
                     by_word = jensen_shannon(h[N_CHAR_BINS:], ref[N_CHAR_BINS:])
-                    kept = kept and by_char <= CHAR_LIMIT + CHANCE / n and by_word <= WORD_LIMIT + 2 * CHANCE / n
+                    kept = kept and by_char <= (CHAR_LIMIT**2 + CHANCE / n) ** 0.5 and by_word <= (WORD_LIMIT**2 + 2 * CHANCE / n) ** 0.5
                 out.append((doc_id, n, chars, symbols, dup, repeat, failed, by_char, by_word, kept))
             yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), F.col("lang").cast("string").alias("lang"))
-    return rows.mapInPandas(judged, schema)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit(OTHER)).alias("lang"))
+    hot = hot_keys(rows.groupBy("lang").agg(F.count("*").alias("n")), "lang")
+    parts = staged(in_parts(references, hot, "lang"), "parts")  # written, so that Spark knows how small it is
+    known = dealt(rows, hot, "lang", "doc_id").join(parts, ["lang", "part"], "left")
+    return known.select("doc_id", "text", "histogram").mapInPandas(judged, schema)

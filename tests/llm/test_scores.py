@@ -1,10 +1,15 @@
 import itertools
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from aeroskein.llm import divergence as D
 from aeroskein.llm import toxicity as T
 from aeroskein.llm.divergence import base_rules, jensen_shannon, language_references, quality_rules
 from aeroskein.llm.knn_quality import fit_voters, quality_scores, term_vector
@@ -205,4 +210,55 @@ def test_odd_languages(spark, docs_of):
     docs = docs_of([(1, text, "en"), (2, text, None), (3, text, "xx"), (4, None, "en"), (5, "short", "en"), (6, text, "en")])
     got = {r["doc_id"]: r for r in quality_rules(docs, language_references(docs)).collect()}
     assert all(got[i]["kept"] for i in (1, 2, 3, 6)) and got[4]["base_failed"] and got[5]["base_failed"]
-    assert quality_rules(docs.limit(0), {}).count() == 0
+    assert quality_rules(docs.limit(0), language_references(docs.limit(0))).count() == 0
+
+
+def slow_distance(p, q):
+    a, b = sum(p.values()), sum(q.values())
+    if not a or not b:
+        return 0.0
+    out = 0.0
+    for k in p.keys() | q.keys():
+        x, y = p.get(k, 0) / a, q.get(k, 0) / b
+        out += sum(z * math.log2(2 * z / (x + y)) for z in (x, y) if z) / 2
+    return math.sqrt(max(0.0, out))
+
+
+def slow_bins(text):
+    """Character classes and words of a text, counted one by one."""
+    chars, words = Counter(), Counter()
+    for c in text:
+        kind = next((k for k, marks in {"space": " \t\x0b\x0c", "line": "\n\r", "stop": ".,;:!?", "quote": "'\"()[]{}«»“”", "symbol": "#*$%&|<>@=+~^_\\/"}.items() if c in marks), None)
+        if kind is None and ord(c) < 0x250:
+            kind = "lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit() else "letter" if c.isalpha() else "mark"
+        chars[kind or "letter"] += 1
+    common = {w for ws in D.COMMON_WORDS.values() for w in ws.split()}
+    for w in re.findall(r"[^\x20\x09-\x0D]+", text):
+        w = w.lower().rstrip(".,;:!?")
+        words[w if w in common else next((n for n in (3, 6, 10, 15) if len(w) <= n), 99)] += 1
+    return chars, words
+
+
+def test_verdicts_are_those_of_a_slow_count(spark):
+    """References over all documents of a language, distances and verdicts, all by loops."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", F.when(F.col("doc_id") % 7 == 0, None).otherwise(F.col("lang")).alias("lang"))
+    rows = [(r["doc_id"], r["text"] or "", r["lang"]) for r in docs.collect()]
+    refs: dict = {}
+    for _, text, lang in rows:
+        if len(re.findall(r"[^\x20\x09-\x0D]+", text)) >= 50:
+            for key in {lang or "", ""}:
+                for at, bins in enumerate(slow_bins(text)):
+                    ref = refs.setdefault(key, (Counter(), Counter()))[at]
+                    for k, c in bins.items():
+                        ref[k] += c / sum(bins.values())
+    got = {r["doc_id"]: r for r in quality_rules(docs, language_references(docs)).collect()}
+    for doc_id, text, lang in rows:
+        r, n = got[doc_id], len(re.findall(r"[^\x20\x09-\x0D]+", text))
+        repeat = slow_rules(text)[3] if n < 400 else r["n_repeat_words"]
+        failed = n < 50 or repeat > n / 2
+        near = [slow_distance(x, y) for x, y in zip(slow_bins(text), refs[lang or ""])] if n >= 50 else [0.0, 0.0]
+        assert (r["n_words"], r["base_failed"]) == (n, failed)
+        assert [r["char_distance"], r["word_distance"]] == pytest.approx(near, abs=1e-6)
+        limits = [math.sqrt(0.1483**2 + 4 / max(n, 1)), math.sqrt(0.4**2 + 8 / max(n, 1))]
+        if all(abs(x - y) > 1e-6 for x, y in zip(near, limits)):
+            assert r["kept"] == (not failed and all(x <= y for x, y in zip(near, limits)))
