@@ -79,8 +79,38 @@ def op10_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs, language_references(docs))
 
 
+def op11_centroid_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aeroskein.llm.centroids import clustered_vectors
+
+    return clustered_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {k: f for k, f in list(globals().items()) if k.startswith("op") and callable(f)}
 
+
+def _lloyd(rounds: int) -> str:
+    """Lloyd rounds as one chain of CTEs: every vector against every centroid in each of them."""
+    sql = """
+with v as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as x from embeddings
+  where len(embedding) = 64 and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+c0 as (select row_number() over (order by h, x) - 1 as c, x from (select x, sha256('1:' || coalesce(cast(vec_id as varchar), '')) as h from v order by h, x limit 16))"""
+    for i in range(rounds + 1):
+        sql += f""",
+a{i} as (
+  select r, min_by(c, (d, c)) as c, min(d) as d from (
+    select r, c, cast(list_sum(list_transform(list_zip(v.x, k.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as bigint) as d from v cross join c{i} k) group by r),
+s{i} as (
+  select c, list(m order by i) as x from (
+    select c, i, cast((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) as bigint) as m
+    from (select c, unnest(range(64)) as i, unnest(x) as x from a{i} join v using (r)) group by c, i) group by c),
+c{i + 1} as (select c, coalesce(s.x, k.x) as x from c{i} k left join s{i} s using (c))"""
+    return sql + f"""
+select vec_id, cast(c as integer) as cluster, d as distance, cast(sum(d) over (partition by c) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia,
+  sha256(array_to_string(k.x, ',')) as centroid_sha256
+from v join a{rounds} using (r) join c{rounds} k using (c)"""
+
+
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
 ORACLES = {
@@ -145,6 +175,7 @@ coded as (
   from digits)
 select page_id, payload_bytes, payload_digest, case when page_id = top then 'response' else 'revisit' end as record_type, case when page_id <> top then top end as refers_to from coded
 """,
+    "op11_centroid_products": _lloyd(3),
     "op6_line_dedup": r"""
 with docs as (select doc_id, md5(coalesce(text, '')) as k, string_split(coalesce(text, ''), chr(10)) as lines from documents),
 line as (
