@@ -85,6 +85,12 @@ def op11_centroid_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_lightest_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aeroskein.llm.conversations import repair_conversations
+
+    return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {k: f for k, f in list(globals().items()) if k.startswith("op") and callable(f)}
 
 
@@ -111,6 +117,61 @@ select vec_id, cast(c as integer) as cluster, d as distance, cast(sum(d) over (p
 from v join a{rounds} using (r) join c{rounds} k using (c)"""
 
 
+def _cheapest_edits() -> str:
+    """The cheapest edits row by row: for each of four states the least (cost, edits, rows), with inserts before each row."""
+
+    def plus(v: str, cost: str, edit: str, line: str = "") -> str:
+        rows = f"list_append({v}.t, {line})" if line else f"{v}.t"
+        return f"case when {v} is not null then {{'c': {v}.c + {cost}, 'a': {v}.a || '{edit}', 't': {rows}}} end"
+
+    def least(*values: str) -> str:
+        return f"list_min([{', '.join(values)}])"
+
+    def insert(v: str, role: str) -> str:
+        return plus(v, "3", "I", f"'{role}:'")
+
+    inserted = f"""u1 as (select *, {least("u", insert("n", "user"), insert("s", "user"), insert("a", "user"))} as u2 from %s)"""
+    both = f"""u3 as (select *, {least("a", insert("u2", "assistant"))} as a2 from u1)"""
+
+    def keep(v: str, initial: str) -> str:
+        return f"case when r.role[1] = '{initial}' then {plus(v, 'stay', 'K', 'line')} end"
+
+    def read(state: str, *kept: str) -> str:
+        return f"case when gone then {plus(state, '4', 'D')} else {least(plus(state, '4', 'D'), *kept)} end"
+
+    user = [x for v in ("n", "s", "a2") for x in (keep(v, "u"), plus(v, "3 + stay", "R", "'user:' || r.text"))]
+    assistant = [keep("u2", "a"), plus("u2", "3 + stay", "R", "'assistant:' || r.text")]
+    value = "struct(c bigint, a varchar, t varchar[])"
+    return rf"""
+with recursive keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda x: cast(ascii(x) as bigint))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 as code
+  from conversations),
+damaged as (
+  select conv_id, turn, case when code = 4 then 'user' else role end as role, case code when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+    unnest(case code when 0 then [] when 3 then [1, 2] else [1] end) as copy from keyed),
+ordered as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare from damaged),
+judged as (
+  select *, bare = '' as blank, bare <> '' and row_number() over (partition by conv_id, role, text order by i) > 1 as duplicate,
+    lag(role[1]) over (partition by conv_id order by i) || role[1] not in ('su', 'ua', 'au') as illegal from ordered),
+r as (select *, blank or duplicate as gone, not blank and not duplicate and right(bare, 1) not in ('.', '!', '?') as truncated, case when truncated then 3 else 0 end as stay, role || ':' || text as line from judged),
+counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (where blank) as blank, count(*) filter (where duplicate) as duplicate,
+    count(*) filter (where truncated) as truncated, count(*) filter (where illegal) as illegal, max(i) as rows from r group by conv_id),
+dp as (
+  select conv_id, 0::bigint as i, {{'c': 0, 'a': '', 't': []}}::{value} as n, null::{value} as s, null::{value} as u, null::{value} as a from (select distinct conv_id from keyed)
+  union all
+  select conv_id, i, {read("n")}, {read("s", keep("n", "s"))}, {read("u2", *user)}, {read("a2", *assistant)}
+  from (
+    with {inserted % "dp"}, {both}
+    select r.conv_id, r.i, n, s, u2, a2, gone, stay, line, r.role, r.text from u3 join r on r.conv_id is not distinct from u3.conv_id and r.i = u3.i + 1) as r),
+{inserted % "dp"}, {both},
+ends as (select u3.conv_id, {least("n", "a2")} as best, c.* exclude (conv_id) from u3 left join counted c on c.conv_id is not distinct from u3.conv_id where u3.i = coalesce(c.rows, 0))
+select conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+  best.c as cost, best.a as audit, sha256(array_to_string(best.t, chr(10))) as repaired_sha256 from ends"""
+
+
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
 ORACLES = {
@@ -176,6 +237,7 @@ coded as (
 select page_id, payload_bytes, payload_digest, case when page_id = top then 'response' else 'revisit' end as record_type, case when page_id <> top then top end as refers_to from coded
 """,
     "op11_centroid_products": _lloyd(3),
+    "op13_lightest_repair": _cheapest_edits(),
     "op6_line_dedup": r"""
 with docs as (select doc_id, md5(coalesce(text, '')) as k, string_split(coalesce(text, ''), chr(10)) as lines from documents),
 line as (
