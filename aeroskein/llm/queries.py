@@ -85,6 +85,13 @@ def op11_centroid_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_skip_chain_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aeroskein.llm.personal_data import find_personal_data, learn, span_list
+
+    docs = table(spark, sf_dir, "documents")
+    return find_personal_data(docs, learn(docs)).withColumn("spans", span_list())
+
+
 def op13_lightest_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aeroskein.llm.conversations import repair_conversations
 
