@@ -51,8 +51,8 @@ def archive(spark, d, root):
 def s2(spark, d):
     root = scratch_path(spark, "archive")
     archive(spark, d, root)
-    folders = lambda path: F.regexp_replace(F.regexp_extract(path, r"(folder=[^/]+/year=\d{4}/object=[^/]+)/", 1), r"folder=([^/]+)/year=(\d{4})/object=([^/]+)", "$1/$2/$3_vpts.csv")
-    rows = S.read_vpts_archive(spark, root, D.objects(spark, d), name_of=folders)
+    folders = lambda key: F.regexp_replace(S.key_tail(key), r"^([^/]+)/(\d{4})/(.*)_vpts[.]csv$", "folder=$1/year=$2/object=$3")
+    rows = S.read_vpts_archive(spark, root, D.objects(spark, d), path_of=folders)
     return rows.groupBy("radar", "pulse").agg(F.count("*").alias("layers"), F.round(F.sum("dens"), 4).alias("dens"), F.count_if("gap").alias("gaps"))
 
 
@@ -61,9 +61,8 @@ def s4(spark, d):
     root = scratch_path(spark, "external")
     x = D.external_layers(spark, d).selectExpr("radar as folder", "'UNKNOWN' as radar", "date_format(ts, 'yyyy-MM-dd HH:mm:ss') as datetime", "cast(height as string) as height", "cast(dens as string) as dens")
     x.repartition("folder").write.partitionBy("folder").option("header", True).csv(root)
-    raw = spark.read.option("header", True).option("recursiveFileLookup", True).csv(root)
-    names = raw.select(F.col("_metadata.file_path").alias("key")).distinct().selectExpr("key", "'baltrad' as source", "regexp_extract(key, 'folder=([^/]+)', 1) as radar", "date '2025-07-14' as day")
-    return S.read_external_vpts(spark, root, names).groupBy("radar", "archive_radar").agg(F.count("*").alias("n"))
+    names = D.radars(spark, d).selectExpr("concat('folder=', radar) as key", "'baltrad' as source", "radar", "date '2025-07-14' as day")
+    return S.read_external_vpts(spark, root, names, path_of=lambda key: key).groupBy("radar", "archive_radar").agg(F.count("*").alias("n"))
 
 
 @query("s7_read_radars", "select radar, label, latitude, longitude, height_m, max_range_m from stations")

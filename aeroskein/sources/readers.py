@@ -8,13 +8,10 @@ from pyspark.sql import types as T
 
 from aeroskein.functions.coerce import num
 from aeroskein.operators.historical import annual_records, coverage_records, daily_records, phenology_records
-from aeroskein.operators.inventory import parse_object_key
 from aeroskein.operators.profiles import canonical_layers
+from aeroskein.sources.objects import PROFILE_COLUMNS, read_objects
 
 DEFAULT_RANGE_M = 255_000.0
-#: Columns of a profile file, read as text and coerced afterwards.
-VPTS_COLUMNS = "radar datetime height u v w ff dd sd_vvp gap eta dens dbz dbz_all n n_dbz n_all n_dbz_all DBZH rcs sd_vvp_threshold vcp radar_latitude radar_longitude sunrise sunset day".split()
-
 
 def _array_of(df: DataFrame, *names: str) -> DataFrame:
     """Rows of the first of the named arrays that the documents have; documents without one are rows."""
@@ -42,32 +39,31 @@ def key_tail(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+/\d{4}/[^/]+)$", 1)
 
 
-def read_vpts_archive(spark: SparkSession, root: str, inventory: DataFrame, max_files: int | None = None, name_of=key_tail) -> DataFrame:
-    """Layers of the inventory's objects (radar, day, pulse, key, etag).
-
-    name_of says of a file's path what key_tail() says of its object's key, for archives that
-    name their folders otherwise.
+def read_vpts_archive(spark: SparkSession, root: str, inventory: DataFrame, max_files: int | None = None, path_of=key_tail) -> DataFrame:
+    """Layers of the inventory's objects (radar, day, pulse, key, etag), of the first max_files by radar, day and pulse if given.
 
-    The object's key says whose rows they are: radar and pulse in the rows are overridden.
-    One scan reads the whole archive folder and a join with the inventory keeps its objects;
-    Spark doesn't list files one by one.
+    Only these objects are opened, each read by its own header. path_of says of an object's
+    key where it is below the root. The inventory says whose rows they are: radar and pulse in the
+    rows are overridden.
     """
     if max_files is not None:
         inventory = inventory.orderBy("radar", "day", "pulse").limit(max_files)
-    raw = spark.read.option("header", True).option("recursiveFileLookup", True).csv(root)
-    path = F.col("_metadata.file_path")
-    rows = raw.select(*[F.col(c) for c in raw.columns if c not in ("radar", "pulse")], name_of(path).alias("_tail"), path.alias("source_uri"))
-    listed = inventory.select(key_tail(F.col("key")).alias("_tail"), "radar", "pulse", F.col("key").alias("source_key"), F.col("etag").alias("source_etag"))
-    return canonical_layers(rows.join(listed, "_tail").drop("_tail"))
+    objects = inventory.select("radar", "pulse", F.col("key").alias("source_key"), F.col("etag").alias("source_etag"))
+    rows = read_objects(root, objects, path_of(F.col("source_key")))
+    named = [F.col(f"_c_{c}").alias(c) for c in PROFILE_COLUMNS if c not in ("radar", "pulse")]
+    return canonical_layers(rows.select(*objects.columns, F.col("_uri").alias("source_uri"), *named))
+
 
+def name_tail(path: Column) -> Column:
+    """Year and name of another archive's file."""
+    return F.regexp_extract(path, r"([^/]+/[^/]+)$", 1)
 
-def read_external_vpts(spark: SparkSession, root: str, objects: DataFrame, pulse: str = "unknown") -> DataFrame:
-    """Rows of another archive's daily files with their source, which keep the radar that they name."""
-    raw = spark.read.option("header", True).option("recursiveFileLookup", True).csv(root)
-    tail = r"([^/]+/[^/]+)$"
-    name = F.regexp_extract(F.col("_metadata.file_path"), tail, 1)
-    listed = objects.select(F.regexp_extract("key", tail, 1).alias("_name"), "source", F.col("key").alias("source_url"), F.col("radar").alias("archive_radar"), F.col("day").alias("archive_date"))
-    return raw.withColumn("_name", name).join(listed, "_name").drop("_name").withColumn("pulse", F.lit(pulse))
+
+def read_external_vpts(spark: SparkSession, root: str, objects: DataFrame, pulse: str = "unknown", path_of=name_tail) -> DataFrame:
+    """Rows, as text, of another archive's listed daily files with their source; they keep the radar that they name."""
+    listed = objects.select("source", F.col("key").alias("source_url"), F.col("radar").alias("archive_radar"), F.col("day").alias("archive_date"))
+    rows = read_objects(root, listed, path_of(F.col("source_url")))
+    return rows.select(*[F.col(f"_c_{c}").alias(c) for c in PROFILE_COLUMNS if c != "pulse"], *listed.columns, F.lit(pulse).alias("pulse"))
 
 
 def _pick(df: DataFrame, *names: str, kind: str = "double") -> Column:
@@ -201,8 +197,3 @@ def read_weather_long(spark: SparkSession, path: str, levels: list[int] | None =
     there = {k: [F.col(a) for a in names if a in df.columns] for k, names in WEATHER_NAMES.items()}
     out = df.select(F.col(time).alias("hour"), "latitude", "longitude", *([F.col(level).cast("int").alias("level")] if level else []), *[F.coalesce(*c).alias(k) for k, c in there.items() if c])
     return out.where(F.col("level").isin(*levels)) if levels and level else out
-
-
-def keys_of(listing: DataFrame) -> DataFrame:
-    """A listing of keys with what each key says."""
-    return listing.select("*", *[c.alias(k) for k, c in parse_object_key(F.col("key")).items()])

@@ -26,6 +26,44 @@ def test_external_rows_keep_their_radar(spark, tmp_path):
     assert (r["radar"], r["archive_radar"], r["pulse"]) == ("frabc", "frxxx", "unknown")
 
 
+INVENTORY = "radar string, day string, pulse string, key string, etag string"
+
+
+def archive_of(tmp_path, texts):
+    folder = tmp_path / "vpts" / "radar-07" / "2025"
+    folder.mkdir(parents=True)
+    for name, text in texts.items():
+        (folder / name).write_bytes(text.encode())
+    return f"file://{tmp_path}/vpts"
+
+
+def listed(spark, *days):
+    return spark.createDataFrame([("radar-07", d, "lp", f"vpts/radar-07/2025/2025{d}_lp_vpts.csv", "e" + d) for d in days], INVENTORY)
+
+
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    root = archive_of(tmp_path, {
+        "20250701_lp_vpts.csv": "radar,datetime,height,dens,ff,note\nX,2025-07-01 22:00:00,200,5,9,\"a, \"\"b\"\"\"\nX,2025-07-01 22:00:00,400,6\n\n",
+        "20250702_lp_vpts.csv": "\ufeffff,dens,height,radar,datetime\r\n9,5,200,X,2025-07-02 22:00:00\r\n",
+        "20250703_lp_vpts.csv": 'note,"dens",height,datetime,dens\n"x, y",5,200,2025-07-03 22:00:00,7\n',
+        "20250704_lp_vpts.csv": "radar,datetime,height,dens\n",
+        "20250705_lp_vpts.csv": "",
+    })
+    rows = readers.read_vpts_archive(spark, root, listed(spark, "0701", "0702", "0703", "0704", "0705")).orderBy("ts", "height").collect()
+    assert [(r["ts"].day, r["height"], r["dens"], r["ff"], r["source_etag"]) for r in rows] == [(1, 200.0, 5.0, 9.0, "e0701"), (1, 400.0, 6.0, None, "e0701"), (2, 200.0, 5.0, 9.0, "e0702"), (3, 200.0, 5.0, None, "e0703")]
+
+
+def test_only_listed_files_are_opened(spark, tmp_path):
+    one = "radar,datetime,height,dens\nX,2025-07-01 22:00:00,200,5\n"
+    root = archive_of(tmp_path, {f"2025070{i}_lp_vpts.csv": one for i in range(1, 6)})
+    rows = readers.read_vpts_archive(spark, root, listed(spark, "0704", "0702", "0703"), max_files=2)
+    assert sorted(f.rsplit("/", 1)[1] for f in rows.inputFiles()) == ["20250702_lp_vpts.csv", "20250703_lp_vpts.csv"]
+    assert rows.count() == 2
+    assert readers.read_vpts_archive(spark, root, listed(spark, "0701").limit(0)).count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        readers.read_vpts_archive(spark, root, listed(spark, "0709"))
+
+
 def test_json_lists_and_documents(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([{"x": 1}, {"x": 2}]))
     (tmp_path / "b.json").write_text(json.dumps({"items": [{"x": 3}]}))
