@@ -14,11 +14,9 @@ from pyspark.sql import functions as F
 
 from aeroskein.functions.domain import inverse, sample_weight, transform
 from aeroskein.operators.training import FEATURES
-from aeroskein.operators.validation import blocked_time_split, score_regression
+from aeroskein.operators.validation import INTENSITY, VECTORS, blocked_time_split, score_regression
 from aeroskein.sources.scratch import scratch_path
 
-INTENSITY = ("mtr_birds_km_h", "vid_birds_per_km2")
-VECTORS = ("bird_u_ms", "bird_v_ms")
 #: Models that are fitted at a time; each fit is a row of small jobs.
 AT_ONCE = 8
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from aeroskein.operators.compare import safe_corr
 from aeroskein.operators.quantiles import quantiles
 
-INTENSITY, VECTORS = ("mtr", "vid"), ("u", "v")
+#: The targets of models, intensities and parts of the vector.
+INTENSITY, VECTORS = ("mtr_birds_km_h", "vid_birds_per_km2"), ("bird_u_ms", "bird_v_ms")
 VALIDATIONS = ("leave_one_radar_out", "blocked_time")
 
 
@@ -103,15 +104,19 @@ def metric_delta(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
     return both.withColumn("d_r_squared", F.col("r_squared_candidate") - F.col("r_squared_baseline")).withColumn("d_rmse", F.col("rmse_candidate") - F.col("rmse_baseline"))
 
 
-def blocked_time_split(rows: DataFrame, share: float = 0.8, least_times: int = 10) -> DataFrame:
+def blocked_time_split(rows: DataFrame, share: float = 0.8, least_times: int = 10, least_train: int = 30, least_test: int = 1) -> DataFrame:
     """`rows` with is_train: times up to the one at place floor(share * n) of the sorted distinct times.
 
-    Times are ranked among the distinct ones, which are few against rows.
+    Without enough times, or enough rows on either side, there are no rows. Times are ranked
+    among the distinct ones, which are few against rows.
     """
-    times = rows.select("hour").distinct()
+    times = rows.groupBy("hour").agg(F.count("*").alias("_rows"))
     ranked = times.withColumn("_i", F.row_number().over(Window.orderBy("hour"))).withColumn("_n", F.count("*").over(Window.partitionBy()))
-    cut = ranked.where((F.col("_n") >= least_times) & (F.col("_i") == F.greatest(F.lit(1), F.floor(F.col("_n") * share)))).select(F.col("hour").alias("_cut"))
-    return rows.join(cut).withColumn("is_train", F.col("hour") <= F.col("_cut")).drop("_cut")
+    early = F.col("_i") <= F.greatest(F.lit(1), F.floor(F.col("_n") * share))
+    side = lambda which: F.coalesce(F.sum(F.when(which, F.col("_rows"))), F.lit(0))
+    cut = ranked.agg(F.max(F.when(early, F.col("hour"))).alias("_cut"), F.max("_n").alias("_n"), side(early).alias("_train"), side(~early).alias("_test"))
+    cut = cut.where((F.col("_n") >= least_times) & (F.col("_train") >= least_train) & (F.col("_test") >= least_test)).select("_cut")
+    return rows.join(F.broadcast(cut)).withColumn("is_train", F.col("hour") <= F.col("_cut")).drop("_cut")
 
 
 def evidence_gate(rows: DataFrame, by: list[str], least_rows: int = 30, least_radars: int = 2) -> DataFrame:
@@ -161,7 +166,7 @@ def select_model_family(baseline: DataFrame, challenger: DataFrame, gain: float
 
 
 #: The intensity targets that a candidate may not harm: the short pulse's VID isn't stable enough to be one.
-PRIMARY = (("lp", "mtr"), ("lp", "vid"), ("sp", "mtr"))
+PRIMARY = (("lp", INTENSITY[0]), ("lp", INTENSITY[1]), ("sp", INTENSITY[0]))
 
 
 def candidate_gate(delta: DataFrame, loss: float = 0.01, gain: float = 0.02) -> DataFrame:

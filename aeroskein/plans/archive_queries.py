@@ -408,18 +408,18 @@ def metrics(spark, d, run):
     """Metrics of two runs by (validation, pulse, target), made from part and supplier prices."""
     p = D.table(spark, d, "part").where("p_partkey >= 0")
     shift = {"baseline": 0, "candidate": 7}[run]
-    return p.groupBy(F.expr("if(p_size % 2 = 0, 'leave_one_radar_out', 'blocked_time')").alias("validation"), F.expr("if(p_partkey % 2 = 0, 'lp', 'sp')").alias("pulse"), F.expr("element_at(array('mtr', 'vid', 'u', 'v'), cast(p_partkey div 2 % 4 as int) + 1)").alias("target")).agg(
+    return p.groupBy(F.expr("if(p_size % 2 = 0, 'leave_one_radar_out', 'blocked_time')").alias("validation"), F.expr("if(p_partkey % 2 = 0, 'lp', 'sp')").alias("pulse"), F.expr("element_at(array('mtr_birds_km_h', 'vid_birds_per_km2', 'bird_u_ms', 'bird_v_ms'), cast(p_partkey div 2 % 4 as int) + 1)").alias("target")).agg(
         F.round(F.avg(F.expr(f"p_retailprice * (1.0D - {shift} / 50.0D)")), 6).alias("rmse"), F.round(F.avg(F.expr(f"(p_size + {shift}) / 100.0D")), 6).alias("r_squared"),
         F.round(F.avg(F.expr(f"(p_partkey % 10 + {shift}) / 20.0D")), 6).alias("top_decile_precision"), F.round(F.avg(F.expr(f"(p_partkey % 7 + {shift}) / 20.0D")), 6).alias("top_decile_recall"),
     )
 
 
 for _run, _shift in (("baseline", 0), ("candidate", 7)):
-    TABLES[f"metrics_{_run}"] = f"select case when p_size % 2 = 0 then 'leave_one_radar_out' else 'blocked_time' end as validation, case when p_partkey % 2 = 0 then 'lp' else 'sp' end as pulse, ['mtr', 'vid', 'u', 'v'][cast(p_partkey // 2 % 4 as int) + 1] as target, round(avg(p_retailprice * (1.0 - {_shift} / 50.0)), 6) as rmse, round(avg((p_size + {_shift}) / 100.0), 6) as r_squared, round(avg((p_partkey % 10 + {_shift}) / 20.0), 6) as top_decile_precision, round(avg((p_partkey % 7 + {_shift}) / 20.0), 6) as top_decile_recall from part group by all"
-TABLES["delta"] = "select pulse, target, b.r_squared as r_squared_baseline, b.rmse as rmse_baseline, c.r_squared as r_squared_candidate, c.rmse as rmse_candidate, c.r_squared - b.r_squared as d_r_squared, c.rmse - b.rmse as d_rmse from (select * from metrics_baseline where validation = 'leave_one_radar_out') b full join (select * from metrics_candidate where validation = 'leave_one_radar_out' and target <> 'v') c using (pulse, target)"
+    TABLES[f"metrics_{_run}"] = f"select case when p_size % 2 = 0 then 'leave_one_radar_out' else 'blocked_time' end as validation, case when p_partkey % 2 = 0 then 'lp' else 'sp' end as pulse, ['mtr_birds_km_h', 'vid_birds_per_km2', 'bird_u_ms', 'bird_v_ms'][cast(p_partkey // 2 % 4 as int) + 1] as target, round(avg(p_retailprice * (1.0 - {_shift} / 50.0)), 6) as rmse, round(avg((p_size + {_shift}) / 100.0), 6) as r_squared, round(avg((p_partkey % 10 + {_shift}) / 20.0), 6) as top_decile_precision, round(avg((p_partkey % 7 + {_shift}) / 20.0), 6) as top_decile_recall from part group by all"
+TABLES["delta"] = "select pulse, target, b.r_squared as r_squared_baseline, b.rmse as rmse_baseline, c.r_squared as r_squared_candidate, c.rmse as rmse_candidate, c.r_squared - b.r_squared as d_r_squared, c.rmse - b.rmse as d_rmse from (select * from metrics_baseline where validation = 'leave_one_radar_out') b full join (select * from metrics_candidate where validation = 'leave_one_radar_out' and target <> 'bird_v_ms') c using (pulse, target)"
 
 
-def delta(spark, d, skip="v"):
+def delta(spark, d, skip="bird_v_ms"):
     held = lambda run: metrics(spark, d, run).where("validation = 'leave_one_radar_out'")
     return V.metric_delta(held("baseline"), held("candidate").where(F.col("target") != skip))
 
@@ -432,38 +432,38 @@ def j17(spark, d):
 TABLES["family_checks"] = """
   select validation, pulse, target, case when b.rmse > 0 then (b.rmse - c.rmse) / b.rmse else '-infinity'::double end as improvement, c.top_decile_precision >= b.top_decile_precision and c.top_decile_recall >= b.top_decile_recall as events_better,
     b.rmse is not null and c.rmse is not null as complete, c.rmse <= b.rmse * 1.02 as vector_ok
-  from (select * from (values ('leave_one_radar_out'), ('blocked_time')) v(validation), (values ('lp'), ('sp')) p(pulse), (values ('mtr'), ('vid'), ('u'), ('v')) t(target))
-  left join metrics_baseline b using (validation, pulse, target) left join (select * from metrics_candidate where not (validation = 'blocked_time' and pulse = 'sp' and target = 'vid')) c using (validation, pulse, target)"""
+  from (select * from (values ('leave_one_radar_out'), ('blocked_time')) v(validation), (values ('lp'), ('sp')) p(pulse), (values ('mtr_birds_km_h'), ('vid_birds_per_km2'), ('bird_u_ms'), ('bird_v_ms')) t(target))
+  left join metrics_baseline b using (validation, pulse, target) left join (select * from metrics_candidate where not (validation = 'blocked_time' and pulse = 'sp' and target = 'vid_birds_per_km2')) c using (validation, pulse, target)"""
 
 
 def challenger(spark, d):
-    return metrics(spark, d, "candidate").where("not (validation = 'blocked_time' and pulse = 'sp' and target = 'vid')")
+    return metrics(spark, d, "candidate").where("not (validation = 'blocked_time' and pulse = 'sp' and target = 'vid_birds_per_km2')")
 
 
-@query("m13_family_checks", "select validation, pulse, target, case when complete then round(improvement, 6) end as improvement, case when complete then events_better end as events_better, complete and improvement >= 0.10 and events_better as passed, case when not complete then 'missing_metrics' end as reason from family_checks where target in ('mtr', 'vid')")
+@query("m13_family_checks", "select validation, pulse, target, case when complete then round(improvement, 6) end as improvement, case when complete then events_better end as events_better, complete and improvement >= 0.10 and events_better as passed, case when not complete then 'missing_metrics' end as reason from family_checks where target in ('mtr_birds_km_h', 'vid_birds_per_km2')")
 def m13_checks(spark, d):
     return V.family_checks(metrics(spark, d, "baseline"), challenger(spark, d)).withColumn("improvement", F.round("improvement", 6))
 
 
 @query("m13_select_model_family", """
-select bool_and(complete and improvement >= 0.10 and events_better) filter (where target in ('mtr', 'vid') and validation = 'leave_one_radar_out') as intensity_ok,
-  bool_and(complete and vector_ok) filter (where target in ('u', 'v') and validation = 'leave_one_radar_out') as vectors_not_worse, true as temporal_required,
-  bool_and(complete and improvement >= 0.10 and events_better) filter (where target in ('mtr', 'vid') and validation = 'blocked_time') as temporal_ok,
-  case when bool_and(case when target in ('mtr', 'vid') then complete and improvement >= 0.10 and events_better when validation = 'leave_one_radar_out' then complete and vector_ok else true end) then 'challenger' else 'baseline' end as selected from family_checks""")
+select bool_and(complete and improvement >= 0.10 and events_better) filter (where target in ('mtr_birds_km_h', 'vid_birds_per_km2') and validation = 'leave_one_radar_out') as intensity_ok,
+  bool_and(complete and vector_ok) filter (where target in ('bird_u_ms', 'bird_v_ms') and validation = 'leave_one_radar_out') as vectors_not_worse, true as temporal_required,
+  bool_and(complete and improvement >= 0.10 and events_better) filter (where target in ('mtr_birds_km_h', 'vid_birds_per_km2') and validation = 'blocked_time') as temporal_ok,
+  case when bool_and(case when target in ('mtr_birds_km_h', 'vid_birds_per_km2') then complete and improvement >= 0.10 and events_better when validation = 'leave_one_radar_out' then complete and vector_ok else true end) then 'challenger' else 'baseline' end as selected from family_checks""")
 def m13(spark, d):
     """One decision over both validations; a metric of the challenger is missing."""
     return V.select_model_family(metrics(spark, d, "baseline"), challenger(spark, d))
 
 
-_PRIMARY = "((pulse = 'lp' and target in ('mtr', 'vid')) or (pulse = 'sp' and target = 'mtr'))"
+_PRIMARY = "((pulse = 'lp' and target in ('mtr_birds_km_h', 'vid_birds_per_km2')) or (pulse = 'sp' and target = 'mtr_birds_km_h'))"
 
 
-@query("m14_candidate_gate", f"select round(min(d_r_squared) filter (where {_PRIMARY}), 6) as worst_intensity, round(avg(d_r_squared) filter (where target in ('u', 'v') and pulse = 'lp'), 6) as mean_vector_gain, coalesce(min(d_r_squared) filter (where {_PRIMARY}) >= -0.01, false) and coalesce(avg(d_r_squared) filter (where target in ('u', 'v') and pulse = 'lp') >= 0.02, false) as accept from delta")
+@query("m14_candidate_gate", f"select round(min(d_r_squared) filter (where {_PRIMARY}), 6) as worst_intensity, round(avg(d_r_squared) filter (where target in ('bird_u_ms', 'bird_v_ms') and pulse = 'lp'), 6) as mean_vector_gain, coalesce(min(d_r_squared) filter (where {_PRIMARY}) >= -0.01, false) and coalesce(avg(d_r_squared) filter (where target in ('bird_u_ms', 'bird_v_ms') and pulse = 'lp') >= 0.02, false) as accept from delta")
 def m14(spark, d):
     return V.candidate_gate(delta(spark, d)).withColumns({"worst_intensity": F.round("worst_intensity", 6), "mean_vector_gain": F.round("mean_vector_gain", 6)})
 
 
-@query("m15_component_selection", "select pulse, target, case when pulse = 'sp' and target in ('u', 'v') and bool_and(c.r_squared > b.r_squared) then 'candidate' else 'baseline' end as run from metrics_baseline b join metrics_candidate c using (validation, pulse, target) group by pulse, target")
+@query("m15_component_selection", "select pulse, target, case when pulse = 'sp' and target in ('bird_u_ms', 'bird_v_ms') and bool_and(c.r_squared > b.r_squared) then 'candidate' else 'baseline' end as run from metrics_baseline b join metrics_candidate c using (validation, pulse, target) group by pulse, target")
 def m15(spark, d):
     return V.component_selection(metrics(spark, d, "baseline"), metrics(spark, d, "candidate"))
 
