@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from aeroskein.functions.domain import inverse, sample_weight, transform
 from aeroskein.operators.training import FEATURES
-from aeroskein.operators.validation import INTENSITY, VECTORS, blocked_time_split, score_regression
+from aeroskein.operators.validation import INTENSITY, VECTORS, blocked_time_split, evidence_gate, score_regression
 from aeroskein.sources.scratch import scratch_path
 
 #: Models that are fitted at a time; each fit is a row of small jobs.
@@ -146,14 +146,19 @@ def fit(rows: DataFrame, spec: ModelSpec) -> FittedModel:
     return FittedModel(spec, Pipeline(stages=stages).fit(df), hinges)
 
 
-def leave_one_radar_out(rows: DataFrame, spec: ModelSpec) -> DataFrame:
+PAIRS = "radar string, hour timestamp, observed double, predicted double"
+
+
+def leave_one_radar_out(rows: DataFrame, spec: ModelSpec, least_rows: int = 30) -> DataFrame:
     """Predictions of each radar by a model fitted without it: (radar, hour, observed, predicted).
 
-    The loop is over radars, of which a network has tens; each fit is distributed.
+    The loop is over radars, of which a network has tens; each fit is distributed. A radar
+    without which too few rows are left isn't predicted.
     """
-    radars = sorted(r["radar"] for r in rows.select("radar").distinct().collect())
-    parts = []
-    for radar in radars:
+    known = rows.where(F.col(spec.target).isNotNull()).groupBy("radar").count().collect()
+    total = sum(r["count"] for r in known)
+    parts = [rows.sparkSession.createDataFrame([], PAIRS)]
+    for radar in sorted(r["radar"] for r in known if total - r["count"] >= least_rows):
         model = fit(rows.where(F.col("radar") != radar), spec)
         held = model.predict(rows.where(F.col("radar") == radar))
         parts.append(held.select("radar", "hour", F.col(spec.target).alias("observed"), "predicted"))
@@ -164,15 +169,19 @@ def leave_one_radar_out(rows: DataFrame, spec: ModelSpec) -> DataFrame:
 
 
 def blocked_time(rows: DataFrame, spec: ModelSpec) -> DataFrame:
-    """Predictions of the last fifth of times by a model of those before."""
-    split = blocked_time_split(rows)
+    """Predictions of the last fifth of times by a model of those before; none where blocked_time_split() gives no rows."""
+    split = blocked_time_split(rows.where(F.col(spec.target).isNotNull()))
+    if split.isEmpty():
+        return rows.sparkSession.createDataFrame([], PAIRS)
     model = fit(split.where("is_train"), spec)
     held = model.predict(split.where("not is_train"))
     return held.select("radar", "hour", F.col(spec.target).alias("observed"), "predicted").where("observed is not null")
 
 
 def validation_metrics(rows: DataFrame, specs: dict[str, ModelSpec], validations: tuple[str, ...] = ("leave_one_radar_out", "blocked_time")) -> DataFrame:
-    """A metrics row for each (pulse, target, validation)."""
+    """A metrics row for each (pulse, target, validation) with enough rows and radars."""
+    counts = [evidence_gate(rows.where(F.col(t).isNotNull()), ["pulse"]).select("pulse", F.lit(t).alias("target"), "enough") for t in specs]
+    enough = {(r["pulse"], r["target"]) for r in reduce(DataFrame.union, counts).where("enough").collect()}
     run = {"leave_one_radar_out": leave_one_radar_out, "blocked_time": blocked_time}
 
     def pairs(job: tuple[str, str, str]) -> DataFrame:
@@ -181,9 +190,10 @@ def validation_metrics(rows: DataFrame, specs: dict[str, ModelSpec], validations
         return found.select(F.lit(pulse).alias("pulse"), F.lit(target).alias("target"), F.lit(v).alias("validation"), "observed", "predicted")
 
     with ThreadPoolExecutor(AT_ONCE) as pool:
-        parts = list(pool.map(pairs, [(p, t, v) for p in ("lp", "sp") for t in specs for v in validations]))
+        parts = list(pool.map(pairs, [(p, t, v) for p, t in sorted(enough) for v in validations]))
+    empty = rows.sparkSession.createDataFrame([], "pulse string, target string, validation string, observed double, predicted double")
     path = scratch_path(rows.sparkSession, "pairs")
-    reduce(DataFrame.union, parts).write.parquet(path)
+    reduce(DataFrame.union, parts, empty).write.parquet(path)
     return score_regression(rows.sparkSession.read.parquet(path), ["pulse", "target", "validation"])
 
 

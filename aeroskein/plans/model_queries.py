@@ -113,14 +113,7 @@ def _additive(target: str, **more) -> dict[str, M.ModelSpec]:
 
 
 ADDITIVE = {t: M.replace(s, family="additive") for t, s in BASE.items()}
-_metrics_query("m9_leave_one_radar_out", ADDITIVE, "leave_one_radar_out")
-_metrics_query("m10_blocked_time", ADDITIVE, "blocked_time")
-_metrics_query("m4_fit_additive", _additive("vid_birds_per_km2"), "blocked_time")
-_metrics_query("m5_cyclic_smooths", _additive("mtr_birds_km_h", cyclic=2), "blocked_time")
-_metrics_query("m6_interactions", _additive("bird_u_ms", interactions=(("temperature_850_k", "relative_humidity_850_percent"), ("u_850_ms", "v_850_ms"))), "blocked_time")
 _metrics_query("m7_tweedie_intensity", {"mtr_birds_km_h": M.ModelSpec("mtr_birds_km_h", family="tweedie", predictors=("temperature_850_k", "u_850_ms", "v_850_ms", "total_cloud_cover_fraction"))}, "blocked_time")
-_metrics_query("m8_radar_effect", _additive("mtr_birds_km_h", radar_effect=True), "blocked_time")
-_metrics_query("m17_wind_offset_fit", _additive("bird_u_ms", offset="u_850_ms"), "blocked_time")
 
 
 #: Rounds of boosting that the survey recommends on Spark; the reference runs 500.
@@ -161,12 +154,6 @@ def m11(spark, d):
     return out.select("pulse", "hour", "latitude", "longitude", "support", *ADDITIVE, *[f"uncertainty_{t}" for t in ADDITIVE])
 
 
-@query("m12_target_overrides")
-def m12(spark, d):
-    specs = M.default_specs(mtr_birds_km_h={"family": "additive", "response": "log1p", "weights": "sqrt_mtr", "excluded": ("hourly_precipitation_m",)}, vid_birds_per_km2={"family": "additive", "response": "sqrt"})
-    return M.validation_metrics(learnable(spark, d), {t: specs[t] for t in M.INTENSITY}, ("blocked_time",))
-
-
 @query("m16_predict_components")
 def m16(spark, d):
     def runs(rows):

@@ -41,4 +41,5 @@ def with_tables(sql: str) -> str:
     own = ",\n".join(f"{k} as ({v.strip()})" for k, v in TABLES.items() if k in wanted)
     if not own:
         return sql
-    return re.sub(r"^\s*with\b", f"with {own},\n", sql, count=1) if re.match(r"\s*with\b", sql) else f"with {own}\n{sql}"
+    begin = re.match(r"\s*with(\s+recursive)?\b", sql)
+    return f"{begin[0]} {own},\n{sql[begin.end():]}" if begin else f"with {own}\n{sql}"
