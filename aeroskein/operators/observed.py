@@ -16,15 +16,16 @@ def usable() -> Column:
     return F.col("mtr_birds_km_h").isNotNull() & ~F.col("rain_suspect")
 
 
-def hourly_rows(profiles: DataFrame, with_nights: bool = True) -> DataFrame:
-    """One row a (radar, pulse, hour). Pulses are never mixed.
+def hourly_rows(profiles: DataFrame, with_nights: bool = True, event_time: str | None = None) -> DataFrame:
+    """One row a (radar, pulse, hour). Pulses are never mixed. On a stream hours are windows of the column `event_time`.
 
     The mean rate is over usable profiles, the mean density over all. The direction is null
     if any profile with a direction has no rate.
     """
     direction, mtr = F.col("dominant_direction_deg"), F.col("mtr_birds_km_h")
     both = direction.isNotNull() & mtr.isNotNull()
-    sums = profiles.groupBy("radar", "pulse", hour_key(F.col("ts")).alias("hour")).agg(
+    hour = F.window(event_time, "1 hour").alias("_hour") if event_time else hour_key(F.col("ts")).alias("hour")
+    sums = profiles.groupBy("radar", "pulse", hour).agg(
         F.count("*").alias("profile_count"), F.count_if(usable()).alias("usable_mtr_profile_count"),
         F.round(F.avg(F.when(usable(), mtr)), 6).alias("mean_mtr_birds_km_h"), F.round(F.avg("vid_birds_per_km2"), 6).alias("mean_vid_birds_per_km2"),
         F.round(F.avg("mean_ground_speed_ms"), 6).alias("mean_ground_speed_ms"),
@@ -33,6 +34,8 @@ def hourly_rows(profiles: DataFrame, with_nights: bool = True) -> DataFrame:
         F.round(F.avg(F.col("rain_suspect").cast("double")), 6).alias("rain_suspect_fraction"),
         F.round(F.avg(F.col("night_date").isNotNull().cast("double")), 6).alias("night_profile_fraction"),
     )
+    if event_time:
+        sums = sums.withColumn("hour", F.col("_hour.start")).drop("_hour").select("radar", "pulse", "hour", *[c for c in sums.columns if c not in ("radar", "pulse", "_hour")])
     out = sums.withColumn("dominant_direction_deg", F.when(F.col("n_direction") == F.col("n_both"), circular(F.col("east"), F.col("north"))))
     out = out.drop("east", "north", "n_direction", "n_both")
     return out if with_nights else out.drop("night_profile_fraction")
@@ -123,8 +126,12 @@ def complete_nights(nights: DataFrame, newest: DataFrame) -> DataFrame:
     return nights.join(newest, "radar", "left").where(F.col("source_date").isNull() | (F.col("night_date") < F.col("source_date"))).drop("source_date")
 
 
-def integrable_nights(nights: DataFrame) -> DataFrame:
-    return nights.where(F.col("integrated_interval_count") > 0)
+def integrable_nights(nights: DataFrame, required: bool = False) -> DataFrame:
+    """Nights with an interval. If they are `required`, it is an error that none is left; that takes a look at the data."""
+    found = nights.where(F.col("integrated_interval_count") > 0)
+    if required and found.isEmpty():
+        raise ValueError("no complete night can be integrated")
+    return found
 
 
 def radar_differences(observed: DataFrame, expected: DataFrame) -> DataFrame:

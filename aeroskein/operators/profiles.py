@@ -62,9 +62,12 @@ def rain_suspect(bins: Column, positive: Column) -> Column:
     return (bins >= RAIN_BINS) & (positive / F.greatest(bins, F.lit(1)) >= RAIN_SHARE)
 
 
-def integrate_profiles(layers: DataFrame, low: float = BAND[0], high: float = BAND[1]) -> DataFrame:
+def integrate_profiles(layers: DataFrame, low: float = BAND[0], high: float = BAND[1], event_time: str | None = None) -> DataFrame:
     """One row a (radar, second, pulse) from canonical layers.
 
+    On a stream with a watermark on ts, `event_time` names a column that carries the watermark
+    on to further aggregations.
+
     The width of a profile's layers is the same for all, so sums are taken without it and
     scaled afterwards: one aggregation with partial sums, no window and no join. Gap layers
     count but add nothing. A profile whose density is 0 has a rate of 0 even in rain; else a
@@ -79,8 +82,9 @@ def integrate_profiles(layers: DataFrame, low: float = BAND[0], high: float = BA
     turned = moving & (rate > 0) & F.col("dd").isNotNull()
     bins, positive = rain_flags()
     inside = h.between(low, high)
+    second = F.window("ts", "1 second").alias("_second") if event_time else F.date_trunc("second", "ts").alias("ts")
     sums = (
-        layers.where(inside).withColumn("ts", F.date_trunc("second", "ts")).groupBy("radar", "ts", "pulse").agg(
+        layers.where(inside).groupBy("radar", second, "pulse").agg(
             F.collect_set("height").alias("heights"), F.count_if(gap).alias("gap_layer_count"),
             F.count_if(dense).alias("density_layer_count"), F.count_if(moving).alias("mtr_layer_count"),
             F.sum(F.when(dense, d)).alias("d"), F.sum(F.when(dense, h * d)).alias("hd"), F.sum(F.when(moving, rate)).alias("r"),
@@ -90,6 +94,8 @@ def integrate_profiles(layers: DataFrame, low: float = BAND[0], high: float = BA
             *[F.min_by(c, "height").alias(c) for c in extra],
         )
     )
+    if event_time:
+        sums = sums.withColumn(event_time, F.window_time("_second")).withColumn("ts", F.col("_second.start"))
     width = median_gap_km(F.col("heights"))
     wet = rain_suspect(F.col("rain_bins"), F.col("rain_positive"))
     vid = F.col("d") * F.col("layer_width_km")
@@ -102,7 +108,7 @@ def integrate_profiles(layers: DataFrame, low: float = BAND[0], high: float = BA
     return (
         sums.withColumns({"layer_width_km": width, "rain_suspect": wet, "is_day": day})
         .select(
-            "radar", "pulse", "ts", night.alias("night_date"), "is_day", *extra,
+            "radar", "pulse", "ts", *([event_time] if event_time else []), night.alias("night_date"), "is_day", *extra,
             F.when(F.col("density_layer_count") > 0, vid).alias("vid_birds_per_km2"), rated.cast("double").alias("mtr_birds_km_h"),
             F.when(F.col("md") > 0, F.col("sd") / F.nullif("md", F.lit(0.0))).alias("mean_ground_speed_ms"),
             circular(F.col("east"), F.col("north")).alias("dominant_direction_deg"),

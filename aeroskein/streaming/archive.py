@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from aeroskein.operators.frames import day_checks
 from aeroskein.operators.observed import hourly_rows, merge_latest_nights, night_metrics
@@ -36,14 +40,13 @@ def stream_profiles(layers: DataFrame, target: str, checkpoint: str) -> Streamin
 
 
 def hourly_stream(layers: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Hourly sums of layers in append mode: density and rate of each (radar, pulse, hour).
+    """The hourly rows of a stream of layers, in append mode: layers become profiles, profiles become hours.
 
-    Sums merge, so the watermark alone decides when an hour is done.
+    Both aggregations keep their state by key under one watermark: a profile is done when the
+    watermark passes its second, an hour when it passes its end. Rows that come later than
+    `delay` behind the newest are dropped; an hour comes out once.
     """
-    rate = F.when(~F.col("gap"), F.col("dens") * F.col("ff") * 3.6)
-    return layers.withWatermark("ts", delay).groupBy(F.window("ts", "1 hour"), "radar", "pulse").agg(
-        F.count("*").alias("layers"), F.sum(F.when(~F.col("gap"), F.col("dens"))).alias("dens"), F.sum(rate).alias("rate"),
-    ).select("radar", "pulse", F.col("window.start").alias("hour"), "layers", "dens", "rate")
+    return hourly_rows(integrate_profiles(layers.withWatermark("ts", delay), event_time="event_time"), event_time="event_time")
 
 
 def sessions(layers: DataFrame, gap: str = "30 minutes", delay: str = "2 hours") -> DataFrame:
@@ -53,26 +56,87 @@ def sessions(layers: DataFrame, gap: str = "30 minutes", delay: str = "2 hours")
     ).select("radar", "first", "last", "layers")
 
 
-def stream_closed_nights(profiles: DataFrame, state: str, target: str, checkpoint: str) -> StreamingQuery:
-    """Emit each night once, when a later source date of its radar has come.
+class OpenNights(StatefulProcessor):
+    """Profiles of a radar's open nights, kept until a later source date has come.
+
+    The state of a radar is its newest source date and, for each night and batch, the rows that the
+    batch brought, as an Arrow stream: a batch appends its own and reads nothing. Only when the
+    date advances are the nights before it read, passed on and dropped, and the open ones, one or two, put back.
+    """
+
+    def __init__(self, names: list[str]):
+        self.names = names
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.newest = handle.getValueState("newest", "day string")
+        self.nights = handle.getListState("nights", "night string, rows binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        before = self.newest.get()[0] if self.newest.exists() else ""
+        newest = before
+        for frame in rows:
+            newest = max(newest, frame["ts"].max().strftime("%Y-%m-%d"))
+            night = frame["night_date"].astype(str).where(frame["night_date"].notna(), "")
+            for name, part in frame.groupby(night):
+                if name and name >= before:  # a night before the newest date of earlier batches has been passed on
+                    self.nights.appendValue((name, _packed(part[self.names])))
+        if newest == before:
+            return
+        self.newest.update((newest,))
+        kept, closed = [], []
+        for name, packed in self.nights.get():
+            (closed if name < newest else kept).append((name, bytes(packed)))
+        if kept:
+            self.nights.put(kept)
+        else:
+            self.nights.clear()
+        for _, packed in closed:
+            yield _unpacked(packed)
+
+    def close(self) -> None:
+        pass
+
+
+def _packed(frame: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(frame, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
 
-    Profiles of open nights wait in `state`, one folder a batch; a batch reads the folder of
-    the one before. What a batch emits and keeps follows from both, so it can run again.
+def _unpacked(packed: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(packed).read_all().to_pandas(date_as_object=True)
+
+
+def closed_nights(profiles: DataFrame) -> DataFrame:
+    """Profiles of each night of a stream, once: as soon as its radar has a source date after it.
+
+    A profile of a night that has been passed on is late and dropped; so is one without a night, whose
+    date counts nevertheless. Needs the RocksDB state store, see `stream_closed_nights`.
     """
+    names = profiles.columns
+    return profiles.groupBy("radar").transformWithStateInPandas(OpenNights(names), profiles.schema, "Append", "None")
+
+
+ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+def stream_closed_nights(profiles: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Night metrics of closed_nights(), one folder a batch; a batch that runs again overwrites its own."""
 
     def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        waiting = batch.where("night_date is not null")
-        if number:
-            before = spark.read.schema(batch.schema).parquet(f"{state}/batch={number - 1}")
-            waiting = waiting.unionByName(before.select(*batch.columns))
-        newest = waiting.groupBy("radar").agg(F.max(F.to_date("ts")).alias("_newest"))
-        both = waiting.join(newest, "radar")
-        closed = both.where(F.col("night_date") < F.date_sub("_newest", 1)).drop("_newest")
-        night_metrics(closed).write.mode("overwrite").parquet(f"{target}/batch={number}")
-        both.where(F.col("night_date") >= F.date_sub("_newest", 1)).drop("_newest").write.mode("overwrite").parquet(f"{state}/batch={number}")
+        night_metrics(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    return _start(profiles, checkpoint, each)
+    spark = profiles.sparkSession
+    was = {k: spark.conf.get(k, None) for k in ROCKSDB}
+    for k, v in ROCKSDB.items():
+        spark.conf.set(k, v)
+    try:
+        return _start(closed_nights(profiles), checkpoint, each)
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def upsert_latest_nights(nights: DataFrame, state: str, checkpoint: str) -> StreamingQuery:
@@ -113,7 +177,7 @@ def current_rows(landed: DataFrame) -> DataFrame:
     return landed.join(newest, "key").where(version.eqNullSafe(F.col("_v"))).drop("_v", "batch", "part")
 
 
-def stream_status(spark: SparkSession, before: dict | None, batch_rows: int) -> dict:
+def stream_status(before: dict | None, batch_rows: int) -> dict:
     """Status after a batch: one without rows only refreshes the old status, which has to be there."""
     if batch_rows:
         return {"data_available": True, "no_change": False, "rows": batch_rows}
@@ -141,8 +205,3 @@ def flush_days(predictions: DataFrame, target: str, checkpoint: str) -> Streamin
         batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     return _start(predictions, checkpoint, each)
-
-
-def hourly_of_batches(profiles_root: str, spark: SparkSession) -> DataFrame:
-    """Hourly rows of all profiles that a stream has written."""
-    return hourly_rows(spark.read.parquet(profiles_root))
