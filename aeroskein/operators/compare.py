@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aeroskein.functions.domain import match_class
 from aeroskein.operators.quantiles import quantiles
+from aeroskein.sources.scratch import written
 
 TOLERANCE_S = 300
 
@@ -73,6 +74,7 @@ def safe_corr(a: str, b: str) -> Column:
 
 def pair_statistics(pairs: DataFrame, by: list[str]) -> DataFrame:
     """Error metrics with correlation and median ratio of (by, variable, a, b); the median of log10 ratios for densities."""
+    pairs = written(pairs.select(*dict.fromkeys([*by, "variable", "a", "b"])), "pairs")
     d = F.col("b") - F.col("a")
     sums = pairs.groupBy(*by).agg(
         F.count("*").alias("count"), F.avg(d).alias("bias"), F.avg(F.abs(d)).alias("mae"), F.sqrt(F.avg(d * d)).alias("rmse"), safe_corr("a", "b").alias("correlation"),
@@ -85,6 +87,16 @@ def pair_statistics(pairs: DataFrame, by: list[str]) -> DataFrame:
     return sums.join(medians.groupBy(*by).agg(of("median_ratio"), of("median_log10_ratio")), by, "left")
 
 
+def median_offsets(matched: DataFrame, by: list[str]) -> DataFrame:
+    """(by, median_offset_s): the median distance in time of matched profiles (by, offset_s), whatever its sign."""
+    return quantiles(matched.withColumn("_gap", F.abs("offset_s")), by, "_gap", {"median_offset_s": 0.5})
+
+
+def unmatched_radars(mapping: DataFrame, radars: DataFrame) -> DataFrame:
+    """Radars that no mapping names, by name."""
+    return radars.select("radar").distinct().join(mapping.select("radar"), "radar", "left_anti").orderBy("radar")
+
+
 def build_crosswalk(mapping: DataFrame, radars: DataFrame, sources: list[str], classes: list[str]) -> DataFrame:
     """Mapping (radar, other, source, class, tolerance_s) with its problems; a default tolerance of 0 if exact, else 300."""
     twice = mapping.groupBy("radar").agg(F.count("*").alias("_n"))

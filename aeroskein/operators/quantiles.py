@@ -9,7 +9,7 @@ from aeroskein.sources.scratch import scratch_path
 
 
 def running_counts(rows: DataFrame, by: list[str], value: str) -> DataFrame:
-    """(by, x, upto, total): each value of a group, how many rows have it or a smaller one, and how many there are.
+    """(by, x, n, upto, total): each value of a group, how many rows have it, or it or a smaller one, and how many there are.
 
     Equal values are counted first. The counts are range-partitioned by group and value and
     written, so that a group spreads over as many tasks as it fills; running sums are made
@@ -30,7 +30,7 @@ def running_counts(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     same = F.col("_part") == F.col("_of")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return cut.withColumn("_upto", inside).join(starts, same).select(*by, "x", (F.col("_upto") + F.col("_before")).alias("upto"), "total")
+    return cut.withColumn("_upto", inside).join(starts, same).select(*by, "x", "n", (F.col("_upto") + F.col("_before")).alias("upto"), "total")
 
 
 def values_at(rows: DataFrame, by: list[str], value: str, places: dict[str, Column]) -> DataFrame:

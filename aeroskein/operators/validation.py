@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroskein.operators.compare import safe_corr
-from aeroskein.operators.quantiles import quantiles
+from aeroskein.operators.quantiles import quantiles, running_counts
+from aeroskein.sources.scratch import written
 
 #: The targets of models, intensities and parts of the vector.
 INTENSITY, VECTORS = ("mtr_birds_km_h", "vid_birds_per_km2"), ("bird_u_ms", "bird_v_ms")
@@ -16,18 +17,23 @@ VALIDATIONS = ("leave_one_radar_out", "blocked_time")
 def score_regression(pairs: DataFrame, by: list[str]) -> DataFrame:
     """RMSE, MAE, bias, R2 and precision and recall of the top decile of (by, observed, predicted).
 
-    The decile is the 0.9 quantile of what was observed, by group. Undefined shares are 0.
+    The decile is the 0.9 quantile of what was observed, by group. Undefined shares are 0. The
+    pairs are written once: cut and sums read what is written.
     """
-    cut = quantiles(pairs, by, "observed", {"_cut": 0.9}).join(pairs.groupBy(*by).agg(F.avg("observed").alias("_mean")), by)
-    rows = pairs.join(cut, by)
+    pairs = written(pairs.select(*by, "observed", "predicted"), "pairs")
     e = F.col("predicted") - F.col("observed")
-    hit, said = F.col("observed") >= F.col("_cut"), F.col("predicted") >= F.col("_cut")
+    o = F.col("observed")
+    # sums about the mean need no second look at the rows
+    sums = pairs.groupBy(*by).agg(
+        F.count("*").alias("row_count"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), F.avg(e).alias("bias"), F.sum(e * e).alias("_ee"), (F.var_pop(o) * F.count(o)).alias("_oo"),
+    )
+    cut = quantiles(pairs, by, "observed", {"_cut": 0.9})
+    hit, said = o >= F.col("_cut"), F.col("predicted") >= F.col("_cut")
+    events = pairs.join(cut, by).groupBy(*by).agg(F.count_if(hit & said).alias("_both"), F.count_if(said).alias("_said"), F.count_if(hit).alias("_hit"))
     share = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
-    dev = F.col("observed") - F.col("_mean")
-    return rows.groupBy(*by).agg(
-        F.count("*").alias("row_count"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), F.avg(e).alias("bias"),
-        F.coalesce(1 - F.try_divide(F.sum(e * e), F.sum(dev * dev)), F.lit(0.0)).alias("r_squared"),
-        share(F.count_if(hit & said), F.count_if(said)).alias("top_decile_precision"), share(F.count_if(hit & said), F.count_if(hit)).alias("top_decile_recall"),
+    return sums.join(events, by).select(
+        *by, "row_count", "rmse", "mae", "bias", F.coalesce(1 - F.try_divide(F.col("_ee"), F.col("_oo")), F.lit(0.0)).alias("r_squared"),
+        share(F.col("_both"), F.col("_said")).alias("top_decile_precision"), share(F.col("_both"), F.col("_hit")).alias("top_decile_recall"),
     )
 
 
@@ -40,12 +46,18 @@ def pooled_and_per_site(pairs: DataFrame, group: str, site: str) -> DataFrame:
 
 
 def average_ranks(rows: DataFrame, by: list[str], *values: str) -> DataFrame:
-    """Ranks of each value within a group, ties averaged, as rank_<value>."""
+    """Ranks of each value within a group, ties averaged, as rank_<value>; a null has none.
+
+    Ranks come from running counts of the distinct values, which no task holds a group of, and
+    are joined back by group and value.
+    """
     out = rows
     for v in values:
-        rank = F.rank().over(Window.partitionBy(*by).orderBy(v))
-        ties = F.count("*").over(Window.partitionBy(*by, v))
-        out = out.withColumn(f"rank_{v}", rank + (ties - 1) / 2.0)
+        counts = running_counts(rows, by, v).select(*[F.col(c).alias(f"_{c}") for c in by], "x", (F.col("upto") - (F.col("n") - 1) / 2.0).alias(f"rank_{v}"))
+        same = F.col(v) == F.col("x")
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        out = out.join(counts, same, "left").drop("x", *[f"_{c}" for c in by])
     return out
 
 
@@ -59,10 +71,25 @@ def spearman(rows: DataFrame, by: list[str], a: str, b: str) -> DataFrame:
 
 
 def top_fraction(rows: DataFrame, by: list[str], value: str, order: list[str], fraction: float = 0.2) -> DataFrame:
-    """Flag top_<value>: the highest ceil(fraction * n) rows of a group, at least one; ties by `order`."""
-    n = F.count("*").over(Window.partitionBy(*by))
-    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(value), *order))
-    return rows.withColumn(f"top_{value}", place <= F.greatest(F.lit(1), F.ceil(n * fraction)))
+    """Flag top_<value>: the highest ceil(fraction * n) rows of a group, at least one; ties by `order`; nulls are lowest.
+
+    The value at the cut comes from running counts. Rows above it are in; only those that equal
+    it are put in order.
+    """
+    out = rows.withColumn("_v", F.coalesce(F.col(value).cast("double"), F.lit(float("-inf"))))
+    wanted = F.greatest(F.lit(1), F.ceil(F.col("total") * fraction))
+    above = F.col("total") - F.col("upto")
+    cuts = running_counts(out, by, "_v").where((above < wanted) & (wanted <= above + F.col("n")))
+    cuts = cuts.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("x").alias("_cut"), (wanted - above).alias("_left"))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    # a group has one cut
+    at = out.join(cuts, same).drop(*[f"_{c}" for c in by])
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    ties = at.where("_v = _cut").withColumn(f"top_{value}", place <= F.col("_left"))
+    rest = at.where("_v <> _cut").withColumn(f"top_{value}", F.col("_v") > F.col("_cut"))
+    return rest.unionByName(ties).drop("_v", "_cut", "_left")
 
 
 def top_overlap(rows: DataFrame, by: list[str], a: str, b: str, order: list[str]) -> DataFrame:

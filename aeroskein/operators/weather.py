@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeroskein.functions.geo import great_circle_km
+from aeroskein.functions.geo import EARTH_KM, great_circle_km
 
 KM_PER_DEGREE = 110.0
 
@@ -54,29 +54,71 @@ def nearest_grid_cells(sites: DataFrame, grid: DataFrame) -> DataFrame:
     return nearest("latitude", "latitude").join(nearest("longitude", "longitude"), "radar")
 
 
-def cells_in_coverage(cells: DataFrame, radars: DataFrame) -> DataFrame:
-    """Distinct cells within the range of some radar, found by bands of latitude."""
-    close = great_circle_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon")) <= F.col("_km")
-    banded = cells.select("latitude", "longitude").distinct().withColumn("_band", F.floor("latitude"))
-    r = in_bands(radars)
-    return banded.join(r, (banded["_band"] == r["_of"]) & close, "left_semi").select("latitude", "longitude")
+def tile_of(latitude: Column, longitude: Column) -> tuple[Column, Column]:
+    """The degree square of a place; longitudes count around the globe."""
+    return F.floor(latitude).cast("int"), F.pmod(F.floor(longitude), F.lit(360)).cast("int")
+
+
+def in_tiles(radars: DataFrame) -> DataFrame:
+    """Place and range of each radar (_lat, _lon, _km), once for each degree square (_row, _col) that its range may reach.
+
+    The squares follow from the cap that the range is: all longitudes where it holds a pole, both
+    sides of the date line where it crosses it.
+    """
+    r = radars.select(F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), (F.col("max_range_m") / 1000.0).alias("_km")).where("_lat is not null and _lon is not null and _km >= 0")
+    reach = F.col("_km") / EARTH_KM + 1e-9
+    high = F.degrees(reach)
+    beside = F.when(F.abs("_lat") + high < 90, F.degrees(F.asin(F.least(F.lit(1.0), F.sin(reach) / F.cos(F.radians("_lat")))))).otherwise(180.0) + 1e-9
+    rows = F.sequence(F.floor(F.greatest(F.col("_lat") - high, F.lit(-90.0))), F.floor(F.least(F.col("_lat") + high, F.lit(90.0))))
+    first, last = F.floor(F.col("_lon") - beside), F.floor(F.col("_lon") + beside)
+    columns = F.sequence(first, F.least(last, first + 359))
+    placed = r.withColumn("_row", F.explode(rows)).withColumn("_at", F.explode(columns))
+    return placed.select("_lat", "_lon", "_km", F.col("_row").cast("int").alias("_row"), F.pmod("_at", F.lit(360)).cast("int").alias("_col"))
+
+
+def in_tiles_of(cells: DataFrame) -> DataFrame:
+    row, column = tile_of(F.col("latitude"), F.col("longitude"))
+    return cells.select("latitude", "longitude").distinct().withColumns({"_row": row, "_col": column})
 
 
-def in_bands(radars: DataFrame) -> DataFrame:
-    """Place and range of each radar (_lat, _lon, _km), once for each degree of latitude (_of) that its range reaches."""
-    r = radars.select(F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), (F.col("max_range_m") / 1000.0).alias("_km"))
-    reach = F.col("_km") / KM_PER_DEGREE + 1e-6
-    return r.where("_lat is not null and _km >= 0").withColumn("_of", F.explode(F.sequence(F.floor(F.col("_lat") - reach), F.floor(F.col("_lat") + reach))))
+def cells_in_coverage(cells: DataFrame, radars: DataFrame) -> DataFrame:
+    """Distinct cells within the range of some radar: a hash join on degree squares, then the distance."""
+    close = great_circle_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon")) <= F.col("_km")
+    tiled, reached = in_tiles_of(cells), in_tiles(radars)
+    return tiled.join(reached, (tiled["_row"] == reached["_row"]) & (tiled["_col"] == reached["_col"]) & close, "left_semi").select("latitude", "longitude")
 
 
 def support_scores(cells: DataFrame, radars: DataFrame) -> DataFrame:
     """Largest exp(-(distance / range)^2) over the radars whose range holds a cell; 0 outside all."""
     km = great_circle_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon"))
-    score = F.when(km <= F.col("_km"), F.exp(-F.pow(km / F.col("_km"), F.lit(2.0))))
-    both = cells.select("latitude", "longitude").distinct().withColumn("_band", F.floor("latitude")).join(in_bands(radars), F.col("_band") == F.col("_of"), "left")
+    # a range of 0 holds its own place alone
+    score = F.when(km <= F.col("_km"), F.exp(-F.pow(F.coalesce(F.try_divide(km, F.col("_km")), F.lit(0.0)), F.lit(2.0))))
+    both = in_tiles_of(cells).join(in_tiles(radars), ["_row", "_col"], "left")
     return both.groupBy("latitude", "longitude").agg(F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.max(score), F.lit(0.0)))), 6).alias("support"))
 
 
+def boundary_edges(boundary: DataFrame, band: float) -> DataFrame:
+    """Edges (code, polygon, x1, y1, x2, y2) of (code, polygons), once for each band of y (_band) that they cross; level edges, which no ray counts, are left out."""
+    rings = boundary.select("code", F.posexplode("polygons").alias("polygon", "_rings")).select("code", "polygon", F.explode("_rings").alias("_ring"))
+    closed = F.concat(F.slice("_ring", F.lit(2), F.size("_ring")), F.slice("_ring", 1, 1))
+    edges = rings.select("code", "polygon", F.explode(F.zip_with("_ring", closed, lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")))).alias("e")).select("code", "polygon", "e.*").where("y1 <> y2")
+    at = lambda c: F.floor(c / band)
+    return edges.withColumn("_band", F.explode(F.sequence(at(F.least("y1", "y2")), at(F.greatest("y1", "y2")))))
+
+
+def points_in_boundary(points: DataFrame, boundary: DataFrame, x: str = "longitude", y: str = "latitude", band: float = 0.25) -> DataFrame:
+    """Distinct (x, y, code): the points inside each country of `boundary` (code, polygons), outside its holes.
+
+    A ray to the east crosses an odd number of a polygon's edges from a point inside. Points
+    meet the edges of their band of y alone, by a hash join, and crossings are counted before they are
+    shuffled on; no polygon is a literal in the plan.
+    """
+    at = points.select(x, y).distinct().withColumn("_band", F.floor(F.col(y) / band))
+    crossed = ((F.col("y1") > F.col(y)) != (F.col("y2") > F.col(y))) & (F.col(x) < (F.col("x2") - F.col("x1")) * (F.col(y) - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
+    hits = at.join(boundary_edges(boundary, band), "_band").where(crossed).groupBy(x, y, "code", "polygon").agg(F.count("*").alias("_n"))
+    return hits.where("_n % 2 = 1").select(x, y, "code").distinct()
+
+
 def pivot_levels(grid: DataFrame, variables: tuple[str, ...] = ("t", "u", "v"), levels: tuple[int, ...] = (700, 850, 925)) -> DataFrame:
     """One row a (hour, cell) with a column for each variable and level, and the surface values."""
     surface = [c for c in grid.columns if c not in ("hour", "latitude", "longitude", "level", *variables)]
@@ -135,11 +177,17 @@ def radar_metadata_problems(radars: DataFrame) -> DataFrame:
 def kernel_grid(cells: DataFrame, points: DataFrame, sigma: float = 12.0, background: float = 0.04) -> DataFrame:
     """Gaussian-weighted mean of points (row, col, value) on cells (row, col, climatology), with a background weight.
 
-    Points of one place weigh alike, so they are summed first: there are no more places than cells.
+    The kernel is a product, one factor an axis, so sums go along the rows first and then along the
+    columns: two hash aggregations. A place meets the rows of the grid and a partial sum its columns, never
+    all cells; what goes to every task is the two axes, some thousand numbers.
     """
-    p = points.groupBy(F.col("row").alias("_r"), F.col("col").alias("_c")).agg(F.sum("value").alias("_v"), F.count("*").alias("_n"))
-    d2 = F.pow(F.col("row") - F.col("_r"), F.lit(2.0)) + F.pow(F.col("col") - F.col("_c"), F.lit(2.0))
-    w = F.exp(-d2 / (2 * sigma * sigma))
+    axis = lambda c: F.lit(sorted(r[0] for r in cells.select(c).distinct().collect()))
+    factor = lambda a, b: F.exp(-F.pow(F.col(a) - F.col(b), F.lit(2.0)) / (2 * sigma * sigma))
+    both = lambda w, *names: [F.sum(w * F.col(n)).alias(n) for n in names]
+    places = points.groupBy(F.col("row").alias("_r"), F.col("col").alias("_c")).agg(F.sum("value").alias("wx"), F.count("*").cast("double").alias("w"))
+    down = places.withColumn("row", F.explode(axis("row"))).groupBy("row", "_c").agg(*both(factor("row", "_r"), "wx", "w"))
+    across = down.withColumn("col", F.explode(axis("col"))).groupBy("row", "col").agg(*both(factor("col", "_c"), "wx", "w"))
     clim = F.greatest(F.col("climatology"), F.lit(0.01))
-    sums = cells.join(p).groupBy("row", "col", "climatology").agg(F.sum(w * F.col("_v")).alias("wx"), F.sum(w * F.col("_n")).alias("w"))
-    return sums.select("row", "col", ((background * clim + F.col("wx")) / (background + F.col("w"))).alias("value"))
+    sums = cells.join(across, ["row", "col"], "left")
+    none = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    return sums.select("row", "col", ((background * clim + none("wx")) / (background + none("w"))).alias("value"))

@@ -239,9 +239,14 @@ def a13(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in ("bias", "mae", "rmse", "median_ratio", "median_log10_ratio")} | {"correlation": F.round("correlation", 5)})
 
 
-@query("u3_common_heights", "select radar, count(*) as heights from (select radar, height from layers where bin <= 6 intersect select radar, height from external_layers where bin >= 3) group by radar")
+@query("a13_median_offset", "select radar, median(abs(offset_s)) as median_offset_s from nearest_pairs group by radar")
+def a13_offset(spark, d):
+    return C.median_offsets(nearest_pairs(spark, d), ["radar"])
+
+
+@query("u3_common_heights", "select radar, count(*) as heights from (select radar, height from layers intersect select radar, height + 400 from external_layers) group by radar")
 def u3(spark, d):
-    both = D.layers(spark, d).where("bin <= 6").select("radar", "height").intersect(D.external_layers(spark, d).where("bin >= 3").select("radar", "height"))
+    both = D.layers(spark, d).select("radar", "height").intersect(D.external_layers(spark, d).select("radar", F.col("height") + 400))
     return both.groupBy("radar").agg(F.count("*").alias("heights"))
 
 
@@ -260,6 +265,12 @@ def j15(spark, d):
     return crosswalk(spark, d).select("radar", "other", "source", "class", "tolerance_s", F.array_join("problems", ",").alias("problems"))
 
 
+@query("j15_unmatched_radars", f"select s.radar from (select 'radar-' || case when s_suppkey < 100 then lpad(cast(s_suppkey as varchar), 2, '0') else cast(s_suppkey as varchar) end as radar from supplier) s where radar not in (select radar from ({MAPPING}))")
+def j15_unmatched(spark, d):
+    sites = D.table(spark, d, "supplier").selectExpr("concat('radar-', if(s_suppkey < 100, lpad(cast(s_suppkey as string), 2, '0'), cast(s_suppkey as string))) as radar")
+    return C.unmatched_radars(crosswalk(spark, d), sites)
+
+
 REPORTS = "select upper(c.radar) as radar, case when o_orderkey % 3 = 0 then 'uva' else source end as source, lower(other) as other, cast(o_orderdate as varchar) as generated_at, o_orderkey as ord, cast(o_orderkey % 50 as int) as levels from crosswalk c join orders on o_orderkey % 7 = cast(substr(c.radar, 7) as int) where c.radar <> 'radar-01'"
 TABLES["comparison_index"] = f"select c.*, r.generated_at is not null as report_available, r.generated_at, r.levels from crosswalk c left join (select * from ({REPORTS}) qualify row_number() over (partition by radar, source, other order by generated_at desc, ord) = 1) r on lower(r.radar) = lower(c.radar) and r.source = c.source and lower(r.other) = lower(c.other)"
 

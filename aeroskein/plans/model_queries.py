@@ -216,9 +216,9 @@ def wide_frames(spark, d):
     )
 
 
-@query("p26_canonical_cell", f"select {HOUR} as hour, pulse, latitude, longitude, greatest(uncertainty_mtr, uncertainty_vid, uncertainty_v) as uncertainty from wide_frames where pulse = 'lp'")
+@query("p26_canonical_cell", f"select {HOUR} as hour, pulse, latitude, longitude, greatest(uncertainty_mtr, uncertainty_vid, uncertainty_v) as uncertainty from wide_frames")
 def p26(spark, d):
-    w = wide_frames(spark, d).where("pulse = 'lp'")
+    w = wide_frames(spark, d)
     return w.select(iso(F.col("hour")).alias("hour"), "pulse", "latitude", "longitude", domain.max_uncertainty(*[F.col(f"uncertainty_{t}") for t in R.TARGETS]).alias("uncertainty"))
 
 
@@ -280,9 +280,9 @@ def p22(spark, d):
     return R.log_scale(wide_frames(spark, d), ["pulse"], "mtr").select("pulse", F.explode("ticks").alias("tick"))
 
 
-@query("p23_scale_position", f"select {HOUR} as hour, latitude, longitude, round(least(1, greatest(0, (log10(greatest(mtr, 1)) - 0) / 2)), 6) as log_place, round(least(1, greatest(0, vid / 8)), 6) as place from wide_frames where pulse = 'lp'")
+@query("p23_scale_position", f"select {HOUR} as hour, latitude, longitude, round(least(1, greatest(0, (log10(greatest(mtr, 1)) - 0) / 2)), 6) as log_place, round(least(1, greatest(0, vid / 8)), 6) as place from wide_frames")
 def p23(spark, d):
-    w = wide_frames(spark, d).where("pulse = 'lp'")
+    w = wide_frames(spark, d)
     lit = lambda x: F.lit(float(x))
     return w.select(iso(F.col("hour")).alias("hour"), "latitude", "longitude", F.round(scales.scale_position(F.col("mtr"), lit(1), lit(100), True), 6).alias("log_place"), F.round(scales.scale_position(F.col("vid"), lit(0), lit(8), False), 6).alias("place"))
 

@@ -155,9 +155,11 @@ def j5(spark, d):
     return O.attach_site(D.nights(spark, d), D.radars(spark, d).where("radar != 'radar-02'")).select("radar", F.col("night_date").cast("string").alias("night_date"), "latitude", "longitude")
 
 
-@query("u2_radar_differences", "select radar, 'missing' as problem from radars where radar not in (select radar from layers where bin > 3 and radar <> 'radar-01') union all select distinct radar, 'unexpected' from layers where bin > 3 and radar <> 'radar-01' and radar not in (select radar from radars)")
+@query("u2_radar_differences", "with seen as (select distinct case when radar = 'radar-01' then 'radar-' || cast(20 + bin as varchar) else radar end as radar from layers) select radar, 'missing' as problem from radars where radar not in (select radar from seen) union all select radar, 'unexpected' from seen where radar not in (select radar from radars)")
 def u2(spark, d):
-    return O.radar_differences(D.layers(spark, d).where("bin > 3 and radar != 'radar-01'").select("radar"), D.radars(spark, d).select("radar"))
+    """One radar's layers go by other names."""
+    seen = D.layers(spark, d).selectExpr("if(radar = 'radar-01', concat('radar-', 20 + bin), radar) as radar")
+    return O.radar_differences(seen, D.radars(spark, d).select("radar"))
 
 
 @query("d2_both_pulses", "select radar, pulse, cast(cast(ts as date) as varchar) as day, count(*) as profiles, round(sum(vid_birds_per_km2), 6) as vid from profiles group by all")

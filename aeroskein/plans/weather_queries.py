@@ -92,6 +92,16 @@ def p13(spark, d):
     return cells.where(geo.point_in_polygons(F.col("longitude"), F.col("latitude"), polygons))
 
 
+@query("p13_boundary_join", """
+select longitude, latitude, n_name as code from cells, (select n_name, -6.513 + (n_nationkey * 7 % 25) / 4.0 as cx, 48.317 + (n_nationkey * 3 % 25) / 4.0 as cy from nation)
+where abs(longitude - cx) + abs(latitude - cy) < 2 and abs(longitude - cx) + abs(latitude - cy) > 1""")
+def p13_join(spark, d):
+    """Cells in many countries, each a diamond with a diamond as its hole."""
+    around = lambda r: f"array(struct(cx + {r} as x, cy as y), struct(cx as x, cy + {r} as y), struct(cx - {r} as x, cy as y), struct(cx as x, cy - {r} as y))"
+    shapes = D.table(spark, d, "nation").selectExpr("n_name as code", "-6.513D + (n_nationkey * 7 % 25) / 4.0D as cx", "48.317D + (n_nationkey * 3 % 25) / 4.0D as cy").selectExpr("code", f"array(array({around('2.0D')}, {around('1.0D')})) as polygons")
+    return W.points_in_boundary(D.weather_grid(spark, d), shapes)
+
+
 @query("p14_grid_cell", "select c_custkey, case when ok then cast(r as int) end as row, case when ok then cast(c as int) end as col from (select *, r >= 0 and r < 23 and c >= 0 and c < 17 as ok from (select c_custkey, floor((c_custkey % 300) * 1000.0 / 10000) as r, floor((c_custkey % 211 - 20) * 1000.0 / 10000) as c from customer))")
 def p14(spark, d):
     c = D.table(spark, d, "customer")
@@ -126,9 +136,9 @@ def j20(spark, d):
     return W.merge_grid_weather(D.weather_grid(spark, d), D.radars(spark, d)).select(iso(F.col("hour")).alias("hour"), "latitude", "longitude", *WIDE)
 
 
-@query("j13_match_site_hour_cell", f"select radar, {HOUR} as hour, t_pressure_level_850 as t850, u_pressure_level_925 as u925 from grid_wide g join (select radar, (select min_by(v, abs(v - latitude) * 1000000 + v) from (select distinct latitude as v from cells)) as cell_latitude, (select min_by(v, abs(v - longitude) * 1000000 + v) from (select distinct longitude as v from cells)) as cell_longitude from radars where longitude <= 0) n on g.latitude = cell_latitude and g.longitude = cell_longitude")
+@query("j13_match_site_hour_cell", f"select radar, {HOUR} as hour, t_pressure_level_850 as t850, u_pressure_level_925 as u925 from grid_wide g join (select radar, (select min_by(v, abs(v - latitude) * 1000000 + v) from (select distinct latitude as v from cells)) as cell_latitude, (select min_by(v, abs(v - longitude) * 1000000 + v) from (select distinct longitude as v from cells)) as cell_longitude from radars) n on g.latitude = cell_latitude and g.longitude = cell_longitude")
 def j13(spark, d):
-    sites = D.radars(spark, d).where("longitude <= 0")
+    sites = D.radars(spark, d)
     return W.site_features(D.weather_grid(spark, d), sites).select("radar", iso(F.col("hour")).alias("hour"), F.col("t_pressure_level_850").alias("t850"), F.col("u_pressure_level_925").alias("u925"))
 
 

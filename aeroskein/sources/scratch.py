@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 #: Temporary folders by application, for sessions that name no shared folder.
@@ -21,3 +21,10 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
         name = spark.sparkContext.applicationId
         root = _OWN[name] = _OWN.get(name) or "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, kind: str) -> DataFrame:
+    """`df` written to the shared folder and read back: what uses it more than once doesn't make it again."""
+    path = scratch_path(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,11 +69,72 @@ def manifest(rows: DataFrame, time: str, policy: dict[str, str]) -> DataFrame:
     return sums.withColumn("document", F.to_json(F.struct("rows", "radars", "first", "last", "policy")))
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file context, whose renames are atomic where the store's are, and its path class."""
+    hadoop = spark._jvm.org.apache.hadoop
+    uri = hadoop.fs.Path(path).toUri()
+    conf = spark._jsc.hadoopConfiguration()
+    return (hadoop.fs.FileContext.getFileContext(uri, conf) if uri.getScheme() else hadoop.fs.FileContext.getFileContext(conf)), hadoop.fs.Path
+
+
+def _put(spark: SparkSession, path: str, document: str, replace: bool) -> None:
+    """Write a small file aside and rename it into place; without `replace` an existing one is an error."""
+    files, at = _files(spark, path)
+    folder, _, name = path.rpartition("/")
+    aside = at(f"{folder}/.{name}.{uuid.uuid4().hex}")
+    out = aside.getFileSystem(spark._jsc.hadoopConfiguration()).create(aside, True)
+    out.write(bytearray(document.encode()))
+    out.close()
+    kinds = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    rename = spark._sc._gateway.new_array(kinds, 1)
+    rename[0] = kinds.OVERWRITE if replace else kinds.NONE
+    try:
+        files.rename(aside, at(path), rename)
+    except Exception:
+        files.delete(aside, False)
+        raise
+
+
+def commits(spark: SparkSession, pointer: str) -> list[int]:
+    """Numbers of the commits of a pointer, in order."""
+    files, at = _files(spark, pointer)
+    folder = at(f"{pointer}.commits")
+    if not files.util().exists(folder):
+        return []
+    names = [s.getPath().getName() for s in files.util().listStatus(folder)]
+    return sorted(int(n.split(".")[0]) for n in names if not n.startswith("."))
+
+
+def current_version(spark: SparkSession, pointer: str) -> str | None:
+    """The version of the last commit; None if there is none."""
+    found = commits(spark, pointer)
+    return spark.read.json(f"{pointer}.commits/{found[-1]:012d}.json").first()["version"] if found else None
+
+
 def publish_immutable(rows: DataFrame, archive: str, pointer: str, version: str) -> None:
-    """Write a version, which must not exist, and then the small pointer to it."""
-    target = f"{archive}/{version}"
+    """Write a version, which must not exist, and then swap the small pointer to it.
+
+    Who publishes takes the number after the last commit that was there before the rows were
+    written, by a rename that doesn't overwrite: of two at once one is refused, and its rows stay unseen. The
+    pointer, a JSON file, is replaced by a rename too, so that a reader always finds one. Both need a
+    store whose renames are atomic.
+    """
+    spark, target = rows.sparkSession, f"{archive}/{version}"
+    number = (commits(spark, pointer) or [0])[-1] + 1
     rows.write.mode("errorifexists").parquet(target)
-    rows.sparkSession.range(1).select(F.lit(version).alias("version"), F.lit(target).alias("path")).write.mode("overwrite").json(pointer)
+    try:
+        _put(spark, f"{pointer}.commits/{number:012d}.json", json.dumps({"version": version, "path": target}) + "\n", replace=False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in str(e.java_exception):
+            raise
+        raise FileExistsError(f"another version was published while {version} was written") from e
+    # a slower one may come after a faster one: the pointer ends at the last commit
+    while True:
+        last = commits(spark, pointer)[-1]
+        row = spark.read.json(f"{pointer}.commits/{last:012d}.json").first()
+        _put(spark, pointer, json.dumps({"version": row["version"], "path": row["path"]}) + "\n", replace=True)
+        if commits(spark, pointer)[-1] == last:
+            break
 
 
 def artifact_inventory(spark: SparkSession, root: str) -> DataFrame:

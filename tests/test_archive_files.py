@@ -97,6 +97,33 @@ def test_published_versions_stay(spark, tmp_path):
     assert [r["version"] for r in spark.read.json(f"{root}/latest").collect()] == ["v2"]
 
 
+def test_of_two_publishers_at_once_one_is_refused(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}"
+    pointer = f"{root}/latest"
+    assert writers.current_version(spark, pointer) is None
+    writers.publish_immutable(spark.range(3), f"{root}/archive", pointer, "v1")
+    real = writers.commits
+    seen = []
+
+    def slow(session, where):
+        found = real(session, where)
+        if not seen:  # another one publishes after this one has looked
+            seen.append(1)
+            writers.publish_immutable(spark.range(5), f"{root}/archive", pointer, "v2")
+        return found
+
+    monkeypatch.setattr(writers, "commits", slow)
+    with pytest.raises(FileExistsError, match="another version"):
+        writers.publish_immutable(spark.range(4), f"{root}/archive", pointer, "v3")
+    monkeypatch.setattr(writers, "commits", real)
+    assert writers.current_version(spark, pointer) == "v2" and real(spark, pointer) == [1, 2]
+    row = spark.read.json(pointer).collect()
+    assert len(row) == 1 and spark.read.parquet(row[0]["path"]).count() == 5
+    assert not [p.name for p in tmp_path.rglob(".*") if "latest" in p.name and not p.name.endswith(".crc")]
+    writers.publish_immutable(spark.range(1), f"{root}/archive", pointer, "v4")
+    assert writers.current_version(spark, pointer) == "v4"
+
+
 def test_release(spark):
     assets = spark.createDataFrame([("a",), ("b",), ("https://example.org/x",)], "asset string")
     files = spark.createDataFrame([("a",)], "key string")
