@@ -41,7 +41,11 @@ ALL_SITES = "*"
 #: Branches of a page by their markup: plain, outside a declared article, inside one. One that is apart has its own path.
 PLAIN, OUTSIDE, INSIDE = 0, 1, 2
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>", re.S)
+#: Comments, declarations and tags as browsers read them: quotes count after an equals sign, and what is left open goes on to the end. Every alternative
+#: that begins ends, so a page is read in time that grows with its length.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))?)*+)(?:>|\Z)", re.S)
+#: Elements lie no deeper in a page's tree, as in browsers; deeper ones are read as their ancestor's.
+DEEPEST = 512
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s\"'>]+))?")
 #: Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -116,6 +120,8 @@ def read_page(page: str) -> tuple[list[Block], Counter]:
     styles: Counter = Counter()
     # open elements: tag, path, inside a root, apart, children seen, previous child, path's hash
     stack = [["#", "", False, 0, [], None, ROOT]]
+    lines: dict[int, tuple[int, ...]] = {ROOT: (ROOT,)}
+    deeper: Counter = Counter()
     pending: list[str] = []
     place = 0
     size = len(page)
@@ -126,7 +132,7 @@ def read_page(page: str) -> tuple[list[Block], Counter]:
             pending.clear()
             if text:
                 top = stack[-1]
-                blocks.append(Block(tuple(x[6] for x in stack[1:]) or (ROOT,), top[2], top[3], text))
+                blocks.append(Block(lines[top[6]], top[2], top[3], text))
 
     def close(depth: int) -> None:
         """Close all open elements from `depth` on."""
@@ -153,6 +159,9 @@ def read_page(page: str) -> tuple[list[Block], Counter]:
                 end_block()
             elif tag in INLINE:
                 continue
+            elif deeper[tag]:
+                deeper[tag] -= 1
+                end_block()
             else:
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth][0] == tag:
@@ -183,6 +192,9 @@ def read_page(page: str) -> tuple[list[Block], Counter]:
                 break
         if tag in VOID:
             continue
+        if len(stack) > DEEPEST:
+            deeper[tag] += 1
+            continue
         top = stack[-1]
         named, apart, root = "", bool(top[3]), tag in ROOTS
         if m[3]:
@@ -201,6 +213,8 @@ def read_page(page: str) -> tuple[list[Block], Counter]:
             top[5] = name
         path = f"{top[1]}/{name}"
         place_in_tree = _path_hash(path)
+        if place_in_tree not in lines:
+            lines[place_in_tree] = (*(lines[top[6]] if top[6] != ROOT else ()), place_in_tree)
         stack.append([tag, path, top[2] or root, top[3] or (place_in_tree if apart else 0), [], None, place_in_tree])
     close(1)
     end_block()
@@ -329,10 +343,12 @@ def main_text(blocks: list[Block], importance: dict[int, tuple[float, float]], h
     markup decides as a prior: what is apart or outside the article goes, unless its branch is
     in `heavy`. Markup counts as declaring an article only if the trees leave something of it.
     """
-    left = []
+    left, stays = [], {}
     for b in blocks:
+        if b.line not in stays:
+            stays[b.line] = low.isdisjoint(b.line)
         own, everywhere = importance.get(b.path, (1.0, 1.0))
-        if not (own < LEAST_INSIDE if b.inside else min(own, everywhere) < LEAST) and low.isdisjoint(b.line):
+        if not (own < LEAST_INSIDE if b.inside else min(own, everywhere) < LEAST) and stays[b.line]:
             left.append(b)
     return "\n".join(b.text for b, branch in zip(left, branches(left)) if branch in (PLAIN, INSIDE) or branch in heavy)
 
@@ -342,7 +358,8 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
 
     Null html is empty and gives an empty text, as does a page without important blocks.
     Pages without a host share a tree. Repeated rows repeat; an empty table gives none.
-    Broken markup is read as far as it goes: open elements end with their parents.
+    Broken markup is read as far as it goes: open elements end with their parents, and a tag that
+    never ends takes the rest of the page with it, as in browsers.
 
     Only features and the sites' lists of low nodes are shuffled before the lists meet the
     pages. If they are too many for Spark to send to every task, pages move once, those of a

@@ -2,11 +2,12 @@ import base64
 import hashlib
 import html
 import re
+import time
 
 import pytest
 
 from aeroskein.llm.arc_warc import arc_records, arc_to_warc, archive_round_trip, arc_version_block, read_arc, read_warc, w3c_date, warc_records, write_arc
-from aeroskein.llm.site_style_tree import extract_main_text, read_page
+from aeroskein.llm.site_style_tree import extract_main_text, main_text, read_page
 
 DATA = "/root/testdata/sf0.01"
 
@@ -62,6 +63,14 @@ def test_copies_are_no_evidence(spark):
     assert extracted(spark, rows) == dict.fromkeys(range(30), "Story\nIt happened once")
 
 
+def test_extra_columns_of_clashing_names(spark):
+    rows = [(i, f"http://a.example/{i}", f"<p>Text {i}</p>") for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as site", "'x' as host", "2 as part", "array(1) as low", "'y' as text", "0 as heavy")
+    assert {r["page_id"]: r["text"] for r in extract_main_text(df).collect()} == {i: f"Text {i}" for i in range(5)}
+    got = archive_round_trip(df.selectExpr("*", "'z' as record_id", "0 as payload", "1 as digest"))
+    assert sorted(r["page_id"] for r in got.collect()) == list(range(5))
+
+
 def test_odd_pages(spark):
     same = "<article><p>Same text</p></article>"
     rows = [(1, None, None), (2, "x", ""), (3, "http://b/", "<p>a<br>b&nbsp;c<p>d"), (4, "http://b/", "<"), (5, "http://c/", same), (6, "http://c/", same), (7, None, "<!-- <p>x</p> --><div>y"), (None, "http://d/", "<p title='>'>z</p>")]
@@ -82,6 +91,22 @@ def test_unclosed_markup():
     assert [b.text for b in blocks] == ["one", "two", "x", "y", "three", "a", "b"]
 
 
+def test_broken_pages_take_time_in_proportion():
+    for page in ("<a " * 350_000, "a<b'" * 250_000, "<a\"<b'" * 150_000, "<!x" * 330_000, "<p class=" * 110_000, "<div>" * 100_000 + "</nav>" * 100_000, "<div>" * 2_000 + "<p>x" * 60_000, "<p title='" * 100_000, "</script " * 100_000, "<a =" * 200_000):
+        start = time.perf_counter()
+        main_text(read_page(page)[0], {}, frozenset(), {1, 2})
+        assert time.perf_counter() - start < 15, page[:8]
+
+
+def test_open_ends_and_stray_quotes():
+    texts = lambda page: [b.text for b in read_page(page)[0]]
+    assert texts("<p>a<p class='x>b</p>") == ["a"]  # a value that never ends
+    assert texts("<p>a <b x</p>c") == ["a c"] and texts("<p class=x\">a</p>\"b") == ["a", '"b']
+    assert texts("<p title='>'>z<p a = \"1>2\">y") == ["z", "y"] and texts("1 < 2 <p>3<4") == ["1 < 2", "3<4"]
+    deep = "<div>" * 600 + "deep" + "</div>" * 600 + "<p>after"
+    assert texts(deep) == ["deep", "after"] and len(read_page(deep)[0][1].line) == 1
+
+
 def digest(text):
     return base64.b32encode(hashlib.sha1((text or "").encode()).digest()).decode()
 
