@@ -86,11 +86,10 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE, recall: float =
         .withColumn("k1", F.xxhash64("raw")).withColumn("k2", F.xxhash64(F.lit("v"), "raw")), "vectors",
     )
     usable = everything.where("dim > 0")
-    classes = staged(usable.groupBy("dim", "k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "classes")
-    reps = staged(
-        usable.join(classes, ["dim", "k1", "k2"]).where("vec_id = rep").dropDuplicates(["vec_id", "dim", "k1", "k2"])
-        .select("vec_id", "copies", "dim", "raw"), "reps",
-    )
+    # copies combine before the shuffle: of a vector that a third of all rows have a task passes on one
+    grouped = usable.groupBy("dim", "k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("raw").alias("raw"))
+    grouped = staged(grouped, "reps")
+    reps, classes = grouped.select(F.col("rep").alias("vec_id"), "copies", "dim", "raw"), grouped.drop("raw")
     bits, tables = table_plan(reps.count(), cosine, recall)
 
     def hashed(frames):
@@ -146,7 +145,12 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE, recall: float =
     counts = found.groupBy(F.col("vec_id").alias("rep")).agg(F.sum("n").alias("n"))
     parts = connected_components(found.select(F.col("vec_id").alias("a"), F.col("other").alias("b")).distinct())
     known = classes.join(counts, "rep", "left").join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    out = everything.join(known, ["dim", "k1", "k2"], "left")
+    same = F.struct("dim", "k1", "k2").alias("same")
+    hot_vectors = hot_keys(classes.select(same, F.col("copies").alias("n")), "same")
+    left = dealt(usable.select("vec_id", same), hot_vectors, "same", "vec_id")
+    linked = left.join(in_parts(known.select(same, "rep", "copies", "n", "component"), hot_vectors, "same"), ["same", "part"]).select("vec_id", "rep", "copies", "n", "component")
+    none = F.lit(None).cast("long")
+    out = linked.union(everything.where("dim = 0").select("vec_id", none, none, none, none))
     component = F.coalesce("component", "rep", "vec_id")
     return out.select(
         "vec_id", (F.coalesce("n", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).cast("long").alias("n_links"),
