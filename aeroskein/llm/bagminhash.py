@@ -234,8 +234,8 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
     # a node is a word sequence; ids of nodes are written once, so all that follows reads the same ones
     nodes = staged(
         sigs.where("weight > 0").groupBy("k1", "k2")
-        .agg(F.min(F.struct("doc_id", "row")).alias("first"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-        .select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "first.doc_id", "first.row", "weight", "bands", "sig"), "nodes",
+        .agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("copies"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+        .select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "first.doc_id", "first.row", "copies", "weight", "bands", "sig"), "nodes",
     )
     slots = staged(nodes.select("node", "weight", F.posexplode("bands").alias("band", "hash")), "slots")
     buckets = staged(
@@ -268,7 +268,12 @@ def _classed(docs: DataFrame, similarity: float) -> DataFrame:
     known = known.join(classes, "component").select("k1", "k2", "copy_of", F.col("component").alias("group"), "class_id")
     wordless = F.col("weight") == 0
     own = sigs.where(wordless).select("doc_id", "row", F.col("doc_id").alias("copy_of"), F.lit(None).cast("long").alias("group"), F.col("doc_id").alias("class_id"))
-    return sigs.where(~wordless).select("doc_id", "row", "k1", "k2").join(known, ["k1", "k2"]).select("doc_id", "row", "copy_of", "group", "class_id").union(own)
+    # rows of a word sequence that a third of all have meet its class in several tasks
+    words = F.struct("k1", "k2").alias("words")
+    often = hot_keys(nodes.select(words, F.col("copies").alias("n")), "words")
+    rows = dealt(sigs.where(~wordless).select("doc_id", "row", words), often, "words", "doc_id", "row")
+    placed = rows.join(in_parts(known.select(words, "copy_of", "group", "class_id"), often, "words"), ["words", "part"])
+    return placed.select("doc_id", "row", "copy_of", "group", "class_id").union(own)
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
