@@ -108,11 +108,6 @@ def _metrics_query(name: str, specs: dict[str, M.ModelSpec], *validations: str):
     return run
 
 
-def _additive(target: str, **more) -> dict[str, M.ModelSpec]:
-    return {target: M.replace(BASE[target], family="additive", **more)}
-
-
-ADDITIVE = {t: M.replace(s, family="additive") for t, s in BASE.items()}
 _metrics_query("m7_tweedie_intensity", {"mtr_birds_km_h": M.ModelSpec("mtr_birds_km_h", family="tweedie", predictors=("temperature_850_k", "u_850_ms", "v_850_ms", "total_cloud_cover_fraction"))}, "blocked_time")
 
 
@@ -137,36 +132,6 @@ def model_grid(spark, d):
     return f.select("hour", "latitude", "longitude", x.alias("easting_m"), y.alias("northing_m"), *T.FEATURES, F.lit(1.0).alias("support"))
 
 
-def by_pulse(spark, d, models_of, predict):
-    """The grid predicted by the models of each pulse."""
-    rows, grid = learnable(spark, d), model_grid(spark, d)
-    out = None
-    for pulse in ("lp", "sp"):
-        part = predict(grid, models_of(rows.where(F.col("pulse") == pulse))).withColumn("pulse", F.lit(pulse))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-@query("m11_grid_scoring")
-def m11(spark, d):
-    """All hours and cells, all targets, both pulses."""
-    out = by_pulse(spark, d, lambda rows: M.fit_all(rows, ADDITIVE), M.score_grid)
-    return out.select("pulse", "hour", "latitude", "longitude", "support", *ADDITIVE, *[f"uncertainty_{t}" for t in ADDITIVE])
-
-
-@query("m16_predict_components")
-def m16(spark, d):
-    def runs(rows):
-        return {
-            "baseline": M.fit_all(rows, {"mtr_birds_km_h": M.ModelSpec("mtr_birds_km_h", family="additive", response="sqrt"), "vid_birds_per_km2": ADDITIVE["vid_birds_per_km2"], "bird_v_ms": ADDITIVE["bird_v_ms"]}),
-            "candidate": M.fit_all(rows, _additive("bird_u_ms", offset="u_850_ms")),
-        }
-
-    chosen = {"mtr_birds_km_h": "baseline", "vid_birds_per_km2": "baseline", "bird_u_ms": "candidate", "bird_v_ms": "baseline"}
-    out = by_pulse(spark, d, runs, lambda grid, models: M.predict_components(grid, models, chosen))
-    return out.select("pulse", "hour", "latitude", "longitude", *chosen)
-
-
 # models of two covariates, whose weighted least squares SQL can solve
 
 def _plane(name: str, target: str, x: str, y: str, sql: tuple[str, str, str], wind: tuple[str, str] = ("", "0.0"), cube: bool = False, **more):

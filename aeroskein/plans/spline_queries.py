@@ -11,6 +11,7 @@ from aeroskein.functions.coerce import iso
 from aeroskein.operators import additive as A
 from aeroskein.operators import validation as V
 from aeroskein.plans import model_queries as M
+from aeroskein.plans import weather_queries  # noqa: F401  its tables are used in SQL
 from aeroskein.plans.registry import query
 
 TARGETS = (*V.INTENSITY, *V.VECTORS)
@@ -245,3 +246,53 @@ def m4_chosen(spark, d):
     layout = A.layout_of(A.prepared(rows, spec), spec)
     out = A.predict_groups(rows, A.fit_groups(rows, layout, ["pulse"]), layout, ["pulse"])
     return out.select("radar", "pulse", iso(F.col("hour")).alias("hour"), F.round("predicted", 4).alias("predicted"))
+
+
+def _grid_sql(specs: dict[str, A.SplineSpec], prefix: str, more: str = "") -> str:
+    """The predictions of every grid cell and hour by models of all rows of each pulse."""
+    ctes, asks = [], []
+    for i, (target, spec) in enumerate(specs.items()):
+        n = f"{prefix}{i}"
+        columns = ", ".join(f"{SQL[c]} as {c}" for c in spec.columns)
+        wind = SQL[spec.offset] if spec.offset else "0.0::double"
+        units = UNITS[spec.response if spec.intensity else "identity"].format("list_dot_product(x, beta)")
+        ctes.append(spline_sql(spec, n, "all") + f""",
+{n}_q as (select pulse, hour, latitude, longitude, round({units} + wind, 4) + 0.0 as {target} from (
+  select hour, latitude, longitude, wind, flatten([[1.0::double], {", ".join(_term(t) for t in spec.terms)}]) as x from (select hour, latitude, longitude, {wind} as wind, {columns} from grid_wide) cross join {n}_g) cross join {n}_f)""")
+        asks.append(f"{n}_q")
+    joined = asks[0] + "".join(f" join {a} using (pulse, hour, latitude, longitude)" for a in asks[1:])
+    return f"with recursive {','.join(ctes).lstrip()} select pulse, {M.HOUR} as hour, latitude, longitude{more}, {', '.join(specs)} from {joined}"
+
+
+def _on_grid(spark, d, chosen: dict[str, A.SplineSpec]):
+    """The grid of both pulses with a column for each target, by its model of all rows of the pulse."""
+    rows, out = rows_of(spark, d), M.model_grid(spark, d).withColumn("pulse", F.explode(F.array(F.lit("lp"), F.lit("sp"))))
+    for target, spec in chosen.items():
+        layout = A.layout_of(A.prepared(rows, spec), spec)
+        out = A.predict_groups(out, A.fit_groups(rows, layout, ["pulse"]), layout, ["pulse"], target)
+    return out.withColumns({t: F.round(t, 4) + 0.0 for t in chosen}).withColumn("hour", iso(F.col("hour")))
+
+
+_NO_UNCERTAINTY = ", 1.0::double as support" + "".join(f", null::double as uncertainty_{t}" for t in TARGETS)
+
+
+@query("m11_grid_scoring", _grid_sql(ALL, "g", _NO_UNCERTAINTY))
+def m11(spark, d):
+    """All hours and cells, all targets, both pulses; uncertainties are unknown."""
+    out = _on_grid(spark, d, ALL)
+    return out.select("pulse", "hour", "latitude", "longitude", "support", *TARGETS, *[F.lit(None).cast("double").alias(f"uncertainty_{t}") for t in TARGETS])
+
+
+#: Runs of specs, and the run that was chosen for each target.
+RUNS = {
+    "baseline": {**ALL, "mtr_birds_km_h": spec_of("mtr_birds_km_h", SMOOTHS[0], SMOOTHS[1], response="sqrt")},
+    "candidate": {"bird_u_ms": spec_of("bird_u_ms", SURFACE, SMOOTHS[0], offset="u_850_ms")},
+}
+CHOSEN = {"mtr_birds_km_h": "baseline", "vid_birds_per_km2": "baseline", "bird_u_ms": "candidate", "bird_v_ms": "baseline"}
+_COMPONENTS = {t: RUNS[run][t] for t, run in CHOSEN.items()}
+
+
+@query("m16_predict_components", _grid_sql(_COMPONENTS, "k"))
+def m16(spark, d):
+    """Each target by the run that was chosen for it."""
+    return _on_grid(spark, d, {t: RUNS[run][t] for t, run in CHOSEN.items()}).select("pulse", "hour", "latitude", "longitude", *CHOSEN)
