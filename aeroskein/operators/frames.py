@@ -124,6 +124,14 @@ def visible_cells(wide: DataFrame, least: float = 10.0) -> DataFrame:
 
 
 def every_nth(wide: DataFrame, stride: int = 8) -> DataFrame:
-    """Every stride-th cell of each frame, from north to south and west to east."""
-    w = Window.partitionBy("pulse", "hour").orderBy(F.desc("latitude"), "longitude")
-    return wide.withColumn("_n", F.row_number().over(w) - 1).where(F.col("_n") % stride == 0).drop("_n")
+    """Every stride-th cell of each frame, from north to south and west to east.
+
+    Cells are counted by row of the grid; a row's first number is that of all cells further
+    north, so only a row's own cells are put in order together, never a frame's.
+    """
+    frame = ["pulse", "hour"]
+    rows = wide.groupBy(*frame, "latitude").agg(F.count("*").alias("_cells"))
+    north = Window.partitionBy(*frame).orderBy(F.desc("latitude")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.withColumn("_start", F.coalesce(F.sum("_cells").over(north), F.lit(0))).drop("_cells")
+    inside = F.row_number().over(Window.partitionBy(*frame, "latitude").orderBy("longitude")) - 1
+    return wide.join(starts, [*frame, "latitude"]).withColumn("_n", F.col("_start") + inside).where(F.col("_n") % stride == 0).drop("_n", "_start").select(*wide.columns)
