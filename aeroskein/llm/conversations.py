@@ -187,6 +187,10 @@ def repaired(rows: list[Row], audit: str, state: int) -> Iterator[tuple[str, str
         state = NEXT[state][role[:1]]
 
 
+def turns(rows: list[Row], audit: str, state: int) -> list[dict]:
+    return [{"role": role, "text": text} for role, text in repaired(rows, audit, state)]
+
+
 @dataclass
 class Counts:
     """What is counted in neighbouring rows, and what the counts of the next rows have to know of these."""
@@ -229,8 +233,9 @@ class Counts:
 
 _LONG, _INT, _TEXT, _FLAG = pa.int64(), pa.int32(), pa.string(), pa.bool_()
 _NUMBERS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
-RESULT = pa.schema([("conv_id", _LONG), *[(n, _LONG) for n in _NUMBERS], ("audit", _TEXT), ("repaired_sha256", _TEXT)])
-FIRST_PASS = pa.schema([*RESULT, ("turn", _LONG), ("role", _TEXT), ("text", _TEXT), ("copies", _LONG), ("open", _FLAG)])
+RESULT = pa.schema([("conv_id", _LONG), *[(n, _LONG) for n in _NUMBERS], ("audit", _TEXT)])
+_TURNS = pa.list_(pa.struct([("role", _TEXT), ("text", _TEXT)]))
+FIRST_PASS = pa.schema([*RESULT, ("repaired", _TURNS), ("turn", _LONG), ("role", _TEXT), ("text", _TEXT), ("copies", _LONG), ("open", _FLAG)])
 _PART = pa.struct([("high", _LONG), ("low", _LONG)])
 _DERIVATION = pa.struct([("before", _INT), ("after", _INT), ("cost", _LONG), ("audit", _TEXT), ("way", _TEXT)])
 _COUNTS = pa.struct([(f.name, _TEXT if f.name.endswith("role") else _LONG) for f in fields(Counts)])
@@ -238,12 +243,12 @@ _ROW = pa.struct([("role", _TEXT), ("text", _TEXT), ("copies", _LONG), ("fresh",
 JOINED = pa.schema([("conv_id", _LONG), ("high", _LONG), ("low", _LONG), ("counts", _COUNTS), ("derivations", pa.list_(_DERIVATION)), ("parts", pa.list_(_PART))])
 BLOCKS = pa.schema([*JOINED, ("rows", pa.list_(_ROW))])
 WINNERS = pa.schema([*RESULT, ("ways", pa.list_(pa.struct([("high", _LONG), ("low", _LONG), ("way", _TEXT)])))])
-PIECES = pa.schema([("conv_id", _LONG), ("high", _LONG), ("low", _LONG), ("piece", _TEXT)])
+PIECES = pa.schema([("conv_id", _LONG), ("high", _LONG), ("low", _LONG), ("repaired", _TURNS)])
 DIGESTS = pa.schema([("conv_id", _LONG), ("repaired_sha256", _TEXT)])
 
 
-def result_row(conv_id: int | None, counts: Counts, cost: int, audit: str, sha: str | None) -> dict:
-    return {"conv_id": conv_id, "gaps": counts.gaps, "blank": counts.blank, "duplicate": counts.duplicate, "truncated": counts.truncated, "illegal": counts.illegal, "cost": cost, "audit": audit, "repaired_sha256": sha}
+def result_row(conv_id: int | None, counts: Counts, cost: int, audit: str) -> dict:
+    return {"conv_id": conv_id, "gaps": counts.gaps, "blank": counts.blank, "duplicate": counts.duplicate, "truncated": counts.truncated, "illegal": counts.illegal, "cost": cost, "audit": audit}
 
 
 @dataclass
@@ -281,8 +286,7 @@ class Conversation:
         else:
             blocks = [block_table(rows[i : i + BLOCK], STATES if i else (START,)) for i in range(0, len(rows), BLOCK)]
             cost, audit, _ = best(joined_table(blocks, (START,)))
-        text = "\n".join(f"{role}:{text}" for role, text in repaired(rows, audit, START))
-        return result_row(self.conv_id, counts, cost, audit, hashlib.sha256(text.encode()).hexdigest()) | {"open": False}
+        return result_row(self.conv_id, counts, cost, audit) | {"repaired": turns(rows, audit, START), "open": False}
 
 
 def _rows_in(batches, *names: str) -> Iterator[tuple]:
@@ -376,19 +380,18 @@ def winners(batches) -> Iterator[pa.RecordBatch]:
     def read() -> Iterator[dict]:
         for conv_id, counts, derivations, parts in _rows_in(batches, "conv_id", "counts", "derivations", "parts"):
             cost, audit, way = best(_table(derivations))
-            yield result_row(conv_id, Counts(**counts), cost, audit, None) | {"ways": [p | {"way": way[i : i + 2]} for i, p in enumerate(parts)]}
+            yield result_row(conv_id, Counts(**counts), cost, audit) | {"ways": [p | {"way": way[i : i + 2]} for i, p in enumerate(parts)]}
 
     return _rows_out(read(), WINNERS, 64)
 
 
 def pieces(batches) -> Iterator[pa.RecordBatch]:
-    """Blocks with the states around them in, the repaired text of each out (null: no row is left)."""
+    """Blocks with the states around them in, the repaired rows of each out."""
 
     def read() -> Iterator[dict]:
         for conv_id, high, low, rows, derivations, way in _rows_in(batches, "conv_id", "high", "low", "rows", "derivations", "way"):
             before, after = map(int, way)
-            lines = [f"{r}:{t}" for r, t in repaired([Row(**r) for r in rows], _table(derivations)[before, after][1], before)]
-            yield {"conv_id": conv_id, "high": high, "low": low, "piece": "\n".join(lines) if lines else None}
+            yield {"conv_id": conv_id, "high": high, "low": low, "repaired": turns([Row(**r) for r in rows], _table(derivations)[before, after][1], before)}
 
     return _rows_out(read(), PIECES, 16)
 
@@ -398,13 +401,13 @@ def digests(batches) -> Iterator[pa.RecordBatch]:
 
     def read() -> Iterator[dict]:
         now, sha, begun = None, None, False
-        for conv_id, piece in _rows_in(batches, "conv_id", "piece"):
+        for conv_id, rows in _rows_in(batches, "conv_id", "repaired"):
             if now is None or now[0] != conv_id:
                 if now is not None:
                     yield {"conv_id": now[0], "repaired_sha256": sha.hexdigest()}
                 now, sha, begun = (conv_id,), hashlib.sha256(), False
-            if piece is not None:
-                sha.update((("\n" if begun else "") + piece).encode())
+            for row in rows:
+                sha.update(f"{'\n' if begun else ''}{row['role']}:{row['text']}".encode())
                 begun = True
         if now is not None:
             yield {"conv_id": now[0], "repaired_sha256": sha.hexdigest()}
@@ -412,8 +415,28 @@ def digests(batches) -> Iterator[pa.RecordBatch]:
     return _rows_out(read(), DIGESTS)
 
 
+@dataclass(frozen=True)
+class Repairs:
+    """results: (conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit), a row a conversation.
+
+    The repaired rows (role, text) in order are in arrays, column repaired: of whole conversations in
+    `whole` (conv_id, repaired), of those that go over several tasks in `parts` (conv_id, high, low,
+    repaired), one a block, in the order of high and low.
+    """
+
+    results: DataFrame
+    whole: DataFrame
+    parts: DataFrame
+
+    def rows(self) -> DataFrame:
+        """(conv_id, high, low, place, role, text): all repaired rows, in the order of high, low and place."""
+        zero = F.lit(0).cast("long")
+        both = self.whole.select("conv_id", zero.alias("high"), zero.alias("low"), "repaired").unionByName(self.parts)
+        return both.select("conv_id", "high", "low", F.posexplode("repaired").alias("place", "_row")).select("conv_id", "high", "low", "place", "_row.*")
+
+
 def open_conversations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Results, and (conv_id, high, low, piece) of the repaired texts, of rows (conv_id, turn, role, text, copies) in blocks over many tasks."""
+    """Results, and (conv_id, high, low, repaired), of rows (conv_id, turn, role, text, copies) in blocks over many tasks."""
     rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
     content = ["conv_id", "role", "_digest"]
     rows = rows.withColumn("_digest", F.sha2(F.col("text").cast("binary"), 256))
@@ -439,22 +462,19 @@ def open_conversations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return won.drop("ways"), _mapped(text, pieces, PIECES)
 
 
-def repair(rows: DataFrame) -> DataFrame:
-    """RESULT of rows (conv_id, turn, role, text, copies), whose turns are ordered nulls first, then by role and text.
+def repair(rows: DataFrame) -> Repairs:
+    """The cheapest repairs of rows (conv_id, turn, role, text, copies), whose turns are ordered nulls first, then by role and text.
 
-    copies says how often a row is there; 0 marks that the conversation exists. The contract of
-    the columns is that of `repair_conversations`.
+    copies says how often a row is there; 0 marks that the conversation exists. A conversation
+    without rows has zeros, an empty audit and no repaired rows; no rows give no results.
     """
     order = ["conv_id", "turn", "role", "text"]
     dealt = rows.select(*order, "copies").withColumn("_deal", F.xxhash64(F.monotonically_increasing_id()))
     spread = dealt.repartitionByRange(*order, "_deal").sortWithinPartitions(*order).drop("_deal")
     passed = staged(_mapped(spread, first_pass, FIRST_PASS), "conversations")
-    results, text = open_conversations(passed.where("open").select("conv_id", "turn", "role", "text", "copies"))
-    hashes = _mapped(text.repartition("conv_id").sortWithinPartitions("conv_id", "high", "low"), digests, DIGESTS)
-    hashes = hashes.select(F.col("conv_id").alias("_c"), F.col("repaired_sha256").alias("_sha"))
-    results = results.join(hashes, F.col("conv_id").eqNullSafe(F.col("_c"))).withColumn("repaired_sha256", F.col("_sha"))
-    names = RESULT.names
-    return passed.where("not open").select(*names).unionByName(results.select(*names))
+    won, parts = open_conversations(passed.where("open").select(*order, "copies"))
+    whole = passed.where("not open")
+    return Repairs(whole.select(*RESULT.names).unionByName(won.select(*RESULT.names)), whole.select("conv_id", "repaired"), parts)
 
 
 def damaged(conversations: DataFrame) -> DataFrame:
@@ -472,6 +492,14 @@ def damaged(conversations: DataFrame) -> DataFrame:
     return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.when(gone, 0).when(F.col("_code") == 3, 2).otherwise(1).cast("long").alias("copies"))
 
 
+def repaired_digests(repairs: Repairs) -> DataFrame:
+    """(conv_id, repaired_sha256): of the repaired rows as role:text, joined by line breaks."""
+    lines = F.transform("repaired", lambda r: F.concat(r["role"], F.lit(":"), r["text"]))
+    whole = repairs.whole.select("conv_id", F.sha2(F.array_join(lines, "\n").cast("binary"), 256).alias("repaired_sha256"))
+    parts = repairs.parts.repartition("conv_id").sortWithinPartitions("conv_id", "high", "low")
+    return whole.unionByName(_mapped(parts, digests, DIGESTS))
+
+
 def repair_conversations(conversations: DataFrame) -> DataFrame:
     """One row per conv_id of `conversations` (conv_id, turn, role, text, ...), null among them, after the damage.
 
@@ -481,4 +509,6 @@ def repair_conversations(conversations: DataFrame) -> DataFrame:
     ordered by role and text, so equal rows are neighbours; null turns come first. A conversation
     without rows after the damage has zeros and an empty audit. No rows give no rows.
     """
-    return repair(damaged(conversations))
+    repairs = repair(damaged(conversations))
+    hashes = repaired_digests(repairs).select(F.col("conv_id").alias("_c"), "repaired_sha256")
+    return repairs.results.join(hashes, F.col("conv_id").eqNullSafe(F.col("_c"))).drop("_c")

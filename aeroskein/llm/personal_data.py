@@ -15,7 +15,6 @@ their counts reach the driver, and their number is bounded by how signatures are
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections import Counter
@@ -24,8 +23,9 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
@@ -344,7 +344,7 @@ def _fits(kind: str, text: str) -> bool:
 
 COUNTED = pa.schema([("piece", pa.string()), ("key", pa.string()), ("label", pa.int32()), ("n", pa.int64())])
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_()), ("score", pa.float64())])
-FOUND = pa.schema([("doc_id", pa.int64()), *[(f"n_{k}", pa.int64()) for k in KINDS], ("base_sha256", pa.string()), ("spans", pa.list_(_SPAN))])
+FOUND = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(_SPAN))])
 
 
 def learn(docs: DataFrame) -> Model:
@@ -361,11 +361,6 @@ def learn(docs: DataFrame) -> Model:
     return model_of(Counter({(r.piece, r.key, r.label): r.n for r in counted.collect()}))
 
 
-def listed(spans: list) -> str:
-    """kind:start:end by kind as listed, then start, joined by commas."""
-    return ",".join(f"{s[0]}:{s[1]}:{s[2]}" for s in sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2])))
-
-
 def find_in(texts: list[str], model: Model) -> Iterator[tuple[list[Span], list[tuple[str, int, int, float]]]]:
     """(base spans, added spans) of each text."""
     start = 0
@@ -381,10 +376,10 @@ def find_in(texts: list[str], model: Model) -> Iterator[tuple[list[Span], list[t
 
 
 def find_personal_data(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans: one row per row of `docs`.
+    """(doc_id, spans): one row per row of `docs`.
 
-    The numbers and the digest are those of the fixed patterns; spans (kind, start, end, base,
-    score) holds these and what the field adds, by kind and then start. Null and empty texts have none;
+    spans (kind, start, end, base, score) holds what the fixed patterns find (base) and what the
+    field adds, by kind and then start, in code points. Null and empty texts have none;
     repeated rows each have their row; null ids stay null. Any text is read whole, in time that
     grows with its length.
     """
@@ -394,16 +389,44 @@ def find_personal_data(docs: DataFrame, model: Model) -> DataFrame:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             rows = []
             for doc_id, (base, added) in zip(ids, find_in(texts, model), strict=True):
-                numbers = Counter(kind for kind, *_ in base)
                 spans = [(*s, True, 1.0) for s in base] + [(*s[:3], False, s[3]) for s in added]
                 spans.sort(key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
-                sha = hashlib.sha256(listed(base).encode()).hexdigest()
-                rows.append({"doc_id": doc_id, **{f"n_{k}": numbers[k] for k in KINDS}, "base_sha256": sha, "spans": [dict(zip(("kind", "start", "end", "base", "score"), s)) for s in spans]})
+                rows.append({"doc_id": doc_id, "spans": [dict(zip(("kind", "start", "end", "base", "score"), s)) for s in spans]})
             yield pa.RecordBatch.from_pylist(rows, schema=FOUND)
 
     return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(find, from_arrow_schema(FOUND))
 
 
-def span_list(spans: str = "spans"):
-    """The spans as kind:start:end joined by commas."""
+def listed(spans: Column) -> Column:
+    """Spans as kind:start:end, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def span_columns(found: DataFrame) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone and base_sha256 of what the fixed patterns found, and spans, all of them, as a list."""
+    base = F.filter("spans", lambda s: s["base"])
+    of = lambda kind: F.filter(base, lambda s: s["kind"] == kind)
+    numbers = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *numbers, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def masked(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """`docs` with each span of its text replaced by <kind>; of overlapping spans the earlier and then the longer counts.
+
+    `found` is what find_personal_data() says of `docs`; both need unique doc_ids. Texts without spans stay as they are.
+    """
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        def one(text, found):
+            out, at = [], 0
+            for start, end, kind in sorted((s["start"], s["end"], s["kind"]) for s in found) if found is not None else ():
+                if start >= at:
+                    out += [text[at:start], f"<{kind}>"]
+                    at = end
+            return None if text is None else "".join(out) + text[at:]
+
+        return pd.Series([one(t, s) for t, s in zip(texts, spans)], dtype=object)
+
+    named = found.select("doc_id", F.col("spans").alias("_spans"))
+    return docs.join(named, "doc_id", "left").withColumn("text", cut("text", "_spans")).select(*docs.columns)

@@ -86,10 +86,10 @@ def op11_centroid_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_skip_chain_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from aeroskein.llm.personal_data import find_personal_data, learn, span_list
+    from aeroskein.llm.personal_data import find_personal_data, learn, span_columns
 
     docs = table(spark, sf_dir, "documents")
-    return find_personal_data(docs, learn(docs)).withColumn("spans", span_list())
+    return span_columns(find_personal_data(docs, learn(docs)))
 
 
 def op13_lightest_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

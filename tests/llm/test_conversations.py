@@ -4,7 +4,7 @@ import random
 import re
 import zlib
 
-from aeroskein.llm.conversations import BLOCK, FINAL, START, WHOLE, Row, best, block_table, damaged, edits, joined_table, lightest, repair, repair_conversations, repairs, repaired
+from aeroskein.llm.conversations import BLOCK, FINAL, START, WHOLE, Row, best, block_table, damaged, edits, joined_table, lightest, repair, repair_conversations, repaired, repaired_digests, repairs
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -160,7 +160,13 @@ def test_a_conversation_with_most_rows(spark):
     rng.shuffle(rows)
     table = conversations(spark, rows)
     spread = damaged(table)
-    assert results(repair(spread)) == expected(rows)
+    assert results(repair_conversations(table)) == expected(rows)
+    found = repair(spread)
+    lines, shas = {}, {r.conv_id: r.repaired_sha256 for r in repaired_digests(found).collect()}
+    for r in sorted(found.rows().collect(), key=lambda r: (r.conv_id, r.high, r.low, r.place)):
+        lines.setdefault(r.conv_id, []).append(f"{r.role}:{r.text}")
+    assert found.parts.where("conv_id = 7").count() > 50
+    assert all(hashlib.sha256("\n".join(lines.get(c, [])).encode()).hexdigest() == sha for c, sha in shas.items()) and len(shas) == 41
     assert spread.where("conv_id = 7").agg({"copies": "sum"}).first()[0] > WHOLE
 
 
