@@ -9,6 +9,7 @@ from aeroskein.functions.coerce import iso
 from aeroskein.operators import frames as R
 from aeroskein.operators import observed as O
 from aeroskein.operators import training as T
+from aeroskein.operators import weather as W
 from aeroskein.plans import derived as D
 from aeroskein.plans import model_queries as M
 from aeroskein.plans.archive_queries import metrics
@@ -129,16 +130,22 @@ def s14(spark, d):
     return S.read_metrics(spark, root, "leave_one_radar_out").select("pulse", "target", "rmse")
 
 
-@query("s15_read_boundary", "select latitude, longitude, code from cells, (select unnest(['GB', 'IE']) as code, unnest([-5.1, -10.1]) as w, unnest([1.1, -5.6]) as e) where longitude > w and longitude < e and latitude > 50.1 and latitude < 55.1")
+WANTED = ("NATION_0", "NATION_3", "NATION_4", "NATION_8")
+
+
+@query("s15_read_boundary", f"""
+select latitude, longitude, n_name as code from cells, (select n_name, -10.1 + n_nationkey * 0.5 as w, 48.1 + n_nationkey % 5 as s from nation where n_name in {WANTED})
+where longitude > w and longitude < w + 2 and latitude > s and latitude < s + 2""")
 def s15(spark, d):
+    """A collection of a box for each nation, alternately a polygon and a multipolygon; cells inside the wanted ones."""
     root = scratch_path(spark, "boundary")
-    box = lambda w, e: f"[[[{w},50.1],[{e},50.1],[{e},55.1],[{w},55.1],[{w},50.1]]]"
-    feature = lambda code, kind, coords: f'{{"type":"Feature","properties":{{"ISO":"{code}"}},"geometry":{{"type":"{kind}","coordinates":{coords}}}}}'
-    doc = '{"type":"FeatureCollection","features":[' + ",".join([feature("GB", "MultiPolygon", f"[{box(-5.1, 1.1)}]"), feature("IE", "Polygon", box(-10.1, -5.6)), feature("FR", "Polygon", box(-5, 8))]) + "]}"
-    D.table(spark, d, "region").where("r_regionkey = 0").select(F.lit(doc).alias("value")).coalesce(1).write.text(root)
-    boundary = S.read_boundary(spark, root, "ISO", ["GB", "IE"])
-    cells = D.weather_grid(spark, d).select("latitude", "longitude").distinct()
-    return cells.join(boundary, geo.point_in_polygons(F.col("longitude"), F.col("latitude"), F.col("polygons"))).select("latitude", "longitude", "code")
+    ends = D.table(spark, d, "nation").selectExpr("n_name", "n_nationkey as k", "-10.1D + n_nationkey * 0.5D as w", "48.1D + n_nationkey % 5 as s")
+    corner = lambda east, north: f"concat('[', w + {east}, ',', s + {north}, ']')"
+    ring = "concat('[[', concat_ws(',', {}), ']]')".format(", ".join(corner(*c) for c in ((0, 0), (2, 0), (2, 2), (0, 2), (0, 0))))
+    shaped = ends.selectExpr("n_name", f"if(k % 2 = 0, concat('[', {ring}, ']'), {ring}) as coordinates", "if(k % 2 = 0, 'MultiPolygon', 'Polygon') as kind")
+    features = shaped.select(F.format_string('{"type":"Feature","properties":{"ISO":"%s"},"geometry":{"type":"%s","coordinates":%s}}', "n_name", "kind", "coordinates").alias("f"))
+    features.groupBy().agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", F.collect_list("f")), F.lit("]}")).alias("value")).write.text(root)
+    return W.points_in_boundary(D.weather_grid(spark, d), S.read_boundary(spark, root, "ISO", list(WANTED)))
 
 
 @query("s16_read_weather_long", f"select {HOUR} as hour, level, count(*) as n, round(sum(u), 2) as u, round(sum(sp), 2) as sp from weather_grid where level in (850, 925) group by all")

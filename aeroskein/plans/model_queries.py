@@ -206,13 +206,13 @@ def a34(spark, d):
     return R.day_checks(wide_frames(spark, d).where("mtr > 0.5 or pulse = 'lp'")).withColumn("day", F.col("day").cast("string"))
 
 
-@query("a35_merge_daily_predictions", "select cast(cast(day as date) as varchar) as day, coalesce(hours, 0) as hours, coalesce(cells, 0) as cells, coalesce(hours = 24, false) as ok from (select unnest(generate_series(date '2025-07-13', date '2025-07-15', interval 1 day)) as day) s left join (select cast(hour as date) as d, count(distinct hour) as hours, count(distinct (latitude, longitude)) as cells from wide_frames group by 1) w on w.d = s.day")
+@query("a35_merge_daily_predictions", "select cast(cast(day as date) as varchar) as day, coalesce(hours, 0) as hours, coalesce(cells, 0) as cells, coalesce(hours = 24, false) as ok from (select unnest(generate_series((select cast(min(hour) as date) - 1 from wide_frames), (select cast(max(hour) as date) + 1 from wide_frames), interval 1 day)) as day) s left join (select cast(hour as date) as d, count(distinct hour) as hours, count(distinct (latitude, longitude)) as cells from wide_frames group by 1) w on w.d = s.day")
 def a35(spark, d):
     from aeroskein.operators.inventory import date_spine
 
     w = wide_frames(spark, d)
     merged = R.merge_days([w.where("pulse = 'lp'"), w.where("pulse = 'sp'")])
-    bounds = D.table(spark, d, "region").limit(1).selectExpr("date '2025-07-13' as start", "date '2025-07-15' as end")
+    bounds = w.agg(F.date_sub(F.min("hour"), 1).alias("start"), F.date_add(F.max("hour"), 1).alias("end"))
     return R.merge_checks(merged, date_spine(bounds)).withColumn("day", F.col("day").cast("string"))
 
 

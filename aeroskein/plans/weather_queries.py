@@ -156,12 +156,13 @@ def a36(spark, d):
     return W.day_completeness(D.weather_site(spark, d), NAMES, 4).withColumn("day", F.col("day").cast("string"))
 
 
-@query("a37_period_day_completeness", "select cast(cast(day as date) as varchar) as day, count(distinct w.hour) as hours, count(distinct w.hour) = 24 as ok from (select unnest(generate_series(date '2025-07-12', date '2025-07-30', interval 1 day)) as day) s left join weather w on cast(w.hour as date) = s.day group by s.day")
+@query("a37_period_day_completeness", "select cast(cast(day as date) as varchar) as day, count(distinct w.hour) as hours, count(distinct w.hour) = 24 as ok from (select unnest(generate_series((select cast(min(hour) as date) - 2 from weather), (select cast(max(hour) as date) + 2 from weather), interval 1 day)) as day) s left join weather w on cast(w.hour as date) = s.day group by s.day")
 def a37(spark, d):
     from aeroskein.operators.inventory import date_spine
 
-    bounds = D.table(spark, d, "region").limit(1).selectExpr("date '2025-07-12' as start", "date '2025-07-30' as end")
-    return W.hours_per_day(D.weather_site(spark, d), date_spine(bounds)).withColumn("day", F.col("day").cast("string"))
+    rows = D.weather_site(spark, d)
+    bounds = rows.agg(F.date_sub(F.min("hour"), 2).alias("start"), F.date_add(F.max("hour"), 2).alias("end"))
+    return W.hours_per_day(rows, date_spine(bounds)).withColumn("day", F.col("day").cast("string"))
 
 
 @query("a38_coverage_bbox", "select ceil(max(latitude + max_range_m / 1000.0 / 110) / 0.25) * 0.25 + 0.25 as north, floor(min(longitude - max_range_m / 1000.0 / (110 * cos(radians(latitude)))) / 0.25) * 0.25 - 0.25 as west, floor(min(latitude - max_range_m / 1000.0 / 110) / 0.25) * 0.25 - 0.25 as south, ceil(max(longitude + max_range_m / 1000.0 / (110 * cos(radians(latitude)))) / 0.25) * 0.25 + 0.25 as east from stations")
