@@ -67,7 +67,7 @@ def test_correlation_without_spread_is_null_or_zero(spark):
 
 
 def metrics(spark, rmse, share):
-    rows = [("leave_one_radar_out", p, t, rmse, share, share) for p in ("lp", "sp") for t in ("mtr", "vid", "u", "v")]
+    rows = [("leave_one_radar_out", p, t, rmse, share, share) for p in ("lp", "sp") for t in ("mtr_birds_km_h", "vid_birds_per_km2", "bird_u_ms", "bird_v_ms")]
     return spark.createDataFrame(rows, "validation string, pulse string, target string, rmse double, top_decile_precision double, top_decile_recall double")
 
 
@@ -78,11 +78,11 @@ def test_challenger(spark, rmse, share, selected):
 
 
 def test_missing_row_is_no_promotion(spark):
-    challenger = metrics(spark, 8.5, 0.85).where("not (pulse = 'sp' and target = 'vid')")
+    challenger = metrics(spark, 8.5, 0.85).where("not (pulse = 'sp' and target = 'vid_birds_per_km2')")
     base = metrics(spark, 10.0, 0.8)
     assert validation.select_model_family(base, challenger).first()["selected"] == "baseline"
     reasons = {(r["pulse"], r["target"]): r["reason"] for r in validation.family_checks(base, challenger).where("validation = 'leave_one_radar_out'").collect()}
-    assert reasons == {("lp", "mtr"): None, ("lp", "vid"): None, ("sp", "mtr"): None, ("sp", "vid"): "missing_metrics"}
+    assert reasons == {("lp", "mtr_birds_km_h"): None, ("lp", "vid_birds_per_km2"): None, ("sp", "mtr_birds_km_h"): None, ("sp", "vid_birds_per_km2"): "missing_metrics"}
 
 
 def test_blocked_times_count_where_there_are_any(spark):
@@ -92,14 +92,14 @@ def test_blocked_times_count_where_there_are_any(spark):
     assert said(base.union(blocked(10.0)), challenger.union(blocked(8.0))) == "challenger"
     assert said(base.union(blocked(10.0)), challenger.union(blocked(9.8))) == "baseline" and said(base, challenger.union(blocked(8.0))) == "baseline"
     # vectors are judged on held-out radars only
-    worse = blocked(8.0).withColumn("rmse", F.when(F.col("target").isin("u", "v"), 99.0).otherwise(F.col("rmse")))
+    worse = blocked(8.0).withColumn("rmse", F.when(F.col("target").isin("bird_u_ms", "bird_v_ms"), 99.0).otherwise(F.col("rmse")))
     assert said(base.union(blocked(10.0)), challenger.union(worse)) == "challenger"
-    bad = challenger.withColumn("rmse", F.when(F.col("target") == "u", 10.21).otherwise(F.col("rmse")))
+    bad = challenger.withColumn("rmse", F.when(F.col("target") == "bird_u_ms", 10.21).otherwise(F.col("rmse")))
     assert said(base, bad) == "baseline"
 
 
 def test_the_gate_leaves_the_short_pulse_s_density_out(spark):
-    rows = [("lp", "mtr", 0.0), ("lp", "vid", -0.01), ("sp", "mtr", 0.1), ("sp", "vid", -5.0), ("lp", "u", 0.03), ("lp", "v", 0.01), ("sp", "u", -1.0)]
+    rows = [("lp", "mtr_birds_km_h", 0.0), ("lp", "vid_birds_per_km2", -0.01), ("sp", "mtr_birds_km_h", 0.1), ("sp", "vid_birds_per_km2", -5.0), ("lp", "bird_u_ms", 0.03), ("lp", "bird_v_ms", 0.01), ("sp", "bird_u_ms", -1.0)]
     r = validation.candidate_gate(spark.createDataFrame(rows, "pulse string, target string, d_r_squared double")).first()
     assert (r["worst_intensity"], round(r["mean_vector_gain"], 9), r["accept"]) == (-0.01, 0.02, True)
     assert validation.candidate_gate(spark.createDataFrame([], "pulse string, target string, d_r_squared double")).first()["accept"] is False
