@@ -88,3 +88,47 @@ def test_a_batch_without_change_only_refreshes_the_status():
     assert Z.stream_status(built, 0) == built | {"no_change": True}
     with pytest.raises(ValueError, match="nothing was built"):
         Z.stream_status(None, 0)
+
+
+def test_nights_that_a_batch_brings_and_closes_dont_go_through_the_state():
+    import datetime
+
+    import pandas as pd
+
+    class Value:
+        rows = None
+
+        def exists(self):
+            return self.rows is not None
+
+        def get(self):
+            return self.rows
+
+        def update(self, value):
+            self.rows = value
+
+    class Rows(list):
+        appended = 0
+
+        def appendValue(self, value):
+            self.appended += 1
+            self.append(value)
+
+        def get(self):
+            return iter(list(self))
+
+        def put(self, values):
+            self[:] = values
+
+    class Handle:
+        getValueState, getListState = (lambda self, *_: Value()), (lambda self, *_: Rows())
+
+    nights = Z.OpenNights(["ts", "night_date"])
+    nights.init(Handle())
+    days = pd.date_range("2025-07-14 20:00", periods=50, freq="D")
+    frame = lambda some: pd.DataFrame({"ts": some, "night_date": [t.date() for t in some]})
+    out = pd.concat(nights.handleInputRows(None, iter([frame(days[:40])]), None))
+    assert len(out) == 39 and nights.nights.appended == 1
+    # the open night comes with the next batch, a night before the newest date is late
+    out = pd.concat(nights.handleInputRows(None, iter([frame(days[5:6]), frame(days[40:])]), None))
+    assert sorted(out["night_date"]) == [datetime.date(2025, 7, 14) + datetime.timedelta(n) for n in range(39, 49)]
