@@ -65,3 +65,17 @@ def test_frames_are_nested_in_the_tasks_of_their_tiles(spark, small):
     assert len({t["task"] for t in tiles}) > 4 and len(tiles) == len({t[:2] for t in tiles})
     whole = R.nest_frames(M.wide_frames(spark, DATA)).drop("cells")
     assert nested.agg(F.sum("cell_count")).first()[0] == 1500 * 48 and nested.drop("cells").exceptAll(whole).isEmpty() and whole.exceptAll(nested.drop("cells")).isEmpty()
+
+
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_every_nth_cell_in_tasks_of_bounded_size(spark, small, monkeypatch, broadcast):
+    """Tasks that number cells are as many as the cells fill, whether the rows' starts are broadcast or not; 0.0 and -0.0 are one row."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        monkeypatch.setattr(R, "ROWS_A_TASK", 2_000, raising=False)
+        found = R.every_nth(M.wide_frames(spark, DATA))
+        assert len(spread(found)) > 20 and found.count() == 48 * 188
+        zeros = spark.createDataFrame([("lp", 1, y, float(x)) for x in range(3) for y in (0.0, -0.0, 1.0)], "pulse string, hour int, latitude double, longitude double")
+        assert sorted(r["longitude"] for r in R.every_nth(zeros, 3).collect()) == [0.0, 0.0, 1.0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
