@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aeroskein.sources.scratch import written
+
 #: Columns of profile files and of tables like them.
 PROFILE_COLUMNS = (
     "radar datetime height u v w ff dd sd_vvp gap eta dens dbz dbz_all n n_dbz n_all n_dbz_all DBZH rcs sd_vvp_threshold vcp radar_latitude radar_longitude radar_height radar_wavelength "
@@ -41,18 +43,26 @@ def by_header(files: DataFrame, columns: list[str] = PROFILE_COLUMNS) -> DataFra
     return split.select(*rest, *[F.nullif(F.get("_cells", F.get("_at", F.lit(i))), F.lit("")).alias(f"_c_{c}") for i, c in enumerate(columns)])
 
 
-def read_objects(root: str, objects: DataFrame, path: Column, columns: list[str] = PROFILE_COLUMNS) -> DataFrame:
+def read_objects(root: str, objects: DataFrame, path: Column, columns: list[str] = PROFILE_COLUMNS, pack: Column | None = None) -> DataFrame:
     """Rows of the files of `objects`, with the columns of `objects` and then `columns` as text, prefixed with _c_.
 
     `path` says of an object where below `root` it is: a file, or a folder of files. The list of
     objects comes to the driver, which holds the files of any scan; a missing object is an error. A file is a
     task's single row until its lines are split, so files should be of some MB at most, as daily ones
     are; the contents of files aren't shuffled.
+
+    Of an archive with packs, `pack` says in which an object is, null if it is a file of its own. A
+    pack, a file or folder below `root` too, is a Parquet table of objects: their paths (column path) and whole texts (value). Only packs
+    that have listed objects are opened, and only those objects' lines are split; just the names of packs come to the driver.
     """
     spark, root = objects.sparkSession, root.rstrip("/")
-    listed = objects.withColumn("_path", path).collect()
-    schema = objects.withColumn("_path", path).schema
+    listed = objects.withColumn("_path", path)
     parts = []
+    if pack is not None:
+        placed = written(listed.withColumn("_pack", pack), "listed")
+        parts += _packed(root, placed.where(F.col("_pack").isNotNull()), columns)
+        listed = placed.where(F.col("_pack").isNull()).drop("_pack")
+    schema, listed = listed.schema, listed.collect()
     for start in range(0, len(listed), AT_ONCE):
         some = listed[start : start + AT_ONCE]
         files = spark.read.text([f"{root}/{r['_path']}" for r in some], wholetext=True)
@@ -68,6 +78,32 @@ def read_objects(root: str, objects: DataFrame, path: Column, columns: list[str]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _packed(root: str, listed: DataFrame, columns: list[str]) -> list[DataFrame]:
+    """Rows of the listed objects (with _path and _pack) of packs, in parts of AT_ONCE objects or a pack."""
+    spark = listed.sparkSession
+    groups, room = [], 0
+    for r in listed.groupBy("_pack").count().orderBy("_pack").collect():
+        if r["count"] > room:
+            groups.append([])
+            room = AT_ONCE
+        groups[-1].append(r["_pack"])
+        room -= r["count"]
+    parts, there = [], []
+    for packs in groups:
+        uri = F.col("_metadata.file_path")
+        held = spark.read.schema("path string, value string").parquet(*[f"{root}/{p}" for p in packs])
+        known = held.select(F.col("path").alias("_path"), "value", uri.alias("_file"), _below(uri, root).alias("_full")).withColumn("_folder", F.regexp_extract("_full", "^(.*)/[^/]*$", 1))
+        found = known.withColumn("_pack", F.explode(F.array("_full", "_folder")))
+        there.append(found.select("_pack", "_path"))
+        joined = found.join(F.broadcast(listed.where(F.col("_pack").isin(packs))), ["_pack", "_path"]).withColumn("_uri", F.concat("_file", F.lit("#"), "_path"))
+        parts.append(by_header(joined.drop("_file", "_full", "_folder", "_path", "_pack"), columns))
+    if there:
+        lost = listed.join(reduce(DataFrame.unionAll, there), ["_pack", "_path"], "left_anti").first()
+        if lost:
+            raise FileNotFoundError(f"{root}/{lost['_pack']} has no object {lost['_path']}")
+    return parts
+
+
 def _below(uri: Column, root: str) -> Column:
     """The decoded path of a file below the root."""
     plain = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))

@@ -39,17 +39,17 @@ def key_tail(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+/\d{4}/[^/]+)$", 1)
 
 
-def read_vpts_archive(spark: SparkSession, root: str, inventory: DataFrame, max_files: int | None = None, path_of=key_tail) -> DataFrame:
+def read_vpts_archive(spark: SparkSession, root: str, inventory: DataFrame, max_files: int | None = None, path_of=key_tail, pack_of=None) -> DataFrame:
     """Layers of the inventory's objects (radar, day, pulse, key, etag), of the first max_files by radar, day and pulse if given.
 
     Only these objects are opened, each read by its own header. path_of says of an object's
-    key where it is below the root. The inventory says whose rows they are: radar and pulse in the
+    key where it is below the root, and pack_of, for an archive that has packs, in which pack it is (null: a file of its own). The inventory says whose rows they are: radar and pulse in the
     rows are overridden.
     """
     if max_files is not None:
         inventory = inventory.orderBy("radar", "day", "pulse").limit(max_files)
     objects = inventory.select("radar", "pulse", F.col("key").alias("source_key"), F.col("etag").alias("source_etag"))
-    rows = read_objects(root, objects, path_of(F.col("source_key")))
+    rows = read_objects(root, objects, path_of(F.col("source_key")), pack=pack_of and pack_of(F.col("source_key")))
     named = [F.col(f"_c_{c}").alias(c) for c in PROFILE_COLUMNS if c not in ("radar", "pulse")]
     return canonical_layers(rows.select(*objects.columns, F.col("_uri").alias("source_uri"), *named))
 

@@ -18,6 +18,13 @@ def write_night_archive(nights: DataFrame, root: str) -> None:
     parts.repartition("year", "date").write.partitionBy("year", "date").mode("append").json(root)
 
 
+def write_packs(rows: DataFrame, root: str, by: list[str], path: str, header: list[str]) -> None:
+    """CSV objects in packs, a pack for each value of `by`: a pack's rows are an object each, its path and its whole text with a header line."""
+    line = F.to_csv(F.struct(*header), {"escape": '"'})
+    texts = rows.select(*by, path, line.alias("line")).repartition(*by).groupBy(*by, path).agg(F.concat(F.lit(",".join(header) + "\n"), F.array_join(F.collect_list("line"), "\n"), F.lit("\n")).alias("value"))
+    texts.withColumnRenamed(path, "path").write.partitionBy(*by).parquet(root)
+
+
 def write_hourly(hourly: DataFrame, path: str) -> None:
     hourly.write.mode("overwrite").parquet(path)
 

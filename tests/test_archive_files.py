@@ -64,6 +64,43 @@ def test_only_listed_files_are_opened(spark, tmp_path):
         readers.read_vpts_archive(spark, root, listed(spark, "0709"))
 
 
+def test_packs_hold_objects(spark, tmp_path, monkeypatch):
+    from aeroskein.sources import objects
+
+    root = archive_of(tmp_path, {"20250701_lp_vpts.csv": "radar,datetime,height,dens\nX,2025-07-01 22:00:00,200,1\n"})
+    texts = {"0702": "dens,height,radar,datetime\n2,200,X,2025-07-02 22:00:00\n", "0703": "not,to\nbe,read\n", "0704": "radar,datetime,height,dens\r\nX,2025-07-04 22:00:00,200,4\r\nX,2025-07-04 23:00:00,200,5\r\n", "0706": "datetime,dens\n2025-07-06 22:00:00,6\n"}
+    for day, text in texts.items():
+        spark.createDataFrame([(f"radar-07/2025/2025{day}_lp_vpts.csv", text)], "path string, value string").coalesce(1).write.mode("append").parquet(f"{root}/packs/{int(day) // 3}")
+    pack_of = lambda key: F.when(~key.contains("0701"), F.concat(F.lit("packs/"), F.floor(F.regexp_extract(key, "2025(07..)_", 1).cast("int") / 3)))
+
+    def read(*days):
+        rows = readers.read_vpts_archive(spark, root, listed(spark, *days), pack_of=pack_of)
+        return sorted((r["ts"].day, r["dens"], r["radar"], r["source_etag"]) for r in rows.collect()), rows.inputFiles()
+
+    for at_once in (50_000, 1):
+        monkeypatch.setattr(objects, "AT_ONCE", at_once)
+        got, opened = read("0706", "0704", "0701", "0702")
+        assert got == [(1, 1.0, "radar-07", "e0701"), (2, 2.0, "radar-07", "e0702"), (4, 4.0, "radar-07", "e0704"), (4, 5.0, "radar-07", "e0704"), (6, 6.0, "radar-07", "e0706")]
+        assert sum("/packs/" in f for f in opened) == 4
+    got, opened = read("0704")  # 0702 to 0704 are in one pack, which alone is opened
+    assert [g[0] for g in got] == [4, 4] and sum("/packs/234/" in f for f in opened) == 3 and not any("/packs/235/" in f or f.endswith(".csv") for f in opened)
+    with pytest.raises(FileNotFoundError, match="packs/235 has no object radar-07/2025/20250705_lp"):
+        read("0702", "0705")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read("0799")
+
+
+def test_packed_values_are_quoted(spark, tmp_path):
+    from aeroskein.sources.objects import read_objects
+
+    rows = spark.createDataFrame([("a", "o1", "X", 'a, "b"'), ("a", "o1", "Y", None), ("b", "o2", "Z", "")], "by string, path string, radar string, day string")
+    writers.write_packs(rows, f"file://{tmp_path}/packs", ["by"], "path", ["radar", "day"])
+    objects = spark.createDataFrame([("o1", "by=a"), ("o2", "by=b")], "key string, pack string")
+    got = read_objects(f"file://{tmp_path}/packs", objects, F.col("key"), ["radar", "day", "dens"], pack=F.col("pack"))
+    assert sorted((r["key"], r["_c_radar"], r["_c_day"], r["_c_dens"]) for r in got.collect()) == [("o1", "X", 'a, "b"', None), ("o1", "Y", None, None), ("o2", "Z", None, None)]
+    assert all("#" in r["_uri"] for r in got.select("_uri").collect())
+
+
 def test_json_lists_and_documents(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([{"x": 1}, {"x": 2}]))
     (tmp_path / "b.json").write_text(json.dumps({"items": [{"x": 3}]}))

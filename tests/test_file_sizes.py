@@ -41,3 +41,12 @@ def test_days_share_files(run, tmp_path):
 def test_documents_have_many_records(run, tmp_path):
     run("s1_read_records")
     assert len(list((tmp_path / "records" / "json").glob("part-*"))) == 1
+
+
+def test_objects_of_later_years_are_packed(run, tmp_path, monkeypatch):
+    from aeroskein.plans import io_queries as Q
+
+    monkeypatch.setattr(Q, "PACKED_FROM", 2025, raising=False)
+    run("s2_read_vpts_archive")
+    files = [p for p in (tmp_path / "archive").rglob("part-*")]
+    assert len(files) == 4 and len({p.parent for p in files}) == 4  # a file for each radar's year, not for each of its days and pulses
